@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataspark.llm import chat, mixing, url_filter
+from strataspark.llm import ann, chat, mixing, packing, topk, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann": ann.op1_ann,
+    "op2_packing": packing.op2_packing,
     "op3_mixing": mixing.op3_mixing,
+    "op5_topk": topk.op5_topk,
     "op7_url_filter": url_filter.op7_url_filter,
     "op8_chat_format": chat.op8_chat_format,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_topk": topk.SQL,
     "op7_url_filter": url_filter.SQL,
     "op8_chat_format": chat.SQL,
 }
