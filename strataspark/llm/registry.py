@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataspark.llm import ann, chat, mixing, packing, topk, url_filter
+from strataspark.llm import ann, chat, mixing, packing, substring_dedup, topk, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": ann.op1_ann,
     "op2_packing": packing.op2_packing,
     "op3_mixing": mixing.op3_mixing,
+    "op4_substring_dedup": substring_dedup.op4_substring_dedup,
     "op5_topk": topk.op5_topk,
     "op7_url_filter": url_filter.op7_url_filter,
     "op8_chat_format": chat.op8_chat_format,
