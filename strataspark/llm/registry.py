@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataspark.llm import ann, chat, mixing, packing, substring_dedup, topk, url_filter
+from strataspark.llm import ann, chat, mixing, ngram_join, packing, substring_dedup, topk, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": ann.op1_ann,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_topk": topk.op5_topk,
     "op7_url_filter": url_filter.op7_url_filter,
     "op8_chat_format": chat.op8_chat_format,
+    "op10_ngram_join": ngram_join.op10_ngram_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
