@@ -185,7 +185,7 @@ _LABELS = pa.schema([("doc", pa.int64()), ("label", pa.int64()), ("links", pa.in
 
 
 def _joined(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Rows (task, side, doc, copies, text) sorted by task: one union-find label per doc and its links."""
+    """Rows (task, side, doc, copies, text) sorted by task: one union-find label per doc and its links. Side 2 meets itself."""
 
     def settle(held: list[tuple]) -> pa.RecordBatch:
         docs = np.array([h[1] for h in held], np.int64)
@@ -193,16 +193,16 @@ def _joined(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> It
         side = np.array([h[0] for h in held])
         sets = [h[3] for h in held]
         label, links = docs.copy(), np.zeros(len(docs), np.int64)
-        left = np.flatnonzero(side == 0)
-        right = np.flatnonzero(side == 1)
-        probes = right if len(right) else left
-        pairs = trie_links([sets[x] for x in left], [sets[x] for x in probes], num, den) if len(left) else ()
+        left = np.flatnonzero(side != 1)
+        alone = bool((side == 2).all())
+        probes = left if alone else np.flatnonzero(side == 1)
+        pairs = trie_links([sets[x] for x in left], [sets[x] for x in probes], num, den) if len(left) and len(probes) else ()
         for i, js in pairs:
             me, them = left[i], probes[js]
-            if len(right):
-                links[them] += copies[me]
-            else:
+            if alone:
                 them = them[them != me]
+            else:
+                links[them] += copies[me]
             links[me] += copies[them].sum()
             tied = np.unique(np.append(label[them], label[me]))
             if len(tied) > 1:
@@ -248,7 +248,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     placed = members.join(groups, "component").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep", F.lit(9)), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     dealt = placed.select("rep", "copies", "component", "block", other).select(
-        "rep", "copies", (F.col("block") > F.col("other")).cast("int").alias("side"),
+        "rep", "copies", F.when(F.col("block") == F.col("other"), 2).otherwise((F.col("block") > F.col("other")).cast("int")).alias("side"),
         F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")).alias("task"),
     )
     tasks = source.join(dealt, F.col("doc") == F.col("rep")).select("task", "side", "doc", "copies", "text")
