@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,6 +33,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage_folder(spark: SparkSession) -> str:
+    """A new folder for written tables below ``spark.checkpoint.dir``, or below a temporary one where that is unset."""
+    where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    return f"{where or tempfile.mkdtemp(prefix='strataspark-stages-')}/stages-{uuid.uuid4().hex}"
+
+
 def fresh_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have, whatever its case."""
     have = {c.lower() for c in df.columns}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataspark.llm import ann, chat, mixing, ngram_join, packing, substring_dedup, topk, url_filter
+from strataspark.llm import ann, chat, lm_score, mixing, ngram_join, packing, substring_dedup, topk, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": ann.op1_ann,
@@ -14,8 +14,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": mixing.op3_mixing,
     "op4_substring_dedup": substring_dedup.op4_substring_dedup,
     "op5_topk": topk.op5_topk,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_url_filter": url_filter.op7_url_filter,
     "op8_chat_format": chat.op8_chat_format,
+    "op9_lm_score": lm_score.op9_lm_score,
     "op10_ngram_join": ngram_join.op10_ngram_join,
 }
 
