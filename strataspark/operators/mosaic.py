@@ -16,3 +16,58 @@ def first_wins(cells: DataFrame, pixel: list[str], precedence: list[Column], val
     names = (value, *carried)
     best = F.max_by(F.struct(*names), F.struct(*precedence))
     return known.groupBy(*pixel).agg(best.alias("best_")).select(*pixel, *(F.col(f"best_.{n}").alias(n) for n in names))
+
+
+def on_grid(sheet_meta: DataFrame, sheet_cell: DataFrame, grid, rings=None) -> DataFrame:
+    """Target pixels (row, col) of every sheet with (z, res_src, akt_data, plik), nearest cell.
+
+    Each source cell is sent to the target pixels whose centres it holds (one if it is as fine, several if coarser),
+    which is an equi-join on the sheet and no range join; pixels outside the grid or the polygon are dropped.
+    """
+    from strataspark.functions import geometry
+
+    c = grid.cellsize
+    cell = sheet_cell.join(sheet_meta.select("plik", "res", "left", "top", "akt_data"), "plik")
+    x0, y1 = F.col("left") + F.col("col") * F.col("res"), F.col("top") - F.col("row") * F.col("res")
+    first_col, last_col = F.ceil((x0 - grid.left) / c - 0.5), F.ceil((x0 + F.col("res") - grid.left) / c - 0.5) - 1
+    first_row, last_row = F.ceil((grid.top - y1) / c - 0.5), F.ceil((grid.top - y1 + F.col("res")) / c - 0.5) - 1
+    span = lambda a, b: F.explode(F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>")))
+    placed = cell.withColumn("tc_", span(first_col, last_col)).withColumn("tr_", span(first_row, last_row))
+    inside = placed.where((F.col("tc_") >= 0) & (F.col("tr_") >= 0) & (F.col("tc_") < grid.width) & (F.col("tr_") < grid.height))
+    out = inside.select(F.col("tr_").cast("int").alias("row"), F.col("tc_").cast("int").alias("col"), "z", F.col("res").cast("float").alias("res_src"), "akt_data", "plik")
+    return out if rings is None else out.where(geometry.contains_point(rings, grid.x_of(F.col("col")), grid.y_of(F.col("row"))))
+
+
+def base_layer(sheet_meta: DataFrame, sheet_cell: DataFrame, grid, rings=None) -> DataFrame:
+    """W1 on a grid: newest sheet first, then the greater path; an unknown date is the oldest."""
+    order = [F.coalesce(F.col("akt_data").cast("string"), F.lit("0001-01-01")), F.col("plik")]
+    return first_wins(on_grid(sheet_meta, sheet_cell, grid, rings), ["row", "col"], order, "z", ("res_src",))
+
+
+def reprojected(sheet_meta: DataFrame, sheet_cell: DataFrame, source: int, target: int) -> tuple[DataFrame, DataFrame]:
+    """Sheets of one system on grids of another, nearest cell.
+
+    A sheet's target cell is its own, rounded to 2 places, and its bounds are those of its transformed edge, snapped
+    outward. Every target centre is transformed back and equi-joined with the source cell that holds it.
+    """
+    from strataspark.functions import crs
+    from strataspark.functions.numeric import round_half_even
+
+    m = crs.COLUMNS
+    share = F.explode(F.transform(F.sequence(F.lit(0), F.lit(8)), lambda k: k / 8.0))
+    edge = sheet_meta.withColumn("s_", share).withColumn("side_", F.explode(F.array(*map(F.lit, range(4)))))
+    mid = lambda a, b: F.col(a) + (F.col(b) - F.col(a)) * F.col("s_")
+    x = F.when(F.col("side_") == 0, F.col("left")).when(F.col("side_") == 1, F.col("right")).otherwise(mid("left", "right"))
+    y = F.when(F.col("side_") == 2, F.col("bottom")).when(F.col("side_") == 3, F.col("top")).otherwise(mid("bottom", "top"))
+    tx, ty = crs.transform(x, y, source, target, m)
+    cell = round_half_even(F.col("res"))
+    box = edge.select("plik", cell.alias("cell_"), tx.alias("x_"), ty.alias("y_")).groupBy("plik", "cell_").agg(F.min("x_").alias("l"), F.min("y_").alias("b"), F.max("x_").alias("r"), F.max("y_").alias("t"))
+    down, up = (lambda v: F.floor(F.col(v) / F.col("cell_")) * F.col("cell_")), (lambda v: F.ceil(F.col(v) / F.col("cell_")) * F.col("cell_"))
+    new = box.select("plik", F.col("cell_").alias("res"), down("l").alias("left"), down("b").alias("bottom"), up("r").alias("right"), up("t").alias("top"))
+    new = new.withColumns({"ncols": F.rint((F.col("right") - F.col("left")) / F.col("res")).cast("int"), "nrows": F.rint((F.col("top") - F.col("bottom")) / F.col("res")).cast("int")})
+    old = sheet_meta.select("plik", F.col("left").alias("l"), F.col("top").alias("t"), F.col("res").alias("r"))
+    pixel = new.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("nrows") - 1))).withColumn("col", F.explode(F.sequence(F.lit(0), F.col("ncols") - 1)))
+    sx, sy = crs.transform(F.col("left") + (F.col("col") + 0.5) * F.col("res"), F.col("top") - (F.col("row") + 0.5) * F.col("res"), target, source, m)
+    back = pixel.withColumns({"sx": sx, "sy": sy}).join(old, "plik").select("plik", "row", "col", F.floor((F.col("t") - F.col("sy")) / F.col("r")).cast("int").alias("srow"), F.floor((F.col("sx") - F.col("l")) / F.col("r")).cast("int").alias("scol"))
+    cells = back.join(sheet_cell.select("plik", F.col("row").alias("srow"), F.col("col").alias("scol"), "z"), ["plik", "srow", "scol"]).select("plik", "row", "col", "z")
+    return new, cells

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataspark.plans import mosaic_queries
+from strataspark.plans import mosaic_queries, terrain_queries
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**mosaic_queries.QUERIES}
-ORACLE_SQL: dict[str, str] = {**mosaic_queries.ORACLE_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**mosaic_queries.QUERIES, **terrain_queries.QUERIES}
+ORACLE_SQL: dict[str, str] = {**mosaic_queries.ORACLE_SQL, **terrain_queries.ORACLE_SQL}
