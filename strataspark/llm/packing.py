@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 from strataspark.llm.common import SLICE_BYTES, checkpointed, table
 
 WINDOW, OPEN_WINDOWS, MERGE_TASKS, END_ID = 1024, 32, 256, 0
-#: Entries of a worker's word cache, about 100 MB, before it is emptied.
-CACHE_WORDS = 500_000
+#: Entries of a worker's word cache, about 100 MB, before a new generation begins; two are kept.
+CACHE_WORDS = 400_000
 
 _encoders: dict[str, Encoder] = {}
 
@@ -33,6 +34,13 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level BPE writes for each byte: printable ones stand for themselves, others follow from 256."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """Ids of byte-level BPE texts, word by word through a cache.
 
@@ -53,14 +61,25 @@ class Encoder:
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)
+        self.letters = byte_letters()
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the generation before; words still in use move on
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
     def _learn(self, words: list[str]) -> None:
         if len(self.cache) + len(words) > CACHE_WORDS:
-            self.cache.clear()
+            self.older, self.cache = self.cache, {}
+        old = self.older
+        self.cache.update((w, old[w]) for w in words if w in old)
+        words = [w for w in words if w not in old]
+        tokenize = self.tokenizer.model.tokenize
+        for w in words:
+            if w.isalpha():  # letters only: one piece of the pre-tokenizer, which the model can take as it is
+                ids = [t.id for t in tokenize((" " + w).encode().decode("latin-1").translate(self.letters))]
+                self.cache[w] = struct.pack(f"<{len(ids)}I", *ids)
+        words = [w for w in words if not w.isalpha()]
         for k in range(0, len(words), 20_000):
             some = words[k : k + 20_000]
             ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
@@ -77,17 +96,16 @@ class Encoder:
         """Little-endian unsigned 32-bit ids of each text."""
         parts = [None if self._odd.search(t) else t.split(" ") for t in texts]
         whole = iter(self._whole([t if p is None else p[0] for t, p in zip(texts, parts, strict=True)]))
-        new = {w for p in parts if p for w in p[1:] if w not in self.cache}
+        word = self.cache.get
+        found = [p and list(map(word, p[1:])) for p in parts]
+        new = {w for p, ids in zip(parts, found, strict=True) if ids and None in ids for w, i in zip(p[1:], ids, strict=True) if i is None}
         if new:
-            self._learn(sorted(new))
+            self._learn(list(new))
         out, word = [], self.cache.get
-        for p in parts:
-            ids = [next(whole)]
-            if p:
-                ids += map(word, p[1:])
-                if None in ids:  # the cache was emptied for this batch's new words
-                    ids = [ids[0], *(x if x is not None else self._whole([" " + w])[0] for x, w in zip(ids[1:], p[1:], strict=True))]
-            out.append(b"".join(ids))
+        for p, ids in zip(parts, found, strict=True):
+            if ids and None in ids:
+                ids = [word(w) if i is None else i for w, i in zip(p[1:], ids, strict=True)]
+            out.append(b"".join((next(whole), *(ids or ()))))
         return out
 
 
