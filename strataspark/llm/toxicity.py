@@ -4,7 +4,8 @@ P(grade <= k | x) = sigmoid(theta_k - w.x) with ordered thresholds theta and one
 Labels say toxic or not; a toxic document's grade, 1 to 3, follows from how many distinct words of it are tied to
 toxicity in the labelled rows. The output is the expected severity and whether P(grade >= 1) reaches ``CUT``.
 
-Features: log(1 + count) of words (A-Z lower-cased, outer non-letters stripped) that tell the classes apart.
+Features: log(1 + count) of words (A-Z lower-cased, outer non-letters stripped) that tell the classes apart, weighted
+up to twice in short texts, where one such word says more.
 The classifier is fitted on at most ``SAMPLE_DOCS`` labelled rows, drawn by hash; scoring reads whole texts.
 """
 
@@ -22,6 +23,8 @@ from strataspark.llm.common import fresh_name, table
 
 SAMPLE_DOCS, MAX_FEATURES, MIN_Z, CUT = 12_000, 2_000, 4.0, 0.3
 GRADES = 4
+#: Words of a text at which the extra weight of short texts is halved.
+SHORT_WORDS = 100
 _TRIM = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
@@ -34,6 +37,11 @@ def words_of(text: str | None) -> Counter:
     return out
 
 
+def weight_of(bag: Counter) -> float:
+    """From 2 for a text of a few words down to 1 for a long one."""
+    return 1 + SHORT_WORDS / (SHORT_WORDS + sum(bag.values()))
+
+
 class OrdinalModel:
     """Weights by word, thresholds; ``fit`` on texts and 0/1 labels."""
 
@@ -67,7 +75,8 @@ class OrdinalModel:
         place = {w: i for i, w in enumerate(names)}
         row = np.array([i for i, bag in enumerate(bags) for w in bag if w in place], np.int64)
         col = np.array([place[w] for bag in bags for w in bag if w in place], np.int64)
-        value = np.array([np.log1p(n) for bag in bags for w, n in bag.items() if w in place])
+        short = [weight_of(bag) for bag in bags]
+        value = np.array([np.log1p(n) * short[i] for i, bag in enumerate(bags) for w, n in bag.items() if w in place])
         tied = np.bincount(row[np.array([z[names[c]] > 0 for c in col], bool)], minlength=len(bags)) if len(row) else np.zeros(len(bags))
         grade = np.where(y, np.clip(1 + (tied >= 3) + (tied >= 6), 1, GRADES - 1), 0)
         w, b = np.zeros(len(names)), np.array([1.0, 0.5, 0.5])  # first threshold, logs of the gaps to the next
@@ -94,7 +103,8 @@ class OrdinalModel:
     def severity(self, text: str | None) -> tuple[float, float]:
         """(expected grade, probability of grade 1 or more)."""
         known = self.weight
-        s = sum(known[w] * np.log1p(n) for w, n in words_of(text).items() if w in known)
+        bag = words_of(text)
+        s = weight_of(bag) * sum(known[w] * np.log1p(n) for w, n in bag.items() if w in known)
         above = _sigmoid(s - self.theta)
         return float(above.sum()), float(above[0])
 
