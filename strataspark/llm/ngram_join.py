@@ -10,12 +10,14 @@ of a group meet in tasks of at most about ``TASK_GRAMS`` grams a side; larger gr
 pairwise. A task stores one side in a trie in descending order of gram frequency, walks it once with a vector of
 partial overlaps of all probes, shared by every set below a node, and prunes a subtree when no probe can reach its
 required overlap with the lengths that remain. Links become union-find labels inside the task and are joined up by
-connected components. Equal sets are joined once, as one.
+connected components. Equal sets are joined once, as one. Where only components are wanted, a subtree is also pruned
+when its sets and all probes that may still link with them have one label already, so that a group of near copies
+costs about one path per set instead of one comparison per pair.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -125,8 +127,11 @@ def _signs(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Ite
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(signs)), pa.array(np.concatenate(docs))], names=["sign", "doc"])
 
 
-def trie_links(stored: list[np.ndarray], probes: list[np.ndarray], num: int, den: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(i, js): the probes that reach the similarity with stored set i, by a walk over a trie of the stored sets."""
+def trie_links(stored: list[np.ndarray], probes: list[np.ndarray], num: int, den: int, settled: Callable[[list[int], np.ndarray], bool] | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, js): the probes that reach the similarity with stored set i, by a walk over a trie of the stored sets.
+
+    ``settled`` says of stored sets and probes whether no link between them is of interest any more.
+    """
     flat = np.concatenate(stored) if stored else np.zeros(0, np.uint64)
     grams, inverse, frequency = np.unique(flat, return_inverse=True, return_counts=True)
     order = np.empty(len(grams), np.int64)
@@ -152,9 +157,11 @@ def trie_links(stored: list[np.ndarray], probes: list[np.ndarray], num: int, den
     size = np.array([len(sets[i]) for i in rows], np.int64)
     need_of = lambda n: -(-num * (lengths + n) // (num + den))
     # A node is a range of sorted sets that agree in their first ``depth`` grams.
-    stack = [(0, len(rows), 0, np.zeros(len(probes), np.int64))]
+    stack = [(0, len(rows), 0, np.zeros(len(probes), np.int64), np.arange(len(probes)))]
     while stack:
-        lo, hi, depth, partial = stack.pop()
+        lo, hi, depth, partial, viable = stack.pop()
+        if settled and settled(rows[lo:hi], viable):
+            continue
         first, last = sets[rows[lo]], sets[rows[hi - 1]]
         # Sorted order: what the outer two share, all between them share.
         m = min(len(first), len(last), int(size[lo:hi].min()))
@@ -162,7 +169,8 @@ def trie_links(stored: list[np.ndarray], probes: list[np.ndarray], num: int, den
         common = depth + (int(differ[0]) if len(differ) else max(0, m - depth))
         partial = partial + overlap(first[depth:common])
         small, great = int(size[lo:hi].min()), int(size[lo:hi].max())
-        if not (np.minimum(partial + great - common, lengths) >= need_of(small)).any():
+        viable = np.flatnonzero(np.minimum(partial + great - common, lengths) >= need_of(small))
+        if not len(viable):
             continue  # nothing below can reach its required overlap
         while lo < hi and size[lo] == common:  # sets that end here
             linked = np.flatnonzero(partial >= need_of(common))
@@ -177,15 +185,18 @@ def trie_links(stored: list[np.ndarray], probes: list[np.ndarray], num: int, den
                 step *= 2
             while end < hi and sets[rows[end]][common] == token:
                 end += 1
-            stack.append((lo, end, common, partial))
+            stack.append((lo, end, common, partial, viable))
             lo = end
 
 
 _LABELS = pa.schema([("doc", pa.int64()), ("label", pa.int64()), ("links", pa.int64())])
 
 
-def _joined(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Rows (task, side, doc, copies, text) sorted by task: one union-find label per doc and its links. Side 2 meets itself."""
+def _joined(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, count_links: bool) -> Iterator[pa.RecordBatch]:
+    """Rows (task, side, doc, copies, text) sorted by task: one union-find label per doc and its links. Side 2 meets itself.
+
+    Without ``count_links`` the labels are the same, and links are no full counts.
+    """
 
     def settle(held: list[tuple]) -> pa.RecordBatch:
         docs = np.array([h[1] for h in held], np.int64)
@@ -196,7 +207,12 @@ def _joined(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> It
         left = np.flatnonzero(side != 1)
         alone = bool((side == 2).all())
         probes = left if alone else np.flatnonzero(side == 1)
-        pairs = trie_links([sets[x] for x in left], [sets[x] for x in probes], num, den) if len(left) and len(probes) else ()
+
+        def settled(stored: list[int], asked: np.ndarray) -> bool:
+            own = label[left[stored]]
+            return bool((own == own[0]).all() and (label[probes[asked]] == own[0]).all())
+
+        pairs = trie_links([sets[x] for x in left], [sets[x] for x in probes], num, den, None if count_links else settled) if len(left) and len(probes) else ()
         for i, js in pairs:
             me, them = left[i], probes[js]
             if alone:
@@ -222,8 +238,8 @@ def _joined(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> It
         yield settle(held)
 
 
-def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = GRAM, similarity: tuple[int, int] = SIMILARITY, task_grams: int = TASK_GRAMS) -> DataFrame:
-    """One row per row of ``docs``: (doc_id, n_shingles, component_id, n_links).
+def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = GRAM, similarity: tuple[int, int] = SIMILARITY, task_grams: int = TASK_GRAMS, count_links: bool = True) -> DataFrame:
+    """One row per row of ``docs``: (doc_id, n_shingles, component_id, n_links); without ``count_links`` the first three.
 
     Sets: distinct n-word grams of the text with A-Z lower-cased; with fewer words, the whole sequence as one; null
     and blank texts have the empty set and are linked with nothing. Two documents link when den * intersection >= num
@@ -253,18 +269,21 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     )
     tasks = source.join(dealt, F.col("doc") == F.col("rep")).select("task", "side", "doc", "copies", "text")
     sorted_tasks = tasks.repartition("task").sortWithinPartitions("task")
-    labels = checkpointed(sorted_tasks.mapInArrow(lambda parts: _joined(parts, n, num, den), "doc long, label long, links long"))
+    labels = checkpointed(sorted_tasks.mapInArrow(lambda parts: _joined(parts, n, num, den, count_links), "doc long, label long, links long"))
 
     found = connected_components(labels.select(F.col("doc").alias("a"), F.col("label").alias("b")).union(ties))
+    out = every.join(found.withColumnRenamed("node", "doc"), "doc", "left")
+    columns = [F.col("doc").alias("doc_id"), "n_shingles", F.coalesce("component", "doc").alias("component_id")]
+    if not count_links:
+        return out.select(*columns)
     linked = labels.groupBy("doc").agg(F.sum("links").alias("links")).withColumnRenamed("doc", "rep")
     per_set = classes.join(linked, "rep", "left").select(*prints, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = every.join(found.withColumnRenamed("node", "doc"), "doc", "left").join(per_set, prints, "left")
-    return out.select(F.col("doc").alias("doc_id"), "n_shingles", F.coalesce("component", "doc").alias("component_id"), F.when(F.col("doc").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links"))
+    return out.join(per_set, prints, "left").select(*columns, F.when(F.col("doc").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = GRAM, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """``docs`` without the documents whose component has a smaller id. Rows with a null id stay, rows of one id stay or go together."""
-    found = jaccard_join(docs, doc_id, text, n, similarity)
+    found = jaccard_join(docs, doc_id, text, n, similarity, count_links=False)
     key = fresh_name(docs, "joined_doc")
     away = found.where("component_id < doc_id").select(F.col("doc_id").alias(key)).distinct()
     return docs.join(away, F.col(doc_id) == F.col(key), "left_anti")

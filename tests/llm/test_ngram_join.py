@@ -56,6 +56,9 @@ def test_equals_brute_force(spark, n, num, task_grams):
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, Component_id string").repartition(5)
     got = ngram_join.jaccard_join(docs, n=n, similarity=(num, 100), task_grams=task_grams).collect()
     assert sorted(repr((r.doc_id, r.n_shingles, r.component_id, r.n_links)) for r in got) == brute(rows, n, num, 100)
+    plain = ngram_join.jaccard_join(docs, n=n, similarity=(num, 100), task_grams=task_grams, count_links=False)
+    assert plain.columns == ["doc_id", "n_shingles", "component_id"]
+    assert sorted(map(repr, map(tuple, plain.collect()))) == sorted(repr(tuple(r)[:3]) for r in got)
 
 
 def test_signatures_lose_no_pair():
