@@ -50,44 +50,51 @@ class OrdinalModel:
         self.theta = np.array([1.0, 2.0, 3.0])
 
     @staticmethod
-    def select(bags: list[Counter], toxic: np.ndarray) -> dict[str, float]:
-        """Words whose document frequencies differ between the classes: their z-scores."""
-        bad, good = Counter(), Counter()
-        for bag, t in zip(bags, toxic, strict=True):
-            (bad if t else good).update(bag.keys())
+    def select(words: list[str], word: np.ndarray, bad_row: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+        """Z-scores of the differences of the classes' document frequencies, by word; 0 for words that tell too little."""
+        a, b = (np.bincount(word[bad_row == side], minlength=len(words)) for side in (True, False))
         a_all, b_all = max(1, int(toxic.sum())), max(1, int(len(toxic) - toxic.sum()))
-        z = {}
-        for word in bad.keys() | good.keys():
-            a, b = bad[word], good[word]
-            if a + b >= 3:
-                p = (a + b) / (a_all + b_all)
-                z[word] = (a / a_all - b / b_all) / np.sqrt(max(p * (1 - p), 1e-9) * (1 / a_all + 1 / b_all))
-        strong = sorted((w for w in z if abs(z[w]) >= MIN_Z), key=lambda w: (-abs(z[w]), w))[:MAX_FEATURES]
-        return {w: z[w] for w in strong}
+        p = (a + b) / (a_all + b_all)
+        z = (a / a_all - b / b_all) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / a_all + 1 / b_all))
+        strong = np.flatnonzero((a + b >= 3) & (np.abs(z) >= MIN_Z)).tolist()
+        strong = sorted(strong, key=lambda w: (-abs(z[w]), words[w]))[:MAX_FEATURES]
+        out = np.zeros(len(words))
+        out[strong] = z[strong]
+        return out
 
     def fit(self, texts: list[str | None], toxic: list[int], rounds: int = 600, rate: float = 0.05, ridge: float = 1e-4) -> OrdinalModel:
         y = np.array(toxic, bool)
-        bags = [words_of(t) for t in texts]
-        z = self.select(bags, y) if y.any() and not y.all() else {}
-        names = sorted(z)
-        if not names:
+        numbers: dict[str, int] = {}  # of words
+        parts, lengths, short = [np.zeros((2, 0), np.int32)], [], []
+        for text in texts:  # as numbers, since the strings of all texts' words would weigh on the driver
+            bag = words_of(text)
+            parts.append(np.array([[numbers.setdefault(w, len(numbers)) for w in bag], list(bag.values())], np.int32).reshape(2, -1))
+            lengths.append(len(bag))
+            short.append(weight_of(bag))
+        word, times = np.concatenate(parts, axis=1)
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        words = list(numbers)
+        z = self.select(words, word, y[owner], y) if y.any() and not y.all() else np.zeros(len(words))
+        chosen = sorted(np.flatnonzero(z).tolist(), key=words.__getitem__)
+        if not chosen:
             return self
-        place = {w: i for i, w in enumerate(names)}
-        row = np.array([i for i, bag in enumerate(bags) for w in bag if w in place], np.int64)
-        col = np.array([place[w] for bag in bags for w in bag if w in place], np.int64)
-        short = [weight_of(bag) for bag in bags]
-        value = np.array([np.log1p(n) * short[i] for i, bag in enumerate(bags) for w, n in bag.items() if w in place])
-        tied = np.bincount(row[np.array([z[names[c]] > 0 for c in col], bool)], minlength=len(bags)) if len(row) else np.zeros(len(bags))
+        names = [words[w] for w in chosen]
+        place = np.full(len(words), -1)
+        place[chosen] = np.arange(len(chosen))
+        used = place[word] >= 0
+        row, col = owner[used], place[word[used]]
+        value = np.log1p(times[used]) * np.array(short)[row]
+        tied = np.bincount(row[z[chosen][col] > 0], minlength=len(y))
         grade = np.where(y, np.clip(1 + (tied >= 3) + (tied >= 6), 1, GRADES - 1), 0)
         w, b = np.zeros(len(names)), np.array([1.0, 0.5, 0.5])  # first threshold, logs of the gaps to the next
         moments = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(b), np.zeros_like(b)]
         for step in range(1, rounds + 1):
             theta = np.cumsum(np.concatenate((b[:1], np.exp(b[1:]))))
-            s = np.bincount(row, value * w[col], minlength=len(bags))
+            s = np.bincount(row, value * w[col], minlength=len(y))
             edge = np.concatenate(([-np.inf], theta, [np.inf]))
             hi, lo = _sigmoid(edge[grade + 1] - s), _sigmoid(edge[grade] - s)
             p = np.maximum(hi - lo, 1e-12)
-            dhi, dlo = hi * (1 - hi) / p / len(bags), lo * (1 - lo) / p / len(bags)
+            dhi, dlo = hi * (1 - hi) / p / len(y), lo * (1 - lo) / p / len(y)
             ds = dhi - dlo  # of the negative log-likelihood with respect to s
             gw = np.bincount(col, value * ds[row], minlength=len(names)) + ridge * w
             gt = np.array([-dhi[grade == k].sum() + dlo[grade == k + 1].sum() for k in range(GRADES - 1)])
