@@ -42,8 +42,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of at most 1024 ids."""
-    return packing.pack(docs, packing.tokenizer_path(), derived={"ids_crc32": F.crc32("ids").cast("long")}, keep_ids=False)
+    """Token sequences of at most 1024 ids, piece by piece with their ids."""
+    return packing.pack(docs, packing.tokenizer_path(), derived={"ids_crc32": F.crc32("ids").cast("long")})
 
 
 STAGES = [

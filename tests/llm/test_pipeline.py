@@ -1,5 +1,10 @@
+import zlib
+
+import numpy as np
+from tokenizers import Tokenizer
+
 import corpus_pipeline
-from strataspark.llm import mixing, ngram_join, substring_dedup, toxicity
+from strataspark.llm import mixing, ngram_join, packing, substring_dedup, toxicity
 
 
 def test_stages_keep_columns_and_take_effect(spark):
@@ -20,3 +25,17 @@ def test_stages_keep_columns_and_take_effect(spark):
     copies = {r.doc_id: r.copies for r in mixing.mix(cut).collect() if r.copies}
     assert mixed.columns == docs.columns
     assert {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == copies
+
+
+def test_packed_sequences_hold_the_ids_of_every_document(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = corpus_pipeline.pack_sequences(spark, docs, sf).collect()
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
+    pieces = {}
+    for r in sorted(rows, key=lambda r: r.start):
+        pieces[r.doc_id] = pieces.get(r.doc_id, b"") + bytes(r.ids)
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    tokenizer.encode_special_tokens = True
+    want = {r.doc_id: [*tokenizer.encode(r.text, add_special_tokens=False).ids, packing.END_ID] for r in docs.collect()}
+    assert {i: np.frombuffer(b, "<u4").tolist() for i, b in pieces.items()} == want
