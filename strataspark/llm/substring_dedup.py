@@ -10,7 +10,8 @@ have equal minimisers. Consecutive windows of a document that share one form a s
 3. every document looks its super-k-mers up and removes the words of windows that a smaller document has.
 
 A minimiser with more than ``HOT_RUNS`` distinct super-k-mers is hot: its windows travel one by one, keyed by their own
-hash, so equal ones combine and different ones spread. A row is identified by its id and its text's hash.
+hash and text. Each task combines equal ones to their least document before the shuffle, different ones spread, and
+the places (minimiser, run, offset) are joined to the outcome, so no task holds a bucket of one window's places. A row is identified by its id and its text's hash.
 """
 
 from __future__ import annotations
@@ -146,6 +147,12 @@ def _count(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
         yield _rows(out, _FOUND)
 
 
+def _hot(placed: DataFrame) -> DataFrame:
+    """Windows that travel one by one: the least document of each, by a partial aggregate, told to all their places."""
+    least = placed.groupBy("bucket", "packed").agg(F.min("doc").alias("least"))
+    return placed.join(least.hint("shuffle_merge"), ["bucket", "packed"]).select("mini", "run", F.col("first").alias("lo"), F.col("first").alias("hi"), "least")
+
+
 def _removed(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Replace the columns (text, lo list, hi list) at the end by (kept text, n_words, n_removed)."""
     for batch in batches:
@@ -184,12 +191,15 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     distinct = runs.groupBy("mini", "run").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
     shared = Window.partitionBy("mini")
     known = distinct.withColumns({"least": F.min("low").over(shared), "most": F.max("high").over(shared), "runs": F.count("*").over(shared)}).where("least < most")
-    wanted = known.groupBy(F.col("low").alias("doc")).agg(F.collect_list("run").alias("wanted"), F.collect_list(F.col("runs") > hot_runs).alias("hot"))
+    wanted = known.groupBy(F.col("low").alias("doc"), (F.col("runs") > hot_runs).alias("hot")).agg(F.collect_list("run").alias("wanted"))
+
+    def cut(hot: bool) -> DataFrame:
+        some = wanted.where(F.col("hot") == hot).select("doc", "wanted", F.transform("wanted", lambda _: F.lit(hot)).alias("hot"))
+        return slim.join(some, "doc").select("doc", "text", "wanted", "hot").mapInArrow(lambda parts: _cut(parts, window, gram), "bucket long, mini long, run long, first int, doc long, packed binary")
 
-    packed = slim.join(wanted, "doc").select("doc", "text", "wanted", "hot").mapInArrow(lambda parts: _cut(parts, window, gram), "bucket long, mini long, run long, first int, doc long, packed binary")
-    # Equal strings of a bucket are combined in each task; only a hot bucket holds several, for several runs.
-    dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
-    found = dealt.mapInArrow(lambda parts: _count(parts, window), "mini long, run long, lo int, hi int, least long")
+    # A bucket that is not hot holds HOT_RUNS strings at most.
+    dealt = cut(False).repartition("bucket").sortWithinPartitions("bucket")
+    found = dealt.mapInArrow(lambda parts: _count(parts, window), "mini long, run long, lo int, hi int, least long").union(_hot(cut(True)))
     cover = (
         runs.join(found, ["mini", "run"])
         .where("least < doc")

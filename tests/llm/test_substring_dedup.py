@@ -45,3 +45,14 @@ def test_equals_brute_force(spark, hot):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert substring_dedup.dedup_substrings(docs).count() == 0
+
+
+def test_equal_windows_of_a_hot_minimiser_are_combined_before_the_shuffle(spark):
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(14)]
+    rows = [(i, " ".join(rng.choices("abcdefgh", k=5) + passage + rng.choices("abcdefgh", k=5))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = substring_dedup.dedup_substrings(docs, window=12, gram=3, hot_runs=1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min(doc" in plan and any("keys=[bucket#" in x and "packed#" in x and "partial_min(doc" in x for x in plan.splitlines())
+    assert sorted(repr((r.doc_id, r.n_words, r.n_removed, r.kept_text)) for r in found.collect()) == brute(rows, 12)
