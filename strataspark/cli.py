@@ -1,4 +1,4 @@
-"""Command line over a layer store: info, export and time axis (K13, L9, §2.14)."""
+"""Command line over a layer store: info, export and time axis (K13, §2.14)."""
 
 from __future__ import annotations
 
@@ -39,7 +39,8 @@ def main(argv: list[str] | None = None) -> int:
     else:
         years = store.spark.createDataFrame([(y,) for y in store.years()], "rok int")
         names = ("time", "start", "end")
-        years.select("rok", *(c.alias(n) for n, c in zip(names, time_axis(F.col("rok"), args.position, args.unit), strict=True))).show()
+        axis = years.select("rok", *(c.alias(n) for n, c in zip(names, time_axis(F.col("rok"), args.position, args.unit), strict=True)))
+        axis.show(max(1, len(store.years())))
     return 0
 
 

@@ -1,4 +1,4 @@
-"""Update plan: index against manifest."""
+"""Update plan: index against manifest."""
 
 from __future__ import annotations
 
@@ -77,7 +77,7 @@ def stale(converted: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def not_yet(inputs: DataFrame, converted: DataFrame) -> DataFrame:
-    """Inputs without a finished conversion."""
+    """Inputs without a finished conversion."""
     return inputs.join(converted.select("plik").distinct(), "plik", "left_anti")
 
 

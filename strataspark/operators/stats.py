@@ -1,4 +1,4 @@
-"""Layer reports (A5, A8-A11, A17, A19, W2, W6, J16, L10) and time axes."""
+"""Layer reports (A5, A8-A11, A17, A19, W2, W6, J16, L10) and time axes."""
 
 from __future__ import annotations
 
@@ -58,7 +58,7 @@ def block_count(cells: DataFrame) -> DataFrame:
 
 
 def time_axis(year: Column, position: str = "middle", unit: str = "seconds") -> tuple[Column, Column, Column]:
-    """(time, start, end) of a year: 1 July or 1 January; bounds end at 31 Dec 23:59:59, or in days at the next 1 Jan."""
+    """(time, start, end) of a year: 1 July or 1 January; bounds end at 31 Dec 23:59:59, or in days at the next 1 Jan."""
     first = F.unix_date(F.make_date(year, F.lit(1), F.lit(1))).cast("long")
     at = F.unix_date(F.make_date(year, F.lit(7 if position == "middle" else 1), F.lit(1))).cast("long")
     after = F.unix_date(F.make_date(year + 1, F.lit(1), F.lit(1))).cast("long")

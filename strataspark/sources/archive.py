@@ -82,11 +82,23 @@ def download(url: str, folder: str, fetch: Fetch, tries: int = 4, timeout: tuple
     return f"failed: {why}"
 
 
-def download_all(urls: DataFrame, folder: str, fetch: Fetch, workers: int = 2, **options) -> DataFrame:
-    """(url, result); ``workers`` tasks at a time load at most. ``folder`` must be shared by the executors."""
+def download_all(urls: DataFrame, folder: str, fetch: Fetch, workers: int = 2, reissued: DataFrame | None = None, **options) -> DataFrame:
+    """(url, result); ``workers`` tasks at a time load at most. ``folder`` must be shared by the executors.
+    L11: a present archive that ``reissued`` (plik) names is deleted first, so it is loaded anew."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
+            for url in part.url[part.again]:
+                target = os.path.join(folder, url.rsplit("/", 1)[-1])
+                if os.path.exists(target):
+                    os.remove(target)
             yield pd.DataFrame({"url": part.url, "result": [download(u, folder, fetch, **options) for u in part.url]})
 
-    return urls.select("url").distinct().repartition(workers, "url").mapInPandas(run, "url string, result string")
+    once = urls.select("url").distinct()
+    if reissued is None:
+        marked = once.withColumn("again", F.lit(False))
+    else:
+        old = reissued.select("plik").distinct().withColumn("again", F.lit(True))
+        named = once.withColumn("plik", F.element_at(F.split("url", "/"), -1))
+        marked = named.join(old, "plik", "left").select("url", F.coalesce("again", F.lit(False)).alias("again"))
+    return marked.repartition(workers, "url").mapInPandas(run, "url string, result string")

@@ -1,4 +1,4 @@
-"""Layer store: Parquet layers by (level, rok, by, bx), a JSON manifest, incremental years.
+"""Layer store: Parquet layers by (level, rok, by, bx), a JSON manifest, incremental years.
 
 A year is ``w_toku`` while it is written and ``kompletna`` afterwards; anything not complete is rebuilt. The grid and
 the levels are frozen when the store is made. Files go through Spark, so a store may lie in any file system it knows.

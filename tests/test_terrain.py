@@ -219,3 +219,13 @@ def test_index_and_config(spark, tmp_path):
 def test_numbers(spark):
     row = spark.createDataFrame([(2.675, 1.005, float("nan"))], "a double, b float, c double").select(numeric.round_half_even(F.col("a")), numeric.nan_to_null(F.col("c")), numeric.short_number_column(F.lit(0.5)), numeric.short_number_column(F.lit(5.0))).head()
     assert tuple(row) == (2.68, None, "0.5", "5")
+
+
+def test_reissued_archives_are_loaded_anew(spark, tmp_path):
+    for name in ("a.zip", "b.zip"):
+        (tmp_path / name).write_bytes(b"o" * 6000)
+    urls = spark.createDataFrame([("http://h/a.zip",), ("http://h/b.zip",)], "url string")
+    again = spark.createDataFrame([("a.zip",)], "plik string")
+    got = archive.download_all(urls, str(tmp_path), lambda url, timeout: (200, "application/zip", b"n" * 6000), reissued=again).collect()
+    assert {(r.url[-5:], r.result) for r in got} == {("a.zip", "done"), ("b.zip", "present")}
+    assert (tmp_path / "a.zip").read_bytes() == b"n" * 6000 and (tmp_path / "b.zip").read_bytes() == b"o" * 6000
