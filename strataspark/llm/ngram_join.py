@@ -1,18 +1,23 @@
 """Operator 10, n-gram Jaccard self-join with a prefix tree over globally ordered n-gram sets.
 
-Candidates. Two sets at the threshold differ in at most H of their grams. The hash range is cut into K > H buckets, so
-at least one bucket holds the same grams in both; its grams' sum is a signature. K depends on a class of sizes, and a
-set is signed in each class that a partner of its own or smaller size may lie in. Buckets without grams are signed
-only where K - H or more of them are empty, because only then may no other bucket agree. This loses no pair.
-
-Join. Documents that share a signature are tied together into coarse groups (connected components, distributed). Sets
-of a group meet in tasks of at most about ``TASK_GRAMS`` grams a side; larger groups are dealt into blocks that meet
-pairwise. A task stores one side in a trie in descending order of gram frequency, walks it once with a vector of
+Order. Every gram's number of sets is counted over the whole corpus (``tally``), and grams are ordered by it, rare ones
+first. Two sets at the threshold share a gram among the first n - ceil(t n) + 1 of either, so only those of them that
+another set holds as well become postings: a passage that very many documents share comes last in the order and makes
+no candidates, and most documents have no posting at all.
+
+Join. Nothing is closed over unverified candidates.
+
+1. Each set with postings is verified against one representative, the least set that any of its postings has. Links are
+   joined up by connected components. That settles groups of copies, however large, with one comparison per set.
+2. A posting list whose sets do not all have one label yet is joined as it stands, with the labels known; lists of the
+   same sets are joined once, and a pair that step 1 compared is not compared again.
+3. Components follow from the verified links. For counts of links the sets of each component meet once more.
+
+A list, or component, of more than about ``TASK_GRAMS`` grams is dealt into blocks that meet pairwise, each in a task
+of its own. A task stores one side in a trie in descending order of gram frequency, walks it once with a vector of
 partial overlaps of all probes, shared by every set below a node, and prunes a subtree when no probe can reach its
-required overlap with the lengths that remain. Links become union-find labels inside the task and are joined up by
-connected components. Equal sets are joined once, as one. Where only components are wanted, a subtree is also pruned
-when its sets and all probes that may still link with them have one label already, so that a group of near copies
-costs about one path per set instead of one comparison per pair.
+required overlap with the lengths that remain. Where only components are wanted, a subtree is also pruned when its sets
+and all probes that may still link with them have one label already. Grams and sets are named by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -23,17 +28,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from strataspark.llm import words
-from strataspark.llm.common import checkpointed, connected_components, fresh_name, slices, table
+from strataspark.llm import tally, words
+from strataspark.llm.common import connected_components, dropped, fresh_name, slices, table, written
 
 #: A similarity as a fraction, and words in a gram; production defaults.
 SIMILARITY, GRAM = (80, 100), 5
 #: Grams that one side of a task of the join holds, about.
 TASK_GRAMS = 1_000_000
-#: Sets whose signatures a task remembers, so that it sends those of equal sets once.
-SEEN_SETS = 500_000
 
 
 def gram_set(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -43,88 +45,82 @@ def gram_set(hashes: np.ndarray, n: int) -> np.ndarray:
     return np.unique(words.gram_hashes(hashes, min(n, len(hashes))))
 
 
-def size_class(n: int) -> tuple[int, int, int]:
-    """(number, least, greatest) of the class of set size ``n``: classes grow by half."""
-    number, least = 0, 1
-    while True:
-        greatest = max(least, least * 3 // 2)
-        if n <= greatest:
-            return number, least, greatest
-        number, least = number + 1, greatest + 1
-
-
-_classes: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}
-
-
-def _signed_classes(n: int, num: int, den: int) -> list[tuple[int, int, int]]:
-    """(class, K, H) of the classes with sizes from the least partner's of ``n`` up to ``n``."""
-    got = _classes.get((n, num, den))
-    if got is None:
-        got, size = [], -(-n * num // den)
-        while size <= n:
-            number, _, greatest = size_class(size)
-            differ = (greatest + greatest * den // num) * (den - num) // (den + num)
-            got.append((number, differ + 1 + (differ * 2 + 24) // 25, differ))
-            size = greatest + 1
-        if len(_classes) > 200_000:
-            _classes.clear()
-        _classes[n, num, den] = got
-    return got
-
-
-def signatures(grams: np.ndarray, num: int, den: int) -> np.ndarray:
-    """64-bit signatures of a set: equal buckets of two sets of one class have equal ones."""
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words.mix(grams ^ np.uint64(0x5851F42D4C957F2D)))))
-    out = []
-    for number, k, differ in _signed_classes(len(grams), num, den):
-        bucket = ((grams >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
-        edge = np.searchsorted(bucket, np.arange(k + 1, dtype=np.uint64))
-        place = words.mix(np.arange(k, dtype=np.uint64) + np.uint64((number + 1) << 32))
-        sign = words.mix((total[edge[1:]] - total[edge[:-1]]) * words.constant(5) + place)
-        empty = edge[1:] == edge[:-1]
-        out.append(sign if empty.sum() >= k - differ else sign[~empty])
-    return np.concatenate(out)
-
-
-def _sets(batch: pa.RecordBatch, text_at: int, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    for row, texts in slices(batch.column(text_at)):
+def set_name(grams: np.ndarray) -> int:
+    """A signed 64-bit hash of a set, from two sums over it."""
+    sums = np.array([grams.sum(dtype=np.uint64), words.mix(grams).sum(dtype=np.uint64), len(grams)], np.uint64)
+    return int(words.gram_hashes(words.mix(sums), 3).view(np.int64)[0])
+
+
+def _texts_sets(texts_of: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    for row, texts in slices(texts_of):
         hashes, first = words.word_hashes(texts, lower=True)
         for i in range(len(texts)):
             yield row + i, gram_set(hashes[first[i] : first[i + 1]], n)
 
 
 def _summaries(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """(doc, grams in its set, 128-bit fingerprint of the set)."""
+    """Rows (doc, tag, text) to (doc, tag, grams in its set, the set's name or null where it is empty)."""
     for batch in batches:
-        sizes = np.zeros(batch.num_rows, np.int64)
-        prints = np.zeros((batch.num_rows, 2), np.uint64)
-        for row, grams in _sets(batch, 1, n):
-            sizes[row] = len(grams)
-            prints[row] = grams.sum(dtype=np.uint64), words.mix(grams).sum(dtype=np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(np.ascontiguousarray(prints[:, 0]).view(np.int64)), pa.array(np.ascontiguousarray(prints[:, 1]).view(np.int64))], names=["doc", "n_shingles", "print1", "print2"])
+        sizes, names = [0] * batch.num_rows, [None] * batch.num_rows
+        for row, grams in _texts_sets(batch.column(2), n):
+            if len(grams):
+                sizes[row], names[row] = len(grams), set_name(grams)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(names, pa.int64())], names=["doc", "tag", "n_shingles", "set"])
 
 
-def _signs(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """(signature, doc); of equal sets in a task the first one's only, as the summaries tie equal sets together."""
+def _once(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Of a task's rows that agree in the first ``keys`` columns the first one."""
     seen: set[tuple] = set()
     for batch in batches:
-        doc = batch.column(0).to_pylist()
-        signs, docs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for row, grams in _sets(batch, 1, n):
-            if not len(grams):
-                continue
-            key = (len(grams), int(grams.sum(dtype=np.uint64)), int(words.mix(grams).sum(dtype=np.uint64)))
-            if key in seen:
-                continue
-            if len(seen) < SEEN_SETS:
+        keep = []
+        for i, key in enumerate(zip(*(batch.column(k).to_pylist() for k in range(keys)), strict=True)):
+            if key not in seen:
                 seen.add(key)
-            sign = signatures(grams, num, den).view(np.int64)
-            signs.append(sign)
-            docs.append(np.full(len(sign), doc[row], np.int64))
-            if len(signs) > 2_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(signs)), pa.array(np.concatenate(docs))], names=["sign", "doc"])
-                signs, docs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(signs)), pa.array(np.concatenate(docs))], names=["sign", "doc"])
+                keep.append(i)
+        yield batch.take(pa.array(keep, pa.int64()))
+
+
+def _slice_sets(part: pa.Table, n: int) -> list[np.ndarray]:
+    """The distinct sets of a slice, in order of their first text."""
+    found = {}
+    for chunk in part.column("text").chunks:
+        for _, grams in _texts_sets(chunk, n):
+            if len(grams):
+                found.setdefault(set_name(grams), grams)
+    return found
+
+
+def _sent(part: pa.Table, n: int, buckets: int) -> pa.Table:
+    found = _slice_sets(part, n)
+    keys, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *found.values()]), return_counts=True)
+    return tally.sent(part.column("slice")[0].as_py(), keys, counts, buckets)
+
+
+_POSTINGS = pa.schema([("gram", pa.int64()), ("set", pa.int64()), ("n", pa.int64())])
+
+
+def prefix_of(grams: np.ndarray, sets: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The grams of a set's prefix that more than one set holds: first come those that the fewest ``sets`` hold."""
+    length = len(grams) - -(-num * len(grams) // den) + 1
+    if np.count_nonzero(sets <= 1) >= length:
+        return grams[:0]
+    first = np.lexsort((grams, sets))[:length]
+    return grams[first[sets[first] > 1]]
+
+
+def _postings(part: pa.Table, answers: pa.Table, n: int, num: int, den: int, buckets: int) -> pa.Table:
+    found = _slice_sets(part, n)
+    flat = np.concatenate([np.zeros(0, np.uint64), *found.values()])
+    keys, at = np.unique(flat, return_inverse=True)
+    sets = tally.told(answers, keys, buckets)[at]
+    out, done = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]], 0
+    for name, grams in found.items():
+        chosen = prefix_of(grams, sets[done : done + len(grams)], num, den)
+        done += len(grams)
+        if len(chosen):
+            for column, value in zip(out, (chosen.view(np.int64), np.full(len(chosen), name), np.full(len(chosen), len(grams))), strict=True):
+                column.append(value)
+    return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in out], schema=_POSTINGS)
 
 
 def trie_links(stored: list[np.ndarray], probes: list[np.ndarray], num: int, den: int, settled: Callable[[list[int], np.ndarray], bool] | None = None) -> Iterator[tuple[int, np.ndarray]]:
@@ -189,21 +185,23 @@ def trie_links(stored: list[np.ndarray], probes: list[np.ndarray], num: int, den
             lo = end
 
 
-_LABELS = pa.schema([("doc", pa.int64()), ("label", pa.int64()), ("links", pa.int64())])
+_LABELS = pa.schema([("set", pa.int64()), ("label", pa.int64()), ("links", pa.int64())])
+_DEALT = "task long, side int, set long, label long, copies long"
 
 
 def _joined(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, count_links: bool) -> Iterator[pa.RecordBatch]:
-    """Rows (task, side, doc, copies, text) sorted by task: one union-find label per doc and its links. Side 2 meets itself.
+    """Rows (task, side, set, label, copies, text) sorted by them: a union-find label per set and its links. Side 2 meets itself.
 
     Without ``count_links`` the labels are the same, and links are no full counts.
     """
 
     def settle(held: list[tuple]) -> pa.RecordBatch:
-        docs = np.array([h[1] for h in held], np.int64)
-        copies = np.array([h[2] for h in held], np.int64)
+        names = np.array([h[1] for h in held], np.int64)
+        label = np.array([h[2] for h in held], np.int64)
+        copies = np.array([h[3] for h in held], np.int64)
         side = np.array([h[0] for h in held])
-        sets = [h[3] for h in held]
-        label, links = docs.copy(), np.zeros(len(docs), np.int64)
+        sets = [h[4] for h in held]
+        links = np.zeros(len(names), np.int64)
         left = np.flatnonzero(side != 1)
         alone = bool((side == 2).all())
         probes = left if alone else np.flatnonzero(side == 1)
@@ -223,62 +221,106 @@ def _joined(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, count
             tied = np.unique(np.append(label[them], label[me]))
             if len(tied) > 1:
                 label[np.isin(label, tied)] = tied[0]
-        return pa.RecordBatch.from_arrays([pa.array(docs), pa.array(label), pa.array(links)], schema=_LABELS)
+        return pa.RecordBatch.from_arrays([pa.array(names), pa.array(label), pa.array(links)], schema=_LABELS)
 
     task, held = None, []
     for batch in batches:
-        tasks, sides, docs, copies = (batch.column(i).to_pylist() for i in range(4))
-        for row, grams in _sets(batch, 4, n):
+        tasks, sides, names, labels, copies = (batch.column(i).to_pylist() for i in range(5))
+        for row, grams in _texts_sets(batch.column(5), n):
             if tasks[row] != task and held:
                 yield settle(held)
                 held = []
             task = tasks[row]
-            held.append((sides[row], docs[row], copies[row], grams))
+            if not held or held[-1][:2] != (sides[row], names[row]):  # a text may come from several tasks of the input
+                held.append((sides[row], names[row], labels[row], copies[row], grams))
     if held:
         yield settle(held)
 
 
+def _blocks(members: DataFrame, group: str, task_grams: int) -> DataFrame:
+    """(group, set, label, copies, n) to ``_DEALT``: the sets of a group in tasks of at most about ``task_grams`` a side."""
+    sizes = members.groupBy(group).agg(F.ceil(F.sum("n") / F.lit(task_grams)).cast("long").alias("blocks"))
+    placed = members.join(sizes, group).withColumn("block", F.pmod(F.xxhash64("set", F.lit(9)), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    return placed.select(group, "set", "label", "copies", "block", other).select(
+        F.xxhash64(group, F.least("block", "other"), F.greatest("block", "other")).alias("task"),
+        F.when(F.col("block") == F.col("other"), 2).otherwise((F.col("block") > F.col("other")).cast("int")).alias("side"),
+        "set", "label", "copies",
+    )
+
+
+def _stars(star: DataFrame, task_grams: int) -> DataFrame:
+    """(set, low, n) to ``_DEALT``: each set against its representative, which goes to every block of its sets."""
+    sizes = star.groupBy("low").agg(F.ceil(F.sum("n") / F.lit(task_grams)).cast("long").alias("blocks"))
+    block = F.pmod(F.xxhash64("set", F.lit(9)), F.col("blocks"))
+    one = F.lit(1).cast("long").alias("copies")
+    probes = star.join(sizes, "low").select(F.xxhash64("low", block).alias("task"), F.lit(1).alias("side"), "set", F.col("set").alias("label"), one)
+    heads = sizes.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return probes.union(heads.select(F.xxhash64("low", "block").alias("task"), F.lit(0).alias("side"), F.col("low").alias("set"), F.col("low").alias("label"), one))
+
+
 def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = GRAM, similarity: tuple[int, int] = SIMILARITY, task_grams: int = TASK_GRAMS, count_links: bool = True) -> DataFrame:
     """One row per row of ``docs``: (doc_id, n_shingles, component_id, n_links); without ``count_links`` the first three.
 
     Sets: distinct n-word grams of the text with A-Z lower-cased; with fewer words, the whole sequence as one; null
     and blank texts have the empty set and are linked with nothing. Two documents link when den * intersection >= num
     * union. component_id is the least doc_id reachable; n_links counts the other rows linked. Rows of one id are one
-    document with several texts; a row with a null id takes no part and has a null component.
+    document with several texts; a row with a null id takes no part and has a null component. A text of any length is
+    one set, held whole by the task that reads it; other columns of ``docs`` are ignored, an empty table gives no rows.
     """
     num, den = similarity
-    source = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    every = checkpointed(source.mapInArrow(lambda parts: _summaries(parts, n), "doc long, n_shingles long, print1 long, print2 long"))
-    prints = ["n_shingles", "print1", "print2"]
-    classes = checkpointed(every.where("n_shingles > 0 and doc is not null").groupBy(*prints).agg(F.min("doc").alias("rep"), F.count("*").alias("copies")))
-    ties = every.join(classes, prints).where("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
-
-    signed = source.where("doc is not null").mapInArrow(lambda parts: _signs(parts, n, num, den), "sign long, doc long")
-    least = F.first("doc").over(Window.partitionBy("sign").orderBy("doc"))
-    near = signed.withColumn("low", least).where("doc <> low").select(F.col("doc").alias("a"), F.col("low").alias("b")).distinct()
-    coarse = connected_components(near.union(ties))
-
-    members = coarse.join(classes, F.col("node") == F.col("rep")).groupBy("component", "rep").agg(F.max("copies").alias("copies"), F.sum("n_shingles").alias("grams"))
-    groups = members.groupBy("component").agg(F.sum("grams").alias("all"), F.count("*").alias("sets")).where("sets > 1")
-    blocks = F.ceil(F.col("all") / F.lit(task_grams)).cast("long")
-    placed = members.join(groups, "component").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep", F.lit(9)), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    dealt = placed.select("rep", "copies", "component", "block", other).select(
-        "rep", "copies", F.when(F.col("block") == F.col("other"), 2).otherwise((F.col("block") > F.col("other")).cast("int")).alias("side"),
-        F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")).alias("task"),
-    )
-    tasks = source.join(dealt, F.col("doc") == F.col("rep")).select("task", "side", "doc", "copies", "text")
-    sorted_tasks = tasks.repartition("task").sortWithinPartitions("task")
-    labels = checkpointed(sorted_tasks.mapInArrow(lambda parts: _joined(parts, n, num, den, count_links), "doc long, label long, links long"))
-
-    found = connected_components(labels.select(F.col("doc").alias("a"), F.col("label").alias("b")).union(ties))
-    out = every.join(found.withColumnRenamed("node", "doc"), "doc", "left")
-    columns = [F.col("doc").alias("doc_id"), "n_shingles", F.coalesce("component", "doc").alias("component_id")]
+    source = docs.select(F.col(doc_id).cast("long").alias("doc"), F.xxhash64(F.col(text).cast("string")).alias("tag"), F.col(text).cast("string").alias("text"))
+    every = written(source.mapInArrow(lambda parts: _summaries(parts, n), "doc long, tag long, n_shingles long, set long"))
+    taking = every.where("set is not null and doc is not null")
+    classes = written(taking.groupBy("set").agg(F.min(F.struct("doc", "tag")).alias("rep"), F.count("*").alias("copies"), F.max("n_shingles").alias("n")).select("set", F.col("rep.doc").alias("doc"), F.col("rep.tag").alias("tag"), "copies", "n"))
+    total = classes.agg(F.sum("n")).head()[0] or 0
+    buckets = max(1, -(-total // tally.SLICE_KEYS))
+
+    known = source.where("doc is not null and text is not null")
+    texts = known.select("tag", "text").mapInArrow(lambda parts: _once(parts, 1), "tag long, text string").select(F.pmod("tag", F.lit(buckets)).alias("slice"), "text")
+    answers = texts.groupBy("slice").applyInArrow(lambda t: _sent(t, n, buckets), tally.SENT).groupBy("bucket").applyInArrow(tally.answered, tally.ANSWER)
+    listed = texts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(lambda t, a: _postings(t, a, n, num, den, buckets), "gram long, set long, n long")
+    postings = written(listed.distinct())
+
+    lists = written(postings.groupBy("gram").agg(F.min("set").alias("low"), F.max("set").alias("high"), F.count("*").alias("sets")).where("low < high"))
+    members = postings.join(lists, "gram")
+    star = written(members.groupBy("set", "n").agg(F.min("low").alias("low")))
+    wanted = star.select("set").join(classes.select("set", "doc", "tag"), "set")
+    found = known.join(wanted, ["doc", "tag"]).select("set", "text").mapInArrow(lambda parts: _once(parts, 1), "set long, text string")
+    candidates = written(found)
+
+    def joined(dealt: DataFrame, links: bool = False) -> DataFrame:
+        rows = dealt.join(candidates, "set").select("task", "side", "set", "label", "copies", "text")
+        ordered = rows.repartition("task").sortWithinPartitions("task", "side", "set")
+        return written(ordered.mapInArrow(lambda parts: _joined(parts, n, num, den, links), "set long, label long, links long"))
+
+    first = joined(_stars(star.where("low < set"), task_grams)).where("label <> set")
+    near = connected_components(first.select(F.col("set").alias("a"), F.col("label").alias("b")))
+    labels = star.join(near.withColumnRenamed("node", "set"), "set", "left").select("set", F.col("low").alias("met"), F.coalesce("component", "set").alias("label"))
+    labelled = written(members.join(labels, "set").select("gram", "set", "n", "label", F.lit(1).cast("long").alias("copies"), ((F.col("sets") == 2) & (F.col("set") == F.col("high")) & (F.col("met") == F.col("low"))).alias("met")))
+    same = ["sets", "sum", "least"]
+    open_lists = labelled.groupBy("gram").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("met").alias("met"), F.count("*").alias("sets"), F.sum(F.xxhash64("set").cast("decimal(20,0)")).alias("sum"), F.min("set").alias("least"))
+    unsettled = written(open_lists.where("a < b and not met").groupBy(*same).agg(F.min("gram").alias("gram")).select("gram"))
+    second = joined(_blocks(labelled.join(unsettled, "gram").drop("met"), "gram", task_grams)).where("label <> set")
+
+    several = taking.groupBy("doc").agg(F.min("set").alias("b"), F.max("set").alias("most")).where("b < most")
+    own = taking.join(several, "doc").where("set <> b").select(F.col("set").alias("a"), "b")
+    ties = first.union(second).select(F.col("set").alias("a"), F.col("label").alias("b")).union(own)
+    components = connected_components(ties).withColumnRenamed("node", "set")
+    heads = written(components.join(classes.select("set", "doc", "copies", "n"), "set"))
+    least = written(heads.groupBy("component").agg(F.min("doc").alias("head")))
+    headed = written(heads.join(least, "component").select("set", F.col("component").alias("label"), "copies", "n", "head"))
+    named = classes.select("set", "doc", "copies").join(headed.select("set", "head"), "set", "left").select("set", F.coalesce("head", "doc").alias("component_id"), "copies")
+    columns = [F.col("doc").alias("doc_id"), "n_shingles", F.when(F.col("doc").isNotNull(), F.coalesce("component_id", "doc")).alias("component_id")]
     if not count_links:
-        return out.select(*columns)
-    linked = labels.groupBy("doc").agg(F.sum("links").alias("links")).withColumnRenamed("doc", "rep")
-    per_set = classes.join(linked, "rep", "left").select(*prints, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return out.join(per_set, prints, "left").select(*columns, F.when(F.col("doc").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links"))
+        out = every.join(written(named.select("set", "component_id")), "set", "left").select(*columns)
+    else:
+        meeting = headed.join(candidates.select("set").distinct(), "set", "left_semi")
+        linked = joined(_blocks(meeting, "label", task_grams), links=True).groupBy("set").agg(F.sum("links").alias("links"))
+        per_set = written(named.join(linked, "set", "left").select("set", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+        out = every.join(per_set, "set", "left").select(*columns, F.when(F.col("doc").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links"))
+    dropped(postings, lists, star, candidates, labelled, unsettled, heads, least)
+    return out
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = GRAM, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:

@@ -1,6 +1,8 @@
+import ast
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strataspark.llm import ngram_join
@@ -61,7 +63,7 @@ def test_equals_brute_force(spark, n, num, task_grams):
     assert sorted(map(repr, map(tuple, plain.collect()))) == sorted(repr(tuple(r)[:3]) for r in got)
 
 
-def test_signatures_lose_no_pair():
+def test_prefixes_lose_no_pair():
     rng = np.random.default_rng(1)
     for num in (60, 80, 90):
         for size in (*range(1, 40), 150, 400, 1200):
@@ -70,9 +72,35 @@ def test_signatures_lose_no_pair():
                 drop = rng.integers(0, 1 + int(size * (100 - num) / 100))
                 add = rng.integers(0, 1 + int(size * (100 - num) / num))
                 y = np.unique(np.concatenate([rng.permutation(x)[drop:], rng.integers(0, 2**64, add, dtype=np.uint64)]))
-                both = len(np.intersect1d(x, y))
-                if len(y) and 100 * both >= num * (len(x) + len(y) - both):
-                    assert len(np.intersect1d(ngram_join.signatures(x, num, 100), ngram_join.signatures(y, num, 100)))
+                both = np.intersect1d(x, y)
+                sets = {int(g): 2 + int(g) % 5 for g in both}
+                if len(y) and 100 * len(both) >= num * (len(x) + len(y) - len(both)):
+                    prefixes = [ngram_join.prefix_of(z, np.array([sets.get(int(g), 1) for g in z]), num, 100) for z in (x, y)]
+                    assert len(np.intersect1d(*prefixes))
+
+
+def test_a_line_that_all_documents_share_makes_no_candidates(spark):
+    rng = random.Random(3)
+    line = " ".join(f"line{i}" for i in range(20))
+    rows = [(i, " ".join([*rng.choices([f"w{k}" for k in range(5_000)], k=60), line])) for i in range(300)]
+    rows += [(1_000 + i, f"{t} more") for i, t in rows[:40]]
+    assert ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).count() == 300
+    sets = [g for _, g in ngram_join._texts_sets(pa.array([t for _, t in rows]), 5)]
+    flat, counts = np.unique(np.concatenate(sets), return_counts=True)
+    held = dict(zip(flat.tolist(), counts.tolist(), strict=True))
+    assert not any(len(ngram_join.prefix_of(g, np.array([held[x] for x in g.tolist()]), 80, 100)) for g in sets[40:300])
+
+
+def test_large_groups_long_texts_and_several_texts_of_one_id(spark):
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(60)]
+    rows = [(i, " ".join(base if i % 3 else [*base[: i % 40], f"x{i}", *base[i % 40 :]])) for i in range(200)]
+    rows += [(300, " ".join(base[:20])), (300, " ".join(f"c{i}" for i in range(30))), (301, " ".join(f"c{i}" for i in range(30)))]
+    long = [f"l{rng.randrange(9_000)}" for _ in range(60_000)]
+    rows += [(400, " ".join(long)), (401, " ".join([*long, "end"])), (402, "same " * 50_000), (403, "same " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(repr((r.doc_id, r.component_id)) for r in ngram_join.jaccard_join(docs, n=3, similarity=(85, 100), task_grams=2_000).collect())
+    assert got == sorted(repr((i, c)) for i, _, c, _ in map(ast.literal_eval, brute(rows, 3, 85, 100)))
 
 
 def test_one_of_each_and_empty(spark):
