@@ -5,15 +5,14 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from strataspark.operators.stats import coverage, time_axis
+from strataspark.operators.stats import coverage
 from strataspark.store import LayerStore
 
 
 def info(store: LayerStore) -> str:
     about, lines = store.about, []
-    lines.append(f"{store.path}: {about['powiat'] or '-'}, {store.grid.width}x{store.grid.height} px of {store.grid.cellsize:g} m, levels {', '.join(n for n, _ in store.levels())}")
+    lines.append(f"{store.path}: {about['powiat'] or '-'}, {store.grid.width}x{store.grid.height} px of {store.grid.cellsize:g} m, levels {', '.join(x.name for x in store.levels())}")
     for year, r in store.manifest.items():
         lines.append(f"{year}: {r['status']}, index {r['indeks']}, {len(r['arkusze'])} sheets, resolutions {r.get('udzial_rozdzielczosci', {})}")
     shares = coverage(store.read(factor=(store.factors or [1])[-1]), value="nmt").orderBy("rok").collect()
@@ -30,6 +29,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--value", default="nmt", choices=["nmt", "res_src"])
     parser.add_argument("--position", default="middle", choices=["middle", "start"])
     parser.add_argument("--unit", default="seconds", choices=["seconds", "days"])
+    parser.add_argument("--bounds", default="yes", choices=["yes", "no"])
+    parser.add_argument("--chunks", default="each", choices=["each", "one"])
     args = parser.parse_args(argv)
     store = LayerStore(SparkSession.builder.getOrCreate(), args.store)
     if args.command == "info":
@@ -37,10 +38,8 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "export":
         store.export(args.out or f"{args.store}/export", args.factor, args.year, args.value)
     else:
-        years = store.spark.createDataFrame([(y,) for y in store.years()], "rok int")
-        names = ("time", "start", "end")
-        axis = years.select("rok", *(c.alias(n) for n, c in zip(names, time_axis(F.col("rok"), args.position, args.unit), strict=True)))
-        axis.show(max(1, len(store.years())))
+        axis = store.rewrite_time(args.position, args.bounds == "yes", args.unit, args.chunks).orderBy("level", "indeks")
+        print("\n".join(", ".join(f"{k} {v}" for k, v in row.asDict().items()) for row in axis.collect()))  # one row per year and level
     return 0
 
 

@@ -134,17 +134,20 @@ def transform(east: Any, north: Any, source: int, target: int, m: Any = FLOATS)
 def detect(lines: DataFrame, limit: int = 200) -> DataFrame:
     """(plik, epsg) from ``lines``(plik, line_no from 0, text): the first of ``limit`` lines that tells.
 
-    Lines that start with a letter or # are skipped; fields are parted by white space, commas or semicolons, with a
-    leading id column if there are four or more. A first value of seven digits tells the zone by its first digit.
+    Lines that start with a letter or # are skipped; fields are parted by white space, commas or semicolons. Where the
+    first value is below 100,000 and a third field is there, the first is an id and the next two are the coordinates.
+    A line with a coordinate below 100,000, or one that is no number, does not tell. A coordinate above 4,000,000 tells
+    the zone by its first digit, two coordinates of six digits tell PL-1992.
     """
+    least, digits = F.lit(1e5), lambda x: F.floor(x).cast("string")
     part = F.filter(F.split(F.trim("text"), r"[\s,;]+"), lambda p: p != "")
     rows = lines.where((F.col("line_no") < limit) & ~F.col("text").rlike(r"^\s*[A-Za-z#]")).withColumn("p", part).where(F.size("p") >= 2)
-    shift = F.when(F.size("p") >= 4, 1).otherwise(0)
-    value: Callable = lambda k: F.try_element_at("p", shift + F.lit(k)).try_cast("double")
-    x, y = value(1), value(2)
-    big = F.when(x > 4e6, x).when(y > 4e6, y)
-    zone = F.substring(F.floor(big).cast("string"), 1, 1)
-    small = (x > 1e5) & (x < 1e6) & (y > 1e5) & (y < 1e6)
-    epsg = F.when(big.isNotNull() & zone.isin("5", "6", "7", "8") & (F.length(F.floor(big).cast("string")) == 7), F.lit(2171) + zone.cast("int")).when(small, F.lit(2180))
-    told = rows.withColumn("epsg", epsg).where("epsg is not null").groupBy("plik").agg(F.min_by("epsg", "line_no").cast("int").alias("epsg"))
+    value: Callable = lambda k: F.try_element_at("p", F.lit(k)).try_cast("double")
+    numbers = rows.select("plik", "line_no", F.size("p").alias("fields"), *(value(k + 1).alias(f"v{k}") for k in range(3))).where("v0 is not null and v1 is not null")
+    has_id = (F.col("v0") < least) & (F.col("fields") >= 3)
+    placed = numbers.select("plik", "line_no", F.when(has_id, F.col("v1")).otherwise(F.col("v0")).alias("x"), F.when(has_id, F.col("v2")).otherwise(F.col("v1")).alias("y")).where((F.col("x") >= least) & (F.col("y") >= least))
+    zone = F.substring(digits(F.when(F.col("x") > 4e6, F.col("x")).when(F.col("y") > 4e6, F.col("y"))), 1, 1)
+    plane = F.greatest("x", "y") < 1e6
+    epsg = F.when(zone.isin("5", "6", "7", "8"), F.lit(2171) + zone.cast("int")).when(plane & (F.least("x", "y") > least), F.lit(2180))
+    told = placed.withColumn("epsg", epsg).where("epsg is not null").groupBy("plik").agg(F.min_by("epsg", "line_no").cast("int").alias("epsg"))
     return lines.select("plik").distinct().join(told, "plik", "left")

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strataspark.functions import crs, geometry
+from strataspark.functions.numeric import round_half_even
 
 UNKNOWN_DATE = "0001-01-01"
+#: Values that the ranges of a distributed rank are taken from.
+RANGE_SAMPLE = 1_000
 
 
 def file_name(url: Column) -> Column:
@@ -26,9 +29,9 @@ def shown(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(""))
 
 
-def to_be_done(fmt: Column) -> Column:
+def to_be_done(fmt: Column, mark: str = "TBD") -> Column:
     """P5."""
-    return F.upper(F.trim(fmt)).contains("TBD")
+    return F.coalesce(F.upper(F.trim(fmt)).contains(mark), F.lit(False))
 
 
 def known_crs(sheets: DataFrame, name: str = "uklad_xy", names: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -67,10 +70,69 @@ def total_bounds(sheets: DataFrame) -> DataFrame:
     return sheets.agg(F.min("left").alias("left"), F.min("bottom").alias("bottom"), F.max("right").alias("right"), F.max("top").alias("top"))
 
 
+def campaign_formats(sheets: DataFrame, campaign: str = "nr_zglosz", fmt: str = "format") -> DataFrame:
+    """The pairs of campaign and format."""
+    return sheets.select(campaign, fmt).distinct()
+
+
+def of_campaign(sheets: DataFrame, campaign_value, fmt_value, campaign: str = "nr_zglosz", fmt: str = "format") -> DataFrame:
+    """The sheets of one campaign in one format; null is a value of its own."""
+    return sheets.where(F.col(campaign).eqNullSafe(F.lit(campaign_value)) & F.col(fmt).eqNullSafe(F.lit(fmt_value)))
+
+
+def counters(sheets: DataFrame, fmt: str = "format", name: str = "uklad_xy", names: dict[str, int] | None = None, mark: str = "TBD") -> DataFrame:
+    """One row (tbd, unknown_crs, all_rows)."""
+    unknown = ~F.coalesce(F.col(name).isin(*(names or crs.CRS_NAMES)), F.lit(False))
+    return sheets.agg(F.count_if(to_be_done(F.col(fmt), mark)).alias("tbd"), F.count_if(unknown).alias("unknown_crs"), F.count("*").alias("all_rows"))
+
+
+def resolution_counters(tiles: DataFrame, base: float, res: str = "res") -> DataFrame:
+    """One row (grubsze, drobniejsze): sheets coarser and finer than the base cell."""
+    r = stored_resolution(F.col(res))
+    return tiles.agg(F.count_if(r > base + 1e-6).alias("grubsze"), F.count_if(r < base - 1e-6).alias("drobniejsze"))
+
+
+def stored_resolution(res: Column) -> Column:
+    return round_half_even(res)
+
+
+def finest(tiles: DataFrame, by: tuple[str, ...] = (), res: str = "res", rounded: bool = True) -> DataFrame:
+    """A2: ``finest`` resolution, to two places for a store and as it is for a single mosaic."""
+    value = stored_resolution(F.col(res)) if rounded else F.col(res)
+    return tiles.groupBy(*by).agg(F.min(value).alias("finest"))
+
+
+def coarsest(tiles: DataFrame, by: tuple[str, ...] = (), res: str = "res") -> DataFrame:
+    """A3: ``coarsest`` resolution, to two places."""
+    return tiles.groupBy(*by).agg(F.max(stored_resolution(F.col(res))).alias("coarsest"))
+
+
 def campaigns(sheets: DataFrame, campaign: str, seq: str) -> DataFrame:
-    """Campaigns in first-seen order with their ordinal from 0 (one row per campaign is ranked)."""
+    """Campaigns in first-seen order with their ordinal from 0. Campaigns are ranked in parallel ranges."""
     seen = sheets.groupBy(campaign).agg(F.min(seq).alias("first_seq"))
-    return seen.withColumn("ordinal", F.dense_rank().over(Window.orderBy("first_seq")) - 1)
+    return dense_ordinals(seen, ["first_seq"], "ordinal")
+
+
+def dense_ordinals(rows: DataFrame, order: list[str], name: str, descending: bool = False) -> DataFrame:
+    """``name``: dense rank of each row from 0, without one task that sorts all rows.
+
+    Rows are dealt by ranges of the first ordering column into buckets, ranked in each, and the number of distinct
+    values in the buckets before is added; that table has one row per bucket. The ranges come from ``RANGE_SAMPLE``
+    values drawn by their hash, so they do not change between the reads of a plan; they only balance the buckets.
+    """
+    first = F.col(order[0])
+    drawn = rows.select(first.alias("v")).where("v is not null").distinct().orderBy(F.xxhash64("v"), "v").limit(RANGE_SAMPLE).collect()
+    values = sorted(r.v for r in drawn)
+    buckets = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    edges = sorted({values[k * len(values) // buckets] for k in range(1, buckets)}) if values else []
+    above = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: first > e)) if edges else F.lit(0)
+    way = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    bucket = F.coalesce(F.when(first.isNotNull(), above), F.lit(-1))  # nulls are least
+    placed = rows.withColumn("bucket_", -bucket if descending else bucket)
+    within = placed.withColumn(name, F.dense_rank().over(Window.partitionBy("bucket_").orderBy(*map(way, order))))
+    sizes = within.groupBy("bucket_").agg(F.max(name).alias("size_"))
+    before = sizes.select("bucket_", (F.sum("size_").over(Window.orderBy("bucket_")) - F.col("size_")).alias("before_"))  # one row per bucket
+    return within.join(F.broadcast(before), "bucket_").withColumn(name, (F.col(name) + F.col("before_") - 1).cast("int")).drop("bucket_", "before_")
 
 
 def resolution_histogram(sheets: DataFrame, res: str = "res") -> DataFrame:

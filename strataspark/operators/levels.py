@@ -16,6 +16,11 @@ def method_name(name: str) -> str:
     return METHODS[name.lower()]
 
 
+def reach(method: str, factor: int) -> int:
+    """Base pixels beyond a level cell that weigh on it; the base itself has no kernel."""
+    return 0 if factor == 1 else {"bilinear": 1, "cubic": 2}.get(method_name(method), 0) * factor
+
+
 def _kernel(d: Column, method: str) -> Column:
     d = F.abs(d)
     if method == "bilinear":

@@ -21,20 +21,23 @@ def first_wins(cells: DataFrame, pixel: list[str], precedence: list[Column], val
 def on_grid(sheet_meta: DataFrame, sheet_cell: DataFrame, grid, rings=None) -> DataFrame:
     """Target pixels (row, col) of every sheet with (z, res_src, akt_data, plik), nearest cell.
 
+    Sheets are told apart by ``member`` where the cells have it, else by ``plik``; that name is ``plik`` in the result.
+
     Each source cell is sent to the target pixels whose centres it holds (one if it is as fine, several if coarser),
     which is an equi-join on the sheet and no range join; pixels outside the grid or the polygon are dropped.
     """
     from strataspark.functions import geometry
 
     c = grid.cellsize
-    cell = sheet_cell.join(sheet_meta.select("plik", "res", "left", "top", "akt_data"), "plik")
+    key = "member" if "member" in sheet_cell.columns else "plik"
+    cell = sheet_cell.select(key, "row", "col", "z").join(sheet_meta.select(key, "res", "left", "top", "akt_data"), key)
     x0, y1 = F.col("left") + F.col("col") * F.col("res"), F.col("top") - F.col("row") * F.col("res")
     first_col, last_col = F.ceil((x0 - grid.left) / c - 0.5), F.ceil((x0 + F.col("res") - grid.left) / c - 0.5) - 1
     first_row, last_row = F.ceil((grid.top - y1) / c - 0.5), F.ceil((grid.top - y1 + F.col("res")) / c - 0.5) - 1
     span = lambda a, b: F.explode(F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>")))
     placed = cell.withColumn("tc_", span(first_col, last_col)).withColumn("tr_", span(first_row, last_row))
     inside = placed.where((F.col("tc_") >= 0) & (F.col("tr_") >= 0) & (F.col("tc_") < grid.width) & (F.col("tr_") < grid.height))
-    out = inside.select(F.col("tr_").cast("int").alias("row"), F.col("tc_").cast("int").alias("col"), "z", F.col("res").cast("float").alias("res_src"), "akt_data", "plik")
+    out = inside.select(F.col("tr_").cast("int").alias("row"), F.col("tc_").cast("int").alias("col"), "z", F.col("res").cast("float").alias("res_src"), "akt_data", F.col(key).alias("plik"))
     return out if rings is None else out.where(geometry.contains_point(rings, grid.x_of(F.col("col")), grid.y_of(F.col("row"))))
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataspark.functions.grid import SIDES, overlaps
+
 KEY = ["plik", "akt_data"]
 
 
@@ -14,6 +14,15 @@ def _keyed(sheets: DataFrame) -> DataFrame:
     return sheets.withColumn("akt_data", F.coalesce(F.col("akt_data").cast("string"), F.lit("")))
 
 
+def last_of_each(sheets: DataFrame, key: tuple[str, ...] = ("plik", "akt_data"), seq: str | None = None) -> DataFrame:
+    """One row for each key, the last one by ``seq``; without it the greatest row, so that reruns agree."""
+    rest = [c for c in sheets.columns if c not in key]
+    by = F.struct(*([seq] if seq else rest or key))
+    best = F.max_by(F.struct(*sheets.columns), by).alias("last_")
+    keyed = sheets.groupBy(*(F.col(k).alias(f"key_{i}_") for i, k in enumerate(key))).agg(best)
+    return keyed.select("last_.*")
+
+
 def added(index: DataFrame, manifest: DataFrame, unsupported: DataFrame | None = None) -> DataFrame:
     """In the index, neither in the manifest nor known as unsupported."""
     rest = _keyed(index).join(_keyed(manifest), KEY, "left_anti")
@@ -42,20 +51,37 @@ def diff(index: DataFrame, manifest: DataFrame) -> DataFrame:
     return new.join(old, KEY, "full").select(*KEY, kind.alias("change_type")).where("change_type is not null")
 
 
+def label(known: Column, complete: Column, changed: Column) -> Column:
+    """Nowa, przebudowa, aktualna or zmiana."""
+    return F.when(~known, "nowa").when(~complete, "przebudowa").when(changed, "zmiana").otherwise("aktualna")
+
+
+def actions(index: DataFrame, manifest: DataFrame, records: DataFrame, unsupported: DataFrame | None = None, force: bool = False) -> DataFrame:
+    """L1 for all years at once: (rok, akcja, dodane, usuniete) of the years in ``index``.
+
+    ``index``, ``manifest``, ``unsupported``: rok, plik, akt_data; ``records``: rok, status.
+    """
+    key = ["rok", *KEY]
+    new, old = _keyed(index).select(*key).distinct(), _keyed(manifest).select(*key).distinct()
+    plus = new.join(old, key, "left_anti")
+    plus = plus if unsupported is None else plus.join(_keyed(unsupported).select(*key), key, "left_anti")
+    minus = old.join(new, key, "left_anti")
+    counts = plus.select("rok", F.lit(1).alias("p"), F.lit(0).alias("m")).unionAll(minus.select("rok", F.lit(0), F.lit(1))).groupBy("rok").agg(F.sum("p").alias("p"), F.sum("m").alias("m"))
+    told = new.select("rok").distinct().join(records.select("rok", "status"), "rok", "left").join(counts, "rok", "left")
+    p, m = F.coalesce("p", F.lit(0)), F.coalesce("m", F.lit(0))
+    known = F.col("status").isNotNull()
+    done = (F.col("status") == "kompletna") & F.lit(not force)
+    return told.select("rok", label(known, done, p + m > 0).alias("akcja"), p.alias("dodane"), F.when(known, m).otherwise(0).cast("long").alias("usuniete"))
+
+
 def action(index: DataFrame, manifest: DataFrame | None, status: str | None, unsupported: DataFrame | None = None, force: bool = False) -> dict:
-    """L1: nowa, przebudowa, aktualna or zmiana, with the sorted keys and rectangles of the change (one year's sheets)."""
-    empty = index.limit(0)
-    plus, minus = added(index, manifest if manifest is not None else empty, unsupported), removed(index, manifest if manifest is not None else empty)
-    again = reissued(plus, minus)
-    p, m = ([tuple(r) for r in df.select(*KEY).distinct().orderBy(*KEY).collect()] for df in (plus, minus))
-    out = {"dodane": p, "usuniete": m, "zmienione": sorted(r[0] for r in again.collect()), "brudne": None}
-    if manifest is None:
-        return out | {"akcja": "nowa", "usuniete": []}
-    if force or status != "kompletna":
-        return out | {"akcja": "przebudowa"}
-    if not p and not m:
-        return out | {"akcja": "aktualna"}
-    return out | {"akcja": "zmiana", "brudne": dirty(plus, minus)}
+    """L1 for one year's sheets: the action, with the sorted keys and rectangles of the change."""
+    old = manifest if manifest is not None else index.limit(0)
+    plus, minus = added(index, old, unsupported), removed(index, old)
+    p, m = ([tuple(r) for r in df.select(*KEY).distinct().orderBy(*KEY).collect()] for df in (plus, minus))  # one year's sheets
+    told = index.sparkSession.range(1).select(label(F.lit(manifest is not None), F.lit(status == "kompletna" and not force), F.lit(bool(p or m)))).head()[0]
+    again = sorted(r[0] for r in reissued(plus, minus).collect())
+    return {"akcja": told, "dodane": p, "usuniete": [] if told == "nowa" else m, "zmienione": again, "brudne": dirty(plus, minus) if told == "zmiana" else None}
 
 
 def used(tiles: DataFrame, sheets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -71,29 +97,35 @@ def unused(sheets: DataFrame, tiles: DataFrame, archives_without_ascii: DataFram
 
 
 def stale(converted: DataFrame, expected: DataFrame) -> DataFrame:
-    """P20: conversions whose stored date differs from the expected one."""
+    """P20: conversions whose stored date differs from the expected one. (One that cannot be read has no row: ``convert``.)"""
     want = expected.select("plik", F.col("akt_data").alias("expected_"))
     return converted.join(want, "plik").where("akt_data is not null and expected_ is not null and akt_data <> expected_").drop("expected_")
 
 
 def not_yet(inputs: DataFrame, converted: DataFrame) -> DataFrame:
-    """Inputs without a finished conversion."""
+    """Inputs without a finished conversion."""
     return inputs.join(converted.select("plik").distinct(), "plik", "left_anti")
 
 
-def touched_blocks(blocks: DataFrame, rectangles: DataFrame) -> DataFrame:
-    """Blocks that strictly overlap a dirty rectangle, by equi-join on the cells of a coarse lattice.
+def meeting(boxes: DataFrame, others: DataFrame, strict: bool = True) -> DataFrame:
+    """Rows of ``boxes`` with those of ``others`` (columns ``d_...``) that they overlap, or touch unless ``strict``.
 
-    Each box is listed in the lattice cells it meets (a cell is as large as a block), so no pair of far boxes meets.
+    An equi-join on the cells of a coarse lattice: each box is listed in the cells it meets (a cell is as large as the
+    largest of ``boxes``), so no pair of far boxes meets; a pair counts in the cell of its common corner only.
     """
-    size = blocks.agg(F.max(F.greatest(F.col("right") - F.col("left"), F.col("top") - F.col("bottom")))).head()[0] or 1.0
+    size = boxes.agg(F.max(F.greatest(F.col("right") - F.col("left"), F.col("top") - F.col("bottom")))).head()[0] or 1.0
+    cell = lambda x: F.floor(x / F.lit(float(size)))
 
-    def listed(df: DataFrame) -> DataFrame:
-        span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / size), F.floor(F.col(b) / size)))
+    def listed(df: DataFrame, prefix: str) -> DataFrame:
+        span = lambda a, b: F.explode(F.sequence(cell(F.col(prefix + a)), cell(F.col(prefix + b))))
         return df.withColumn("cx_", span("left", "right")).withColumn("cy_", span("bottom", "top"))
 
-    near = listed(rectangles.select("left", "bottom", "right", "top")).withColumnsRenamed({c: f"d_{c}" for c in ("left", "bottom", "right", "top")})
-    b = listed(blocks)
-    strict = [F.col("right") > F.col("d_left"), F.col("left") < F.col("d_right"), F.col("top") > F.col("d_bottom"), F.col("bottom") < F.col("d_top")]
-    on = reduce(lambda x, y: x & y, [b["cx_"] == near["cx_"], b["cy_"] == near["cy_"], *strict])
-    return b.join(near, on, "left_semi").drop("cx_", "cy_").distinct()
+    renamed = others.select(*(F.col(c).alias(f"d_{c}") for c in others.columns))
+    both = listed(boxes, "").join(listed(renamed, "d_"), ["cx_", "cy_"]).where(overlaps("", "d_", strict))
+    corner = (F.col("cx_") == cell(F.greatest("left", "d_left"))) & (F.col("cy_") == cell(F.greatest("bottom", "d_bottom")))
+    return both.where(corner).drop("cx_", "cy_")
+
+
+def touched_blocks(blocks: DataFrame, rectangles: DataFrame) -> DataFrame:
+    """Blocks that strictly overlap a dirty rectangle, each once."""
+    return meeting(blocks, rectangles.select(*SIDES)).select(*blocks.columns).distinct()

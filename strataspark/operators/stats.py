@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strataspark.functions.numeric import round_half_even
 
@@ -18,12 +19,14 @@ def layer_stats(cells: DataFrame, layer: str = "rok", value: str = "z") -> DataF
 
 def change_shares(cells: DataFrame, layer: str = "indeks", pixel: tuple[str, ...] = ("row", "col"), value: str = "z", thresholds: tuple[float, ...] = THRESHOLDS) -> DataFrame:
     """Per layer, the share of pixels it has in common with the layer stored just before that changed by
-    more than each threshold. An equi-join on the index before: a gap in the layers is no neighbour."""
-    now = cells.where(F.col(value).isNotNull()).select(layer, *pixel, F.col(value).alias("now_"))
-    before = now.select((F.col(layer) + 1).alias(layer), *pixel, F.col("now_").alias("before_"))
-    d = F.abs(F.col("now_").cast("double") - F.col("before_").cast("double"))
+    more than each threshold. One shuffle by pixel: a window tells each value the one before it; a gap in the layers is
+    no neighbour."""
+    order = Window.partitionBy(*pixel).orderBy(layer)
+    now = F.col(value).cast("double")
+    pairs = cells.where(F.col(value).isNotNull()).select(layer, now.alias("now_"), F.lag(now).over(order).alias("before_"), F.lag(layer).over(order).alias("last_")).where(F.col("last_") == F.col(layer) - 1)
+    d = F.abs(F.col("now_") - F.col("before_"))
     shares = [(F.sum(F.when(d > t, 1).otherwise(0)).cast("double") / F.count("*")).alias(f"share_{k}") for k, t in enumerate(thresholds)]
-    return now.join(before, [layer, *pixel]).groupBy(layer).agg(F.count("*").alias("n_common"), *shares)
+    return pairs.groupBy(layer).agg(F.count("*").alias("n_common"), *shares)
 
 
 def resolution_shares(cells: DataFrame, res: str = "res_src") -> DataFrame:
@@ -34,10 +37,12 @@ def resolution_shares(cells: DataFrame, res: str = "res_src") -> DataFrame:
 
 
 def coverage(cells: DataFrame, layer: str = "rok", pixel: tuple[str, ...] = ("row", "col"), value: str = "z") -> DataFrame:
-    """Pixels of each layer over pixels with data in any of them."""
+    """Pixels of each layer over pixels with data in any of them. Each pixel's set of layers is built once, with
+    map-side combining, and both numbers follow from the number of pixels by set."""
     known = cells.where(F.col(value).isNotNull())
-    each = known.groupBy(layer, *pixel).agg(F.lit(1).alias("one")).groupBy(layer).agg(F.count("*").alias("n"))
-    total = known.select(*pixel).distinct().agg(F.count("*").alias("total"))  # one row
+    kinds = known.groupBy(*pixel).agg(F.sort_array(F.collect_set(layer)).alias("layers_")).groupBy("layers_").agg(F.count("*").alias("n"))
+    each = kinds.select(F.explode("layers_").alias(layer), "n").groupBy(layer).agg(F.sum("n").alias("n"))
+    total = kinds.agg(F.sum("n").alias("total"))  # one row
     return each.join(F.broadcast(total)).select(layer, F.when(F.col("total") > 0, F.col("n") / F.col("total")).otherwise(0.0).alias("coverage"))
 
 

@@ -10,6 +10,7 @@ from strataspark.functions.numeric import round_half_even
 from strataspark.operators import catalog, levels, plan, stats
 from strataspark.plans.mosaic_queries import PIXELS_SQL, mosaic_first_wins, pixels
 from strataspark.sources import ascii as texts
+from strataspark.sources import index as sheet_index
 
 RING = [(3.0, 2.0), (50.0, 10.0), (60.0, 45.0), (30.0, 58.0), (8.0, 40.0)]
 HOLE = [(20.0, 20.0), (30.0, 20.0), (30.0, 30.0), (20.0, 30.0)]
@@ -77,7 +78,7 @@ def catalog_dedup_first(spark, sf):
 @_query("catalog_filter_crs", f"SELECT seq, uklad_xy, CASE uklad_xy WHEN 'F' THEN 2180 ELSE 2178 END::INTEGER AS epsg FROM ({SHEETS_SQL}) WHERE uklad_xy IN ('F', 'O') AND NOT contains(upper(trim(format)), 'URGENT')")
 def catalog_filter_crs(spark, sf):
     known, _ = catalog.known_crs(_sheets(spark, sf), names={"F": 2180, "O": 2178})
-    return known.where(~F.upper(F.trim("format")).contains("URGENT")).select("seq", "uklad_xy", "epsg")
+    return known.where(~catalog.to_be_done(F.col("format"), "URGENT")).select("seq", "uklad_xy", "epsg")
 
 
 @_query("catalog_unknown_crs", f"SELECT uklad_xy, count(*) AS n FROM ({SHEETS_SQL}) WHERE uklad_xy NOT IN ('F', 'O') GROUP BY 1")
@@ -87,13 +88,23 @@ def catalog_unknown_crs(spark, sf):
 
 @_query("catalog_counters", f"SELECT count_if(contains(upper(trim(format)), 'URGENT'))::BIGINT AS tbd, count_if(uklad_xy NOT IN ('F', 'O'))::BIGINT AS unknown_crs, count(*) AS all_rows FROM ({SHEETS_SQL})")
 def catalog_counters(spark, sf):
-    s = _sheets(spark, sf)
-    return s.agg(F.count_if(F.upper(F.trim("format")).contains("URGENT")).alias("tbd"), F.count_if(~F.col("uklad_xy").isin("F", "O")).alias("unknown_crs"), F.count("*").alias("all_rows"))
+    return catalog.counters(_sheets(spark, sf), names={"F": 2180, "O": 2178}, mark="URGENT")
 
 
 @_query("campaign_distinct", f"SELECT DISTINCT nr_zglosz, format FROM ({SHEETS_SQL})")
 def campaign_distinct(spark, sf):
-    return _sheets(spark, sf).select("nr_zglosz", "format").distinct()
+    return catalog.campaign_formats(_sheets(spark, sf))
+
+
+@_query("campaign_select", f"SELECT seq FROM ({SHEETS_SQL}) WHERE nr_zglosz = (SELECT min(nr_zglosz) FROM ({SHEETS_SQL})) AND format = '1-URGENT'")
+def campaign_select(spark, sf):
+    sheets = _sheets(spark, sf)
+    return catalog.of_campaign(sheets, sheets.agg(F.min("nr_zglosz")).head()[0], "1-URGENT").select("seq")
+
+
+@_query("last_of_each", f"SELECT nr_zglosz, format, max(seq) AS seq FROM ({SHEETS_SQL}) GROUP BY ALL")
+def last_of_each(spark, sf):
+    return plan.last_of_each(_sheets(spark, sf), ("nr_zglosz", "format"), "seq").select("nr_zglosz", "format", "seq")
 
 
 @_query("campaign_ordinal", f"SELECT nr_zglosz, first_seq, CAST(dense_rank() OVER (ORDER BY first_seq) - 1 AS INTEGER) AS ordinal FROM (SELECT nr_zglosz, min(seq) AS first_seq FROM ({SHEETS_SQL}) GROUP BY 1)")
@@ -103,10 +114,10 @@ def campaign_ordinal(spark, sf):
 
 @_query("lookup_default", """
 SELECT o_orderkey, coalesce(c.c_nationkey, s.s_nationkey, -1)::INTEGER AS nation FROM orders
-LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 2 = 0) c ON o_custkey = c_custkey LEFT JOIN supplier s ON o_custkey % 150 = s_suppkey""")
+LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') c ON o_custkey = c_custkey LEFT JOIN supplier s ON o_custkey = s_suppkey""")
 def lookup_default(spark, sf):
-    o = _read(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("k1"), (F.col("o_custkey") % 150).alias("k2"))
-    first = _read(spark, sf, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k1"), F.col("c_nationkey").alias("nation"))
+    o = _read(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("k1"), F.col("o_custkey").alias("k2"))
+    first = _read(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("k1"), F.col("c_nationkey").alias("nation"))
     second = _read(spark, sf, "supplier").select(F.col("s_suppkey").alias("k2"), F.col("s_nationkey").alias("nation"))
     return catalog.lookup_with_default(o, first, second, "k1", "k2", "nation", -1).select("o_orderkey", "nation")
 
@@ -129,7 +140,13 @@ def resolution_histogram(spark, sf):
 
 @_query("finest_coarsest", f"SELECT rok, min(res_src) AS finest, max(round_even(res_src * 100.0::DOUBLE, 0) / 100.0::DOUBLE) AS coarsest FROM ({PIXELS_SQL}) GROUP BY 1")
 def finest_coarsest(spark, sf):
-    return pixels(spark, sf).groupBy("rok").agg(F.min("res_src").alias("finest"), F.max(round_half_even(F.col("res_src"))).alias("coarsest"))
+    p = pixels(spark, sf)
+    return catalog.finest(p, ("rok",), "res_src", rounded=False).join(catalog.coarsest(p, ("rok",), "res_src"), "rok")
+
+
+@_query("resolution_counters", f"SELECT count_if(round_even(res_src * 100.0::DOUBLE, 0) / 100.0::DOUBLE > 0.040001::DOUBLE)::BIGINT AS grubsze, count_if(round_even(res_src * 100.0::DOUBLE, 0) / 100.0::DOUBLE < 0.039999::DOUBLE)::BIGINT AS drobniejsze FROM ({PIXELS_SQL})")
+def resolution_counters(spark, sf):
+    return catalog.resolution_counters(pixels(spark, sf), 0.04, "res_src")
 
 
 @_query("plan_diff", f"WITH {SPLIT_SQL} SELECT *, 'added' AS change_type FROM plus UNION ALL SELECT *, 'removed' FROM minus")
@@ -156,16 +173,16 @@ def dirty_union(spark, sf):
 
 
 @_query("plan_action_by_year", f"""
-WITH {SPLIT_SQL}, changed AS (SELECT substr(akt_data, 1, 4) AS rok, count(*) AS n FROM (SELECT * FROM plus UNION ALL SELECT * FROM minus) GROUP BY 1),
-years AS (SELECT substr(akt_data, 1, 4) AS rok, count(*) AS sheets FROM idx GROUP BY 1), old AS (SELECT DISTINCT substr(akt_data, 1, 4) AS rok FROM man)
-SELECT rok, CASE WHEN old.rok IS NULL THEN 'nowa' WHEN coalesce(n, 0) = 0 THEN 'aktualna' ELSE 'zmiana' END AS akcja FROM years LEFT JOIN changed USING (rok) LEFT JOIN old USING (rok)""")
+WITH {SPLIT_SQL}, p AS (SELECT substr(akt_data, 1, 4) AS rok, count(*) AS n FROM plus GROUP BY 1), m AS (SELECT substr(akt_data, 1, 4) AS rok, count(*) AS n FROM minus GROUP BY 1),
+years AS (SELECT DISTINCT substr(akt_data, 1, 4) AS rok FROM idx), old AS (SELECT DISTINCT substr(akt_data, 1, 4) AS rok FROM man WHERE substr(akt_data, 1, 4) <> '1993')
+SELECT rok, CASE WHEN old.rok IS NULL THEN 'nowa' WHEN rok = '1994' THEN 'przebudowa' WHEN p.n IS NULL AND m.n IS NULL THEN 'aktualna' ELSE 'zmiana' END AS akcja,
+coalesce(p.n, 0)::BIGINT AS dodane, (CASE WHEN old.rok IS NULL THEN 0 ELSE coalesce(m.n, 0) END)::BIGINT AS usuniete
+FROM years LEFT JOIN old USING (rok) LEFT JOIN p USING (rok) LEFT JOIN m USING (rok)""")
 def plan_action_by_year(spark, sf):
-    index, manifest = _split(spark, sf)
-    year = F.substring("akt_data", 1, 4).alias("rok")
-    changed = plan.diff(index, manifest).groupBy(year).agg(F.count("*").alias("n"))
-    known = manifest.select(year, F.lit(True).alias("known")).distinct()
-    action = F.when(F.col("known").isNull(), "nowa").when(F.coalesce("n", F.lit(0)) == 0, "aktualna").otherwise("zmiana")
-    return index.select(year).distinct().join(changed, "rok", "left").join(known, "rok", "left").select("rok", action.alias("akcja"))
+    index, manifest = (df.withColumn("rok", F.substring("akt_data", 1, 4)) for df in _split(spark, sf))
+    status = F.when(F.col("rok") == "1994", "w_toku").otherwise("kompletna")  # one year was cut off, one has no record
+    records = manifest.select("rok").distinct().where("rok <> '1993'").withColumn("status", status)
+    return plan.actions(index, manifest, records)
 
 
 @_query("tiles_semi", "SELECT l_orderkey AS plik, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
@@ -206,18 +223,15 @@ GRID = grid.Grid(0.0, 64.0, 1.0, 64, 64)
 BLOCKS_SQL = 'SELECT y::INTEGER AS "by", x::INTEGER AS bx, (x * 10)::DOUBLE AS l, (64 - least(y * 10 + 10, 64))::DOUBLE AS b, least(x * 10 + 10, 64)::DOUBLE AS r, (64 - y * 10)::DOUBLE AS t FROM range(7) a(y), range(7) c(x)'
 
 
-@_query("block_dirty_semi", f'WITH d AS ({BOXES_SQL}), k AS ({BLOCKS_SQL}) SELECT "by", bx FROM k WHERE EXISTS (SELECT 1 FROM d WHERE k.r > d.l AND k.l < d.r AND k.t > d.b AND k.b < d.t AND s_suppkey % 5 = 0)')
+@_query("block_dirty_semi", f'WITH d AS ({BOXES_SQL} WHERE s_acctbal < 0), k AS ({BLOCKS_SQL}) SELECT "by", bx FROM k WHERE EXISTS (SELECT 1 FROM d WHERE k.r > d.l AND k.l < d.r AND k.t > d.b AND k.b < d.t)')
 def block_dirty_semi(spark, sf):
-    return plan.touched_blocks(GRID.blocks(spark, 10), _boxes(spark, sf).where("s_suppkey % 5 = 0")).select("by", "bx")
+    overdrawn = _read(spark, sf, "supplier").where("s_acctbal < 0").select("s_suppkey")
+    return plan.touched_blocks(GRID.blocks(spark, 10), _boxes(spark, sf).join(overdrawn, "s_suppkey", "left_semi")).select("by", "bx")
 
 
 @_query("block_sheet_range", f'WITH d AS ({BOXES_SQL}), k AS ({BLOCKS_SQL}) SELECT "by", bx, s_suppkey FROM k JOIN d ON k.r >= d.l AND k.l <= d.r AND k.t >= d.b AND k.b <= d.t')
 def block_sheet_range(spark, sf):
-    # Each sheet lists the blocks it meets or touches: an equi-join key instead of a range join.
-    span = lambda lo, hi: F.explode(F.sequence(F.greatest(F.ceil(lo / 10.0) - 1, F.lit(0)), F.least(F.floor(hi / 10.0), F.lit(6))))
-    listed = _boxes(spark, sf).withColumn("bx", span(F.col("left"), F.col("right"))).withColumn("by", span(64 - F.col("top"), 64 - F.col("bottom")))
-    sheets = listed.select("s_suppkey", F.col("bx").cast("int").alias("bx"), F.col("by").cast("int").alias("by"), *(F.col(c).alias(f"s_{c}") for c in ("left", "bottom", "right", "top")))
-    return GRID.blocks(spark, 10).join(sheets, ["by", "bx"]).where(grid.overlaps("", "s_", strict=False)).select("by", "bx", "s_suppkey")
+    return plan.meeting(GRID.blocks(spark, 10), _boxes(spark, sf), strict=False).select("by", "bx", F.col("d_s_suppkey").alias("s_suppkey"))
 
 
 EDGES_SQL = "(VALUES " + ", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE, {d}::DOUBLE)" for a, b, c, d in geometry.edges(RINGS)) + ") e(x1, y1, x2, y2)"
@@ -291,21 +305,26 @@ def coverage_by_year(spark, sf):
 WITH p AS ({PIXELS_SQL}), r AS (SELECT plik, dense_rank() OVER (ORDER BY max(akt_data) DESC, plik DESC) AS rank FROM p GROUP BY plik),
 f AS (SELECT col, row, min(rank) AS first FROM p JOIN r USING (plik) GROUP BY ALL) SELECT max(first)::BIGINT AS n_sheets, true AS complete FROM f""")
 def cover_prefix(spark, sf):
-    from pyspark.sql.window import Window
-
     p = pixels(spark, sf)
-    newest = p.groupBy("plik").agg(F.max("akt_data").alias("d")).withColumn("rank", F.dense_rank().over(Window.orderBy(F.col("d").desc(), F.col("plik").desc())))
-    return stats.covering_prefix(p.join(newest, "plik"), p.select("row", "col"))
+    newest = catalog.dense_ordinals(p.groupBy("plik").agg(F.max("akt_data").alias("d")), ["d", "plik"], "rank", descending=True).select("plik", F.col("rank") + 1)
+    return stats.covering_prefix(p.join(newest.toDF("plik", "rank"), "plik"), p.select("row", "col"))
 
 
 @_query("block_assign", f'SELECT (row // 16)::INTEGER AS "by", (col // 16)::INTEGER AS bx, count(*) AS n FROM ({PIXELS_SQL}) GROUP BY ALL')
 def block_assign(spark, sf):
-    return pixels(spark, sf).groupBy(F.floor(F.col("row") / 16).cast("int").alias("by"), F.floor(F.col("col") / 16).cast("int").alias("bx")).agg(F.count("*").alias("n"))
+    level = grid.Level(GRID, 1, 16)
+    return pixels(spark, sf).groupBy(*(c.alias(n) for n, c in level.block_columns().items())).agg(F.count("*").alias("n"))
+
+
+@_query("block_count", f'SELECT count(DISTINCT (row // 16, col // 16)) AS blocks FROM ({PIXELS_SQL})')
+def block_count(spark, sf):
+    return stats.block_count(pixels(spark, sf).withColumns(grid.Level(GRID, 1, 16).block_columns()))
 
 
 @_query("grid_snap", "SELECT o_orderkey, floor(o_totalprice / 0.5::DOUBLE) * 0.5::DOUBLE AS lo, ceil(o_totalprice / 0.5::DOUBLE) * 0.5::DOUBLE AS hi FROM orders")
 def grid_snap(spark, sf):
-    return _read(spark, sf, "orders").select("o_orderkey", grid.snap_down(F.col("o_totalprice"), 0.5).alias("lo"), grid.snap_up(F.col("o_totalprice"), 0.5).alias("hi"))
+    half, price = grid.Lattice(0.5), F.col("o_totalprice")
+    return _read(spark, sf, "orders").select("o_orderkey", half.at(half.before_column(price)).alias("lo"), half.at(half.after_column(price)).alias("hi"))
 
 
 @_query("step_infer", """
@@ -333,9 +352,19 @@ def file_names(spark, sf):
     return _read(spark, sf, "pages").select("page_id", catalog.file_name(F.col("url")).alias("plik"))
 
 
-@_query("markup_extract", "SELECT page_id, len(regexp_extract_all(html, '<[a-zA-Z]+'))::INTEGER AS tags FROM pages")
-def markup_extract(spark, sf):
-    return _read(spark, sf, "pages").select("page_id", F.size(F.regexp_extract_all("html", F.lit("(<[a-zA-Z]+)"))).alias("tags"))
+@_query("index_xml", """SELECT o_orderkey, concat('N-', o_custkey) AS godlo, o_orderpriority AS format, (o_orderkey % 64)::DOUBLE AS "left", o_totalprice AS top FROM orders WHERE o_orderstatus <> 'P'""")
+def index_xml(spark, sf):
+    corner = lambda tag, x, y: F.concat(F.lit(f"<g:{tag}>"), x.cast("string"), F.lit(" "), y.cast("string"), F.lit(f"</g:{tag}>"))
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    box = F.concat(F.lit("<g:boundedBy><g:Envelope>"), corner("lowerCorner", key % 64, F.lit(0)), corner("upperCorner", key, price), F.lit("</g:Envelope></g:boundedBy>"))
+    text = F.concat(F.lit('<w:S xmlns:w="u" xmlns:g="v">'), F.when(F.col("o_orderstatus") != "P", box).otherwise(""), F.lit("<w:godlo>N-"), F.col("o_custkey").cast("string"), F.lit("</w:godlo><w:format>"), F.col("o_orderpriority"), F.lit("</w:format></w:S>"))
+    rows = sheet_index.parse_index(_read(spark, sf, "orders").select("o_orderkey", text.alias("text")), "text", "o_orderkey")
+    return rows.select("o_orderkey", "godlo", "format", "bounds.left", "bounds.top")
+
+
+@_query("clean_lists", "SELECT p_partkey, [trim(x) for x in string_split(concat(p_type, ', ,', p_brand, ','), ',') if trim(x) <> ''] AS names FROM part")
+def clean_lists(spark, sf):
+    return _read(spark, sf, "part").select("p_partkey", sheet_index.clean_list_column(F.concat("p_type", F.lit(", ,"), "p_brand", F.lit(","))).alias("names"))
 
 
 @_query("iso_dates", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS akt_data FROM orders")
@@ -349,13 +378,47 @@ def time_bounds(spark, sf):
     return pixels(spark, sf).select("rok").distinct().select("rok", at.alias("time"), start.alias("start"), end.alias("stop"))
 
 
-@_query("manifest_json", "SELECT event_id, props->>'$.k' AS k FROM events")
-def manifest_json(spark, sf):
-    return _read(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+CELL_SQL = "CAST(CAST(round_even(CAST(CAST(z AS FLOAT) * 100::FLOAT AS DOUBLE), 0) AS DOUBLE) / 100.0::DOUBLE AS FLOAT)"
+
+
+@_query("grid_read", f"SELECT vec_id::VARCHAR AS plik, row, col, {CELL_SQL} AS z, 500003.5::DOUBLE AS \"right\" FROM ({CHUNKS_SQL}) WHERE CAST(z AS FLOAT) >= 0")
+def grid_read(spark, sf):
+    head = "ncols 8\nnrows 8\nxllcenter 499996\nyllcenter 0.5\ncellsize 1\nnodata_value -9999\n"
+    shown = F.transform("embedding", lambda v: F.when(v >= 0, v.cast("string")).otherwise("-9999"))
+    files = _read(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("plik"), F.concat(F.lit(head), F.array_join(shown, " ")).alias("text"))
+    meta, cells = texts.read_grid(files)
+    return cells.join(meta.select("plik", "right"), "plik").select("plik", "row", "col", "z", "right")
+
+
+@_query("crs_detect", """
+WITH l AS (SELECT l_orderkey AS plik, l_linenumber AS line_no, l_returnflag AS flag, (l_partkey % 10) * 1000000 + l_extendedprice AS a, l_suppkey * 3000.0::DOUBLE AS b FROM lineitem),
+v AS (SELECT plik, line_no, CASE WHEN flag = 'R' THEN a WHEN a < 100000 THEN b ELSE a END AS x, CASE WHEN flag = 'R' THEN b WHEN a < 100000 THEN 7.0::DOUBLE ELSE b END AS y FROM l WHERE flag <> 'A'),
+z AS (SELECT *, substr(CAST(CAST(floor(CASE WHEN x > 4000000 THEN x WHEN y > 4000000 THEN y END) AS BIGINT) AS VARCHAR), 1, 1) AS zone FROM v WHERE x >= 100000 AND y >= 100000),
+e AS (SELECT plik, line_no, CASE WHEN zone IN ('5', '6', '7', '8') THEN 2171 + zone::INTEGER WHEN x > 100000 AND x < 1000000 AND y > 100000 AND y < 1000000 THEN 2180 END AS epsg FROM z)
+SELECT plik, arg_min(epsg, line_no)::INTEGER AS epsg FROM (SELECT DISTINCT l_orderkey AS plik FROM lineitem) LEFT JOIN (SELECT * FROM e WHERE epsg IS NOT NULL) USING (plik) GROUP BY plik""")
+def crs_detect(spark, sf):
+    a, b = (F.col("l_partkey") % 10) * 1_000_000 + F.col("l_extendedprice"), F.col("l_suppkey") * F.lit(3000.0)
+    fields = F.concat_ws("; ", a.cast("decimal(18,6)").cast("string"), b.cast("decimal(18,1)").cast("string"), F.lit("7.0"))
+    text = F.when(F.col("l_returnflag") == "A", F.concat(F.lit("  # "), fields)).when(F.col("l_returnflag") == "R", F.concat(F.col("l_linenumber").cast("string"), F.lit(" "), fields)).otherwise(fields)
+    return crs.detect(_read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("plik"), F.col("l_linenumber").alias("line_no"), text.alias("text")))
 
 
+def _plane_sql(epsg: int) -> str:
+    """The forward projection over columns lon and lat, from the same series."""
+    lon0, scale, fe, fn = crs.PROJECTIONS[epsg]
+    number = lambda x: f"{x!r}::DOUBLE"
+    terms = lambda outer, f, g: " + ".join([outer, *(f"{f}({2 * j} * xi) * {g}({2 * j} * eta) * {number(a)}" for j, a in enumerate(crs._ALPHA, 1))])
+    return f"""SELECT c_custkey, ({terms("eta", "cos", "sinh")}) * {number(scale * crs._R)} + {number(fe)} AS east, ({terms("xi", "sin", "cosh")}) * {number(scale * crs._R)} + {number(fn)} AS north
+FROM (SELECT c_custkey, atan2(t, cos(lam)) AS xi, asinh(sin(lam) / sqrt(t * t + cos(lam) * cos(lam))) AS eta
+FROM (SELECT c_custkey, sinh(atanh(sin(phi)) - {number(crs._E)} * atanh({number(crs._E)} * sin(phi))) AS t, lam FROM (SELECT c_custkey, radians(lat) AS phi, radians(lon - {number(lon0)}) AS lam FROM places)))"""
+
+
+PLACES_SQL = "places AS (SELECT c_custkey, 14.2::DOUBLE + (c_custkey % 97) / 10.0::DOUBLE AS lon, 49.1::DOUBLE + (c_custkey % 53) / 10.0::DOUBLE AS lat FROM customer)"
+
+
+@_query("crs_round_trip", f"WITH {PLACES_SQL} SELECT c_custkey, round(east, 3) AS east, round(north, 3) AS north, true AS returns FROM ({_plane_sql(2180)})")
 def crs_round_trip(spark, sf):
-    """Customers spread over the country, to the plane and back (no SQL)."""
+    """Customers spread over the country, to the plane and back."""
     lon, lat = F.lit(14.2) + (F.col("c_custkey") % 97) / 10.0, F.lit(49.1) + (F.col("c_custkey") % 53) / 10.0
     m = crs.COLUMNS
     east, north = crs.to_plane(lon, lat, 2180, m)
@@ -363,5 +426,3 @@ def crs_round_trip(spark, sf):
     off = F.greatest(F.abs(back[0] - lon), F.abs(back[1] - lat))
     return _read(spark, sf, "customer").select("c_custkey", F.round(east, 3).alias("east"), F.round(north, 3).alias("north"), (off < 1e-10).alias("returns"))
 
-
-QUERIES["crs_round_trip"] = crs_round_trip

@@ -32,9 +32,10 @@ def read_grid(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     meta: plik, res, left, bottom, right, top, ncols, nrows. cells: plik, row, col, z; no-data cells are absent.
     """
     lines = F.split(F.regexp_replace("text", "\r", ""), "\n")
-    head = files.select("plik", lines.alias("lines")).withColumn("head", F.map_from_entries(F.transform(
-        F.slice("lines", 1, 6), lambda x: F.struct(F.lower(F.split(F.trim(x), r"\s+")[0]), F.split(F.trim(x), r"\s+")[1].try_cast("double")))))
-    get = lambda key: F.try_element_at("head", F.lit(key))
+    words = lambda x: F.split(F.trim(x), r"\s+")
+    entries = F.transform(F.slice("lines", 1, 6), lambda x: F.struct(F.lower(F.try_element_at(words(x), F.lit(1))).alias("key"), F.try_element_at(words(x), F.lit(2)).try_cast("double").alias("value")))
+    head = files.select("plik", lines.alias("lines")).withColumn("head", entries)
+    get = lambda key: F.try_element_at(F.filter("head", lambda e: e.key == key), F.lit(1)).value
     cell, half = get("cellsize"), get("cellsize") / 2
     meta = head.select(
         "plik", cell.alias("res"), get("ncols").cast("int").alias("ncols"), get("nrows").cast("int").alias("nrows"), get("nodata_value").alias("no_data"), "lines",
@@ -50,10 +51,10 @@ def read_grid(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def xyz_points(lines: DataFrame) -> DataFrame:
     """(plik, line_no, x, y, z) of the lines of exactly three numbers."""
-    part = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
-    rows = lines.withColumn("p", part).where(F.size("p") == 3)
-    value = [F.col("p")[k].try_cast("double").alias(n) for k, n in enumerate("xyz")]
-    return rows.select("plik", "line_no", *value).where("x is not null and y is not null and z is not null")
+    part = F.split(F.regexp_replace("text", r"^\s+|\s+$", ""), r"\s+")
+    number = lambda k: F.when(F.size("p") == 3, F.try_element_at("p", F.lit(k)).try_cast("double"))
+    rows = lines.withColumn("p", part).select("plik", "line_no", *(number(k + 1).alias(n) for k, n in enumerate("xyz")))
+    return rows.where("x is not null and y is not null and z is not null")
 
 
 def infer_step(points: DataFrame) -> DataFrame:

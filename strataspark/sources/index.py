@@ -8,6 +8,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataspark.sources.files import Files
+
 #: Element names of the index that are read as columns.
 INDEX_FIELDS = ("godlo", "akt_data", "format", "nr_zglosz", "uklad_xy", "url_do_pobrania", "char_przestrz", "uklad_h", "blad_sr_wys", "zrodlo_danych")
 
@@ -62,12 +64,35 @@ def read_boundaries(spark: SparkSession, path: str, name: str = "JPT_NAZWA_") ->
     return rows.select("seq", F.col(f"f.properties.{name}").alias("name"), F.when(F.col("f.geometry.type") == "Polygon", polygon).otherwise(many).alias("rings"))
 
 
-def read_index(spark: SparkSession, path: str, row_tag: str, year: int) -> DataFrame:
-    """Index rows of one year from XML; rows without both corners are dropped."""
-    fields = ",".join(f"{f}:string" for f in INDEX_FIELDS).replace(":", " ")
-    envelope = "boundedBy struct<Envelope:struct<lowerCorner:string,upperCorner:string>>"
-    rows = spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", True).schema(f"{fields}, {envelope}").load(path)
-    corner = lambda which, k: F.split(F.trim(F.col(f"boundedBy.Envelope.{which}")), r"\s+")[k].try_cast("double")
-    bounds = F.struct(corner("lowerCorner", 0).alias("left"), corner("lowerCorner", 1).alias("bottom"), corner("upperCorner", 0).alias("right"), corner("upperCorner", 1).alias("top"))
-    out = rows.select(F.lit(year).alias("rok"), *INDEX_FIELDS, bounds.alias("bounds"))
+_ENVELOPE = "boundedBy struct<Envelope:struct<lowerCorner:string,upperCorner:string>>"
+INDEX_SCHEMA = ", ".join([*(f"{f} string" for f in INDEX_FIELDS), _ENVELOPE])
+
+
+def index_rows(parsed: DataFrame, *keep: Column) -> DataFrame:
+    """``keep``, the fields and ``bounds`` of parsed index elements; rows without both corners are dropped."""
+    corner = lambda which, k: F.try_element_at(F.split(F.trim(F.col(f"boundedBy.Envelope.{which}")), r"\s+"), F.lit(k)).try_cast("double")
+    bounds = F.struct(corner("lowerCorner", 1).alias("left"), corner("lowerCorner", 2).alias("bottom"), corner("upperCorner", 1).alias("right"), corner("upperCorner", 2).alias("top"))
+    out = parsed.select(*keep, *INDEX_FIELDS, bounds.alias("bounds"))
     return out.where("bounds.left is not null and bounds.bottom is not null and bounds.right is not null and bounds.top is not null")
+
+
+def read_index(spark: SparkSession, path: str, row_tag: str, year: int) -> DataFrame:
+    """S3: index rows of one year from XML files."""
+    rows = spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", True).schema(INDEX_SCHEMA).load(path)
+    return index_rows(rows, F.lit(year).alias("rok"))
+
+
+def parse_index(elements: DataFrame, text: str, *keep: str) -> DataFrame:
+    """S3 for elements that are a column: ``keep`` columns and what ``index_rows`` gives."""
+    parsed = elements.select(*keep, F.from_xml(F.col(text), INDEX_SCHEMA, {"ignoreNamespace": "true", "mode": "PERMISSIVE"}).alias("element"))
+    return index_rows(parsed.select(*keep, "element.*"), *map(F.col, keep))
+
+
+def cached_boundaries(spark: SparkSession, path: str, fetch=None, name: str = "JPT_NAZWA_") -> DataFrame:
+    """The boundaries kept at ``path``; where they are not, ``fetch()`` gives the GeoJSON bytes to keep."""
+    files = Files(spark)
+    if not files.exists(path):
+        if fetch is None:
+            raise FileNotFoundError(path)
+        files.replace(path, fetch())
+    return read_boundaries(spark, path, name)

@@ -1,4 +1,4 @@
-"""Layer store: Parquet layers by (level, rok, by, bx), a JSON manifest, incremental years.
+"""Layer store: Parquet layers by (level, rok, by, bx), a JSON manifest, incremental years.
 
 A year is ``w_toku`` while it is written and ``kompletna`` afterwards; anything not complete is rebuilt. The grid and
 the levels are frozen when the store is made. Files go through Spark, so a store may lie in any file system it knows.
@@ -8,17 +8,27 @@ from __future__ import annotations
 
 import datetime
 import json
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataspark.functions.grid import Grid, level_block, level_name
-from strataspark.functions.numeric import round_half_even
-from strataspark.operators import levels, mosaic, plan, stats
+from strataspark.functions.grid import SIDES, Grid, Level
+from strataspark.operators import catalog, levels, mosaic, plan, stats
+from strataspark.sources.files import Files
 
 FORMAT_VERSION = 1
 IN_PROGRESS, COMPLETE = "w_toku", "kompletna"
+#: K15, fixed values: names, units and axes as the CF convention has them.
+ATTRIBUTES = {
+    "Conventions": "CF-1.8",
+    "nmt": {"long_name": "numeryczny model terenu", "units": "m"},
+    "rozdzielczosc_zrodla": {"long_name": "rozdzielczosc arkusza zrodlowego", "units": "m"},
+    "x": {"axis": "X", "standard_name": "projection_x_coordinate", "long_name": "x coordinate of projection", "units": "m"},
+    "y": {"axis": "Y", "standard_name": "projection_y_coordinate", "long_name": "y coordinate of projection", "units": "m"},
+    "time": {"axis": "T", "standard_name": "time", "long_name": "time"},
+}
 
 
 class StoreError(RuntimeError):
@@ -35,55 +45,53 @@ class LayerStore:
     path: str
     block: int = 2048
 
-    def _fs(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def _write_json(self, name: str, data: dict) -> None:
-        """K7: written beside, then renamed over."""
-        fs, target = self._fs(name)
-        _, part = self._fs(f"{name}.part")
-        out = fs.create(part, True)
-        out.write(bytearray(json.dumps(data, ensure_ascii=False).encode()))
-        out.close()
-        if fs.exists(target):
-            fs.delete(target, False)
-        if not fs.rename(part, target):
-            raise StoreError(f"{target} could not be replaced")
-
-    def _read_json(self, name: str) -> dict:
-        fs, target = self._fs(name)
-        _, part = self._fs(f"{name}.part")
-        if not fs.exists(target) and fs.exists(part):  # a rename was cut off
-            target = part
-        if not fs.exists(target):
+    @property
+    def files(self) -> Files:
+        return Files(self.spark)
+
+    def _save(self, data: dict) -> None:
+        self.files.replace(f"{self.path}/opis.json", json.dumps(data, ensure_ascii=False).encode())
+
+    def _load(self) -> dict:
+        if not self.exists():
             raise StoreError(f"no store at {self.path}")
-        return json.loads(bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(fs.open(target))).decode())
+        return json.loads(self.files.read(f"{self.path}/opis.json"))
 
     def exists(self) -> bool:
-        fs, target = self._fs("opis.json")
-        return fs.exists(target)
+        """A description whose layers' folder is gone describes nothing; it is removed, so years are built anew."""
+        files = self.files
+        if not files.exists(f"{self.path}/opis.json"):
+            return False
+        if files.exists(f"{self.path}/warstwy"):
+            return True
+        for orphan in ("opis.json", "czas"):
+            files.remove(f"{self.path}/{orphan}")
+        warnings.warn(f"{self.path} had a description without layers; it was removed", stacklevel=2)
+        return False
 
     def create(self, grid: Grid, factors: tuple[int, ...] = (), county: str = "", method: str = "bilinear") -> LayerStore:
-        """Refuses if there is one already."""
+        """Refuses if there is one already, or layers without a description."""
         if self.exists():
             raise StoreError(f"there is a store at {self.path}")
+        if self.files.names(f"{self.path}/warstwy"):
+            raise StoreError(f"{self.path} holds layers of an unknown format; remove them and build anew")
         for f in factors:
-            grid.level(f)
-        about = {"wersja_formatu": FORMAT_VERSION, "rola": "baza", "siatka": json.loads(grid.to_json()), "faktory_poziomow": list(factors), "utworzono": _now(), "powiat": county, "resampling_poziomow": levels.method_name(method)}
-        self._write_json("opis.json", {"opis": about, "warstwy": {}})
+            _ = Level(grid, f, self.block).grid
+        about = {"wersja_formatu": FORMAT_VERSION, "rola": "baza", "siatka": json.loads(grid.to_json()), "faktory_poziomow": list(factors), "utworzono": _now(), "powiat": county, "resampling_poziomow": levels.method_name(method), "atrybuty": ATTRIBUTES | {"title": f"NMT {county}".strip()}}
+        self.files.folder(f"{self.path}/warstwy")
+        self._save({"opis": about, "warstwy": {}})
         return self
 
     @property
     def about(self) -> dict:
-        found = self._read_json("opis.json")["opis"]
+        found = self._load()["opis"]
         if found.get("wersja_formatu") != FORMAT_VERSION:
             raise StoreError(f"{self.path} has another format; rebuild it")
         return found
 
     @property
     def manifest(self) -> dict[int, dict]:
-        return {int(k): v for k, v in sorted(self._read_json("opis.json")["warstwy"].items())}
+        return {int(k): v for k, v in sorted(self._load()["warstwy"].items())}
 
     @property
     def grid(self) -> Grid:
@@ -95,28 +103,69 @@ class LayerStore:
 
     def save_record(self, year: int, record: dict) -> None:
         """K8."""
-        data = self._read_json("opis.json")
+        data = self._load()
         data["warstwy"][str(year)] = record | {"zmieniono": _now()}
-        self._write_json("opis.json", data)
+        self._save(data)
 
     def years(self) -> list[int]:
         """In storage order."""
         found = self.manifest
         return sorted(found, key=lambda y: found[y]["indeks"])
 
-    def levels(self) -> list[tuple[str, int]]:
-        """(name, factor), the base first."""
-        cell = self.grid.cellsize
-        return [(level_name(round(cell * f, 6)), f) for f in (1, *self.factors)]
+    def levels(self) -> list[Level]:
+        """The base first."""
+        base = self.grid
+        return [Level(base, f, self.block) for f in (1, *self.factors)]
+
+    def differences(self, resolution: float | None = None, wanted: list[float] | None = None) -> list[str]:
+        """How a configuration differs from what the store has frozen; the store's values hold."""
+        base, stored = self.grid.cellsize, [x.grid.cellsize for x in self.levels()[1:]]
+        found = []
+        if wanted is not None and sorted(map(float, wanted)) != sorted(stored):
+            found.append(f"levels {wanted} differ from the store's {stored}")
+        if resolution and abs(float(resolution) - base) > 1e-9:
+            found.append(f"resolution {resolution:g} differs from the store's {base:g}")
+        return found
 
     def reserve(self, year: int) -> tuple[int, str | None]:
         """(storage index, warning). A known year keeps its index; an older year is appended at the end."""
         found = self.manifest
+        if len({r["indeks"] for r in found.values()}) < len(found):
+            raise StoreError(f"{self.path}: two years share one place on the time axis")
         if year in found:
             return found[year]["indeks"], None
         late = f"{year} is older than {max(found)} and stored after it" if found and year < max(found) else None
         return max((r["indeks"] for r in found.values()), default=-1) + 1, late
 
+    # Time axis
+    def rewrite_time(self, position: str = "middle", bounds: bool = True, unit: str = "seconds", chunks: str = "each") -> DataFrame:
+        """Write the axis of every level anew: middle or start of the year, with or without bounds, in seconds or days,
+        one file per year (``each``) or one for all (``one``). Layers are not touched. (level, indeks, rok, time[, start, end])."""
+        order = self.spark.createDataFrame([(y, r["indeks"]) for y, r in self.manifest.items()], "rok int, indeks int")
+        at, start, end = stats.time_axis(F.col("rok"), position, unit)
+        ends = [start.alias("start"), end.alias("end")] if bounds else []
+        axis = order.select("indeks", "rok", at.alias("time"), *ends).crossJoin(F.broadcast(self.spark.createDataFrame([(x.factor,) for x in self.levels()], "level int")))
+        dealt = axis.repartition("level") if chunks == "one" else axis.repartition("level", "indeks")
+        data = self._load()
+        number = data["opis"].get("czas", {}).get("zapis", 0) + 1
+        writer = dealt.write.mode("overwrite").partitionBy("level", *(["indeks"] if chunks == "each" else []))
+        writer.parquet(f"{self.path}/czas/zapis={number}")
+        since = f"{unit} since 1970-01-01"
+        data["opis"]["czas"] = {"zapis": number, "units": since, "calendar": "standard", "pozycja": position, "fragmenty": chunks} | ({"bounds": "time_bnds"} if bounds else {})
+        self._save(data)
+        for old in self.files.names(f"{self.path}/czas"):
+            if old != f"zapis={number}":
+                self.files.remove(f"{self.path}/czas/{old}")
+        return self.time_axis()
+
+    def time_axis(self, factor: int | None = None) -> DataFrame:
+        """The axis as it was written last."""
+        written = self.about.get("czas")
+        if not written:
+            raise StoreError("no time axis was written")
+        axis = self.spark.read.parquet(f"{self.path}/czas/zapis={written['zapis']}")
+        return axis if factor is None else axis.where(F.col("level") == factor)
+
     # Layers
     def _layer_path(self, factor: int, year: int) -> str:
         return f"{self.path}/warstwy/level={factor}/rok={year}"
@@ -129,29 +178,57 @@ class LayerStore:
         cells = cells if year is None else cells.where(F.col("rok") == year)
         return cells if value is None else cells.select("rok", "row", "col", value)
 
-    def _write(self, cells: DataFrame, factor: int, year: int, blocks: list[tuple[int, int]] | None) -> None:
+    def _write(self, cells: DataFrame, level: Level, year: int, blocks: list[tuple[int, int]] | None) -> None:
         """K6: whole layer, or the given blocks only. Their folders go first, as a block may have become empty."""
-        b = level_block(self.block, factor)
-        placed = cells.select("row", "col", "nmt", "res_src", F.floor(F.col("row") / b).cast("int").alias("by"), F.floor(F.col("col") / b).cast("int").alias("bx"))
-        where = self._layer_path(factor, year)
-        fs, folder = self._fs(where.removeprefix(f"{self.path}/"))
+        placed = cells.select("row", "col", "nmt", "res_src", *(c.alias(n) for n, c in level.block_columns().items()))
+        where = self._layer_path(level.factor, year)
         if blocks is None:
-            fs.delete(folder, True)
-            mode = "overwrite"
-        else:
-            for by, bx in blocks:
-                fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{where}/by={by}/bx={bx}"), True)
-            mode = "append"
-        placed.repartition("by", "bx").sortWithinPartitions("row", "col").write.mode(mode).partitionBy("by", "bx").parquet(where)
+            self.files.remove(where)
+        for by, bx in blocks or ():
+            self.files.remove(f"{where}/by={by}/bx={bx}")
+        if blocks is None or blocks:
+            placed.repartition("by", "bx").sortWithinPartitions("row", "col").write.mode("append").partitionBy("by", "bx").parquet(where)
+
+    def _hit(self, level: Level, dirty: DataFrame | None) -> list[tuple[int, int]] | None:
+        """The level's blocks whose cells weigh a pixel of a dirty rectangle, all of them without rectangles (None)."""
+        if dirty is None:
+            return None
+        far = levels.reach(self.about["resampling_poziomow"], level.factor) * level.base.cellsize
+        wide = dirty.select(*((F.col(c) + far * sign).alias(c) for c, sign in zip(SIDES, (-1, -1, 1, 1), strict=True)))
+        hit = plan.touched_blocks(level.grid.blocks(self.spark, level.block), wide)
+        return sorted((r.by, r.bx) for r in hit.select("by", "bx").collect())  # bounded by the grid's block count
+
+    def _only(self, cells: DataFrame, level: Level, blocks: list[tuple[int, int]] | None) -> DataFrame:
+        if blocks is None:
+            return cells
+        chosen = self.spark.createDataFrame(blocks or [(-1, -1)], "by int, bx int")
+        return cells.withColumns(level.block_columns()).join(F.broadcast(chosen), ["by", "bx"], "left_semi").drop("by", "bx")
+
+    def _around(self, level: Level, blocks: list[tuple[int, int]], year: int) -> DataFrame:
+        """Base cells of the base blocks that the level's blocks need, with the margin that the widest kernel reaches."""
+        base, reach = self.levels()[0], 2 * level.factor + 2
+        need = set()
+        for by, bx in blocks:
+            sides = []
+            for k in (by, bx):
+                first, last = k * level.block * level.factor - reach, (k + 1) * level.block * level.factor + reach - 1
+                sides.append(range(max(0, first) // base.block, last // base.block + 1))
+            need |= {(y, x) for y in sides[0] for x in sides[1]}
+        cells = self.spark.read.parquet(self._layer_path(1, year))
+        near = cells.where(F.col("by").isin(sorted({y for y, _ in need})) & F.col("bx").isin(sorted({x for _, x in need})))  # prunes folders
+        return self._only(near.drop("by", "bx"), base, sorted(need))
 
     def update_year(self, year: int, sheets: DataFrame, meta: DataFrame, cells: DataFrame, rings=None, force: bool = False, archives_without_ascii: DataFrame | None = None) -> dict:
         """L2, L3: bring one year up to date from its sheet list and the converted sheets; what was done.
 
-        ``sheets``: plik, akt_data, left, bottom, right, top. ``meta`` and ``cells`` as the readers give them.
+        ``sheets``: plik, akt_data, left, bottom, right, top. ``meta`` and ``cells`` as the readers give them; where one
+        archive holds several sheets both have a column ``member``. A change reads only the sheets that meet a touched
+        block, and writes only touched blocks, on every level.
         """
         record = self.manifest.get(year)
-        old = self._sheet_frame(record["arkusze"], sheets) if record else None
-        skip = self._sheet_frame(record.get("nieobslugiwane", []), sheets) if record else None
+        old = self._sheet_frame(record["arkusze"]) if record else None
+        skip = self._sheet_frame(record.get("nieobslugiwane", [])) if record else None
+        sheets = plan.last_of_each(sheets)
         todo = plan.action(sheets, old, record and record["status"], skip, force)
         if todo["akcja"] == "aktualna":
             return todo
@@ -160,25 +237,26 @@ class LayerStore:
         if tiles.isEmpty():
             return todo | {"akcja": "blad", "powod": "no usable sheet"}
         dated = tiles.drop("akt_data").join(sheets.select("plik", "akt_data"), "plik")
-        histogram = {f"{r.res:g}": r.n for r in stats_histogram(tiles)}
+        histogram = {f"{r.res:g}": r.n for r in catalog.resolution_histogram(tiles.select(catalog.stored_resolution(F.col("res")).alias("res"))).orderBy("res").collect()}
         started = {"indeks": index, "status": IN_PROGRESS, "arkusze": self._rows(sheets.join(tiles.select("plik").distinct(), "plik", "left_semi")), "rozdzielczosci_zrodlowe": histogram}
         self.save_record(year, started)
-        grid = self.grid
-        base = mosaic.base_layer(dated, cells, grid, rings).select("row", "col", F.col("z").alias("nmt"), "res_src")
-        blocks = None
-        if todo["akcja"] == "zmiana":
-            hit = plan.touched_blocks(grid.blocks(self.spark, self.block), todo["brudne"])
-            blocks = [(r.by, r.bx) for r in hit.select("by", "bx").collect()]  # bounded by the grid's block count
-            chosen = self.spark.createDataFrame(blocks or [(-1, -1)], "by int, bx int")
-            at = base.withColumns({"by": F.floor(F.col("row") / self.block).cast("int"), "bx": F.floor(F.col("col") / self.block).cast("int")})
-            base = at.join(F.broadcast(chosen), ["by", "bx"], "left_semi").drop("by", "bx")
-        self._write(base, 1, year, blocks)
-        fresh = self.spark.read.parquet(self._layer_path(1, year))
-        for _, f in self.levels()[1:]:
-            g = grid.level(f)
-            z = levels.resample(fresh.select("row", "col", "nmt"), f, self.about["resampling_poziomow"], value="nmt", height=g.height, width=g.width)
-            self._write(z.join(levels.coarsest(fresh, f), ["row", "col"], "left"), f, year, None)
-        shares = {f"{r.res:g}": r.share for r in stats.resolution_shares(fresh).orderBy("res").collect()}
+        base, *coarser = self.levels()
+        blocks = self._hit(base, todo["brudne"])
+        if blocks is not None:
+            edge = base.grid.blocks(self.spark, base.block).join(F.broadcast(self.spark.createDataFrame(blocks or [(-1, -1)], "by int, bx int")), ["by", "bx"], "left_semi")
+            dated = plan.touched_blocks(dated, edge)  # L3: sheets that meet none of the blocks are not read
+        layer = mosaic.base_layer(dated, cells, base.grid, rings).select("row", "col", F.col("z").alias("nmt"), "res_src")
+        self._write(self._only(layer, base, blocks), base, year, blocks)
+        method, touched = self.about["resampling_poziomow"], {base.factor: blocks}
+        for level in coarser:
+            hit = self._hit(level, todo["brudne"])
+            touched[level.factor] = hit
+            if hit == []:
+                continue
+            fresh = self.spark.read.parquet(self._layer_path(1, year)) if hit is None else self._around(level, hit, year)
+            z = levels.resample(fresh.select("row", "col", "nmt"), level.factor, method, value="nmt", height=level.grid.height, width=level.grid.width)
+            self._write(self._only(z.join(levels.coarsest(fresh, level.factor), ["row", "col"], "left"), level, hit), level, year, hit)
+        shares = {f"{r.res:g}": r.share for r in stats.resolution_shares(self.spark.read.parquet(self._layer_path(1, year))).orderBy("res").collect()}
         none = archives_without_ascii if archives_without_ascii is not None else self.spark.createDataFrame([], "archive string")
         rest = plan.unused(sheets, tiles, none).select("plik", "akt_data", "powod").collect()
         done = started | {
@@ -186,15 +264,16 @@ class LayerStore:
             "nieobslugiwane": [{"plik": r.plik, "akt_data": str(r.akt_data or "")} for r in rest if r.powod != "pominiete"],
         }
         self.save_record(year, done)
-        return todo | {"indeks": index, "bloki": blocks, "ostrzezenie": warning, "obce": foreign.count()}
+        counts = catalog.resolution_counters(tiles, base.grid.cellsize).head().asDict()
+        return todo | {"indeks": index, "bloki": blocks, "poziomy": touched, "ostrzezenie": warning, "obce": foreign.count()} | counts
 
     @staticmethod
     def _rows(sheets: DataFrame) -> list[dict]:
         """One record per sheet of a year: the manifest holds them all."""
-        return [r.asDict() | {"akt_data": str(r.akt_data or "")} for r in sheets.select("plik", "akt_data", "left", "bottom", "right", "top").orderBy("plik").collect()]
+        return [r.asDict() | {"akt_data": str(r.akt_data or "")} for r in sheets.select("plik", "akt_data", *SIDES).orderBy("plik").collect()]
 
-    def _sheet_frame(self, records: list[dict], like: DataFrame) -> DataFrame:
-        rows = [tuple(r.get(k) for k in ("plik", "akt_data", "left", "bottom", "right", "top")) for r in records]
+    def _sheet_frame(self, records: list[dict]) -> DataFrame:
+        rows = [tuple(r.get(k) for k in ("plik", "akt_data", *SIDES)) for r in records]
         return self.spark.createDataFrame(rows, "plik string, akt_data string, left double, bottom double, right double, top double")
 
     def export(self, folder: str, factor: int = 1, year: int | None = None, value: str = "nmt") -> None:
@@ -211,8 +290,14 @@ class LayerStore:
         return stats.layer_stats(cells, "indeks").join(stats.change_shares(cells), "indeks", "left").join(order, "indeks").orderBy("indeks")
 
 
-def stats_histogram(meta: DataFrame) -> list:
-    return meta.groupBy(round_half_even(F.col("res")).alias("res")).agg(F.count("*").alias("n")).orderBy("res").collect()
+def find_stores(spark: SparkSession, folder: str) -> list[str]:
+    """Folders below ``folder`` whose description says that they are a base store."""
+    files, found = Files(spark), []
+    for name in files.names(folder):
+        about = f"{folder}/{name}/opis.json"
+        if files.exists(about) and json.loads(files.read(about)).get("opis", {}).get("rola") == "baza":
+            found.append(f"{folder}/{name}")
+    return found
 
 
 def ascii_grid_rows(cells: DataFrame, grid: Grid, value: str = "z", no_data: float = -9999) -> DataFrame:
@@ -226,10 +311,9 @@ def ascii_grid_rows(cells: DataFrame, grid: Grid, value: str = "z", no_data: flo
 def sheets_geojson(sheets: DataFrame, epsg: int = 2180) -> DataFrame:
     """One GeoJSON feature per sheet with its corners in degrees; null properties become ''."""
     from strataspark.functions import crs
-    from strataspark.operators.catalog import shown
-
+    
     corners = [("left", "bottom"), ("right", "bottom"), ("right", "top"), ("left", "top"), ("left", "bottom")]
     ring = F.array(*(F.array(*crs.to_degrees(F.col(x), F.col(y), epsg, crs.COLUMNS)) for x, y in corners))
-    properties = F.struct(*(shown(F.col(c)).alias(c) for c in sheets.columns if c not in ("left", "bottom", "right", "top")))
+    properties = F.struct(*(catalog.shown(F.col(c)).alias(c) for c in sheets.columns if c not in ("left", "bottom", "right", "top")))
     feature = F.struct(F.lit("Feature").alias("type"), properties.alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
     return sheets.select(F.to_json(feature).alias("feature"))

@@ -6,10 +6,14 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from strataspark import cli
 from strataspark.functions import crs, geometry, grid, numeric
 from strataspark.operators import catalog, levels, mosaic, plan, stats
 from strataspark.sources import archive, ascii, index
-from strataspark.store import LayerStore, StoreError, ascii_grid_rows
+from strataspark.operators.convert import Conversions
+from strataspark.store import LayerStore, StoreError, ascii_grid_rows, find_stores, sheets_geojson
+from strataspark.streaming.snapshots import follow_index
+from strataspark.yearrun import Settings, run_years
 
 HEAD = "ncols 3\nnrows 2\n{0} {1}\n{2} {3}\ncellsize 1\nnodata_value -9999\n1.005 2 -9999\n3.456 4 5.125\n"
 SQUARE = [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)], [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 2.0)]]
@@ -38,7 +42,7 @@ def test_xyz(spark):  # F3, F4
 
 
 def test_grid_algebra(spark):  # F5-F11
-    assert grid.snap_out((-3.2, -1.1, -0.4, 0.0), 0.5) == (-3.5, -1.5, 0.0, 0.0)
+    assert tuple(n * 0.5 for n in grid.Lattice(0.5).extent((-3.2, -1.1, -0.4, 0.0))) == (-3.5, -1.5, 0.0, 0.0)
     g = grid.Grid.covering((3.2, 1.1, 17.9, 9.4), 0.5, (10, 20))
     assert g.bounds == (0, 0, 20, 10) and (g.width, g.height) == (40, 20)
     g = grid.Grid.covering((3.2, 1.1, 17.9, 9.4), 1.0)
@@ -49,10 +53,14 @@ def test_grid_algebra(spark):  # F5-F11
             grid.level_factors(0.5, bad)
     small = grid.Grid(0, 4, 1.0, 5, 4)
     want = [(0, 2, 0, 2), (0, 2, 2, 4), (0, 2, 4, 5), (2, 4, 0, 2), (2, 4, 2, 4), (2, 4, 4, 5)]
-    assert list(small.windows(2)) == want == [(r.y0, r.y1, r.x0, r.x1) for r in small.blocks(spark, 2).orderBy("by", "bx").collect()]
-    assert not grid.rectangles_overlap((0, 0, 2, 2), (2, 0, 4, 2)) and grid.rectangles_overlap((0, 0, 2, 2), (1, 1, 3, 3))
-    assert [grid.level_block(2048, f) for f in (1, 10, 40)] == [2048, 204, 128]
-    assert (grid.level_name(0.5), grid.level_name(5.0)) == ("0.5m", "5m")
+    assert want == [(r.y0, r.y1, r.x0, r.x1) for r in small.blocks(spark, 2).orderBy("by", "bx").collect()]
+    pairs = spark.createDataFrame([(0, 0, 2, 2, 2, 0, 4, 2), (0, 0, 2, 2, 1, 1, 3, 3), (0, 0, 2, 2, 3, 0, 4, 2)], [f"{k}_{c}" for k in "ab" for c in grid.SIDES])
+    assert [tuple(r) for r in pairs.select(grid.overlaps("a_", "b_"), grid.overlaps("a_", "b_", strict=False)).collect()] == [(False, True), (True, True), (False, False)]
+    base = grid.Grid(0, 40, 0.5, 80, 80)
+    assert [grid.Level(base, f, 2048).block for f in (1, 10, 40)] == [2048, 204, 128]
+    assert [grid.Level(base, f, 2048).name for f in (1, 10)] == ["0.5m", "5m"]
+    with pytest.raises(ValueError):
+        _ = grid.Level(base, 7, 2048).grid
 
 
 SHEETS = {"A": (0.5, "2022-01-01", [[1, None, None, None], [2, 3, None, None]]), "B": (1.0, "2020-01-01", [[9, 8, None, None], [9, 9, 7, None]]), "C": (5.0, None, [[5, 5, 5, None], [5, 5, 5, 5]])}
@@ -106,8 +114,9 @@ def test_crs(spark):  # F21, F22
     row = spark.createDataFrame([(7500833.5124, 5788456.4865)], "x double, y double")
     assert tuple(row.select(*crs.transform(F.col("x"), F.col("y"), 2178, 2180, crs.COLUMNS)).head()) == pytest.approx((637382.2044, 486757.2095), abs=1e-3)
     lines = [("a", 0, "# x"), ("a", 1, "6536979.8 6034576.9 1"), ("b", 0, "1, 472120.2; 730752.7 5"), ("c", 0, "4100000 500000 1"), ("d", 0, "x")]
+    lines += [("e", 0, "7500833.5 5788456.5 101.2 0"), ("f", 0, "1 472120.2 730752.7"), ("g", 0, "6536979.8 5 1"), ("g", 1, "5 6536979.8 x"), ("g", 200, "6536979.8 6034576.9"), ("h", 0, "6536979.8 6034576.9")]
     got = {r.plik: r.epsg for r in crs.detect(spark.createDataFrame(lines, "plik string, line_no int, text string")).collect()}
-    assert got == {"a": 2177, "b": 2180, "c": None, "d": None}
+    assert got == {"a": 2177, "b": 2180, "c": None, "d": None, "e": 2178, "f": 2180, "g": None, "h": 2177}
 
 
 def test_reprojection_returns(spark):
@@ -175,6 +184,12 @@ def test_store_is_incremental_and_recovers(spark, tmp_path):
     assert store.update_year(2020, meta, meta, cells)["akcja"] == "przebudowa"
     assert "older" in store.update_year(2019, a[0], a[0], a[1])["ostrzezenie"] and store.years() == [2020, 2019]
     assert store.report(1).count() == 2
+    assert store.differences(1.0, [2]) == [] and len(store.differences(0.5, [4])) == 2
+    assert find_stores(spark, str(tmp_path)) == [f"{tmp_path}/s", f"{tmp_path}/t"]
+    axis = store.rewrite_time(bounds=False, unit="days", chunks="one")
+    assert "start" not in axis.columns and sorted((r.level, r.rok, r.indeks, r.time) for r in axis.collect()) == [(f, y, i, d) for f in (1, 2) for y, i, d in ((2019, 1, 18078), (2020, 0, 18444))]
+    axis = store.rewrite_time("start")
+    assert {(r.rok, r.time, r.end) for r in store.time_axis(2).collect()} == {(2020, 1577836800, 1609459199), (2019, 1546300800, 1577836799)} and store.about["czas"]["bounds"] == "time_bnds"
     store.export(str(tmp_path / "out"), year=2019)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 16
     with pytest.raises(KeyError):
@@ -229,3 +244,154 @@ def test_reissued_archives_are_loaded_anew(spark, tmp_path):
     got = archive.download_all(urls, str(tmp_path), lambda url, timeout: (200, "application/zip", b"n" * 6000), reissued=again).collect()
     assert {(r.url[-5:], r.result) for r in got} == {("a.zip", "done"), ("b.zip", "present")}
     assert (tmp_path / "a.zip").read_bytes() == b"n" * 6000 and (tmp_path / "b.zip").read_bytes() == b"o" * 6000
+
+
+def written_blocks(path):
+    return {(str(f.relative_to(path).parent), f.name) for f in path.rglob("part-*.parquet")}
+
+
+def test_a_change_of_one_sheet_writes_only_touched_blocks_on_every_level(spark, tmp_path):
+    parts = [sheet(spark, n, "2020-01-01", left, z, 8) for n, left, z in (("a", 0.0, 1), ("b", 8.0, 2), ("c", 56.0, 3))]
+    meta, cells = (parts[0][k].union(parts[1][k]).union(parts[2][k]) for k in (0, 1))
+    g = grid.Grid(0.0, 8.0, 1.0, 64, 8)
+    store = LayerStore(spark, str(tmp_path / "s"), block=8).create(g, (2,), method="cubic")
+    level = grid.Level(g, 2, 8)
+    assert level.block == 128  # so the level has one block; a smaller one shows that the others stay
+    store.update_year(2020, meta, meta, cells)
+    before = written_blocks(tmp_path / "s" / "warstwy")
+    new_meta, new_cells = sheet(spark, "c", "2021-01-01", 56.0, 9, 8)
+    meta2, cells2 = parts[0][0].union(parts[1][0]).union(new_meta), parts[0][1].union(parts[1][1]).union(new_cells)
+    done = store.update_year(2020, meta2, meta2, cells2)
+    after = written_blocks(tmp_path / "s" / "warstwy")
+    assert done["bloki"] == [(0, 7)] and {p for p, _ in after - before} == {"level=1/rok=2020/by=0/bx=7", "level=2/rok=2020/by=0/bx=0"}
+    fresh = LayerStore(spark, str(tmp_path / "t"), block=8).create(g, (2,), method="cubic")
+    fresh.update_year(2020, meta2, meta2, cells2)
+    for f in (1, 2):
+        assert raster(store.read(2020, f), "nmt") == raster(fresh.read(2020, f), "nmt")
+
+
+def test_level_blocks_far_from_the_change_stay(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(grid.Level, "block", property(lambda self: self.base_block // self.factor))
+    parts = [sheet(spark, n, "2020-01-01", left, z, 8) for n, left, z in (("a", 0.0, 1), ("b", 32.0, 2), ("c", 56.0, 3))]
+    meta, cells = (parts[0][k].union(parts[1][k]).union(parts[2][k]) for k in (0, 1))
+    g = grid.Grid(0.0, 8.0, 1.0, 64, 8)
+    changed = sheet(spark, "b", "2021-01-01", 32.0, 9, 8)
+    meta2, cells2 = (parts[0][k].union(parts[2][k]).union(changed[k]) for k in (0, 1))
+    store, fresh = (LayerStore(spark, str(tmp_path / n), block=8).create(g, (2, 4)) for n in "st")
+    store.update_year(2020, meta, meta, cells)
+    before = written_blocks(tmp_path / "s" / "warstwy")
+    done = store.update_year(2020, meta2, meta2, cells2)
+    fresh.update_year(2020, meta2, meta2, cells2)
+    beside = [(0, 3), (0, 4), (0, 5)]  # their cells weigh changed pixels
+    assert done["poziomy"] == {1: [(0, 4)], 2: beside, 4: beside}
+    assert {p.split("rok=2020/")[1] for p, _ in written_blocks(tmp_path / "s" / "warstwy") - before} == {f"by=0/bx={x}" for x in (3, 4, 5)}
+    for f in (1, 2, 4):
+        assert raster(store.read(2020, f), "nmt") == raster(fresh.read(2020, f), "nmt")
+
+
+def test_orphan_description_is_removed(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "s"), block=2).create(grid.Grid(0.0, 4.0, 1.0, 4, 4))
+    assert store.exists() and store.about["atrybuty"]["Conventions"] == "CF-1.8"
+    (tmp_path / "s" / "warstwy").rmdir()
+    with pytest.warns(UserWarning):
+        assert not store.exists()
+    assert not (tmp_path / "s" / "opis.json").exists()
+
+
+def zip_bytes(**members):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, text in members.items():
+            z.writestr(name.replace("__", "."), text)
+    return out.getvalue()
+
+
+def grid_text(left, bottom, z, n=4):
+    return f"ncols {n}\nnrows {n}\nxllcorner {left}\nyllcorner {bottom}\ncellsize 1\nnodata_value -9999\n" + "\n".join([f"{z} " * n] * n)
+
+
+def test_year_run_from_archives_to_layers(spark, tmp_path):
+    east, north = crs.to_plane(*crs.to_degrees(500004.0, 400000.0, 2180), 2177)
+    xyz = "".join(f"{round(east) + x + 0.5} {round(north) + y + 0.5} 30\n" for x in range(6) for y in range(6))
+    served = {
+        "a.zip": zip_bytes(A__asc=grid_text(500000, 400000, 1)), "b.zip": zip_bytes(**{"d/B_p__xyz": xyz, "d/B_l__xyz": xyz}),
+        "c.zip": b"no archive " * 600, "d.zip": zip_bytes(readme__pdf="x"), "e.zip": zip_bytes(E__asc=grid_text(500000, 400000, 7)),
+    }
+    asked = []
+
+    def index_of(dates):
+        rows = [(2019 if n == "e" else 2020, f"{n}.zip", f"http://h/{n}.zip", 2177 if n == "b" else 2180, d, 500000.0, 400000.0, 500008.0, 400008.0) for n, d in dates.items()]
+        return spark.createDataFrame(rows, "rok int, plik string, url string, epsg int, akt_data string, left double, bottom double, right double, top double")
+
+    def fetch(url, timeout):
+        with open(tmp_path / "asked", "a") as f:
+            f.write(url + "\n")
+        body = served[url.rsplit("/", 1)[-1]]
+        return 200, "application/zip", body + b" " * 6000
+
+    rings = [[(500000.0, 400000.0), (500008.0, 400000.0), (500008.0, 400008.0), (500000.0, 400008.0)]]
+    settings = Settings.of({"geo_nmt": {"poziomy": [2], "blok_px": 4}})
+    dates = {"a": "2020-01-01", "b": "2020-02-01", "c": "2020-01-01", "d": "2020-01-01", "e": "2019-01-01"}
+    done = run_years(spark, index_of(dates), rings, settings, str(tmp_path / "w"), fetch, "X")
+    assert {y: d["akcja"] for y, d in done.items()} == {2019: "nowa", 2020: "nowa"}
+    store = LayerStore(spark, str(tmp_path / "w" / "store"), 4)
+    assert store.manifest[2020]["pominiete"] == ["c.zip"] and [r["plik"] for r in store.manifest[2020]["nieobslugiwane"]] == ["d.zip"]
+    values = raster(store.read(2020), "nmt")
+    assert set(values.values()) == {1.0, 30.0} and values[7, 0] == 1.0 and values[7, 5] == 30.0
+    asked = (tmp_path / "asked").read_text().split()
+    assert sorted(asked) == sorted(f"http://h/{n}.zip" for n in dates)
+    dates["a"] = "2021-01-01"
+    served["a.zip"] = zip_bytes(A__asc=grid_text(500000, 400000, 5))
+    done = run_years(spark, index_of(dates), rings, settings, str(tmp_path / "w"), fetch, "X")
+    assert done[2019]["akcja"] == "aktualna" and done[2020]["akcja"] == "zmiana" and done[2020]["zmienione"] == ["a.zip"]
+    assert (tmp_path / "asked").read_text().split()[len(asked):] == ["http://h/a.zip"]  # the others are present
+    assert set(raster(store.read(2020), "nmt").values()) == {5.0, 30.0} or set(raster(store.read(2020), "nmt").values()) == {5.0}
+    meta, _ = Conversions(spark, str(tmp_path / "w" / "rok=2020" / "converted")).read()
+    assert {(r.member, r.plik, r.akt_data) for r in meta.collect()} == {("A.asc", "a.zip", "2021-01-01"), ("B_p.xyz", "b.zip", "2020-02-01")}
+    raw = run_years(spark, index_of(dates), rings, Settings(convert=False), str(tmp_path / "raw"), fetch)
+    assert {d["akcja"] for d in raw.values()} == {"surowe"} and (tmp_path / "raw" / "rok=2020" / "archives" / "a.zip").exists()
+    single = run_years(spark, index_of({"a": "2021-01-01", "b": "2020-02-01"}), rings, Settings(store=False, mosaic=True), str(tmp_path / "m"), fetch)
+    assert single[2020]["komorka"] == 1.0
+    assert set(raster(spark.read.parquet(str(tmp_path / "m" / "mosaics" / "rok=2020"))).values()) >= {5.0}
+    for wrong in ({"zarr": True, "geotiff": True}, {"konwersja": False, "geotiff": True}, {"resampling_poziomow": "x"}, {"rozdzielczosc": 2.0, "poziomy": [3]}):
+        with pytest.raises(ValueError):
+            Settings.of({"geo_nmt": wrong})
+
+
+def test_cli_geojson_texts_stream_and_cached_boundaries(spark, tmp_path, capsys):
+    meta, cells = sheet(spark, "a", "2020-01-01", 0.0, 1)
+    store = LayerStore(spark, str(tmp_path / "s"), block=2).create(grid.Grid(0.0, 4.0, 1.0, 4, 4), (2,))
+    store.update_year(2020, meta, meta, cells)
+    assert cli.main(["info", store.path]) == 0 and "2020: 100.0% covered" in capsys.readouterr().out
+    assert cli.main(["export", store.path, "--out", str(tmp_path / "out"), "--factor", "2"]) == 0 and spark.read.parquet(str(tmp_path / "out")).count() == 4
+    assert cli.main(["time", store.path, "--unit", "days", "--bounds", "no"]) == 0 and "18444" in capsys.readouterr().out
+    box = spark.createDataFrame([("a", None, 500000.0, 400000.0, 500100.0, 400100.0)], "plik string, akt_data string, left double, bottom double, right double, top double")
+    feature = sheets_geojson(box).head().feature
+    assert '"akt_data":""' in feature and feature.count("[") == 7 and "18.99999" not in feature.split("coordinates")[1][:8]
+    (tmp_path / "t" / "x").mkdir(parents=True)
+    for name in ("one.ASC", "two.pdf"):
+        (tmp_path / "t" / "x" / name).write_text("ncols 1")
+    assert [(r.plik, r.text) for r in archive.read_texts(spark, str(tmp_path / "t")).collect()] == [("one.ASC", "ncols 1")]
+    kept = str(tmp_path / "b.json")
+    shape = b'{"features": [{"properties": {"JPT_NAZWA_": "p"}, "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1]]]}}]}'
+    assert index.cached_boundaries(spark, kept, lambda: shape).count() == 1 == index.cached_boundaries(spark, kept).count()
+    (tmp_path / "snap").mkdir()
+    (tmp_path / "snap" / "1.json").write_text('{"rok": 2020, "plik": "a"}\n{"rok": 2021, "plik": "b"}\n')
+    seen = []
+    query = follow_index(spark, str(tmp_path / "snap"), "rok int, plik string", str(tmp_path / "cp"), lambda year, rows: seen.append((year, rows.count())))
+    query.awaitTermination()
+    assert seen == [(2020, 1), (2021, 1)]
+
+
+def test_dense_ordinals_and_dates(spark):
+    rows = spark.createDataFrame([(v, k) for k, v in enumerate([3, 1, None, 3, 7, 7, 2, 9])], "v int, k int")
+    for descending in (False, True):
+        got = {r.k: (r.v, r.n) for r in catalog.dense_ordinals(rows, ["v"], "n", descending).collect()}
+        order = sorted({v for v, _ in got.values()}, key=lambda v: (v is not None, v or 0), reverse=descending)
+        assert all(order[n] == v for v, n in got.values())
+    assert catalog.dense_ordinals(rows.limit(0), ["v"], "n").count() == 0
+    dates = spark.createDataFrame([("2020-01-02",), ("x",), (None,)], "d string").select(catalog.iso_date(F.col("d")), catalog.shown(F.col("d")))
+    assert [tuple(r) for r in dates.collect()] == [("2020-01-02", "2020-01-02"), ("", "x"), ("", "")]
+    two = spark.createDataFrame([("s", "2020-01-01", 1), ("r", "2020-01-01", 2), ("q", None, 3)], "plik string, akt_data string, seq int")
+    assert [r.plik for r in two.orderBy(*catalog.newest_first()).collect()] == ["s", "r", "q"]
+    assert [r.plik for r in two.orderBy(*catalog.newest_first(path_descending=False)).collect()] == ["s", "r", "q"]
