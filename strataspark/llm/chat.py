@@ -12,10 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from strataspark.llm.common import checkpointed, table
+from strataspark.llm.common import dropped, table, written
 
 START, END, NEWLINE = "<|im_start|>", "<|im_end|>", "<|nl|>"
 
@@ -40,42 +39,54 @@ def unescape_role(role: Column) -> Column:
 def best_paths(nodes: DataFrame, paths_per_tree: int = 1) -> DataFrame:
     """(tree, leaf, node, pos) of the chosen paths; pos counts from the leaf upwards, from 0.
 
-    ``nodes``: tree string, node long, parent long (null or unknown: a root), score double (null: 0); (tree, node)
-    is unique. Rounds: the logarithm of the deepest path. Members of a parent cycle become roots of their own.
+    ``nodes``: tree string, node long, parent long (null, unknown or itself: a root), score double (null: 0); (tree, node)
+    is unique. Leaves are ranked by the mean score of their path, ties go to the smaller node. Rounds: the logarithm of
+    the deepest path, once up and once down. Each round is one equi-join over written tables, so the plan does not grow
+    with the depth. Members of a parent cycle become roots of their own.
     """
     known = nodes.select("tree", F.col("node").alias("parent"))
     linked = nodes.join(known, ["tree", "parent"], "left_semi").where("parent <> node").select("tree", "node", F.col("parent").alias("up"))
     scored = nodes.select("tree", "node", F.coalesce("score", F.lit(0.0)).alias("score"))
-    level = scored.join(linked, ["tree", "node"], "left").select("tree", "node", "up", F.col("score").alias("total"), F.lit(1).cast("long").alias("depth"))
-    level = checkpointed(level)
+    level = written(scored.join(linked, ["tree", "node"], "left").select("tree", "node", "up", F.col("score").alias("total"), F.lit(1).cast("long").alias("depth")))
     deepest = max(1, level.count()).bit_length() + 1
     levels = []
     while level.where("up is not null").limit(1).count():
         if len(levels) > deepest:  # only cycles are left
-            loops = level.where("up is not null").select("tree", "node")
-            return best_paths(nodes.join(loops.withColumn("loop", F.lit(True)), ["tree", "node"], "left").withColumn("parent", F.when(F.col("loop").isNull(), F.col("parent"))).drop("loop"), paths_per_tree)
+            loops = written(level.where("up is not null").select("tree", "node", F.lit(True).alias("loop")))
+            dropped(level, *levels)
+            freed = nodes.join(loops, ["tree", "node"], "left").withColumn("parent", F.when(F.col("loop").isNull(), F.col("parent"))).drop("loop")
+            return best_paths(freed, paths_per_tree)
         levels.append(level)
         above = level.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("total2"), F.col("depth").alias("depth2"))
-        level = checkpointed(
-            level.join(above, ["tree", "up"], "left")
-            .select("tree", "node", F.col("up2").alias("up"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"))
+        on_the_way = level.where("up is not null").join(above, ["tree", "up"], "left")  # those at their root stay as they are
+        level = written(
+            on_the_way.select("tree", "node", F.col("up2").alias("up"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"))
+            .union(level.where("up is null").select("tree", "node", "up", "total", "depth"))
         )
-    parents = linked.select("tree", F.col("up").alias("node")).distinct()
+    first = levels[0] if levels else level
+    parents = first.where("up is not null").select("tree", F.col("up").alias("node")).distinct()
     leaves = level.join(parents, ["tree", "node"], "left_anti")
     ranked = leaves.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy((F.col("total") / F.col("depth")).desc(), "node")))
-    paths = ranked.where(F.col("rank") <= paths_per_tree).select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("pos"))
+    paths = written(ranked.where(F.col("rank") <= paths_per_tree).select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("pos")))
+    dropped(level)
     for k, step in reversed(list(enumerate(levels))):
-        further = paths.join(step.where("up is not null").select("tree", "node", "up"), ["tree", "node"]).select("tree", "leaf", F.col("up").alias("node"), (F.col("pos") + F.lit(1 << k)).alias("pos"))
-        paths = paths.union(further)
+        above = step.where("up is not null").select("tree", "node", "up")
+        further = paths.join(above, ["tree", "node"]).select("tree", "leaf", F.col("up").alias("node"), (F.col("pos") + F.lit(1 << k)).alias("pos"))
+        shorter, paths = paths, written(paths.union(further))
+        dropped(shorter, step)
     return paths
 
 
 def format_threads(messages: DataFrame, paths_per_tree: int = 1, loss_role: str = "assistant") -> DataFrame:
     """(tree, leaf, formatted, loss_spans): one row per chosen path of ``messages``(tree, node, parent, score, role, text).
 
-    Null role or text counts as empty; other columns are ignored. loss_spans: code-point (start, length) of each text
-    of ``loss_role`` in ``formatted``, in order. One conversation is one row, hence one task's data.
+    Null role or text counts as empty; other columns are ignored, whatever their names. Of rows with one (tree, node) the
+    least (parent, score, role, text) counts, nulls first; rows with a null tree or node take no part. loss_spans:
+    code-point (start, length) of each text of ``loss_role`` in ``formatted``, in order. One conversation is one row,
+    hence one task's data; a text may be as long as a string of Spark. No messages give no rows.
     """
+    one = F.min(F.struct("parent", "score", "role", "text")).alias("one")
+    messages = written(messages.where("tree is not null and node is not null").groupBy("tree", "node").agg(one).select("tree", "node", "one.*"))
     paths = best_paths(messages.select("tree", "node", "parent", "score"), paths_per_tree)
     body = messages.select("tree", "node", escape_role(F.coalesce("role", F.lit(""))).alias("role_"), escape(F.coalesce("text", F.lit(""))).alias("text_"), (F.coalesce("role", F.lit("")) == loss_role).alias("loss_"))
     turns = F.transform(F.sort_array(F.collect_list(F.struct("pos", "role_", "text_", "loss_")), asc=False), lambda x: F.struct(
@@ -84,7 +95,7 @@ def format_threads(messages: DataFrame, paths_per_tree: int = 1, loss_role: str
     ))
     fixed = len(START) + 1 + len(END) + 1
     state = "struct<at:bigint,spans:array<struct<start:bigint,length:bigint>>>"
-    spans = F.aggregate("turns", F.lit(None).cast(T._parse_datatype_string(state)), lambda acc, x: F.struct(
+    spans = F.aggregate("turns", F.lit(None).cast(state), lambda acc, x: F.struct(
         (F.coalesce(acc.at, F.lit(0)) + F.lit(fixed) + x.role_chars + x.text_chars).alias("at"),
         F.concat(
             F.coalesce(acc.spans, F.array().cast("array<struct<start:bigint,length:bigint>>")),

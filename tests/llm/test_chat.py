@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,3 +52,51 @@ def test_turns_with_nulls_and_ties(spark):
     rows = spark.createDataFrame([(None, 1, "user", "n"), (7, None, "user", "first"), (7, 0, "user", "b"), (7, 0, "assistant", "a")], "conv_id long, turn long, role string, text string")
     got = {(r.tree, r.node): (r.parent, r.text) for r in chat.turns_as_trees(rows).collect()}
     assert got == {("null", 1): (None, "n"), ("c7", 1): (None, "first"), ("c7", 2): (1, "a"), ("c7", 3): (2, "b")}
+
+
+def plain_paths(rows, paths_per_tree):
+    """Every root-to-leaf path by walking up from the leaves, ranked."""
+    parent, score, inner = {}, {}, set()
+    for t, n, up, value, *_ in rows:
+        parent[t, n], score[t, n] = up, value or 0.0
+    for (t, n), up in parent.items():
+        inner |= {(t, up)} if up != n else set()
+    found = {}
+    for t, n in set(parent) - inner:
+        path, at = [], n
+        while at is not None and (t, at) in parent:
+            path.append(at)
+            at = parent[t, at] if parent[t, at] != at else None
+        found.setdefault(t, []).append((-sum(score[t, x] for x in path) / len(path), n, path))
+    return sorted((t, leaf, path[::-1]) for t, some in found.items() for _, leaf, path in sorted(some)[:paths_per_tree])
+
+
+@pytest.mark.parametrize("paths_per_tree", [1, 3])
+def test_branches_equal_plain_enumeration(spark, paths_per_tree):
+    rng, rows = random.Random(4), []
+    for t in range(12):  # quarters add up exactly, so that equal means are ties
+        size = rng.randrange(1, 25)
+        rows += [(f"t{t}", n, rng.choice([n, None, 99]) if not n else rng.randrange(max(0, n - 4), n), rng.choice([None, 0.25, 0.5]), "user", "x") for n in range(size)]
+    got = {}
+    for r in chat.best_paths(tree(spark, rows).select("tree", "node", "parent", "score"), paths_per_tree).collect():
+        got.setdefault((r.tree, r.leaf), []).append((-r.pos, r.node))
+    assert sorted((t, leaf, [n for _, n in sorted(p)]) for (t, leaf), p in got.items()) == plain_paths(rows, paths_per_tree)
+
+
+def test_depth_does_not_show_in_the_plan(spark):
+    def thread(depth):
+        nodes = spark.range(depth).select(F.lit("t").alias("tree"), F.col("id").alias("node"), (F.col("id") - 1).alias("parent"), F.lit(0.0).alias("score"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
+        return chat.format_threads(nodes)
+
+    deep = thread(2_000)
+    assert deep.head().formatted == "".join(f"<|im_start|>user\n{i}<|im_end|>\n" for i in range(2_000))
+    plans = [x._jdf.queryExecution().optimizedPlan().toString() for x in (deep, thread(8))]
+    assert plans[0].count("Join") == plans[1].count("Join") < 3
+
+
+def test_repeats_nulls_long_texts_and_other_columns(spark):
+    long = "<|x|> " * 500_000
+    rows = [("t", 1, None, 0.0, "user", long), ("t", 1, None, 0.0, "user", long), ("t", 1, None, 0.0, "user", "~"), (None, 1, None, 0.0, "user", "n"), ("t", None, 1, 0.0, "user", "n")]
+    extra = tree(spark, rows).withColumns({"leaf": F.lit(1), "pos": F.lit("x"), "formatted": F.lit(2), "one": F.lit(3)})
+    got = chat.format_threads(extra).select("tree", "leaf", chat.read_back(F.col("formatted")).alias("turns")).collect()
+    assert [(r.tree, r.leaf, [tuple(x) for x in r.turns]) for r in got] == [("t", 1, [("user", long)])]
