@@ -41,12 +41,29 @@ def _pow(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, text after text, and the places where each text's words start (one more than texts)."""
+def _letters_only(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds without outer bytes that are no letter (bytes from 128 on count as letters); words without any go."""
+    low = buf | 32
+    letter = (buf >= 128) | (low >= 97) & (low <= 122)
+    at = np.arange(len(buf))
+    following = np.minimum.accumulate(np.where(letter, at, len(buf))[::-1])[::-1]
+    before = np.maximum.accumulate(np.where(letter, at, -1))
+    begin, end = following[begin], before[end - 1] + 1
+    some = begin < end
+    return begin[some], end[some]
+
+
+def word_hashes(texts: list[bytes], lower: bool = False, letters: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, text after text, and the places where each text's words start (one more than texts).
+
+    ``lower``: A-Z count as a-z. ``letters``: outer bytes that are no letter are left out, and words of none.
+    """
     buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     space = _SPACE[buf]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], space)).view(np.int8)))
     begin, end = edge[0::2], edge[1::2]
+    if letters and len(begin):
+        begin, end = _letters_only(buf, begin, end)
     text_ends = np.cumsum([len(t) + 1 for t in texts])
     first = np.concatenate(([0], np.searchsorted(begin, text_ends)))
     if not len(begin):
