@@ -85,15 +85,23 @@ def _rule_frame(spark: SparkSession, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def filter_urls(pages: DataFrame, url: str = "url", rules: tuple[Rule, ...] = CONTRACT_RULES + METHOD_RULES) -> DataFrame:
-    """Add ``host``, ``path``, ``rule``, ``verdict``, ``by_rule`` to every row (clashing names are replaced).
+    """Add ``host``, ``path``, ``rule``, ``verdict``, ``tier`` to every row; clashing names get an underscore.
 
     ``rule`` is the winning pattern of either tier and null if none fits, which allows the page. Null, empty and
-    malformed urls have empty host and path and no rule. Equal urls get equal results, so rows may repeat; each
-    distinct (host, path) is judged once, after a combining distinct, which keeps a hot url from weighing on one task.
+    malformed urls have empty host and path and no rule; they take no part in the join, and neither does a long url's
+    query or fragment. Equal urls get equal results, so rows may repeat; each distinct (host, path) is judged once,
+    after a combining distinct, which keeps a hot url from weighing on one task. Ties of rules: see ``Rule``. An empty
+    table gives no rows.
     """
     spark = pages.sparkSession
-    source = pages.drop("host", "path", "rule", "verdict", "tier").withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
-    kinds = source.select("host", "path").distinct()
+    names = {n: fresh_name(pages, n) for n in ("host", "path", "rule", "verdict", "tier")}
+    # Rows without a host get keys that no host has, so that they do not meet in one task.
+    nowhere = F.concat(F.lit("/"), F.pmod(F.xxhash64(*pages.columns), F.lit(10_000)).cast("string"))
+    found = fresh_name(pages, "found")
+    keys = [f"{found}_host", f"{found}_path"]
+    source = pages.withColumns({names["host"]: host_of(F.col(url)), names["path"]: path_of(F.col(url))})
+    source = source.withColumns({keys[0]: F.when(F.col(names["host"]) != "", F.col(names["host"])).otherwise(nowhere), keys[1]: F.col(names["path"])})
+    kinds = source.where(F.col(names["host"]) != "").select(F.col(names["host"]).alias("host"), F.col(names["path"]).alias("path")).distinct()
     tokens = kinds.select("host", "path", F.explode(F.concat(_tokens(F.col("host"), F.col("path"), True), F.array(F.lit("")))).alias("token"))
     small = F.broadcast if len(rules) <= BROADCAST_RULES else lambda df: df
     frame = _rule_frame(spark, rules)
@@ -106,18 +114,12 @@ def filter_urls(pages: DataFrame, url: str = "url", rules: tuple[Rule, ...] = CO
         .agg(F.coalesce(F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), "token")), F.lit("")).alias("token"))
     )
     index = frame.join(rarest, ["rule", "tier"]).drop("literals")
-    fits = F.rlike("host", "host_regex") & F.rlike("path", "path_regex") & (F.col("host") != "")
+    fits = F.rlike("host", "host_regex") & F.rlike("path", "path_regex")
     best = F.max(F.struct(-F.col("tier"), F.length("rule"), F.col("rule_verdict") == "block", "rule", "rule_verdict", "tier"))
-    judged = tokens.join(small(index), "token").where(fits).groupBy("host", "path").agg(best.alias("best"))
-    found = fresh_name(source, "found")
-    return (
-        source.join(judged.withColumnRenamed("best", found), ["host", "path"], "left")
-        .withColumns({
-            "rule": F.col(f"{found}.rule"),
-            "verdict": F.coalesce(F.col(f"{found}.rule_verdict"), F.lit("allow")),
-            "tier": F.col(f"{found}.tier"),
-        })
-        .drop(found)
+    judged = tokens.join(small(index), "token").where(fits).groupBy("host", "path").agg(best.alias(found)).withColumnsRenamed({"host": keys[0], "path": keys[1]})
+    return source.join(judged, keys, "left").select(
+        *pages.columns, names["host"], names["path"],
+        F.col(f"{found}.rule").alias(names["rule"]), F.coalesce(F.col(f"{found}.rule_verdict"), F.lit("allow")).alias(names["verdict"]), F.col(f"{found}.tier").alias(names["tier"]),
     )
 
 
