@@ -121,7 +121,13 @@ class Packer:
         doc, start, ids, total = piece
         return (doc, start, ids[: 4 * n], total), (doc, start + n, ids[4 * n :], total)
 
+    @staticmethod
+    def own(piece: tuple) -> tuple:
+        return (*piece[:2], bytes(piece[2]), piece[3])
+
     def add(self, piece: tuple) -> None:
+        """A long piece is cut through a view, so its rest is not copied for every window; open windows own their bytes."""
+        piece = (*piece[:2], memoryview(piece[2]), piece[3])
         while True:
             length = len(piece[2]) // 4
             if length > self.window:
@@ -131,7 +137,7 @@ class Packer:
             fit = min((i for i, (_, room) in enumerate(self.open) if room >= length), key=lambda i: self.open[i][1], default=None)
             if fit is not None:
                 held, room = self.open[fit]
-                held.append(piece)
+                held.append(self.own(piece))
                 self.open[fit] = (held, room - length)
                 if room == length:
                     self.emit(self.open.pop(fit)[0])
@@ -140,7 +146,7 @@ class Packer:
                 if length == self.window:
                     self.emit([piece])
                 else:
-                    self.open.append(([piece], self.window - length))
+                    self.open.append(([self.own(piece)], self.window - length))
                 return
             fullest = min(range(len(self.open)), key=lambda i: self.open[i][1])
             held, room = self.open.pop(fullest)
@@ -203,7 +209,7 @@ class _Output:
         number, at = (self.task << 32) + 2 * self.count + self.odd, 0
         self.count += 1
         for doc, start, ids, total in pieces:
-            self.rows.append((doc, start, len(ids) // 4, ids, total, number, at, self.task, is_open))
+            self.rows.append((doc, start, len(ids) // 4, bytes(ids), total, number, at, self.task, is_open))
             at += len(ids) // 4
 
     def batch(self) -> pa.RecordBatch:
@@ -262,8 +268,9 @@ def _merged(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
 def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", derived: dict[str, Column] | None = None, keep_ids: bool = True, window: int = WINDOW, open_windows: int = OPEN_WINDOWS) -> DataFrame:
     """Pieces of packed sequences: (doc_id, start, length, ids binary, doc_tokens, sequence_id, offset, *derived).
 
-    Null texts are empty and so are one end id; rows with equal or null doc_id are documents of their own. Padding is
-    zero: every sequence has ``window`` (a power of two) tokens or another power of two. ``derived`` are columns over
+    Null texts are empty and so are one end id; rows with equal or null doc_id are documents of their own. A text of any
+    length is encoded whole and cut in time proportional to it; other columns are ignored, whatever their names. An empty
+    table gives no pieces. Padding is zero: every sequence has ``window`` (a power of two) tokens or another power of two. ``derived`` are columns over
     a piece's own columns (ids: little-endian unsigned 32-bit). With ``keep_ids`` false only the leftovers' ids are
     written between the rounds and ``ids`` is not returned. sequence_id is unique, not dense.
     """

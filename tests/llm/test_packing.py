@@ -59,3 +59,19 @@ def test_pack_round_trip(spark, plain):
     lean = packing.pack(docs, PATH, derived={"crc": F.crc32("ids").cast("long")}, keep_ids=False, open_windows=3).collect()
     assert sorted((str(r.doc_id), r.start, r.crc, r.offset) for r in lean) == sorted((str(r.doc_id), r.start, r.crc, r.offset) for r in got)
     assert packing.pack(docs.limit(0), PATH).count() == 0
+
+
+def test_a_very_long_text_is_cut_in_proportion():
+    import time
+
+    def seconds(tokens):
+        out = []
+        packer = packing.Packer(1024, 8, out.append)
+        began = time.perf_counter()
+        packer.add((1, 0, np.arange(tokens, dtype="<u4").tobytes(), tokens))
+        packer.add((2, 0, b"\0" * 40, 10))
+        assert sum(len(p[2]) for s in out for p in s) // 4 + 10 + tokens % 1024 == tokens + 10
+        return time.perf_counter() - began
+
+    seconds(10_000)
+    assert seconds(8_000_000) < 1.0
