@@ -36,6 +36,8 @@ from strataspark.llm.common import connected_components, dropped, fresh_name, sl
 SIMILARITY, GRAM = (80, 100), 5
 #: Grams that one side of a task of the join holds, about.
 TASK_GRAMS = 1_000_000
+#: Sets that one task compares with one representative.
+STAR_SETS = 256
 
 
 def gram_set(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -250,8 +252,10 @@ def _blocks(members: DataFrame, group: str, task_grams: int) -> DataFrame:
 
 
 def _stars(star: DataFrame, task_grams: int) -> DataFrame:
-    """(set, low, n) to ``_DEALT``: each set against its representative, which goes to every block of its sets."""
-    sizes = star.groupBy("low").agg(F.ceil(F.sum("n") / F.lit(task_grams)).cast("long").alias("blocks"))
+    """(set, low, n) to ``_DEALT``: each set against its representative, which goes to every block of its sets. Blocks
+    are small, as one more costs one more copy of the representative only."""
+    size = F.greatest(F.sum("n") / F.lit(max(1, task_grams // 32)), F.count("*") / F.lit(STAR_SETS))
+    sizes = star.groupBy("low").agg(F.ceil(size).cast("long").alias("blocks"))
     block = F.pmod(F.xxhash64("set", F.lit(9)), F.col("blocks"))
     one = F.lit(1).cast("long").alias("copies")
     probes = star.join(sizes, "low").select(F.xxhash64("low", block).alias("task"), F.lit(1).alias("side"), "set", F.col("set").alias("label"), one)
@@ -334,3 +338,28 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join(table(spark, sf_dir, "documents"), n=3, similarity=(90, 100))
     return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), placed AS (
+  SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM words
+), grams AS (
+  SELECT DISTINCT doc_id, gram FROM (
+    SELECT doc_id, n, k, md5(string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING)) AS gram FROM placed
+  ) WHERE k = 1 OR k <= n - 2
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY 1
+), shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM grams a JOIN grams b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 90 * (x.n + y.n - common)
+), reached AS (
+  SELECT a AS doc_id, b AS other FROM links
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+), heads AS (SELECT doc_id, min(other) AS head FROM reached GROUP BY 1
+), counts AS (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY 1
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(head, doc_id))::BIGINT AS component_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN heads USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""

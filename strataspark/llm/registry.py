@@ -22,7 +22,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_substring_dedup": substring_dedup.SQL,
     "op5_topk": topk.SQL,
     "op7_url_filter": url_filter.SQL,
     "op8_chat_format": chat.SQL,
+    "op10_ngram_join": ngram_join.SQL,
 }
