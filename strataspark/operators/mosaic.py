@@ -38,7 +38,7 @@ def on_grid(sheet_meta: DataFrame, sheet_cell: DataFrame, grid, rings=None) -> D
     placed = cell.withColumn("tc_", span(first_col, last_col)).withColumn("tr_", span(first_row, last_row))
     inside = placed.where((F.col("tc_") >= 0) & (F.col("tr_") >= 0) & (F.col("tc_") < grid.width) & (F.col("tr_") < grid.height))
     out = inside.select(F.col("tr_").cast("int").alias("row"), F.col("tc_").cast("int").alias("col"), "z", F.col("res").cast("float").alias("res_src"), "akt_data", F.col(key).alias("plik"))
-    return out if rings is None else out.where(geometry.contains_point(rings, grid.x_of(F.col("col")), grid.y_of(F.col("row"))))
+    return out if rings is None else geometry.inside(out, rings, grid.x_of(F.col("col")), grid.top, -c)
 
 
 def base_layer(sheet_meta: DataFrame, sheet_cell: DataFrame, grid, rings=None) -> DataFrame:

@@ -241,8 +241,7 @@ EDGES_SQL = "(VALUES " + ", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE, {d}
 SELECT DISTINCT col, row FROM ({PIXELS_SQL}) p WHERE (SELECT count(*) FROM {EDGES_SQL}
   WHERE ((y1 > row + 0.5::DOUBLE) <> (y2 > row + 0.5::DOUBLE)) AND col + 0.5::DOUBLE < (x2 - x1) * (row + 0.5::DOUBLE - y1) / (y2 - y1) + x1) % 2 = 1""")
 def point_in_polygon(spark, sf):
-    inside = geometry.contains_point(RINGS, F.col("col") + F.lit(0.5), F.col("row") + F.lit(0.5))
-    return pixels(spark, sf).select("col", "row").distinct().where(inside)
+    return geometry.inside(pixels(spark, sf).select("col", "row").distinct(), RINGS, F.col("col") + F.lit(0.5), 0.0, 1.0)
 
 
 @_query("level_max_2x2", f"SELECT vec_id, (row // 2)::INTEGER AS row, (col // 2)::INTEGER AS col, max(z) AS z FROM ({CHUNKS_SQL}) GROUP BY ALL")

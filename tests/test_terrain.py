@@ -133,6 +133,10 @@ def test_reprojection_returns(spark):
 def test_polygon(spark):
     points = spark.createDataFrame([(0.5, 0.5), (1.5, 1.5), (5.0, 1.0), (3.9, 3.9)], "x double, y double")
     assert [r[0] for r in points.select(geometry.contains_point(SQUARE, F.col("x"), F.col("y"))).collect()] == [True, False, False, True]
+    cells = spark.range(400).selectExpr("cast(id div 20 as int) as row", "cast(id % 20 as int) as col")
+    x, y = F.col("col") * 0.25 + 0.125, F.lit(4.5) - (F.col("row") + 0.5) * 0.25
+    want = {(r.row, r.col) for r in cells.where(geometry.contains_point(SQUARE, x, y)).collect()}
+    assert {(r.row, r.col) for r in geometry.inside(cells, SQUARE, x, 4.5, -0.25).collect()} == want and len(want) == 240
     boxes = spark.createDataFrame([(4.0, 0.0, 5.0, 1.0), (4.1, 0.0, 5.0, 1.0), (1.2, 1.2, 1.8, 1.8), (-9.0, -9.0, 9.0, 9.0), (3.0, 3.0, 3.1, 3.1)], "left double, bottom double, right double, top double")
     assert {r.left for r in catalog.touching(boxes, SQUARE).collect()} == {4.0, -9.0, 3.0}
 
