@@ -63,12 +63,15 @@ def written(df: DataFrame) -> DataFrame:
     return out
 
 
+def removed(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def dropped(*tables: DataFrame) -> None:
     """Delete tables of ``written`` that nothing reads any more."""
     for df in tables:
-        sc = df.sparkSession.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(df._written_at)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        removed(df.sparkSession, df._written_at)
 
 
 def fresh_name(df: DataFrame, base: str) -> str:

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from strataspark.llm.common import WORD, checkpointed, table
 
-#: Documents of one first-level bucket, about; residuals that one task of the tree combines, at most.
-BUCKET_ROWS, FAN_IN = 20_000, 256
+#: Documents of one first-level bucket, about; residuals that one task of the tree combines, at most; equal rows that
+#: are numbered by one task.
+BUCKET_ROWS, FAN_IN, RUN_ROWS = 2_000, 256, 1_000
 
 
 def word_count(text: Column) -> Column:
@@ -58,7 +59,8 @@ def source_targets(sized: DataFrame, source: str, weights: tuple[float, ...] = (
     return spark.createDataFrame(out, "mix_source string, source_size long, target double, source_no int")
 
 
-_SCHEMA = "uid long, nil boolean, source_no int, grp long, draw long, p double, done boolean, size long"
+_COLUMNS = ["key", "turn", "source_no", "grp", "draw", "p", "done", "size"]
+_SCHEMA = "key long, turn long, source_no int, grp long, draw long, p double, done boolean, size long"
 
 
 def _transfer(pa: float, sa: int, pb: float, sb: int, u: float) -> tuple[float, float, bool]:
@@ -71,8 +73,7 @@ def _transfer(pa: float, sa: int, pb: float, sb: int, u: float) -> tuple[float,
 
 def _pivot(parts: Iterator[pd.DataFrame], last: bool) -> Iterator[pd.DataFrame]:
     """Rows come sorted by (source_no, grp, draw). One row of each (source_no, grp) goes on; ``last`` rounds that too."""
-    columns = ["uid", "nil", "source_no", "grp", "draw", "p", "done", "size"]
-    P, DONE = 5, 6
+    P, DONE = _COLUMNS.index("p"), _COLUMNS.index("done")
     held: list | None = None
 
     def left() -> list:
@@ -101,52 +102,66 @@ def _pivot(parts: Iterator[pd.DataFrame], last: bool) -> Iterator[pd.DataFrame]:
                 other[P], other[DONE] = float(round(other[P])), True
                 out.append(other)
                 held = None
-        yield pd.DataFrame(out, columns=columns)
-    yield pd.DataFrame(left(), columns=columns)
+        yield pd.DataFrame(out, columns=_COLUMNS)
+    yield pd.DataFrame(left(), columns=_COLUMNS)
 
 
 def rounded_copies(rows: DataFrame, seed: int = 17, bucket_rows: int = BUCKET_ROWS, fan_in: int = FAN_IN) -> DataFrame:
-    """``rows``(uid long, nil boolean, source_no int, size long, p double in [0, 1)) with p rounded to 0 or 1.
+    """``rows``(key long, turn long, source_no int, size long, p double in [0, 1)) with p rounded to 0 or 1.
 
-    Draws depend on uid, size and seed alone and buckets on the row count, so reruns agree whatever the partitioning.
+    (key, turn) names a row. Draws depend on it, on size and seed, and a source's buckets on its row count, so reruns
+    agree whatever the partitioning and no bucket of a large source is larger than others. One row per source comes to
+    the driver, as for the recipe.
     """
-    buckets = max(1, -(-rows.count() // bucket_rows))
+    counts = rows.groupBy("source_no").agg(F.ceil(F.count("*") / bucket_rows).cast("long").alias("buckets"))
+    found = [tuple(r) for r in counts.orderBy("source_no").collect()]
+    buckets = max((n for _, n in found), default=1)
+    of_source = F.broadcast(rows.sparkSession.createDataFrame(found, "source_no int, buckets long"))
     fractional = (F.col("p") > 0) & (F.col("size") > 0)
-    level = rows.select(
-        "uid", "nil", "source_no", F.pmod(F.xxhash64("uid", F.lit(seed + 1)), F.lit(buckets)).cast("long").alias("grp"),
-        F.xxhash64("uid", "size", F.lit(seed)).alias("draw"), F.when(fractional, F.col("p")).otherwise(F.lit(0.0)).alias("p"), (~fractional).alias("done"), "size",
+    level = rows.join(of_source, "source_no").select(
+        "key", "turn", "source_no", F.pmod(F.xxhash64("key", "turn", F.lit(seed + 1)), F.col("buckets")).cast("long").alias("grp"),
+        F.xxhash64("key", "turn", "size", F.lit(seed)).alias("draw"), F.when(fractional, F.col("p")).otherwise(F.lit(0.0)).alias("p"), (~fractional).alias("done"), "size",
     )
     settled = []
     while True:
         last = buckets == 1
-        dealt = level.repartition("source_no", "grp").sortWithinPartitions("source_no", "grp", "draw", "uid", "nil", "size")
+        dealt = level.repartition("source_no", "grp").sortWithinPartitions("source_no", "grp", "draw", "key", "turn")
         level = checkpointed(dealt.mapInPandas(lambda parts, last=last: _pivot(parts, last), _SCHEMA))
         settled.append(level.where("done"))
         if last:
             break
         buckets = -(-buckets // fan_in)
         level = level.where("not done").withColumn("grp", F.floor(F.col("grp") / F.lit(fan_in)).cast("long"))
-    return reduce(DataFrame.union, settled).select("uid", "nil", "source_no", "size", "p")
+    return reduce(DataFrame.union, settled).select("key", "turn", "source_no", "size", "p")
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: float = 3.0, seed: int = 17) -> DataFrame:
-    """One row per row of ``docs``: (doc_id, mix_source, size, source_size, target, copies, taken).
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: float = 3.0, seed: int = 17, tag: Column | None = None) -> DataFrame:
+    """One row per row of ``docs``: (doc_id, mix_source, size, source_size, target, copies, taken, tag).
 
-    Null or blank texts have size 0 and are never taken; a null source is a source of its own, the last. Rows with
-    equal doc_id, source and size are interchangeable; a null doc_id is kept. An empty table gives no rows.
+    Null or blank texts have size 0 and are never taken; a null source is a source of its own, the last. ``tag`` (the
+    text's hash by default) tells rows of one doc_id, or of none, apart; rows that agree in doc_id, source and tag are
+    interchangeable: they are counted, and the count is spread again before buckets are dealt, so neither null ids nor
+    repeated rows fill one bucket. Texts of any length are counted whole; other columns are ignored, whatever their
+    names. An empty table gives no rows.
     """
-    sized = checkpointed(docs.select(F.col(doc_id).cast("long").alias("uid"), F.col(source).alias("mix_source"), word_count(F.col(text)).alias("size")))
-    targets = source_targets(sized, "mix_source", weights, cap)
+    known = docs.select(F.col(doc_id).cast("long").alias("uid"), F.col(source).alias("mix_source"), word_count(F.col(text)).alias("size"), (F.xxhash64(text) if tag is None else tag).alias("tag"))
+    sized = checkpointed(known.groupBy("uid", "mix_source", "size", "tag").agg(F.count("*").alias("rows")))
+    targets = source_targets(sized.select("mix_source", (F.col("size") * F.col("rows")).alias("size")), "mix_source", weights, cap)
     recipe = targets.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
     rated = sized.join(recipe.withColumnRenamed("mix_source", "of_source"), F.col("mix_source").eqNullSafe(F.col("of_source")))
-    start = rated.select(F.coalesce("uid", F.lit(0)).alias("uid"), F.col("uid").isNull().alias("nil"), "source_no", "size", (F.col("rate") - F.floor("rate")).alias("p"))
+    key = F.xxhash64(F.coalesce("uid", F.lit(0)), F.col("uid").isNull(), "source_no", "tag", "size").alias("key")
+    named = checkpointed(rated.select(key, "uid", "tag", "source_no", "size", "rows", (F.col("rate") - F.floor("rate")).alias("p")))
+    runs = named.select("key", "source_no", "size", "p", "rows", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / RUN_ROWS))).alias("run"))
+    turn = F.explode(F.sequence(F.col("run") * RUN_ROWS, F.least(F.col("rows"), (F.col("run") + 1) * RUN_ROWS) - 1))
+    start = runs.repartition("key", "run").select("key", "source_no", "size", "p", turn.alias("turn"))
     copies = F.when(F.col("size") > 0, F.floor("rate").cast("long") + F.col("p").cast("long")).otherwise(F.lit(0))
     return (
-        rounded_copies(start, seed)
+        rounded_copies(start, seed).select("key", "p")
+        .join(named.drop("p"), "key")
         .join(recipe, "source_no")
         .withColumn("copies", copies)
-        .select(F.when(~F.col("nil"), F.col("uid")).alias("doc_id"), "mix_source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
-    )
+        .select(F.col("uid").alias("doc_id"), "mix_source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "tag")
+    )
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from strataspark.llm import mixing
 
@@ -58,12 +59,37 @@ def test_mix_is_near_its_targets_and_repeats(docs):
 
 
 def test_reduction_tree_keeps_words_and_expectation(spark):
-    rows = spark.range(4000).selectExpr("id as uid", "false as nil", "0 as source_no", "1 + id % 50 as size", "0.3D as p")
+    rows = spark.range(4000).selectExpr("id as key", "id % 2 as turn", "0 as source_no", "1 + id % 50 as size", "0.3D as p")
     words = rows.selectExpr("sum(size * p)").head()[0]
-    taken = [mixing.rounded_copies(rows, seed, bucket_rows=100, fan_in=4).selectExpr("count(*)", "sum(size * p)", "sum(if(uid < 400, p, 0))").head() for seed in (1, 2, 3)]
+    taken = [mixing.rounded_copies(rows, seed, bucket_rows=100, fan_in=4).selectExpr("count(*)", "sum(size * p)", "sum(if(key < 400, p, 0))").head() for seed in (1, 2, 3)]
     for n, got, some in taken:
         assert n == 4000 and abs(got - words) <= 25 and 60 <= some <= 180
 
 
 def test_empty(docs):
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_null_ids_and_repeated_rows_spread_over_buckets(spark, monkeypatch):
+    rows = [(None, f"n{i} " * (1 + i % 7), "a") for i in range(3_000)] + [(7, "same words here", "a")] * 2_500 + [(i, "x " * (i % 40), "b") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"copies": F.lit("c"), "Tag": F.lit(1)})
+    seen = []
+    pivot = mixing.rounded_copies
+
+    def watched(start, seed):
+        buckets = -(-start.count() // 200)
+        seen.append(start.groupBy(F.pmod(F.xxhash64("key", "turn", F.lit(seed + 1)), F.lit(buckets)).alias("b")).count().agg(F.max("count")).head()[0])
+        return pivot(start, seed, bucket_rows=200)
+
+    monkeypatch.setattr(mixing, "rounded_copies", watched)
+    got = mixing.mix(docs).collect()
+    assert seen[0] < 300 and len(got) == len(rows)
+    assert sum(r.doc_id is None for r in got) == 3_000 and sum(r.doc_id == 7 and r.size == 3 for r in got) >= 2_500
+    for s in "ab":
+        mine = [r for r in got if r.mix_source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 20 and mine[0].source_size == sum(r.size for r in mine)
+
+
+def test_a_very_long_text_is_counted_whole(spark):
+    docs = spark.createDataFrame([(1, "w " * 700_000, "a"), (2, "v", "a")], "doc_id long, text string, source string")
+    assert {r.doc_id: (r.size, r.source_size) for r in mixing.mix(docs).collect()} == {1: (700_000, 700_001), 2: (1, 700_001)}
