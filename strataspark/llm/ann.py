@@ -2,7 +2,9 @@
 
 Trees are grown on a bounded sample; every row is indexed by the leaf it falls into in each tree. A query goes down all
 trees at once through one shared priority queue, ordered by the smallest margin on the way, and collects leaves until
-they hold a share of all vectors that gave ``TARGET_RECALL`` on the sample. Candidates are reranked exactly.
+they hold a share of all vectors that gave ``TARGET_RECALL`` on the sample. Rows and queries meet by an equi-join on
+the leaf, so only the vectors of visited leaves are scored; a leaf with many rows or visitors is dealt into blocks.
+Candidates are reranked exactly.
 
 Inner products become nearness by one more coordinate, sqrt(M^2 - |x|^2) with M the largest norm (0 for queries).
 """
@@ -13,22 +15,25 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataspark.llm import vectors
-from strataspark.llm.common import checkpointed, table
+from strataspark.llm.common import checkpointed, dropped, table, written
 
-#: Rows that trees are grown on, at most; trees; sample rows in a leaf; recall wanted on the sample (at 20 nearest).
-SAMPLE_ROWS, TREES, LEAF_ROWS, TARGET_RECALL = 20_000, 6, 100, 0.97
+#: Rows that trees are grown on, at most; trees; leaves of a tree, about; recall wanted on the sample (at 20 nearest).
+SAMPLE_ROWS, TREES, TREE_LEAVES, TARGET_RECALL = 20_000, 4, 64, 0.96
 CALIBRATION_QUERIES = 200
+#: Vectors and queries of a block of a leaf, about; queries scored at once.
+BLOCK_ROWS, BLOCK_QUERIES, QUERY_TILE = 10_000, 10_000, 512
 
 
 class Forest:
     """Trees as flat arrays; leaves are numbered over all trees."""
 
-    def __init__(self, sample: np.ndarray, norm: float, trees: int = TREES, leaf_rows: int = LEAF_ROWS, seed: int = 11):
+    def __init__(self, sample: np.ndarray, norm: float, trees: int = TREES, leaf_rows: int | None = None, seed: int = 11):
+        leaf_rows = leaf_rows or max(20, len(sample) // TREE_LEAVES)
         self.norm, self.trees, self.leaves = norm, [], 0
         full = self.extended(sample)
         for t in range(trees):
@@ -161,63 +166,67 @@ def nearest(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding
     share = forest.calibrated(sample, k, target_recall)
     told = spark.sparkContext.broadcast(forest)
 
-    def route(parts):
-        for part in parts:
-            if len(part):
-                seen = told.value.visited(np.array(part.vec.to_list(), np.float64), share)
-                yield pd.DataFrame({"vkey": part.vkey, "vec": part.vec, "leaves": [np.packbits(s).tobytes() for s in seen]})
-
-    routed = checkpointed(base.where("is_query").select("vkey", "vec").repartition("vkey").mapInPandas(route, "vkey long, vec array<double>, leaves binary"))
-    hits = None
-    for chunk in vectors.query_chunks(routed):
-        if len(chunk):
-            found = vectors.searched(base.select("vec", "ids"), _searcher(spark, told, chunk, k + 1), "qkey long, ids array<long>, score double")
-            hits = found if hits is None else hits.union(found)
-    if hits is None:
-        return spark.createDataFrame([], schema)
+    def located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaf = told.value.leaf_of(told.value.extended(_matrix(batch.column(1), dims)))
+            yield batch.append_column("leaves", pa.array(leaf.tolist(), pa.list_(pa.int32())))
+
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = told.value.visited(_matrix(batch.column(1), dims), share)
+            yield batch.append_column("leaves", pa.array([np.flatnonzero(s).tolist() for s in seen], pa.list_(pa.int32())))
+
+    schema_in = "vkey long, vec array<double>"
+    index = written(base.select("vkey", "vec", "ids").mapInArrow(located, f"{schema_in}, ids array<long>, leaves array<int>"))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    visits = written(base.where("is_query").select("vkey", "vec").repartition(tasks, "vkey").mapInArrow(routed, f"{schema_in}, leaves array<int>"))
+
+    def blocks(df: DataFrame, size: int, name: str) -> DataFrame:
+        """(leaf, number of blocks): one row per leaf of the forest, whose size is bounded."""
+        return df.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
+
+    dealt = F.broadcast(blocks(index, BLOCK_ROWS, "parts").join(blocks(visits, BLOCK_QUERIES, "qparts"), "leaf"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n, seed: F.pmod(F.xxhash64("vkey", F.lit(seed)), F.col(n)).cast("int")
+    stored = index.select("vkey", "vec", "ids", F.explode("leaves").alias("leaf")).join(dealt, "leaf").select("leaf", own("parts", 3).alias("part"), every("qparts").alias("qpart"), "vec", "ids")
+    asking = visits.select("vkey", "vec", F.explode("leaves").alias("leaf")).join(dealt, "leaf").select("leaf", every("parts").alias("part"), own("qparts", 5).alias("qpart"), "vkey", "vec")
+    block = ["leaf", "part", "qpart"]
+    found = stored.groupBy(*block).cogroup(asking.groupBy(*block)).applyInArrow(lambda x, q: _scored(x, q, dims, k + 1), "qkey long, ids array<long>, score double")
+    hits = written(found)
+    dropped(index, visits)
     queries = usable.where(asked).select(F.col(vec_id).cast("long").alias("query_id"), F.xxhash64(wide).alias("qkey")).where("query_id is not null").distinct()
-    return vectors.answers(hits, rows, vec_id, queries, k)
-
-
-def _searcher(spark: SparkSession, forest, chunk: pd.DataFrame, k: int):
-    leaves = forest.value.leaves
-    asked = spark.sparkContext.broadcast((
-        chunk.vkey.to_numpy(), np.array(chunk.vec.to_list(), np.float64),
-        np.array([np.frombuffer(b, np.uint8) for b in chunk.leaves]),
-    ))
-
-    def search(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, q_all, packed = asked.value
-        held = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), [])  # query, score, first id, ids
-        for part in parts:
-            for at in range(0, len(part), vectors.TILE):
-                tile = part.iloc[at : at + vectors.TILE]
-                x = np.array(tile.vec.to_list(), np.float64)
-                ids = tile.ids.to_list()
-                first = np.array([i[0] for i in ids])
-                leaf = forest.value.leaf_of(forest.value.extended(x))
-                found = [held]
-                for lo in range(0, len(keys), vectors.QUERY_TILE):
-                    q = q_all[lo : lo + vectors.QUERY_TILE]
-                    seen = np.unpackbits(packed[lo : lo + vectors.QUERY_TILE], axis=1, count=leaves).astype(bool)
-                    candidate = np.zeros((len(q), len(x)), bool)
-                    for t in range(leaf.shape[1]):
-                        candidate |= seen[:, leaf[:, t]]
-                    score = np.where(candidate, q @ x.T, -np.inf)  # one product per tile, then only the candidates count
-                    floor = -np.partition(-score, k - 1, axis=1)[:, k - 1 : k] if len(x) > k else np.full((len(q), 1), -np.inf)
-                    near = floor - 1e-9 * (1 + np.abs(floor)) if np.isfinite(floor).any() else floor
-                    i, j = np.nonzero(candidate & (score >= np.where(np.isfinite(floor), near, -np.inf)))
-                    exact = _exact(q[i], x[j])
-                    keep = vectors.trimmed(i, exact, first[j], k)
-                    found.append((i[keep] + lo, exact[keep], first[j[keep]], [ids[c] for c in j[keep]]))
-                query, score, low = (np.concatenate([f[c] for f in found]) for c in range(3))
-                lists = [x for f in found for x in f[3]]
-                keep = vectors.trimmed(query, score, low, k)
-                held = (query[keep], score[keep], low[keep], [lists[c] for c in keep])
-        if len(held[0]):
-            yield vectors.hits_frame(keys[held[0]], held[3], held[1])
-
-    return search
+    return vectors.answers(hits, queries, k, repeated=True)
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray, dims: int) -> np.ndarray:
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+
+
+_HITS = pa.schema([("qkey", pa.int64()), ("ids", pa.list_(pa.int64())), ("score", pa.float64())])
+
+
+def _scored(stored: pa.Table, asking: pa.Table, dims: int, k: int) -> pa.Table:
+    """The best ``k`` vectors of a block of a leaf for each query that visits it."""
+    if not stored.num_rows or not asking.num_rows:
+        return _HITS.empty_table()
+    x, q_all = _matrix(stored.column("vec"), dims), _matrix(asking.column("vec"), dims)
+    ids, keys = stored.column("ids").combine_chunks(), asking.column("vkey").to_numpy()
+    first = ids.flatten().to_numpy()[ids.offsets.to_numpy()[:-1] - ids.offsets.to_numpy()[0]]
+    out = []
+    for lo in range(0, len(keys), QUERY_TILE):
+        q = q_all[lo : lo + QUERY_TILE]
+        score = q @ x.T
+        if len(x) > k:
+            floor = -np.partition(-score, k - 1, axis=1)[:, k - 1 : k]
+            i, j = np.nonzero(score >= floor - 1e-9 * (1 + np.abs(floor)))
+        else:
+            i, j = (a.ravel() for a in np.indices(score.shape))
+        exact = _exact(q[i], x[j])
+        keep = vectors.trimmed(i, exact, first[j], k)
+        out.append((keys[i[keep] + lo], j[keep], exact[keep]))
+    key, at, exact = (np.concatenate([o[c] for o in out]) for c in range(3))
+    return pa.Table.from_arrays([pa.array(key), ids.take(pa.array(at)), pa.array(exact)], schema=_HITS)
 
 
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

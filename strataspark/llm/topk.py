@@ -56,14 +56,14 @@ def top_scores(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
     largest = int(base.select(F.max(F.aggregate("vec", F.lit(0).cast("long"), lambda a, x: F.greatest(a, F.abs(x))))).head()[0])
     kind, parts = _kind(largest, int(sizes.d)), _parts(int(sizes.d), lists)
     hits = None
-    for chunk in vectors.query_chunks(base.where("is_query").select("vkey", "vec")):
+    for chunk in vectors.query_chunks(base.where("is_query").select("vkey", "vec"), int(sizes.d)):
         if len(chunk):
             found = _chunk(spark, base, chunk, kind, parts, k + 1)
             hits = found if hits is None else hits.union(found)
     if hits is None:
         return spark.createDataFrame([], schema)
     queries = usable.where(asked).select(F.col(vec_id).cast("long").alias("query_id"), F.xxhash64(whole).alias("qkey")).where("query_id is not null").distinct()
-    return vectors.answers(hits, rows, vec_id, queries, k)
+    return vectors.answers(hits, queries, k)
 
 
 def _tiles(parts: Iterator[pd.DataFrame], kind):

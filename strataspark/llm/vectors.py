@@ -12,8 +12,8 @@ from pyspark.sql.window import Window
 
 from strataspark.llm.common import checkpointed
 
-#: Queries broadcast at once: with 64 dimensions about 26 MB. More queries are searched chunk by chunk.
-CHUNK_QUERIES = 50_000
+#: Bytes of queries broadcast at once, whatever their width. More queries are searched chunk by chunk.
+CHUNK_BYTES = 24_000_000
 #: Candidates scored at once in a task, times the queries of a sub-chunk.
 TILE, QUERY_TILE = 2048, 1024
 
@@ -32,8 +32,9 @@ def distinct_vectors(rows: DataFrame, vector: Column, vec_id: str, is_query: Col
     return grouped.join(asked, "vec", "left").select(F.xxhash64("vec").alias("vkey"), "vec", "ids", F.coalesce("asked", F.lit(False)).alias("is_query"))
 
 
-def query_chunks(queries: DataFrame, size: int = CHUNK_QUERIES):
-    """Pandas frames of at most about ``size`` queries, dealt by hash; each is small enough to broadcast."""
+def query_chunks(queries: DataFrame, dims: int):
+    """Pandas frames of about ``CHUNK_BYTES`` of queries (8 bytes a component), dealt by hash."""
+    size = max(1, CHUNK_BYTES // (8 * max(1, dims)))
     chunks = -(-queries.count() // size)
     for i in range(chunks):
         yield queries.where(F.pmod(F.xxhash64("vkey", F.lit(5)), F.lit(chunks)) == i).orderBy("vkey").toPandas()
@@ -57,13 +58,15 @@ def hits_frame(qkey: np.ndarray, ids: list, score: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"qkey": qkey, "ids": ids, "score": score})
 
 
-def answers(hits: DataFrame, rows: DataFrame, vec_id: str, queries: DataFrame, k: int) -> DataFrame:
+def answers(hits: DataFrame, queries: DataFrame, k: int, repeated: bool = False) -> DataFrame:
     """(query_id, rank, vec_id, score) from ``hits``(qkey, ids, score), found for distinct query vectors.
 
-    ``queries``: (query_id, qkey) of every query row. The best k+1 rows of a vector hold the best k of any of its
-    queries, which leaves out its own id.
+    ``queries``: (query_id, qkey) of every query row. ``repeated``: one pair may be among the hits several times, with
+    one score. The best k+1 rows of a vector hold the best k of any of its queries, which leaves out its own id.
     """
     candidate = hits.select("qkey", F.explode("ids").alias("vec_id"), "score")
+    if repeated:
+        candidate = candidate.groupBy("qkey", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("qkey").orderBy(F.col("score").desc(), "vec_id")
     top = candidate.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")
     own = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
