@@ -34,10 +34,12 @@ def described(members: DataFrame, sheets: DataFrame) -> DataFrame:
     return told.withColumns({"plik": F.col("archive"), "epsg": epsg.cast("int"), "akt_data": date}).drop("own_", "archive_", "archive")
 
 
-def converted(found: DataFrame, sheets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """L4: (meta, cells) of all sheet texts on grids of EPSG 2180. meta: member, plik, epsg (of the source), akt_data, res,
-    left, bottom, right, top, ncols, nrows; cells: member, row, col, z. A text that cannot be read has no meta row."""
-    every = described(sheet_texts(found), sheets)
+def converted(every: DataFrame, systems: list[int]) -> tuple[DataFrame, DataFrame]:
+    """L4: (meta, cells) of the texts of ``described`` on grids of EPSG 2180, whose sources are in one of ``systems``.
+
+    meta: member, plik, epsg (of the source), akt_data, res, left, bottom, right, top, ncols, nrows; cells: member, row,
+    col, z. A text that cannot be read has no meta row.
+    """
     files = every.select(F.col("member").alias("plik"), "text").withColumn("format", texts.format_of(F.col("text")))
     grids, points = files.where("format = 'grid'").drop("format"), files.where("format = 'xyz'").drop("format")
     parts = [texts.read_grid(grids), texts.read_xyz(texts.lines_of(points))]
@@ -46,7 +48,7 @@ def converted(found: DataFrame, sheets: DataFrame) -> tuple[DataFrame, DataFrame
     cells = parts[0][1].union(parts[1][1].select(*parts[0][1].columns))
     system = every.select(F.col("member").alias("plik"), "epsg")
     placed, own = meta.join(system, "plik"), []
-    for code in crs.PROJECTIONS:  # a fixed handful of systems
+    for code in [c for c in crs.PROJECTIONS if c in {TARGET, *systems}]:  # a fixed handful
         some = placed.where(F.col("epsg") == code).drop("epsg")
         moved = (some, cells.join(some.select("plik"), "plik", "left_semi")) if code == TARGET else mosaic.reprojected(some, cells, code, TARGET)
         own.append((moved[0].select(*shape), moved[1].select("plik", "row", "col", "z")))
@@ -91,7 +93,10 @@ class Conversions:
             found = found.join(done, "member", "left_anti")
         where = f"{self.folder}/run={max(self.runs(), default=0) + 1}"
         self.files.remove(where)
-        meta, cells = converted(found, sheets)
+        described(sheet_texts(found), sheets).write.parquet(f"{where}/texts")  # archives are unpacked once
+        every = self.spark.read.parquet(f"{where}/texts")
+        meta, cells = converted(every, [r.epsg for r in every.select("epsg").distinct().collect()])
         cells.repartition("member").sortWithinPartitions("member", "row", "col").write.parquet(f"{where}/cells")
         meta.write.parquet(f"{where}/meta")
+        self.files.remove(f"{where}/texts")
         return self.read()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataspark.functions import crs, geometry, grid
 from strataspark.functions.numeric import round_half_even
-from strataspark.operators import catalog, levels, plan, stats
+from strataspark.operators import catalog, levels, mosaic, plan, stats
 from strataspark.plans.mosaic_queries import PIXELS_SQL, mosaic_first_wins, pixels
 from strataspark.sources import ascii as texts
 from strataspark.sources import index as sheet_index
@@ -389,6 +389,34 @@ def grid_read(spark, sf):
     return cells.join(meta.select("plik", "right"), "plik").select("plik", "row", "col", "z", "right")
 
 
+LINES_SQL = "SELECT l_suppkey::VARCHAR AS plik, (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey AS line_no, l_partkey % 64 + 0.5::DOUBLE AS x, l_orderkey % 64 + 0.5::DOUBLE AS y, l_quantity + l_tax AS z FROM lineitem"
+
+
+@_query("xyz_raster", f"""
+WITH p AS ({LINES_SQL}), v AS (SELECT DISTINCT plik, x FROM p), gaps AS (SELECT plik, x - lag(x) OVER (PARTITION BY plik ORDER BY x) AS gap FROM v),
+step AS (SELECT plik, min(gap) AS step FROM gaps WHERE gap > 0.05::DOUBLE GROUP BY 1), box AS (SELECT plik, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM p GROUP BY 1),
+c AS (SELECT plik, CAST(round_even((y1 - y) / step, 0) AS INTEGER) AS row, CAST(round_even((x - x0) / step, 0) AS INTEGER) AS col, arg_max(z, line_no) AS z FROM p JOIN step USING (plik) JOIN box USING (plik) GROUP BY ALL)
+SELECT plik, row, col, CAST(round_even(z * 100.0::DOUBLE, 0) / 100.0::DOUBLE AS FLOAT) AS z, step AS res, x0 - step / 2 AS "left", y1 + step / 2 AS top,
+CAST(round_even((x1 - x0) / step, 0) + 1 AS INTEGER) AS ncols, CAST(round_even((y1 - y0) / step, 0) + 1 AS INTEGER) AS nrows FROM c JOIN step USING (plik) JOIN box USING (plik)""")
+def xyz_raster(spark, sf):
+    number = lambda c: (F.col(c) % 64 + F.lit(0.5)).cast("string")
+    text = F.concat_ws("\t ", number("l_partkey"), number("l_orderkey"), (F.col("l_quantity") + F.col("l_tax")).cast("string"))
+    lines = _read(spark, sf, "lineitem").select(F.col("l_suppkey").cast("string").alias("plik"), ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")).alias("line_no"), text.alias("text"))
+    meta, cells = texts.read_xyz(lines)
+    return cells.join(meta.select("plik", "res", "left", "top", "ncols", "nrows"), "plik")
+
+
+@_query("sheet_on_grid", f"""
+WITH c AS (SELECT vec_id::VARCHAR AS plik, (vec_id % 50)::DOUBLE + col * 1.5::DOUBLE AS x0, 60.0::DOUBLE - vec_id % 7 - row * 1.5::DOUBLE AS y1, z FROM ({CHUNKS_SQL})),
+x AS (SELECT plik, y1, z, CAST(k AS INTEGER) AS col FROM c, range(64) r(k) WHERE k + 0.5::DOUBLE >= x0 AND k + 0.5::DOUBLE < x0 + 1.5::DOUBLE)
+SELECT plik, CAST(k AS INTEGER) AS row, col, z, 1.5::FLOAT AS res_src FROM x, range(64) r(k) WHERE 64 - (k + 0.5::DOUBLE) <= y1 AND 64 - (k + 0.5::DOUBLE) > y1 - 1.5::DOUBLE""")
+def sheet_on_grid(spark, sf):
+    cells = _chunks(spark, sf).select(F.col("vec_id").cast("string").alias("plik"), "row", "col", "z")
+    at = F.col("vec_id")
+    meta = _read(spark, sf, "embeddings").select(at.cast("string").alias("plik"), F.lit(1.5).alias("res"), (at % 50).cast("double").alias("left"), (F.lit(60.0) - at % 7).alias("top"), F.lit(None).cast("string").alias("akt_data"))
+    return mosaic.on_grid(meta, cells, GRID).select("plik", "row", "col", "z", "res_src")
+
+
 @_query("crs_detect", """
 WITH l AS (SELECT l_orderkey AS plik, l_linenumber AS line_no, l_returnflag AS flag, (l_partkey % 10) * 1000000 + l_extendedprice AS a, l_suppkey * 3000.0::DOUBLE AS b FROM lineitem),
 v AS (SELECT plik, line_no, CASE WHEN flag = 'R' THEN a WHEN a < 100000 THEN b ELSE a END AS x, CASE WHEN flag = 'R' THEN b WHEN a < 100000 THEN 7.0::DOUBLE ELSE b END AS y FROM l WHERE flag <> 'A'),

@@ -12,12 +12,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataspark.sources.ascii import is_ascii_name
+from strataspark.operators.catalog import first_of
+from strataspark.sources.ascii import is_ascii_name, kept_variant
 
 
 def members(archives: DataFrame, with_text: bool = True) -> DataFrame:
-    """(archive, member, text, error) of ``archives``(path, content); folders are flattened, a corrupt
-    archive gives one row with its error instead of members."""
+    """(archive, member, text, error, place) of ``archives``(path, content); folders are flattened, ``place`` is the
+    member's in its archive, and a corrupt archive gives one row with its error instead of members."""
 
     def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -25,15 +26,15 @@ def members(archives: DataFrame, with_text: bool = True) -> DataFrame:
                 archive, rows = path.rsplit("/", 1)[-1], []
                 try:
                     with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        for info in z.infolist():
+                        for place, info in enumerate(z.infolist()):
                             if not info.is_dir():
                                 text = z.read(info).decode("utf-8", "replace") if with_text else None
-                                rows.append((archive, info.filename.rsplit("/", 1)[-1], text, None))
+                                rows.append((archive, info.filename.rsplit("/", 1)[-1], text, None, place))
                 except (zipfile.BadZipFile, OSError, RuntimeError) as e:
-                    rows = [(archive, None, None, str(e))]
-                yield pd.DataFrame(rows, columns=["archive", "member", "text", "error"])
+                    rows = [(archive, None, None, str(e), None)]
+                yield pd.DataFrame(rows, columns=["archive", "member", "text", "error", "place"]).astype({"place": "Int32"})
 
-    return archives.select("path", "content").mapInPandas(read, "archive string, member string, text string, error string")
+    return archives.select("path", "content").mapInPandas(read, "archive string, member string, text string, error string, place int")
 
 
 def read_archives(spark: SparkSession, folder: str, with_text: bool = True) -> DataFrame:
@@ -46,6 +47,12 @@ def without_ascii(found: DataFrame) -> DataFrame:
     return found.where("error is null").groupBy("archive").agg(F.bool_and(~is_ascii_name(F.col("member"))).alias("none")).where("none").select("archive")
 
 
+def first_allowed(found: DataFrame) -> DataFrame:
+    """Of each archive the first sheet text of an allowed variant, for archives that hold one sheet each."""
+    allowed = found.where("error is null").where(is_ascii_name(F.col("member")) & kept_variant(F.col("member")))
+    return first_of(allowed, ["archive"], [F.col("place")])
+
+
 def read_texts(spark: SparkSession, folder: str) -> DataFrame:
     """(plik, path, text) of sheet texts below a folder, one per lower-cased path."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).where(is_ascii_name(F.col("path")))

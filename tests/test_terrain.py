@@ -213,6 +213,9 @@ def test_archives_and_downloads(spark, tmp_path):
     found = archive.members(spark.createDataFrame(rows, "path string, content binary")).cache()
     assert {(r.archive, r.member, r.text) for r in found.collect()} == {("a.zip", "one.xyz", "1 2 3"), ("b.zip", "two.pdf", ""), ("c.zip", None, None)}
     assert [r.archive for r in archive.without_ascii(found).collect()] == ["b.zip"]
+    several = [("y/d.zip", bytearray(zip_bytes(**{"S_l__xyz": "0", "f/S_p__xyz": "1", "T__xyz": "2"})))]
+    first = archive.first_allowed(archive.members(spark.createDataFrame(several, "path string, content binary"))).collect()
+    assert [(r.member, r.text) for r in first] == [("S_p.xyz", "1")]
     answers = [(503, "", b""), (200, "text/html", b""), (200, "application/zip", b"x" * 6000)]
     waits = []
     fetch = lambda url, timeout: answers.pop(0)
@@ -352,9 +355,9 @@ def test_year_run_from_archives_to_layers(spark, tmp_path):
     assert set(raster(store.read(2020), "nmt").values()) == {5.0, 30.0} or set(raster(store.read(2020), "nmt").values()) == {5.0}
     meta, _ = Conversions(spark, str(tmp_path / "w" / "rok=2020" / "converted")).read()
     assert {(r.member, r.plik, r.akt_data) for r in meta.collect()} == {("A.asc", "a.zip", "2021-01-01"), ("B_p.xyz", "b.zip", "2020-02-01")}
-    raw = run_years(spark, index_of(dates), rings, Settings(convert=False), str(tmp_path / "raw"), fetch)
+    raw = run_years(spark, index_of({"a": "2021-01-01"}), rings, Settings(convert=False), str(tmp_path / "raw"), fetch)
     assert {d["akcja"] for d in raw.values()} == {"surowe"} and (tmp_path / "raw" / "rok=2020" / "archives" / "a.zip").exists()
-    single = run_years(spark, index_of({"a": "2021-01-01", "b": "2020-02-01"}), rings, Settings(store=False, mosaic=True), str(tmp_path / "m"), fetch)
+    single = run_years(spark, index_of({"a": "2021-01-01"}), rings, Settings(store=False, mosaic=True), str(tmp_path / "m"), fetch)
     assert single[2020]["komorka"] == 1.0
     assert set(raster(spark.read.parquet(str(tmp_path / "m" / "mosaics" / "rok=2020"))).values()) >= {5.0}
     for wrong in ({"zarr": True, "geotiff": True}, {"konwersja": False, "geotiff": True}, {"resampling_poziomow": "x"}, {"rozdzielczosc": 2.0, "poziomy": [3]}):
