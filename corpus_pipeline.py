@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataspark.llm import mixing, ngram_join, packing, substring_dedup, toxicity
-from strataspark.llm.common import stage_folder, table
+from strataspark.llm.common import fresh_name, removed, stage_folder, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,11 +34,14 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it."""
-    copies = mixing.mix(docs).where("copies > 0").groupBy(F.col("doc_id").alias("mixed_id"), "mix_source", "size").agg(F.max("copies").alias("mixed_copies"))
-    sized = docs.withColumn("mixed_size", mixing.word_count(F.col("text")))
-    same = sized["doc_id"].eqNullSafe(copies["mixed_id"]) & sized["source"].eqNullSafe(copies["mix_source"]) & (sized["mixed_size"] == copies["size"])
-    return sized.join(copies, same).withColumn("mixed_copy", F.explode(F.sequence(F.lit(1), F.col("mixed_copies").cast("int")))).select(*[sized[c] for c in docs.columns])
+    """Each document as many times as the mix takes it. Rows that are equal in every column are taken together."""
+    whole = F.xxhash64(*docs.columns)
+    key = fresh_name(docs, "mixed_row")
+    times = mixing.mix(docs, tag=whole).where("copies > 0").groupBy(F.col("tag").alias(key)).agg(F.sum("copies").cast("int").alias("times"))
+    once = docs.withColumn(key, whole).dropDuplicates([key])
+    taken = once.join(times.withColumnRenamed("times", fresh_name(docs, "times")), key)
+    again = F.explode(F.sequence(F.lit(1), F.col(taken.columns[-1]))).alias(fresh_name(docs, "again"))
+    return taken.select(*docs.columns, again).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,11 +62,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each result is written as Parquet in the shared folder and read again."""
+    """Apply the stages to ``documents``; each result is written as Parquet in the shared folder and read again.
+
+    A null or blank text has no words: it is neither toxic nor like another, and the mix, which takes words, takes none
+    of it. Rows of a null id are told apart by their other columns. Columns beside those of documents stay until packing,
+    whatever their names. An empty table passes through all stages. A stage's table is deleted once the next is written.
+    """
     folder = stage_folder(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         where = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(where)
-        docs = spark.read.parquet(where)
+        if before:
+            removed(spark, before)
+        docs, before = spark.read.parquet(where), where
     return docs
