@@ -47,12 +47,28 @@ def test_empty(spark):
     assert substring_dedup.dedup_substrings(docs).count() == 0
 
 
-def test_equal_windows_of_a_hot_minimiser_are_combined_before_the_shuffle(spark):
+def test_equal_windows_of_a_hot_minimiser_are_combined_before_the_shuffle(spark, monkeypatch):
     rng = random.Random(9)
     passage = [f"p{i}" for i in range(14)]
     rows = [(i, " ".join(rng.choices("abcdefgh", k=5) + passage + rng.choices("abcdefgh", k=5))) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    plans = []
+    hot = substring_dedup._hot
+
+    def watched(placed):
+        found = hot(placed)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(substring_dedup, "_hot", watched)
     found = substring_dedup.dedup_substrings(docs, window=12, gram=3, hot_runs=1)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min(doc" in plan and any("keys=[bucket#" in x and "packed#" in x and "partial_min(doc" in x for x in plan.splitlines())
+    assert "partial_min(doc" in plans[0] and any("keys=[bucket#" in x and "packed#" in x and "partial_min(doc" in x for x in plans[0].splitlines())
     assert sorted(repr((r.doc_id, r.n_words, r.n_removed, r.kept_text)) for r in found.collect()) == brute(rows, 12)
+
+
+def test_very_long_and_periodic_texts(spark):
+    rng = random.Random(4)
+    long = [f"w{rng.randrange(300)}" for _ in range(60_000)]
+    rows = [(1, " ".join(long[100:160])), (2, " ".join(long)), (3, "same " * 60_000), (4, "same " * 70), (5, "a b " * 5_000), (6, "b a " * 40)]
+    got = substring_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(repr((r.doc_id, r.n_words, r.n_removed, r.kept_text)) for r in got) == brute(rows, 50)
