@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -22,7 +23,7 @@ def test_stages_keep_columns_and_take_effect(spark):
     assert cut.columns == docs.columns
     assert {r.doc_id: r.text.encode().split() for r in cut.collect()} == {i: t.encode().split() for i, t in kept.items()}
     mixed = corpus_pipeline.mix_sources(spark, cut, sf)
-    copies = {r.doc_id: r.copies for r in mixing.mix(cut).collect() if r.copies}
+    copies = {r.doc_id: r.copies for r in mixing.mix(cut, tag=F.xxhash64(*cut.columns)).collect() if r.copies}
     assert mixed.columns == docs.columns
     assert {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == copies
 
