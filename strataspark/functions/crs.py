@@ -141,9 +141,11 @@ def detect(lines: DataFrame, limit: int = 200) -> DataFrame:
     """
     least, digits = F.lit(1e5), lambda x: F.floor(x).cast("string")
     part = F.filter(F.split(F.trim("text"), r"[\s,;]+"), lambda p: p != "")
-    rows = lines.where((F.col("line_no") < limit) & ~F.col("text").rlike(r"^\s*[A-Za-z#]")).withColumn("p", part).where(F.size("p") >= 2)
-    value: Callable = lambda k: F.try_element_at("p", F.lit(k)).try_cast("double")
-    numbers = rows.select("plik", "line_no", F.size("p").alias("fields"), *(value(k + 1).alias(f"v{k}") for k in range(3))).where("v0 is not null and v1 is not null")
+    rows = lines.where((F.col("line_no") < limit) & ~F.col("text").rlike(r"^\s*[A-Za-z#]"))
+    value: Callable = lambda p, k: F.try_element_at(p, F.lit(k + 1)).try_cast("double")
+    # Through a generator, so that the filters on the values do not split the text again.
+    told = F.transform(F.array(part), lambda p: F.struct(F.size(p).alias("fields"), *(value(p, k).alias(f"v{k}") for k in range(3))))
+    numbers = rows.select("plik", "line_no", F.inline(told)).where("fields >= 2 and v0 is not null and v1 is not null")
     has_id = (F.col("v0") < least) & (F.col("fields") >= 3)
     placed = numbers.select("plik", "line_no", F.when(has_id, F.col("v1")).otherwise(F.col("v0")).alias("x"), F.when(has_id, F.col("v2")).otherwise(F.col("v1")).alias("y")).where((F.col("x") >= least) & (F.col("y") >= least))
     zone = F.substring(digits(F.when(F.col("x") > 4e6, F.col("x")).when(F.col("y") > 4e6, F.col("y"))), 1, 1)

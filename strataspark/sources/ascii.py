@@ -52,9 +52,11 @@ def read_grid(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 def xyz_points(lines: DataFrame) -> DataFrame:
     """(plik, line_no, x, y, z) of the lines of exactly three numbers."""
     part = F.split(F.regexp_replace("text", r"^\s+|\s+$", ""), r"\s+")
-    number = lambda k: F.when(F.size("p") == 3, F.try_element_at("p", F.lit(k)).try_cast("double"))
-    rows = lines.withColumn("p", part).select("plik", "line_no", *(number(k + 1).alias(n) for k, n in enumerate("xyz")))
-    return rows.where("x is not null and y is not null and z is not null")
+    number = lambda p, k: F.try_element_at(p, F.lit(k + 1)).try_cast("double")
+    # Through a generator, so that the filters on the values do not split the text again.
+    values = F.transform(F.array(part), lambda p: F.struct(F.size(p).alias("fields_"), *(number(p, k).alias(n) for k, n in enumerate("xyz"))))
+    rows = lines.select("plik", "line_no", F.inline(values))
+    return rows.where("fields_ = 3 and x is not null and y is not null and z is not null").drop("fields_")
 
 
 def infer_step(points: DataFrame) -> DataFrame:
