@@ -131,9 +131,12 @@ def transform(east: Any, north: Any, source: int, target: int, m: Any = FLOATS)
     return _pair(m.let(onward, lon=lon, lat=lat))
 
 
-def detect(lines: DataFrame, limit: int = 200) -> DataFrame:
+def detect(lines: DataFrame, limit: int = 200, places: tuple[str, ...] = ()) -> DataFrame:
     """(plik, epsg) from ``lines``(plik, line_no from 0, text): the first of ``limit`` lines that tells.
 
+    Lines that share a number are taken in the order of the columns ``places``, the last one first; without such
+    columns any of them may tell.
+
     Lines that start with a letter or # are skipped; fields are parted by white space, commas or semicolons. Where the
     first value is below 100,000 and a third field is there, the first is an id and the next two are the coordinates.
     A line with a coordinate below 100,000, or one that is no number, does not tell. A coordinate above 4,000,000 tells
@@ -145,11 +148,12 @@ def detect(lines: DataFrame, limit: int = 200) -> DataFrame:
     value: Callable = lambda p, k: F.try_element_at(p, F.lit(k + 1)).try_cast("double")
     # Through a generator, so that the filters on the values do not split the text again.
     told = F.transform(F.array(part), lambda p: F.struct(F.size(p).alias("fields"), *(value(p, k).alias(f"v{k}") for k in range(3))))
-    numbers = rows.select("plik", "line_no", F.inline(told)).where("fields >= 2 and v0 is not null and v1 is not null")
+    numbers = rows.select("plik", "line_no", *places, F.inline(told)).where("fields >= 2 and v0 is not null and v1 is not null")
     has_id = (F.col("v0") < least) & (F.col("fields") >= 3)
-    placed = numbers.select("plik", "line_no", F.when(has_id, F.col("v1")).otherwise(F.col("v0")).alias("x"), F.when(has_id, F.col("v2")).otherwise(F.col("v1")).alias("y")).where((F.col("x") >= least) & (F.col("y") >= least))
+    placed = numbers.select("plik", "line_no", *places, F.when(has_id, F.col("v1")).otherwise(F.col("v0")).alias("x"), F.when(has_id, F.col("v2")).otherwise(F.col("v1")).alias("y")).where((F.col("x") >= least) & (F.col("y") >= least))
     zone = F.substring(digits(F.when(F.col("x") > 4e6, F.col("x")).when(F.col("y") > 4e6, F.col("y"))), 1, 1)
     plane = F.greatest("x", "y") < 1e6
     epsg = F.when(zone.isin("5", "6", "7", "8"), F.lit(2171) + zone.cast("int")).when(plane & (F.least("x", "y") > least), F.lit(2180))
-    told = placed.withColumn("epsg", epsg).where("epsg is not null").groupBy("plik").agg(F.min_by("epsg", "line_no").cast("int").alias("epsg"))
+    first = F.max_by("epsg", F.struct(-F.col("line_no"), *places)) if places else F.min_by("epsg", "line_no")
+    told = placed.withColumn("epsg", epsg).where("epsg is not null").groupBy("plik").agg(first.cast("int").alias("epsg"))
     return lines.select("plik").distinct().join(told, "plik", "left")
