@@ -9,7 +9,8 @@ have equal minimisers. Consecutive windows of a document that share one form a s
    the windows (as strings) gives the least document of each;
 3. every document looks its super-k-mers up and removes the words of windows that a smaller document has.
 
-A minimiser that occurs more than ``HOT_RUNS`` times is hot: its windows travel one by one, keyed by their own hash and
+A minimiser that occurs more than ``HOT_RUNS`` times, or whose super-k-mers have more than ``HOT_WINDOWS`` windows (as
+of long texts with a line that returns), is hot: its windows travel one by one, keyed by their own hash and
 text. Each task combines equal ones to their least document before the shuffle, different ones spread, and the places
 (minimiser, run, offset) are joined to the outcome, so no task holds a bucket of one window's places. A row is
 identified by its id and its text's hash.
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 from strataspark.llm import words
 from strataspark.llm.common import dropped, fresh_name, slices, table, written
 
-WINDOW, GRAM, HOT_RUNS = 50, 6, 200
+WINDOW, GRAM, HOT_RUNS, HOT_WINDOWS = 50, 6, 200, 50_000
+#: Rows of packed strings that a task gathers before it sends them.
+SENT_ROWS = 5_000
 
 _RUNS = pa.schema([("mini", pa.int64()), ("run", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()), ("start", pa.int32()), ("count", pa.int32())])
 
@@ -81,16 +84,20 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[
                     continue
                 done.add((mini, run))
                 if is_hot[run]:
-                    at = np.arange(start, start + count)
-                    same: dict[tuple, list[int]] = {}  # equal windows of one run, as of a periodic text, travel once
-                    for k, bucket in enumerate(_signed(words.run_of(prefix, at, at + window)).tolist()):
-                        same.setdefault((bucket, b" ".join(tokens[start + k : start + k + window])), []).append(k)
-                    out += [(True, bucket, mini, run, places, doc, text) for (bucket, text), places in same.items()]
+                    for lo in range(0, count, SENT_ROWS):
+                        at = np.arange(start + lo, start + min(lo + SENT_ROWS, count))
+                        same: dict[tuple, list[int]] = {}  # equal windows of one run, as of a periodic text, travel once
+                        for k, bucket in enumerate(_signed(words.run_of(prefix, at, at + window)).tolist(), lo):
+                            same.setdefault((bucket, b" ".join(tokens[start + k : start + k + window])), []).append(k)
+                        out += [(True, bucket, mini, run, places, doc, text) for (bucket, text), places in same.items()]
+                        if len(out) > SENT_ROWS:
+                            yield _rows(out, _PACKED)
+                            out = []
                 else:
                     out.append((False, mini, mini, run, None, doc, b" ".join(tokens[start : start + count + window - 1])))
-            if len(out) > 5_000:
-                yield _rows(out, _PACKED)
-                out = []
+                if len(out) > SENT_ROWS:
+                    yield _rows(out, _PACKED)
+                    out = []
         if out:
             yield _rows(out, _PACKED)
 
@@ -193,7 +200,7 @@ def _removed(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[p
             yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(n - 3)), pa.array(kept, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())], schema=schema)
 
 
-def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM, hot_runs: int = HOT_RUNS) -> DataFrame:
+def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM, hot_runs: int = HOT_RUNS, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """``docs`` with (kept_text, n_words, n_removed): the words left, joined by single spaces, and their counts.
 
     Each row is judged on the input. Null text has no words. A null id is neither smaller nor greater than another:
@@ -205,26 +212,27 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     key, tag = names["doc_key"], names["tag_key"]
     source = docs.withColumns({key: F.col(doc_id).cast("long"), tag: F.xxhash64(text)})
     slim = source.select(F.col(key).alias("doc"), F.col(tag).alias("tag"), F.col(text).cast("string").alias("text"))
-    runs = written(slim.where("doc is not null").mapInArrow(lambda parts: _all_runs(parts, window, gram), "mini long, run long, doc long, tag long, start int, count int").drop("count"))
-    shared = written(runs.groupBy("mini").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("times")).where("least < most").select("mini", (F.col("times") > hot_runs).alias("hot")))
-    known = written(runs.join(shared, "mini"))
-    dropped(runs, shared)
+    runs = written(slim.where("doc is not null").mapInArrow(lambda parts: _all_runs(parts, window, gram), "mini long, run long, doc long, tag long, start int, count int"))
+    load = (F.count("*") > hot_runs) | (F.sum("count") > hot_windows)
+    shared = runs.groupBy("mini").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), load.alias("hot")).where("least < most").select("mini", "hot")
+    known = written(runs.drop("count").join(shared.hint("shuffle_merge"), "mini"))
+    dropped(runs)
     distinct = known.groupBy("mini", "run", "hot").agg(F.min("doc").alias("low"))
     wanted = distinct.groupBy(F.col("low").alias("doc")).agg(F.collect_list(F.struct("run", "hot")).alias("wanted"))
     asked = slim.join(wanted, "doc").select("doc", "text", F.col("wanted.run").alias("wanted"), F.col("wanted.hot").alias("hot"))
     cut = written(asked.mapInArrow(lambda parts: _cut(parts, window, gram), "hot boolean, bucket long, mini long, run long, at array<int>, doc long, packed binary"))
 
-    # A bucket that is not hot holds HOT_RUNS strings at most.
+    # A bucket that is not hot holds HOT_RUNS strings and HOT_WINDOWS windows at most.
     dealt = cut.where("not hot").drop("hot", "at").repartition("bucket").sortWithinPartitions("bucket")
-    found = written(dealt.mapInArrow(lambda parts: _count(parts, window), "mini long, run long, lo int, hi int, least long").union(_hot(cut.where("hot"))))
+    found = dealt.mapInArrow(lambda parts: _count(parts, window), "mini long, run long, lo int, hi int, least long").union(_hot(cut.where("hot")))
     cover = written(
-        known.join(found, ["mini", "run"])
+        known.join(found.hint("shuffle_merge"), ["mini", "run"])
         .where("least < doc")
         .select("doc", "tag", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi") + F.lit(window)).alias("hi"))
         .groupBy("doc", "tag")
         .agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
     )
-    dropped(known, cut, found)
+    dropped(known, cut)
     joined = source.join(cover.withColumnsRenamed({"doc": key, "tag": tag}), [key, tag], "left")
     columns = [F.col(c) for c in docs.columns]
     ready = joined.select(*columns, F.col(text).cast("string").alias("text_in"), "lo", "hi")

@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
-from strataspark.llm import substring_dedup
+from strataspark.llm import substring_dedup, words
 
 
 def brute(rows, window):
@@ -72,3 +73,19 @@ def test_very_long_and_periodic_texts(spark):
     rows = [(1, " ".join(long[100:160])), (2, " ".join(long)), (3, "same " * 60_000), (4, "same " * 70), (5, "a b " * 5_000), (6, "b a " * 40)]
     got = substring_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(repr((r.doc_id, r.n_words, r.n_removed, r.kept_text)) for r in got) == brute(rows, 50)
+
+
+def test_long_runs_that_share_a_minimiser_travel_window_by_window(spark, monkeypatch):
+    """Long texts with a line that returns: one super-k-mer each, few in all, but more windows than a bucket may hold."""
+    rng = random.Random(7)
+    hashes, _ = words.word_hashes([" ".join(f"l{k}" for k in range(400_000)).encode()])
+    k = int(np.argmin(words.gram_hashes(hashes, 3)))  # less than the hash of any other gram below
+    line = f" l{k} l{k + 1} l{k + 2} "
+    texts = [" ".join(f"u{rng.randrange(2_000)}" for _ in range(10)) for _ in range(400)]
+    rows = [(i, line.join(rng.sample(texts, 115) + texts[:5])) for i in range(40)]
+    sent = []
+    hot = substring_dedup._hot
+    monkeypatch.setattr(substring_dedup, "_hot", lambda placed: sent.append(placed.selectExpr("sum(size(at))").head()[0]) or hot(placed))
+    found = substring_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"), window=30, gram=3).collect()
+    assert sent[0] and sent[0] > substring_dedup.HOT_WINDOWS
+    assert sorted(repr((r.doc_id, r.n_words, r.n_removed, r.kept_text)) for r in found) == brute(rows, 30)
