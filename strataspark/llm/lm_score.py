@@ -4,8 +4,11 @@ of all words and word pairs of the corpus.
 Words are mapped to at most ``VOCABULARY`` tokens: the most frequent words of the whole corpus, and shape classes
 (length, letters or not) for the others. The network reads ``REACH`` tokens on either side, h = tanh(sum of one
 embedding per place + b), and predicts the masked token between in two steps, softmax over groups of tokens and softmax
-inside the group, so that a normalised probability costs two short products. It is trained by mini-batches of windows
-that are drawn by hash over the whole corpus, ``TRAIN_WINDOWS`` at most (a documented bound; every word is scored).
+inside the group, so that a normalised probability costs two short products. It is trained by mini-batches on every
+window of the corpus: texts travel as tokens to slices of ``PASS_WORDS`` words, each slice goes through all its windows
+from a common start, and the weights of the slices are averaged by their windows. Texts of equal tokens are gone through
+once, weighted by their number. The start is trained on windows drawn by hash over the whole corpus, ``START_WINDOWS``
+at most; it only sets where the passes begin.
 
 What tells the words of a shape apart, and holds what a small network cannot, are counts that grow with the corpus and
 stay distributed: n(w) of every word outside the ``FREQUENT`` commonest, and n(v, w) of every pair of neighbours that
@@ -21,6 +24,7 @@ A document's score is the sum of the log-probabilities of its words, each given
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,20 +39,24 @@ from strataspark.llm.common import dropped, slices, table, written
 SHAPES, VOCABULARY, FREQUENT = 32, 8_192, 95
 #: Tokens read on either side; hidden width; tokens of an output group.
 REACH, HIDDEN, GROUP = 2, 24, 90
-#: Windows that the network is trained on, at most; of a mini-batch; passes; step size.
-TRAIN_WINDOWS, BATCH, EPOCHS, RATE = 300_000, 1_500, 2, 0.4
+#: Windows that the start is trained on, at most; of a mini-batch; passes; step size.
+START_WINDOWS, BATCH, EPOCHS, RATE = 300_000, 1_500, 2, 0.4
+#: The pass over all windows: words of a slice, about; words that are mixed at once; of a mini-batch; slices averaged at once.
+PASS_WORDS, PASS_MIXED, PASS_BATCH, PASS_MEAN = 4_000_000, 200_000, 8_192, 16
 #: Weight of the network beside the counts; words of the corpus for each slice of documents and bucket of hashes.
 SMOOTH, SLICE_WORDS = 4.0, tally.SLICE_KEYS
 #: Windows that are scored at once.
-CHUNK = 100_000
+CHUNK = 8_192
 
 
 class Network:
-    """Weights. Groups are runs of ``GROUP`` tokens; an untrained network gives the tokens' frequencies."""
+    """Weights, and the sums of squares of past gradients. Groups are runs of ``GROUP`` tokens; an untrained network gives the tokens' frequencies."""
+
+    DENSE = ("to_group", "group_bias", "to_token", "token_bias", "bias")
 
     def __init__(self, counts: np.ndarray, hidden: int = HIDDEN, reach: int = REACH, group: int = GROUP, seed: int = 5):
         rng, v = np.random.default_rng(seed), len(counts)
-        self.reach, self.group = reach, group
+        self.reach, self.group, self.past = reach, group, None
         self.edges = list(range(0, v, group)) + [v]
         seen = counts + 0.01
         mass = np.add.reduceat(seen, self.edges[:-1])
@@ -65,78 +73,112 @@ class Network:
             total += self.embed[place][token]
         return np.tanh(total)
 
-    def _by_group(self, token: np.ndarray) -> Iterator[tuple[int, np.ndarray, slice]]:
-        """(group, windows, its tokens) of the groups that occur."""
-        own = token // self.group
+    def _by_group(self, token: np.ndarray) -> tuple[np.ndarray, list[tuple[slice, slice]]]:
+        """The order of windows by group, and (windows in that order, its tokens) of the groups that occur."""
+        own = (token // self.group).astype(np.uint16)
         order = np.argsort(own, kind="stable")
-        cuts = np.searchsorted(own[order], np.arange(len(self.edges)))
-        for g in np.flatnonzero(np.diff(cuts)).tolist():
-            yield g, order[cuts[g] : cuts[g + 1]], slice(self.edges[g], self.edges[g + 1])
+        cuts = np.searchsorted(own[order], np.arange(len(self.edges))).tolist()
+        return order, [(slice(a, b), slice(*self.edges[g : g + 2])) for g, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
 
     def log_p(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
         """Log-probability of the masked tokens."""
         out = np.empty(len(token), np.float64)
         for lo in range(0, len(token), CHUNK):
-            h, own = self.hidden(context[:, lo : lo + CHUNK]), token[lo : lo + CHUNK]
-            groups = _log_softmax(h @ self.to_group + self.group_bias)
-            part = groups[np.arange(len(own)), own // self.group].astype(np.float64)
-            for _, rows, some in self._by_group(own):
-                inside = _log_softmax(h[rows] @ self.to_token[some].T + self.token_bias[some])
-                part[rows] += inside[np.arange(len(rows)), own[rows] - some.start]
-            out[lo : lo + CHUNK] = part
+            own = token[lo : lo + CHUNK]
+            order, parts = self._by_group(own)
+            h, own = self.hidden(context[:, lo : lo + CHUNK][:, order]), own[order]
+            part = _softmax(h @ self.to_group + self.group_bias, own // self.group).astype(np.float64)
+            for rows, some in parts:
+                part[rows] += _softmax(h[rows] @ self.to_token[some].T + self.token_bias[some], own[rows] - some.start)
+            out[lo + order] = part
         return out
 
-    def gradients(self, context: np.ndarray, token: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    def gradients(self, context: np.ndarray, token: np.ndarray, weight: np.ndarray | None = None) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-probability of windows, and its gradients; ``embed``'s is per window, for its rows."""
-        n, h = len(token), self.hidden(context)
-        groups = _log_softmax(h @ self.to_group + self.group_bias)
-        at = (np.arange(n), token // self.group)
-        loss = -float(groups[at].sum())
-        d = np.exp(groups)
-        d[at] -= 1
-        d /= n
+        order, parts = self._by_group(token)
+        h, token = self.hidden(context[:, order]), token[order]
+        share = np.full(len(token), 1 / len(token), h.dtype) if weight is None else (weight[order] / weight.sum()).astype(h.dtype)
+        d = h @ self.to_group + self.group_bias
+        gain = _softmax(d, token // self.group, share)
         dh = d @ self.to_group.T
         found = {"to_group": h.T @ d, "group_bias": d.sum(0), "to_token": np.zeros_like(self.to_token), "token_bias": np.zeros_like(self.token_bias)}
-        for _, rows, some in self._by_group(token):
-            inside = _log_softmax(h[rows] @ self.to_token[some].T + self.token_bias[some])
-            own = (np.arange(len(rows)), token[rows] - some.start)
-            loss -= float(inside[own].sum())
-            e = np.exp(inside)
-            e[own] -= 1
-            e /= n
+        for rows, some in parts:
+            e = h[rows] @ self.to_token[some].T + self.token_bias[some]
+            gain[rows] += _softmax(e, token[rows] - some.start, share[rows])
             found["to_token"][some], found["token_bias"][some] = e.T @ h[rows], e.sum(0)
             dh[rows] += e @ self.to_token[some]
-        found["embed"] = dh * (1 - h * h)
-        found["bias"] = found["embed"].sum(0)
-        return loss / n, found
+        dh *= 1 - h * h
+        found["embed"], found["bias"] = np.empty_like(dh), dh.sum(0)
+        found["embed"][order] = dh
+        return -float(gain @ share), found
+
+    def step(self, context: np.ndarray, token: np.ndarray, weight: np.ndarray | None = None, rate: float = RATE) -> None:
+        """One mini-batch of Adagrad."""
+        if self.past is None:
+            self.past = {k: np.full_like(getattr(self, k), 1e-4) for k in self.DENSE} | {"embed": np.full_like(self.embed[..., 0], 1e-4)}
+        _, g = self.gradients(context, token, weight)
+        for k in self.DENSE:
+            self.past[k] += g[k] * g[k]
+            getattr(self, k)[...] -= rate * g[k] / np.sqrt(self.past[k])
+        for place, own in enumerate(context):
+            order = np.argsort(own.astype(np.uint16), kind="stable")
+            first = np.flatnonzero(np.diff(own[order], prepend=-1))
+            rows, total = own[order[first]], np.add.reduceat(g["embed"][order], first, axis=0)
+            past = self.past["embed"][place, rows] + (total * total).mean(1)
+            self.past["embed"][place, rows] = past
+            self.embed[place, rows] -= rate * total / np.sqrt(past)[:, None]
 
     def train(self, windows: np.ndarray, epochs: int = EPOCHS, batch: int = BATCH, rate: float = RATE, seed: int = 9) -> Network:
-        """Adagrad over mini-batches of ``windows``(n, 2 reach + 1), the masked token in the middle."""
-        rng, r = np.random.default_rng(seed), self.reach
-        names = ("to_group", "group_bias", "to_token", "token_bias", "bias")
-        past = {k: np.full_like(getattr(self, k), 1e-4) for k in names}
-        rows_past = np.full(self.embed.shape[:2], 1e-4, np.float32)
+        """Mini-batches of ``windows``(n, 2 reach + 1), the masked token in the middle."""
+        rng = np.random.default_rng(seed)
         for _ in range(epochs if len(windows) else 0):
             order = rng.permutation(len(windows))
             for lo in range(0, len(order), batch):
                 some = windows[order[lo : lo + batch]].T
-                context, token = np.delete(some, r, axis=0), some[r]
-                _, g = self.gradients(context, token)
-                for k in names:
-                    past[k] += g[k] * g[k]
-                    getattr(self, k)[...] -= rate * g[k] / np.sqrt(past[k])
-                for place, own in enumerate(context):
-                    rows, at = np.unique(own, return_inverse=True)
-                    total = np.zeros((len(rows), g["embed"].shape[1]), np.float32)
-                    np.add.at(total, at, g["embed"])
-                    rows_past[place, rows] += (total * total).mean(1)
-                    self.embed[place, rows] -= rate * total / np.sqrt(rows_past[place, rows])[:, None]
+                self.step(np.delete(some, self.reach, axis=0), some[self.reach], rate=rate)
+        return self
+
+    def train_whole(self, texts: list[tuple[np.ndarray, int]], seed: int = 9) -> Network:
+        """Every window of texts (tokens, times) once, weighted by times."""
+        rng, held, size = np.random.default_rng(seed), [], 0
+        for n, k in enumerate(rng.permutation(len(texts)).tolist()):
+            held.append(texts[k])
+            size += len(texts[k][0])
+            if size >= PASS_MIXED or n == len(texts) - 1:
+                token, lengths = np.concatenate([t for t, _ in held]).astype(np.int64), [len(t) for t, _ in held]
+                context, weight = _context(token, np.cumsum([0, *lengths]), self.reach), np.repeat([float(x) for _, x in held], lengths)
+                order = rng.permutation(len(token))
+                for lo in range(0, len(order), PASS_BATCH):
+                    some = order[lo : lo + PASS_BATCH]
+                    self.step(context[:, some], token[some], weight[some])
+                held, size = [], 0
+        return self
+
+    def weights(self) -> np.ndarray:
+        return np.concatenate([getattr(self, k).ravel() for k in ("embed", *self.DENSE)])
+
+    def with_weights(self, values: np.ndarray) -> Network:
+        """This network with other weights, ready to score."""
+        at = 0
+        for k in ("embed", *self.DENSE):
+            own = getattr(self, k)
+            setattr(self, k, values[at : at + own.size].reshape(own.shape).astype(own.dtype))
+            at += own.size
+        self.past = None
         return self
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _softmax(x: np.ndarray, own: np.ndarray, share: np.ndarray | None = None) -> np.ndarray:
+    """Log-probabilities of each row's own column; with ``share``, x becomes the gradient of their weighted sum, negated."""
+    at = (np.arange(len(x)), own)
+    x -= x.max(1, keepdims=True)
+    told = x[at]
+    np.exp(x, out=x)
+    total = x.sum(1)
+    if share is not None:
+        x *= (share / total)[:, None]
+        x[at] -= share
+    return told - np.log(total)
 
 
 class Model:
@@ -184,32 +226,89 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _drawn(hashes: np.ndarray, context: np.ndarray, rate: float) -> np.ndarray:
-    """Places of the windows that training draws: by a hash of what stands there, so reruns agree."""
+    """Places of the windows that the start draws: by a hash of what stands there, so reruns agree."""
     around = words.mix(hashes + words.mix(context.astype(np.uint64) * words.constant(3)).sum(0, dtype=np.uint64))
     return np.flatnonzero(around >> np.uint64(11) < np.uint64(min(1.0, rate) * (1 << 53)))
 
 
-_GATHERED = pa.schema([("token", pa.int32()), ("n", pa.int64()), ("windows", pa.binary())])
+_GATHERED = pa.schema([("token", pa.int32()), ("n", pa.int64()), ("windows", pa.binary()), ("tokens", pa.binary()), ("times", pa.int64())])
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], known: np.ndarray, rank: np.ndarray, vocabulary: int, rate: float) -> Iterator[pa.RecordBatch]:
-    """A task's token counts, and the windows it draws as packed 16-bit tokens."""
+    """A task's token counts, the windows it draws as packed 16-bit tokens, and its texts as such; equal ones of a batch once."""
     total = np.zeros(vocabulary, np.int64)
+
+    def rows(token, n, windows, tokens, times):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((token, n, windows, tokens, times), _GATHERED.types, strict=True)], schema=_GATHERED)
+
     for batch in batches:
-        drawn = []
+        drawn, texts_seen = [], {}
         for _, texts in slices(batch.column(0)):
             token, hashes, first = _tokens(texts, known, rank)
             total += np.bincount(token, minlength=vocabulary)
             context = _context(token, first, REACH)
             at = _drawn(hashes, context, rate)
             drawn.append(np.insert(context[:, at], REACH, token[at], axis=0).T.astype("<u2").tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int32()), pa.array([0], pa.int64()), pa.array([b"".join(drawn)])], schema=_GATHERED)
+            raw, edge = token.astype("<u2").tobytes(), (2 * first).tolist()
+            for a, b in zip(edge, edge[1:], strict=False):
+                if a < b:
+                    texts_seen[raw[a:b]] = texts_seen.get(raw[a:b], 0) + 1
+        yield rows([None], [0], [b"".join(drawn)], [None], [None])
+        if texts_seen:
+            none = [None] * len(texts_seen)
+            yield rows(none, none, none, list(texts_seen), list(texts_seen.values()))
     some = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some]), pa.nulls(len(some), pa.binary())], schema=_GATHERED)
+    none = [None] * len(some)
+    yield rows(some.astype(np.int32), total[some], none, none, none)
+
+
+#: Weights travel in rows of at most this many, as Parquet is read in batches of thousands of rows.
+WEIGHTS_ROW = 1 << 12
+_WEIGHTS = "slice long, part long, mass double, weights binary"
+
+
+def _weights(number: int, mass: float, values: np.ndarray, part: int = 0) -> pa.Table:
+    rows = [values[k : k + WEIGHTS_ROW].astype("<f4").tobytes() for k in range(0, len(values), WEIGHTS_ROW)]
+    return pa.table({"slice": pa.array([number] * len(rows), pa.int64()), "part": pa.array(range(part, part + len(rows)), pa.int64()), "mass": pa.array([mass] * len(rows)), "weights": pa.array(rows, pa.binary())})
+
+
+def _trained(part: pa.Table, start: Network) -> pa.Table:
+    """A slice's texts, gone through from the common start: their windows and the weights after them."""
+    times: dict[bytes, int] = {}
+    for tokens, n in zip(part.column("tokens").to_pylist(), part.column("times").to_pylist(), strict=True):
+        times[tokens] = times.get(tokens, 0) + n
+    texts = [(np.frombuffer(t, "<u2"), n) for t, n in sorted(times.items())]  # the order of rows does not matter
+    network = copy.deepcopy(start).train_whole(texts)
+    return _weights(part.column("slice")[0].as_py(), float(sum(len(t) * n for t, n in texts)), network.weights())
+
+
+def _averaged(part: pa.Table) -> pa.Table:
+    """One part of the weights of some slices, averaged by their windows."""
+    part = part.sort_by("slice")
+    total, mass = 0.0, sum(part.column("mass").to_pylist())
+    for m, raw in zip(part.column("mass"), part.column("weights"), strict=True):
+        total = total + np.frombuffer(raw.as_buffer(), "<f4") * (m.as_py() / mass)
+    return _weights(part.column("slice")[0].as_py() // PASS_MEAN, mass, total, part.column("part")[0].as_py())
+
+
+def _whole(gathered: DataFrame, start: Network, n_words: int) -> Network:
+    """The network after all windows."""
+    count = max(1, -(-n_words // PASS_WORDS))
+    told = gathered.sparkSession.sparkContext.broadcast(start)
+    texts = gathered.where("tokens is not null").select("tokens", "times", F.pmod(F.xxhash64("tokens"), F.lit(count)).alias("slice"))
+    means = written(texts.groupBy("slice").applyInArrow(lambda t: _trained(t, told.value), _WEIGHTS))
+    while count > 1:
+        count = -(-count // PASS_MEAN)
+        some = F.floor(F.col("slice") / F.lit(PASS_MEAN))
+        before, means = means, written(means.groupBy(some, "part").applyInArrow(_averaged, _WEIGHTS))
+        dropped(before)
+    found = b"".join(bytes(r.weights) for r in means.orderBy("part").collect())
+    dropped(means)
+    return start.with_weights(np.frombuffer(found, "<f4") if found else start.weights())
 
 
 def fit(docs: DataFrame, text: str = "text", vocabulary: int = VOCABULARY, frequent: int = FREQUENT) -> Model:
-    """Vocabulary and token counts from all texts of ``docs``, the network from windows drawn from all of them."""
+    """Vocabulary, token counts and the network, from all texts of ``docs``."""
     source = docs.select(F.col(text).cast("string").alias("text")).where("text is not null")
     counts = written(source.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
     n_words = counts.agg(F.sum("n")).head()[0] or 0
@@ -218,16 +317,17 @@ def fit(docs: DataFrame, text: str = "text", vocabulary: int = VOCABULARY, frequ
     hashes = top.word.to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     known, rank = hashes[order], 1 + SHAPES + order
-    rate = TRAIN_WINDOWS / max(1, n_words)
-    gathered = written(source.mapInArrow(lambda parts: _gathered(parts, known, rank, vocabulary, rate), "token int, n long, windows binary"))
+    rate = START_WINDOWS / max(1, n_words)
+    gathered = written(source.mapInArrow(lambda parts: _gathered(parts, known, rank, vocabulary, rate), "token int, n long, windows binary, tokens binary, times long"))
     n_token = np.zeros(vocabulary, np.int64)
     for r in gathered.where("token is not null").groupBy("token").agg(F.sum("n").alias("n")).collect():  # a row per token
         n_token[r.token] = r.n
-    packed = sorted(bytes(r.windows) for r in gathered.where("length(windows) > 0").select("windows").collect())  # bounded by TRAIN_WINDOWS
-    dropped(gathered)
+    packed = sorted(bytes(r.windows) for r in gathered.where("length(windows) > 0").select("windows").collect())  # bounded by START_WINDOWS
     windows = np.frombuffer(b"".join(packed), "<u2").reshape(-1, 2 * REACH + 1).astype(np.int64)
     windows = windows[np.lexsort(windows.T)]  # the order of tasks does not matter
-    return Model(known, rank, frequent, Network(n_token).train(windows), n_token, n_words, docs, text)
+    network = _whole(gathered, Network(n_token).train(windows), n_words)
+    dropped(gathered)
+    return Model(known, rank, frequent, network, n_token, n_words, docs, text)
 
 
 def _keys(token: np.ndarray, hashes: np.ndarray, first: np.ndarray, frequent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strataspark.llm import lm_score, words
@@ -154,3 +155,42 @@ def test_several_slices_long_texts_and_an_empty_table(spark, monkeypatch):
     assert one.keys() == many.keys() and all(math.isclose(one[i], many[i], rel_tol=1e-6, abs_tol=1e-6) for i in one)
     none = docs.limit(0)
     assert lm_score.score(none, lm_score.fit(none)).count() == 0
+
+
+def test_the_network_learns_from_every_window(spark, monkeypatch):
+    """With a start that draws next to nothing, what it knows of neighbours comes from the pass over all texts."""
+    rng = random.Random(3)
+    names = [f"{a}{b}" for a in "abcdefgh" for b in "klmnop"]
+    follows = dict(zip(names, rng.sample(names, len(names)), strict=True))
+
+    def chain(n):
+        out = [rng.choice(names)]
+        while len(out) < n:
+            out.append(follows[out[-1]])
+        return " ".join(out)
+
+    docs = spark.createDataFrame([(i, chain(rng.randint(5, 90))) for i in range(3_000)], "doc_id long, text string")
+    for k in ("START_WINDOWS", "TRAIN_WINDOWS"):
+        monkeypatch.setattr(lm_score, k, 50, raising=False)
+    model = lm_score.fit(docs)
+    token, _, first = lm_score._tokens([chain(40).encode() for _ in range(50)], *model.lookup)
+    context = lm_score._context(token, first, lm_score.REACH)
+    assert model.network.log_p(context, token).mean() > lm_score.Network(model.n_token).log_p(context, token).mean() + 1
+    monkeypatch.setattr(lm_score, "PASS_WORDS", 3_000)
+    many = lm_score.fit(docs.repartition(7)), lm_score.fit(docs.repartition(3))
+    assert np.array_equal(many[0].network.embed, many[1].network.embed) and not np.array_equal(many[0].network.embed, model.network.embed)
+
+
+def test_equal_texts_weigh_as_many_and_slices_are_averaged_by_windows():
+    net, context, token = small()
+    weight = np.arange(40) % 3 + 1.0
+    again = np.repeat(np.arange(40), weight.astype(int))
+    loss, g = net.gradients(context, token, weight)
+    want, h = net.gradients(context[:, again], token[again])
+    assert loss == pytest.approx(want, rel=1e-5)
+    for k in net.DENSE:
+        assert g[k] == pytest.approx(h[k], abs=1e-6)
+    values = np.arange(4, dtype=np.float32)
+    mean = lm_score._averaged(pa.concat_tables([lm_score._weights(17, 3.0, values), lm_score._weights(16, 1.0, 5 * values)]))
+    assert mean.column("slice").to_pylist() == [1] and mean.column("mass").to_pylist() == [4.0]
+    assert np.frombuffer(mean.column("weights")[0].as_py(), "<f4") == pytest.approx(2 * values)
