@@ -41,16 +41,31 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class _Words(dict):
+    """Ids by word; a new word is learnt as it is asked for."""
+
+    def __init__(self, learn):
+        self.learn = learn
+
+    def __missing__(self, word: str) -> bytes:
+        return self.learn(word)
+
+
 class Encoder:
     """Ids of byte-level BPE texts, word by word through a cache.
 
     The pre-tokenizer always cuts before a space that stands between two non-space characters, so such pieces have
     ids of their own, whatever surrounds them. Texts in which a space is followed by white space or the end are
-    encoded whole. New pieces are encoded together and told apart by the byte lengths of their tokens.
+    encoded whole. It also cuts between letters, other signs and a single line break, so a new piece of such runs that
+    starts with a letter is put together from theirs. Others wait for the end of the slice, are encoded together and told
+    apart by the byte lengths of their tokens.
     """
 
     _odd = re.compile("  | [\t\n\v\f\r\x1c-\x1f\x85\xa0  -     　]| $")
 
+    #: Runs of letters, of ASCII signs but the apostrophe (which may start a contraction), and a line break.
+    _runs = re.compile(r"[^\W\d_]+|[!-&(-/:-@\[-`{-~]+|\n")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -61,25 +76,55 @@ class Encoder:
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)
-        self.letters = byte_letters()
-        self.cache: dict[str, bytes] = {}
+        self.letters, self.tokenize = byte_letters(), self.tokenizer.model.tokenize
+        self.space = self.letters[32]
+        self.cache = _Words(self._learnt)
+        self.late: list[str] = []  # new words for the library
         self.older: dict[str, bytes] = {}  # the generation before; words still in use move on
+        self.bare: dict[str, bytes] = {}  # runs with no space before them
+        self.packs = [struct.Struct(f"<{n}I").pack for n in range(64)]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
+    def _run(self, run: str, space: str = "") -> bytes:
+        """Ids of one piece of the pre-tokenizer, which the model can take as it is; ``space``: the letter of one before it."""
+        shown = run if run.isascii() and run != "\n" else run.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.tokenize(space + shown)]
+        return self.packs[len(ids)](*ids) if len(ids) < 64 else struct.pack(f"<{len(ids)}I", *ids)
+
+    def _joined(self, word: str) -> bytes | None:
+        """Ids of a piece that starts with a letter and consists of runs; else None."""
+        if word[-1:] in (".", ",") and word[:-1].isalpha():
+            runs = [word[:-1], word[-1]]
+        else:
+            runs = self._runs.findall(word)
+            if len(runs) < 2 or not runs[0].isalpha() or runs[-1] == "\n" or "\n\n" in word or "".join(runs) != word:
+                return None
+            if not word.isascii() and not all(r.isalpha() for r in runs if not r.isascii()):
+                return None
+        out, bare = [self.cache[runs[0]]], self.bare
+        for run in runs[1:]:
+            ids = bare.get(run)
+            if ids is None:
+                if len(bare) >= CACHE_WORDS:
+                    bare.clear()
+                ids = bare[run] = self._run(run)
+            out.append(ids)
+        return b"".join(out)
+
+    def _learnt(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._run(word, self.space) if word.isalpha() else self._joined(word)
+            if ids is None:
+                self.late.append(word)
+                return b""
+        self.cache[word] = ids
+        return ids
+
     def _learn(self, words: list[str]) -> None:
-        if len(self.cache) + len(words) > CACHE_WORDS:
-            self.older, self.cache = self.cache, {}
-        old = self.older
-        self.cache.update((w, old[w]) for w in words if w in old)
-        words = [w for w in words if w not in old]
-        tokenize = self.tokenizer.model.tokenize
-        for w in words:
-            if w.isalpha():  # letters only: one piece of the pre-tokenizer, which the model can take as it is
-                ids = [t.id for t in tokenize((" " + w).encode().decode("latin-1").translate(self.letters))]
-                self.cache[w] = struct.pack(f"<{len(ids)}I", *ids)
-        words = [w for w in words if not w.isalpha()]
+        """By the library."""
         for k in range(0, len(words), 20_000):
             some = words[k : k + 20_000]
             ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
@@ -95,17 +140,21 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         parts = [None if self._odd.search(t) else t.split(" ") for t in texts]
-        whole = iter(self._whole([t if p is None else p[0] for t, p in zip(texts, parts, strict=True)]))
-        word = self.cache.get
-        found = [p and list(map(word, p[1:])) for p in parts]
-        new = {w for p, ids in zip(parts, found, strict=True) if ids and None in ids for w, i in zip(p[1:], ids, strict=True) if i is None}
-        if new:
-            self._learn(list(new))
-        out, word = [], self.cache.get
-        for p, ids in zip(parts, found, strict=True):
-            if ids and None in ids:
-                ids = [word(w) if i is None else i for w, i in zip(p[1:], ids, strict=True)]
-            out.append(b"".join((next(whole), *(ids or ()))))
+        whole = iter(self._whole([t if p is None else p.pop(0) for t, p in zip(texts, parts, strict=True)]))
+        if len(self.cache) > CACHE_WORDS:
+            self.older, self.cache = self.cache, _Words(self._learnt)
+        ids, late, out, again = self.cache.__getitem__, self.late, [], []
+        for n, p in enumerate(parts):
+            known = len(late)
+            head = next(whole)
+            out.append(head + b"".join(map(ids, p)) if p else head)
+            if len(late) > known:
+                again.append((n, head))
+        if late:
+            self._learn(list(set(late)))
+            late.clear()
+            for n, head in again:
+                out[n] = head + b"".join(map(ids, parts[n]))
         return out
 
 

@@ -30,6 +30,21 @@ def test_encoder_equals_the_library(plain, monkeypatch):
     assert [encoder.encode([t])[0] for t in texts] == want
 
 
+def test_pieces_put_together_from_runs_equal_the_library(plain):
+    """Letters, signs, digits, line breaks, contractions, marks and control strings next to each other, without spaces."""
+    rng = random.Random(5)
+    some = ["the", "Zq", "é", "ß", "字", "a\u0301", "²", "½", "ⅷ", "٣", "1", "42", ".", ",", "###", "_", "-", "'", "'s", "'ll", "’", "…", "\n", "\n\n", "\t", "\r", "\xa0", "\x1c", "<|endoftext|>", "😀"]
+    pieces = ["".join(rng.choices(some, k=rng.randint(1, 6))) for _ in range(20_000)] + ["".join(rng.choices(["ab", "C", ".", "--", "\n"], k=rng.randint(1, 7))) for _ in range(5_000)]
+    encoder = packing.Encoder(PATH)
+    texts = ["x " + " ".join(pieces[k : k + 5]) + " y" for k in range(0, len(pieces), 5)]
+    assert encoder.encode(texts) == [np.array(plain(t), "<u4").tobytes() for t in texts]
+    words = ["zzqa", "zzqb,", "zzqc.\nZzqd", "zzqé***"]
+    want = encoder._whole(["x " + " ".join(words)])
+    encoder._learn = lambda words: pytest.fail("encoded by the library")
+    assert encoder.encode(["x " + " ".join(words)]) == want
+    assert "zzqb" in encoder.cache and {",", ".", "\n", "Zzqd", "***"} <= encoder.bare.keys()
+
+
 def test_pack_round_trip(spark, plain):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choices(["the", "of", "zebra", "quux,"], k=rng.choice([1, 30, 200, 900, 4000]))), 1) for i in range(120)]
