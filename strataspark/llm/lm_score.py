@@ -45,8 +45,10 @@ START_WINDOWS, BATCH, EPOCHS, RATE = 300_000, 1_500, 2, 0.4
 PASS_WORDS, PASS_MIXED, PASS_BATCH, PASS_MEAN = 4_000_000, 200_000, 8_192, 16
 #: Weight of the network beside the counts; words of the corpus for each slice of documents and bucket of hashes.
 SMOOTH, SLICE_WORDS = 4.0, tally.SLICE_KEYS
-#: Windows that are scored at once.
-CHUNK = 8_192
+#: Windows that are sorted by group at once for scoring; whose logits are held at once, so that they stay in a core's cache.
+CHUNK, BLOCK = 65_536, 1_024
+#: Logits that cannot go beyond this need no shift before they are exponentiated.
+FLAT = 60.0
 
 
 class Network:
@@ -66,50 +68,69 @@ class Network:
         self.to_token = draw(v, hidden)
         self.token_bias = np.log(seen / np.repeat(mass, np.diff(self.edges))).astype(np.float32)
 
-    def hidden(self, context: np.ndarray) -> np.ndarray:
-        """Of windows (places, n)."""
-        total = np.repeat(self.bias[None], context.shape[1], 0)
+    def hidden(self, context: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """Of windows (places, n) in an order; the last column is 1, for biases."""
+        total, some = np.empty((2, len(order), len(self.bias)), self.embed.dtype)
         for place, token in enumerate(context):
-            total += self.embed[place][token]
-        return np.tanh(total)
+            np.take(self.embed[place], token.take(order), axis=0, out=some if place else total, mode="clip")  # any other mode copies
+            if place:
+                total += some
+        total += self.bias
+        out = np.empty((len(order), len(self.bias) + 1), total.dtype)
+        out[:, :-1], out[:, -1] = np.tanh(total, out=total), 1
+        return out
 
-    def _by_group(self, token: np.ndarray) -> tuple[np.ndarray, list[tuple[slice, slice]]]:
-        """The order of windows by group, and (windows in that order, its tokens) of the groups that occur."""
+    def _layers(self) -> tuple[Layer, list[Layer], np.ndarray, np.ndarray]:
+        """The softmax over groups, those inside each group, and the gradients of both by widened weights, to be added up."""
+        groups, most = _widened(self.to_group.T, self.group_bias)
+        tokens, each = _widened(self.to_token, self.token_bias)
+        inner = np.maximum.reduceat(each, self.edges[:-1]).tolist()
+        of_group, of_token = np.zeros_like(groups), np.zeros_like(tokens)
+        room = np.empty(BLOCK * max(len(groups), self.group), groups.dtype)
+        parts = [Layer(tokens[a:b], of_token[a:b], top, room) for a, b, top in zip(self.edges, self.edges[1:], inner, strict=False)]
+        return Layer(groups, of_group, most.max(), room), parts, of_group, of_token
+
+    def _by_group(self, token: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+        """The order of windows by group, and (group, windows in that order) in blocks."""
         own = (token // self.group).astype(np.uint16)
         order = np.argsort(own, kind="stable")
         cuts = np.searchsorted(own[order], np.arange(len(self.edges))).tolist()
-        return order, [(slice(a, b), slice(*self.edges[g : g + 2])) for g, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
+        return order, [(g, rows) for g, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) for rows in _blocks(a, b)]
 
     def log_p(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
         """Log-probability of the masked tokens."""
         out = np.empty(len(token), np.float64)
+        top, inner, _, _ = self._layers()
         for lo in range(0, len(token), CHUNK):
             own = token[lo : lo + CHUNK]
             order, parts = self._by_group(own)
-            h, own = self.hidden(context[:, lo : lo + CHUNK][:, order]), own[order]
-            part = _softmax(h @ self.to_group + self.group_bias, own // self.group).astype(np.float64)
-            for rows, some in parts:
-                part[rows] += _softmax(h[rows] @ self.to_token[some].T + self.token_bias[some], own[rows] - some.start)
+            h, own, part = self.hidden(context[:, lo : lo + CHUNK], order), own.take(order), np.empty(len(order))
+            group = own // self.group
+            for rows in _blocks(0, len(order)):
+                part[rows] = top.read(h[rows], group[rows])
+            for g, rows in parts:
+                part[rows] += inner[g].read(h[rows], own[rows] - self.edges[g])
             out[lo + order] = part
         return out
 
     def gradients(self, context: np.ndarray, token: np.ndarray, weight: np.ndarray | None = None) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-probability of windows, and its gradients; ``embed``'s is per window, for its rows."""
         order, parts = self._by_group(token)
-        h, token = self.hidden(context[:, order]), token[order]
-        share = np.full(len(token), 1 / len(token), h.dtype) if weight is None else (weight[order] / weight.sum()).astype(h.dtype)
-        d = h @ self.to_group + self.group_bias
-        gain = _softmax(d, token // self.group, share)
-        dh = d @ self.to_group.T
-        found = {"to_group": h.T @ d, "group_bias": d.sum(0), "to_token": np.zeros_like(self.to_token), "token_bias": np.zeros_like(self.token_bias)}
-        for rows, some in parts:
-            e = h[rows] @ self.to_token[some].T + self.token_bias[some]
-            gain[rows] += _softmax(e, token[rows] - some.start, share[rows])
-            found["to_token"][some], found["token_bias"][some] = e.T @ h[rows], e.sum(0)
-            dh[rows] += e @ self.to_token[some]
-        dh *= 1 - h * h
-        found["embed"], found["bias"] = np.empty_like(dh), dh.sum(0)
-        found["embed"][order] = dh
+        h, token = self.hidden(context, order), token.take(order)
+        share = np.full(len(token), 1 / len(token), h.dtype) if weight is None else (weight.take(order) / weight.sum()).astype(h.dtype)
+        top, inner, of_group, of_token = self._layers()
+        group, gain, dh = token // self.group, np.empty_like(share), np.empty_like(h)
+        for rows in _blocks(0, len(token)):
+            gain[rows], dh[rows] = top.learn(h[rows], group[rows], share[rows])
+        for g, rows in parts:
+            told, back = inner[g].learn(h[rows], token[rows] - self.edges[g], share[rows])
+            gain[rows] += told
+            dh[rows] += back
+        h *= h
+        dh *= np.subtract(1, h, out=h)
+        found = {"to_group": of_group[:, :-1].T, "group_bias": of_group[:, -1], "to_token": of_token[:, :-1], "token_bias": of_token[:, -1], "bias": dh.sum(0)[:-1]}
+        found["embed"] = np.empty((len(dh), len(self.bias)), dh.dtype)
+        found["embed"][order] = dh[:, :-1]
         return -float(gain @ share), found
 
     def step(self, context: np.ndarray, token: np.ndarray, weight: np.ndarray | None = None, rate: float = RATE) -> None:
@@ -118,15 +139,21 @@ class Network:
             self.past = {k: np.full_like(getattr(self, k), 1e-4) for k in self.DENSE} | {"embed": np.full_like(self.embed[..., 0], 1e-4)}
         _, g = self.gradients(context, token, weight)
         for k in self.DENSE:
-            self.past[k] += g[k] * g[k]
-            getattr(self, k)[...] -= rate * g[k] / np.sqrt(self.past[k])
+            change = np.ascontiguousarray(g[k])
+            self.past[k] += change * change
+            change *= rate
+            change /= np.sqrt(self.past[k])
+            getattr(self, k)[...] -= change
+        told, place_of = g["embed"].astype(np.float64).ravel(), np.empty(self.embed.shape[1], np.int64)
         for place, own in enumerate(context):
-            order = np.argsort(own.astype(np.uint16), kind="stable")
-            first = np.flatnonzero(np.diff(own[order], prepend=-1))
-            rows, total = own[order[first]], np.add.reduceat(g["embed"][order], first, axis=0)
-            past = self.past["embed"][place, rows] + (total * total).mean(1)
+            rows = np.flatnonzero(np.bincount(own, minlength=len(place_of)))
+            place_of[rows] = np.arange(len(rows))
+            cell = np.arange(len(rows) * len(self.bias)).reshape(len(rows), -1)
+            total = np.bincount(cell.take(place_of.take(own), axis=0).ravel(), told).astype(self.embed.dtype).reshape(cell.shape)
+            past = self.past["embed"][place].take(rows) + np.einsum("ij,ij->i", total, total) / len(self.bias)
             self.past["embed"][place, rows] = past
-            self.embed[place, rows] -= rate * total / np.sqrt(past)[:, None]
+            total *= (rate / np.sqrt(past))[:, None]
+            self.embed[place, rows] = self.embed[place].take(rows, axis=0) - total
 
     def train(self, windows: np.ndarray, epochs: int = EPOCHS, batch: int = BATCH, rate: float = RATE, seed: int = 9) -> Network:
         """Mini-batches of ``windows``(n, 2 reach + 1), the masked token in the middle."""
@@ -145,12 +172,12 @@ class Network:
             held.append(texts[k])
             size += len(texts[k][0])
             if size >= PASS_MIXED or n == len(texts) - 1:
-                token, lengths = np.concatenate([t for t, _ in held]).astype(np.int64), [len(t) for t, _ in held]
-                context, weight = _context(token, np.cumsum([0, *lengths]), self.reach), np.repeat([float(x) for _, x in held], lengths)
+                token, lengths = np.concatenate([t for t, _ in held]), [len(t) for t, _ in held]
+                context, weight = _context(token, np.cumsum([0, *lengths]), self.reach).astype(token.dtype), np.repeat([float(x) for _, x in held], lengths)
                 order = rng.permutation(len(token))
                 for lo in range(0, len(order), PASS_BATCH):
                     some = order[lo : lo + PASS_BATCH]
-                    self.step(context[:, some], token[some], weight[some])
+                    self.step(context.take(some, axis=1), token.take(some), weight.take(some))
                 held, size = [], 0
         return self
 
@@ -168,17 +195,51 @@ class Network:
         return self
 
 
-def _softmax(x: np.ndarray, own: np.ndarray, share: np.ndarray | None = None) -> np.ndarray:
-    """Log-probabilities of each row's own column; with ``share``, x becomes the gradient of their weighted sum, negated."""
-    at = (np.arange(len(x)), own)
-    x -= x.max(1, keepdims=True)
-    told = x[at]
-    np.exp(x, out=x)
-    total = x.sum(1)
-    if share is not None:
-        x *= (share / total)[:, None]
-        x[at] -= share
-    return told - np.log(total)
+class Layer:
+    """A softmax over the rows of ``weights``, whose last column is the bias; ``most``: what no logit exceeds, either way.
+
+    ``gradient`` is added to by ``learn``; logits are written to ``room``, which other layers use as well.
+    """
+
+    def __init__(self, weights: np.ndarray, gradient: np.ndarray, most: float, room: np.ndarray):
+        self.weights, self.gradient, self.room = weights, gradient, room
+        self.steep, self.ones = not most < FLAT, np.ones(len(weights), weights.dtype)
+
+    def _read(self, h: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Exponentials of the logits, their sums, the place of each row's own column, and its log-probability."""
+        x = self.room[: len(h) * len(self.weights)].reshape(len(h), -1)
+        np.matmul(h, self.weights.T, out=x)
+        if self.steep:
+            x -= x.max(1, keepdims=True)
+        at = np.arange(0, x.size, x.shape[1]) + own
+        told = x.ravel().take(at)
+        np.exp(x, out=x)
+        total = x @ self.ones
+        return x, total, at, told - np.log(total)
+
+    def read(self, h: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Log-probabilities of each row's own column."""
+        return self._read(h, own)[3]
+
+    def learn(self, h: np.ndarray, own: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log-probabilities, and the gradient by ``h`` of their weighted sum, negated; that by the weights is added up."""
+        x, total, at, told = self._read(h, own)
+        x.reshape(-1)[at] -= total
+        scale = (share / total)[:, None]
+        self.gradient += x.T @ (h * scale)
+        back = x @ self.weights
+        back *= scale
+        return told, back
+
+
+def _widened(weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights with the bias as last column, and what each row's logit cannot exceed, as a hidden value is within 1."""
+    out = np.concatenate([weights, bias[:, None]], axis=1)
+    return out, np.abs(out) @ np.ones(out.shape[1], out.dtype)
+
+
+def _blocks(start: int, stop: int) -> list[slice]:
+    return [slice(lo, min(lo + BLOCK, stop)) for lo in range(start, stop, BLOCK)]
 
 
 class Model:
@@ -191,21 +252,32 @@ class Model:
 
 def _tokens(texts: list[bytes], known: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token and hash of each word, and each text's first word."""
-    hashes, first = words.word_hashes(texts, lower=True)
-    if not len(hashes):
-        return np.zeros(0, np.int64), hashes, first
-    buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], words._SPACE[buf])).view(np.int8)))
-    begin, end = edge[0::2], edge[1::2]
-    letter = (buf >= 128) | ((buf | 32) >= 97) & ((buf | 32) <= 122)
-    odd = np.concatenate(([0], np.cumsum(~letter)))
-    token = 1 + 2 * np.minimum(end - begin, SHAPES // 2) - 2 + (odd[end] - odd[begin] > 1)
+    token, hashes, first = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for buf, begin, end, own, starts in words.lowered(texts):
+        letter = (buf >= 128) | ((buf | 32) >= 97) & ((buf | 32) <= 122)
+        odd = np.zeros(len(buf) + 1, np.int32)
+        np.cumsum(~letter, out=odd[1:])
+        token.append(1 + 2 * np.minimum(end - begin, SHAPES // 2) - 2 + (odd.take(end) - odd.take(begin) > 1))
+        hashes.append(own)
+        first.append(starts[1:] + first[-1][-1])
+    token, hashes, first = np.concatenate(token), np.concatenate(hashes), np.concatenate(first)
     if len(known):
-        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-        token = np.where(known[at] == hashes, rank[at], token)
+        found, at = _found(hashes, known)
+        token = np.where(found, rank.take(at, mode="clip"), token)
     return token, hashes, first
 
 
+def _found(hashes: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each hash is among the sorted distinct ``known``, and where; by its first 16 bits, then in steps."""
+    size = np.bincount((known >> np.uint64(48)).view(np.int64), minlength=1 << 16)
+    at = (np.cumsum(size) - size).take((hashes >> np.uint64(48)).view(np.int64))
+    most = int(size.max())
+    padded = np.concatenate((known, np.repeat(known[-1:], most)))
+    for _ in range(most - 1):
+        at += padded.take(at) < hashes
+    return padded.take(at) == hashes, at
+
+
 def _context(token: np.ndarray, first: np.ndarray, reach: int) -> np.ndarray:
     """(places, n): the tokens around each word of its own text; 0 stands beyond either end."""
     owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
@@ -219,7 +291,7 @@ def _context(token: np.ndarray, first: np.ndarray, reach: int) -> np.ndarray:
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [words.word_hashes(texts, lower=True)[0] for _, texts in slices(batch.column(0))]
+        found = [own for _, texts in slices(batch.column(0)) for _, _, _, own, _ in words.lowered(texts)]
         if found:
             value, count = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(count)], names=["word", "n"])

@@ -6,6 +6,8 @@ finished by a bijective mixer. They serve as keys; where a contract asks for exa
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -73,6 +75,33 @@ def word_hashes(texts: list[bytes], lower: bool = False, letters: bool = False)
     return mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64)), first
 
 
+#: Bytes that ``lowered`` hashes at once, unless a single text is longer, so that they stay in a core's cache.
+CACHED_BYTES = 1 << 16
+
+
+def lowered(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The bytes of some texts at a time, where each word begins and ends there, and their ``word_hashes`` with ``lower``."""
+    start, size = 0, 0
+    for k, text in enumerate(texts):
+        size += len(text) + 1
+        if k + 1 < len(texts) and size + len(texts[k + 1]) < CACHED_BYTES:
+            continue
+        some, start, size = texts[start : k + 1], k + 1, 0
+        buf = np.frombuffer(b"\n".join(some) + b"\n", np.uint8)
+        space = np.ones(len(buf) + 1, bool)
+        space[1:] = (buf == 32) | (buf - np.uint8(9) < 5)
+        edge = np.flatnonzero(space[1:] != space[:-1])
+        begin, end = edge[0::2], edge[1::2]
+        first = np.concatenate(([0], np.searchsorted(begin, np.cumsum([len(t) + 1 for t in some]))))
+        up, down = _pow(len(buf))
+        value = (buf | (buf - np.uint8(65) < 26).view(np.uint8) << 5).astype(np.uint64)
+        value += np.uint64(1)
+        value *= up
+        total = np.zeros(len(buf) + 1, np.uint64)
+        np.cumsum(value, out=total[1:])
+        yield buf, begin, end, mix((total.take(end) - total.take(begin)) * down.take(begin) + (end - begin).astype(np.uint64)), first
+
+
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of ``n`` words (none where there are fewer)."""
     count = len(words) - n + 1

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -194,3 +195,53 @@ def test_equal_texts_weigh_as_many_and_slices_are_averaged_by_windows():
     mean = lm_score._averaged(pa.concat_tables([lm_score._weights(17, 3.0, values), lm_score._weights(16, 1.0, 5 * values)]))
     assert mean.column("slice").to_pylist() == [1] and mean.column("mass").to_pylist() == [4.0]
     assert np.frombuffer(mean.column("weights")[0].as_py(), "<f4") == pytest.approx(2 * values)
+
+
+def test_blocks_and_shifted_logits_change_nothing(monkeypatch):
+    net, context, token = small()
+    loss, g = net.gradients(context, token)
+    got = net.log_p(context, token)
+    monkeypatch.setattr(lm_score, "FLAT", 0.0)  # every logit is shifted
+    monkeypatch.setattr(lm_score, "BLOCK", 3)
+    monkeypatch.setattr(lm_score, "CHUNK", 7)
+    again, h = net.gradients(context, token)
+    assert again == pytest.approx(loss, rel=1e-5) and net.log_p(context, token) == pytest.approx(got, abs=1e-5)
+    for k in g:
+        assert h[k] == pytest.approx(g[k], abs=1e-6)
+    monkeypatch.setattr(lm_score, "FLAT", 60.0)
+    net.token_bias += 300 * (np.arange(23) % 2).astype(np.float32)  # beyond what float32 can exponentiate
+    got = net.log_p(context, token)
+    assert np.isfinite(got).all() and got == pytest.approx([plain_log_p(net, context[:, k], t) for k, t in enumerate(token.tolist())], rel=1e-4)
+
+
+def test_hashes_and_tokens_are_those_of_look_ups():
+    rng = random.Random(6)
+    every = bytes(range(256))
+    texts = [bytes(rng.choices(every, k=rng.randint(0, 900))) for _ in range(300)] + [b"", b"A b-1 " * 20_000, b" ", b"z"]
+    want, starts = words.word_hashes(texts, lower=True)
+    found = list(words.lowered(texts))
+    assert len(found) > 3 and np.array_equal(np.concatenate([f[3] for f in found]), want)
+    known = np.unique(np.random.default_rng(1).choice(want, 400))
+    rank = 1 + lm_score.SHAPES + np.arange(len(known))[::-1]
+    place = dict(zip(known.tolist(), rank.tolist(), strict=True))
+    for some in (known, known[:1], known[:0]):
+        token, hashes, first = lm_score._tokens(texts, some, rank)
+        assert np.array_equal(hashes, want) and np.array_equal(first, starts)
+        split = [w for t in texts for w in t.split()]
+        shape = [2 * min(len(w), lm_score.SHAPES // 2) - 1 + (sum(not (c >= 128 or 97 <= c | 32 <= 122) for c in w) > 1) for w in split]
+        have = set(some.tolist())
+        assert token.tolist() == [place[x] if x in have else s for x, s in zip(want.tolist(), shape, strict=True)]
+
+
+def test_logits_are_held_for_a_block_of_windows_only():
+    """Logits of a whole mini-batch fit no core's cache."""
+    rng = np.random.default_rng(1)
+    net = lm_score.Network(np.full(1_000, 9), hidden=4, group=1_000)
+    context, token = rng.integers(0, 1_000, (4, 16_384)), rng.integers(0, 1_000, 16_384)
+    for work in (net.log_p, net.gradients):
+        tracemalloc.start()
+        try:
+            work(context, token)
+            assert tracemalloc.get_traced_memory()[1] < 12e6  # all logits at once: 65 MB, those of a block: 4 MB
+        finally:
+            tracemalloc.stop()
