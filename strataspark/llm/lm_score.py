@@ -334,8 +334,8 @@ def _gathered(batches: Iterator[pa.RecordBatch], known: np.ndarray, rank: np.nda
     yield rows(some.astype(np.int32), total[some], none, none, none)
 
 
-#: Weights travel in rows of at most this many, as Parquet is read in batches of thousands of rows.
-WEIGHTS_ROW = 1 << 12
+#: Weights travel in rows of at most this many, as Parquet is read in batches of 4,096 rows, one for each running task.
+WEIGHTS_ROW = 1 << 10
 _WEIGHTS = "slice long, part long, mass double, weights binary"
 
 

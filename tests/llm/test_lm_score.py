@@ -245,3 +245,9 @@ def test_logits_are_held_for_a_block_of_windows_only():
             assert tracemalloc.get_traced_memory()[1] < 12e6  # all logits at once: 65 MB, those of a block: 4 MB
         finally:
             tracemalloc.stop()
+
+
+def test_a_batch_of_weights_leaves_room_in_a_small_heap():
+    """Parquet is read in batches of 4,096 rows, whose room doubles as it fills; four tasks share 1 GB in these tests."""
+    rows = lm_score._weights(0, 1.0, np.zeros(1_000_000, np.float32)).column("weights").to_pylist()
+    assert sum(map(len, rows)) == 4_000_000 and 4_096 * max(map(len, rows)) <= 1 << 24
