@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataspark.llm import ann, chat, lm_score, mixing, ngram_join, packing, substring_dedup, topk, toxicity, url_filter
+from strataspark.llm import ann, chat, clusters, lm_score, mixing, ngram_join, packing, phrases, quality, substring_dedup, topk, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": ann.op1_ann,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": chat.op8_chat_format,
     "op9_lm_score": lm_score.op9_lm_score,
     "op10_ngram_join": ngram_join.op10_ngram_join,
+    "op11_quality": quality.op11_quality,
+    "op12_clusters": clusters.op12_clusters,
+    "op13_phrases": phrases.op13_phrases,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -27,4 +30,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_url_filter": url_filter.SQL,
     "op8_chat_format": chat.SQL,
     "op10_ngram_join": ngram_join.SQL,
+    "op12_clusters": clusters.SQL,
+    "op13_phrases": phrases.SQL,
 }

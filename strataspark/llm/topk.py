@@ -137,9 +137,9 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v FROM embeddings
+  SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS v FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
   FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
