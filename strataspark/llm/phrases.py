@@ -7,17 +7,18 @@ its sorted positions: a phrase at p and the phrase of the same length at p + 1,
 list of the longer phrase, whose length is its number of occurrences in the slice. No document lies in two slices, so a
 phrase's frequency is the sum of its lists' lengths.
 
-Lists travel only where they may be frequent: slices send hashes and lengths of what they could extend to, bucket by
-bucket (``tally``), and are told sums that are never too small; frequencies themselves are added up by the phrase's text.
+A slice's lists of one level are one row. Lists that cannot be frequent are left out: slices send hashes and lengths of
+what they hold, bucket by bucket (``tally``), and are told sums that are never too small; the frequencies themselves are
+added up by the phrase's text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,8 +31,9 @@ LEAST, MOST_WORDS, COVERED, TOP = 10, 3, 50, 2000
 #: Bytes of text in a slice, unless a single document is longer.
 SLICE_BYTES = 8 << 20
 
-LISTS = "slice long, lang string, phrase string, n long, positions binary"
-_LISTS = pa.schema([("slice", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64()), ("positions", pa.binary())])
+LISTS = "slice long, lang string, phrases binary, lengths binary, positions binary"
+_LISTS = pa.schema([("slice", pa.int64()), ("lang", pa.string()), ("phrases", pa.binary()), ("lengths", pa.binary()), ("positions", pa.binary())])
+COUNTS = "lang string, phrase string, n long"
 _COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -42,7 +44,7 @@ _CLASS[[9, 32]] = 1
 _CLASS[[10, 11, 12, 13, *b".,;:!?"]] = 2
 
 
-def postings(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def postings(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(words, lengths of their lists, positions word by word) of some texts of one language."""
     buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     kind = _CLASS[buf]
@@ -50,13 +52,13 @@ def postings(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).view(np.int8)))
     begin, end = edge[0::2], edge[1::2]
     if not len(begin):
-        return pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        return [], np.zeros(0, np.int64), np.zeros(0, np.int32)
     piece = np.cumsum(kind == 2)[begin]
     position = np.arange(len(begin)) + np.concatenate(([0], np.cumsum(piece[1:] != piece[:-1])))
     offsets = np.concatenate(([0], np.cumsum(end - begin))).astype(np.int64)
-    each = pa.Array.from_buffers(pa.large_string(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(_LOWER[buf[inside]])]).dictionary_encode()
+    each = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(_LOWER[buf[inside]])]).dictionary_encode()
     code = each.indices.to_numpy()
-    return each.dictionary.cast(pa.string()), np.bincount(code, minlength=len(each.dictionary)), position[np.argsort(code, kind="stable")].astype("<i4")
+    return each.dictionary.to_pylist(), np.bincount(code, minlength=len(each.dictionary)), position[np.argsort(code, kind="stable")].astype("<i4")
 
 
 def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
@@ -73,74 +75,108 @@ def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[
     yield from held.items()
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for lang, texts in _by_language(batches):
-        found, lengths, _ = postings(texts)
-        yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(found)), found, pa.array(lengths, pa.int64())], schema=_COUNTS)
+@dataclass
+class Lists:
+    """A slice's lists of one level."""
 
+    slice: int
+    lang: str
+    phrases: list[bytes]
+    lengths: np.ndarray
+    positions: np.ndarray
 
-def _packed(lengths: np.ndarray, positions: np.ndarray) -> pa.Array:
-    """One binary value per list."""
-    offsets = np.concatenate(([0], np.cumsum(lengths) * 4)).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(positions, "<i4"))])
+    @classmethod
+    def of(cls, row: dict) -> Lists:
+        phrases = row["phrases"].split(b"\n") if row["phrases"] else []
+        return cls(row["slice"], row["lang"], phrases, np.frombuffer(row["lengths"], "<i8"), np.frombuffer(row["positions"], "<i4"))
 
+    def packed(self) -> pa.RecordBatch:
+        row = (self.slice, self.lang, b"\n".join(self.phrases), self.lengths.astype("<i8").tobytes(), self.positions.astype("<i4").tobytes())
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _LISTS.types, strict=True)], schema=_LISTS)
 
-def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for k, (lang, texts) in enumerate(_by_language(batches)):
-        found, lengths, positions = postings(texts)
-        name = pa.scalar((TaskContext.get().partitionId() << 32) + k, pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.repeat(name, len(found)), pa.repeat(pa.scalar(lang, pa.string()), len(found)), found, pa.array(lengths, pa.int64()), _packed(lengths, positions)], schema=_LISTS)
+    def counts(self) -> pa.RecordBatch:
+        lang = pa.repeat(pa.scalar(self.lang, pa.string()), len(self.phrases))
+        return pa.RecordBatch.from_arrays([lang, pa.array(self.phrases, pa.binary()).cast(pa.string()), pa.array(self.lengths, pa.int64())], schema=_COUNTS)
+
+    @property
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of the language, and of each phrase; a space counts as a zero byte here."""
+        named = words.word_hashes([b"\n".join([self.lang.encode().translate(_NAMED) or b"-", *self.phrases]).replace(b" ", b"\0")])[0]
+        return named[:1], named[1:]
+
+    @property
+    def keys(self) -> np.ndarray:
+        """A 64-bit hash of each phrase and the language."""
+        lang, phrase = self.hashes
+        return words.mix(phrase * words.constant(1) + lang * words.constant(3))
+
+    def chosen(self, good: np.ndarray) -> Lists:
+        return Lists(self.slice, self.lang, [p for p, g in zip(self.phrases, good.tolist(), strict=True) if g], self.lengths[good], self.positions[np.repeat(good, self.lengths)])
 
 
 class Extension:
-    """The lists of one word more that a slice's lists of one level make, by merging their positions."""
-
-    def __init__(self, part: pa.Table):
-        self.slice, self.lang = part.column("slice")[0].as_py(), part.column("lang")[0].as_py()
-        self.phrases = pa.concat_arrays(part.column("phrase").chunks)
-        position = np.frombuffer(b"".join(part.column("positions").to_pylist()), "<i4")
-        code = np.repeat(np.arange(len(self.phrases)), part.column("n").to_numpy())
-        order = np.argsort(position)
-        position, code = position[order], code[order]
+    """The lists of one word more that a slice's lists make, by merging their positions."""
+
+    def __init__(self, lists: Lists):
+        self.lists, many = lists, max(1, len(lists.phrases))
+        order = np.argsort(lists.positions)
+        position, code = lists.positions[order], np.repeat(np.arange(len(lists.phrases)), lists.lengths)[order]
         at = np.flatnonzero(position[1:] == position[:-1] + 1)
-        pair = code[at] * len(self.phrases) + code[at + 1]
+        pair = code[at] * many + code[at + 1]
         order = np.argsort(pair, kind="stable")
         pair = pair[order]
         start = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1]))) if len(pair) else np.zeros(0, np.int64)
-        self.first, self.second = np.divmod(pair[start], max(1, len(self.phrases)))
+        self.first, self.second = np.divmod(pair[start], many)
         self.lengths, self.positions = np.diff(np.append(start, len(pair))), position[at][order]
 
     @property
     def keys(self) -> np.ndarray:
-        """A 64-bit hash of each longer phrase and its language. A space counts as a zero byte here."""
-        named = words.word_hashes([b"\n".join([self.lang.encode().translate(_NAMED) or b"-", *(p.encode() for p in self.phrases.to_pylist())]).replace(b" ", b"\0")])[0]
-        lang, phrase = named[:1], named[1:]
+        lang, phrase = self.lists.hashes
         return words.mix(phrase[self.first] * words.constant(1) + phrase[self.second] * words.constant(2) + lang * words.constant(3))
 
-    def rows(self, chosen: np.ndarray) -> pa.Table:
-        last = pc.replace_substring_regex(self.phrases, r"(?s)^.* ", "")
-        text = pc.binary_join_element_wise(self.phrases.take(pa.array(self.first[chosen])), last.take(pa.array(self.second[chosen])), " ")
-        lengths = self.lengths[chosen]
-        columns = [pa.repeat(pa.scalar(self.slice, pa.int64()), len(lengths)), pa.repeat(pa.scalar(self.lang, pa.string()), len(lengths)), text, pa.array(lengths, pa.int64())]
-        return pa.Table.from_arrays([*columns, _packed(lengths, self.positions[np.repeat(chosen, self.lengths)])], schema=_LISTS)
+    def chosen(self, good: np.ndarray) -> Lists:
+        held = self.lists.phrases
+        last = [p[p.rfind(b" ") :] if b" " in p else b" " + p for p in held]
+        longer = [held[a] + last[b] for a, b in zip(self.first[good].tolist(), self.second[good].tolist(), strict=True)]
+        return Lists(self.lists.slice, self.lists.lang, longer, self.lengths[good], self.positions[np.repeat(good, self.lengths)])
 
 
 #: Bytes that end a word are other bytes in a language's name, where it is hashed.
 _NAMED = bytes(b + 128 if b in (9, 10, 11, 12, 13, 32) else b for b in range(256))
 
 
-def _sent(part: pa.Table, buckets: int) -> pa.Table:
-    found = Extension(part)
-    keys, at = np.unique(found.keys, return_inverse=True)
-    return tally.sent(found.slice, keys, np.bincount(at, found.lengths, minlength=len(keys)).astype(np.int64), buckets)
+def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (lang, text) to a slice's lists of all words."""
+    for k, (lang, texts) in enumerate(_by_language(batches)):
+        found = postings(texts)
+        if found[0]:
+            yield Lists((TaskContext.get().partitionId() << 32) + k, lang, *found).packed()
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            yield Lists.of(row).counts()
+
+
+def _grown(row: dict, size: int) -> Lists | Extension:
+    """What has a list in level ``size``: the words themselves, or what the level before extends to."""
+    return Lists.of(row) if size == 1 else Extension(Lists.of(row))
+
+
+def _sent(batches: Iterator[pa.RecordBatch], size: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            found = _grown(row, size)
+            keys, at = np.unique(found.keys, return_inverse=True)
+            yield from tally.sent(row["slice"], keys, np.bincount(at, found.lengths, minlength=len(keys)).astype(np.int64), buckets).to_batches()
 
 
-def _extended(part: pa.Table, answers: pa.Table, least: int, buckets: int) -> pa.Table:
-    if not part.num_rows:
-        return _LISTS.empty_table()
-    found = Extension(part)
+def _told(part: pa.Table, answers: pa.Table, size: int, least: int, buckets: int) -> Lists:
+    """A slice's lists in level ``size`` that may be frequent."""
+    found = _grown(part.to_pylist()[0], size)
     keys, at = np.unique(found.keys, return_inverse=True)
-    return found.rows(tally.told(answers, keys, buckets)[at] >= least)
+    return found.chosen(tally.told(answers, keys, buckets)[at] >= least)
 
 
 def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, most_words: int = MOST_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -149,19 +185,24 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", least
     A null language is ``und``, a null text empty. A text of any length is read whole; repeated rows count each time.
     """
     source = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text")).where("text is not null")
-    counts = written(source.mapInArrow(_word_counts, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("f")))
-    totals = written(counts.groupBy("lang").agg(F.sum("f").alias("n")))
+    lists = written(source.mapInArrow(_word_lists, LISTS))
+    totals = written(lists.groupBy("lang").agg((F.sum(F.length("positions")) / 4).cast("long").alias("n")))
     buckets = max(1, -(-(totals.agg(F.sum("n")).head()[0] or 0) // tally.SLICE_KEYS))
-    frequent = counts.where(F.col("f") >= least)
-    lists = written(source.mapInArrow(_word_lists, LISTS).join(frequent.select("lang", "phrase"), ["lang", "phrase"], "left_semi").select(*_LISTS.names))
-    levels = [written(frequent.select("lang", F.lit(1).alias("words"), "phrase", "f"))]
-    dropped(counts)
-    for size in range(2, most_words + 1):
-        answers = lists.groupBy("slice").applyInArrow(lambda t: _sent(t, buckets), tally.SENT).groupBy("bucket").applyInArrow(tally.answered, tally.ANSWER)
-        longer = written(lists.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(lambda t, a: _extended(t, a, least, buckets), LISTS))
-        dropped(lists)
-        lists = longer
-        levels.append(written(lists.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least).select("lang", F.lit(size).alias("words"), "phrase", "f")))
+    levels = []
+
+    def told(size: int, out: Callable[[Lists], pa.RecordBatch]):
+        return lambda part, answers: pa.Table.from_batches([out(_told(part, answers, size, least, buckets))])
+
+    for size in range(1, most_words + 1):
+        keys = lists.mapInArrow(lambda parts, k=size: _sent(parts, k, buckets), tally.SENT)
+        both = lists.groupBy("slice").cogroup(keys.groupBy("bucket").applyInArrow(tally.answered, tally.ANSWER).groupBy("slice"))
+        if size < most_words:
+            before, lists = lists, written(both.applyInArrow(told(size, Lists.packed), LISTS))
+            dropped(before)
+            counts = lists.mapInArrow(_counts, COUNTS)
+        else:  # nothing extends the last level
+            counts = both.applyInArrow(told(size, Lists.counts), COUNTS)
+        levels.append(written(counts.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least).select("lang", F.lit(size).alias("words"), "phrase", "f")))
     dropped(lists)
     every = levels[0]
     for level in levels[1:]:

@@ -69,7 +69,7 @@ def test_slices_do_not_matter(spark, monkeypatch):
     df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
     want = mined(df)
     source = phrases.postings
-    assert want == sorted(plain(rows, 10, 3, 50, 2000)) and source(["a b a".encode()])[1].tolist() == [2, 1]
+    assert want == sorted(plain(rows, 10, 3, 50, 2000)) and source([b"a b a"])[1].tolist() == [2, 1]
     held = [list(phrases._by_language(iter(df.where("text is not null").toArrow().to_batches())))]
     monkeypatch.setattr(phrases, "SLICE_BYTES", 200)
     held.append(list(phrases._by_language(iter(df.where("text is not null").toArrow().to_batches()))))
