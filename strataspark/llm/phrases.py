@@ -29,7 +29,7 @@ from strataspark.llm.common import dropped, table, written
 
 LEAST, MOST_WORDS, COVERED, TOP = 10, 3, 50, 2000
 #: Bytes of text in a slice, unless a single document is longer.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 LISTS = "slice long, lang string, phrases binary, lengths binary, positions binary"
 _LISTS = pa.schema([("slice", pa.int64()), ("lang", pa.string()), ("phrases", pa.binary()), ("lengths", pa.binary()), ("positions", pa.binary())])
@@ -53,7 +53,7 @@ def postings(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     begin, end = edge[0::2], edge[1::2]
     if not len(begin):
         return [], np.zeros(0, np.int64), np.zeros(0, np.int32)
-    piece = np.cumsum(kind == 2)[begin]
+    piece = np.searchsorted(np.flatnonzero(kind == 2), begin)
     position = np.arange(len(begin)) + np.concatenate(([0], np.cumsum(piece[1:] != piece[:-1])))
     offsets = np.concatenate(([0], np.cumsum(end - begin))).astype(np.int64)
     each = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(_LOWER[buf[inside]])]).dictionary_encode()
