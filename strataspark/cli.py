@@ -6,7 +6,6 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from strataspark.operators.stats import coverage
 from strataspark.store import LayerStore
 
 
@@ -15,7 +14,7 @@ def info(store: LayerStore) -> str:
     lines.append(f"{store.path}: {about['powiat'] or '-'}, {store.grid.width}x{store.grid.height} px of {store.grid.cellsize:g} m, levels {', '.join(x.name for x in store.levels())}")
     for year, r in store.manifest.items():
         lines.append(f"{year}: {r['status']}, index {r['indeks']}, {len(r['arkusze'])} sheets, resolutions {r.get('udzial_rozdzielczosci', {})}")
-    shares = coverage(store.read(factor=(store.factors or [1])[-1]), value="nmt").orderBy("rok").collect()
+    shares = store.coverage().orderBy("rok").collect()
     return "\n".join(lines + [f"{r.rok}: {r.coverage:.1%} covered" for r in shares])
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataspark.functions.numeric import round_float
+from strataspark.operators import chunks
 
 METHODS = {"nearest": "nearest", "bilinear": "bilinear", "cubic": "cubic", "bicubic": "cubic", "average": "average"}
 
@@ -21,22 +22,17 @@ def reach(method: str, factor: int) -> int:
     return 0 if factor == 1 else {"bilinear": 1, "cubic": 2}.get(method_name(method), 0) * factor
 
 
-def _kernel(d: Column, method: str) -> Column:
-    d = F.abs(d)
-    if method == "bilinear":
-        return F.greatest(F.lit(0.0), F.lit(1.0) - d)
-    a = -0.5  # Keys' cubic convolution
-    near = (a + 2) * d * d * d - (a + 3) * d * d + 1
-    far = a * d * d * d - 5 * a * d * d + 8 * a * d - 4 * a
-    return F.when(d <= 1, near).when(d < 2, far).otherwise(F.lit(0.0))
+#: Pixels a side of the blocks that ``resample`` works on, unless told otherwise.
+BLOCK = 512
 
 
-def resample(cells: DataFrame, factor: int, method: str = "bilinear", keys: tuple[str, ...] = (), value: str = "z", height: int | None = None, width: int | None = None, round_places: int | None = 2) -> DataFrame:
+def resample(cells: DataFrame, factor: int, method: str = "bilinear", keys: tuple[str, ...] = (), value: str = "z", height: int | None = None, width: int | None = None, round_places: int | None = 2, block: int = BLOCK) -> DataFrame:
     """(keys, row, col, value) of the level with cells of ``factor`` x ``factor`` base pixels.
 
-    average and nearest group pixels by their parent; nearest takes child (factor // 2, factor // 2). The kernels are
-    widened by the factor: a pixel is sent to the few level cells it weighs on, and weights are renormalised over
-    valid pixels. Sums are partial aggregates. Cells outside height and width of the level are dropped.
+    average and nearest group pixels by their parent, which combines before the shuffle; nearest takes child
+    (factor // 2, factor // 2). The kernels are widened by the factor and renormalised over valid pixels: pixels are packed
+    into dense blocks, one row shuffled a pixel, and blocks exchange partial sums (``chunks.level``). Cells outside height
+    and width of the level are dropped; without these the kernels reach no further than the last pixel's parent.
     """
     method = method_name(method)
     valid = cells.where(F.col(value).isNotNull())
@@ -48,14 +44,12 @@ def resample(cells: DataFrame, factor: int, method: str = "bilinear", keys: tupl
     elif method == "average":
         out = valid.withColumns(parent).groupBy(*keys, "row", "col").agg(F.avg(v).alias(value))
     else:
-        reach = 1 if method == "bilinear" else 2
-        for axis in ("row", "col"):
-            place = (F.col(axis) + 0.5) / factor - 0.5  # in level cells
-            valid = valid.withColumn(f"p_{axis}", place).withColumn(f"t_{axis}", F.explode(F.sequence(F.floor(place).cast("int") - (reach - 1), F.floor(place).cast("int") + reach)))
-        weight = _kernel(F.col("p_row") - F.col("t_row"), method) * _kernel(F.col("p_col") - F.col("t_col"), method)
-        sent = valid.withColumn("w", weight).where("w <> 0 and t_row >= 0 and t_col >= 0")
-        summed = sent.groupBy(*keys, F.col("t_row").alias("row"), F.col("t_col").alias("col")).agg(F.sum(F.col("w") * v).alias("wz"), F.sum("w").alias("w"))
-        out = summed.where("abs(w) > 1e-12").select(*keys, "row", "col", (F.col("wz") / F.col("w")).alias(value))
+        if height is None or width is None:
+            last = valid.agg(F.max(parent["row"]), F.max(parent["col"])).head()  # two numbers
+            height, width = (n if n is not None else (0 if k is None else k + 1) for n, k in zip((height, width), last, strict=True))
+        base = chunks.Layout(height * factor, width * factor, block, (value,), "f8", keys)
+        level = chunks.Layout(height, width, max(1, block // factor), (value,), "f8", keys)
+        out = chunks.cells(chunks.level(chunks.packed(valid, base), base, factor, method, level, None), level).select(*keys, "row", "col", value)
     if height is not None:
         out = out.where((F.col("row") < height) & (F.col("col") < width))
     return out if round_places is None else out.withColumn(value, round_float(F.col(value), round_places))

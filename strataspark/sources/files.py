@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -36,6 +39,30 @@ class Files:
         context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(part.toUri(), self.conf)
         context.rename(part, self._at(path)[1], flags)
 
+    def create(self, path: str, content: bytes) -> bool:
+        """A file that appears whole, or not at all if there is one already: False. Of several writers one succeeds."""
+        fs, part = self._at(f"{path}.{uuid.uuid4().hex}")
+        out = fs.create(part, False)
+        out.write(bytearray(content))
+        out.close()
+        at = self._at(path)[1]
+        try:
+            if fs.getUri().getScheme() == "file":  # its rename looks first and renames then; a link cannot be made twice
+                local = self.jvm.java.nio.file.Paths
+                self.jvm.java.nio.file.Files.createLink(local.get(at.toUri().getPath(), self._array(self.jvm.java.lang.String, [])), local.get(part.toUri().getPath(), self._array(self.jvm.java.lang.String, [])))
+            else:
+                options = self.jvm.org.apache.hadoop.fs.Options.Rename
+                self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(part.toUri(), self.conf).rename(part, at, self._array(options, [options.NONE]))
+        except Py4JJavaError as e:
+            if not fs.exists(at):
+                raise
+            if not e.java_exception.getClass().getSimpleName().startswith("FileAlreadyExists"):
+                raise
+            return False
+        finally:
+            fs.delete(part, False)
+        return True
+
     def _array(self, kind, values):
         from pyspark import SparkContext
 

@@ -1,24 +1,34 @@
-"""Layer store: Parquet layers by (level, rok, by, bx), a JSON manifest, incremental years.
+"""Layer store: layers of dense chunks, a log of descriptions, incremental years.
 
 A year is ``w_toku`` while it is written and ``kompletna`` afterwards; anything not complete is rebuilt. The grid and
 the levels are frozen when the store is made. Files go through Spark, so a store may lie in any file system it knows.
+
+Changes are committed, never made in place. A layer is a list of versions, each a folder of chunks of all blocks or of
+the touched ones; a description names the versions that make its layers. The log holds descriptions by number, and the
+next number is taken by whoever creates its file first. Readers see one description, before or after a change; a year
+that is being rebuilt reads as before until its commit. ``clean`` removes what is no longer referred to.
 """
 
 from __future__ import annotations
 
 import datetime
 import json
+import uuid
 import warnings
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataspark.functions.grid import SIDES, Grid, Level
-from strataspark.operators import catalog, levels, mosaic, plan, stats
+from strataspark.operators import catalog, chunks, levels, mosaic, plan, stats
 from strataspark.sources.files import Files
 
-FORMAT_VERSION = 1
+FORMAT_VERSION = 2
+#: Commits that are tried before giving up; versions of a layer before they are written together.
+ATTEMPTS, MOST_VERSIONS = 20, 8
+CHUNKS = f"{chunks.PLACE}, {chunks.Layout(0, 0, 1).about}, rok int, wersja string"
 IN_PROGRESS, COMPLETE = "w_toku", "kompletna"
 #: K15, fixed values: names, units and axes as the CF convention has them.
 ATTRIBUTES = {
@@ -41,45 +51,71 @@ def _now() -> str:
 
 @dataclass
 class LayerStore:
+    """``at``: the entry of the log that is read, the latest one if None."""
+
     spark: SparkSession
     path: str
     block: int = 2048
+    at: int | None = None
 
     @property
     def files(self) -> Files:
         return Files(self.spark)
 
-    def _save(self, data: dict) -> None:
-        self.files.replace(f"{self.path}/opis.json", json.dumps(data, ensure_ascii=False).encode())
+    # The log: one numbered file per state of the whole description
+    def _entry(self, number: int) -> str:
+        return f"{self.path}/dziennik/{number:012d}.json"
+
+    def _entries(self) -> list[int]:
+        return sorted(int(n[:-5]) for n in self.files.names(f"{self.path}/dziennik") if n.endswith(".json"))
+
+    def _read(self) -> tuple[int, dict]:
+        found = self._entries()
+        if not found or self.at is not None and self.at not in found:
+            raise StoreError(f"no store at {self.path}" if not found else f"{self.path} has no entry {self.at} any more")
+        number = found[-1] if self.at is None else self.at
+        return number, json.loads(self.files.read(self._entry(number)))
+
+    def _commit(self, change: Callable[[dict], None]) -> int:
+        """Apply ``change`` to the latest state and write that as the next entry, which only one writer can create; whoever
+        comes second applies its change to what the first one wrote. The new entry's number."""
+        if self.at is not None:
+            raise StoreError("a snapshot is read only")
+        for _ in range(ATTEMPTS):
+            number, data = self._read()
+            change(data)
+            if self.files.create(self._entry(number + 1), json.dumps(data, ensure_ascii=False).encode()):
+                return number + 1
+        raise StoreError(f"{self.path}: {ATTEMPTS} other writers were faster")
 
     def _load(self) -> dict:
-        if not self.exists():
-            raise StoreError(f"no store at {self.path}")
-        return json.loads(self.files.read(f"{self.path}/opis.json"))
+        return self._read()[1]
+
+    def snapshot(self) -> LayerStore:
+        """The store as it is now, for reading; later changes do not touch what it reads until ``clean``."""
+        return replace(self, at=self._read()[0])
 
     def exists(self) -> bool:
-        """A description whose layers' folder is gone describes nothing; it is removed, so years are built anew."""
-        files = self.files
-        if not files.exists(f"{self.path}/opis.json"):
-            return False
-        if files.exists(f"{self.path}/warstwy"):
-            return True
-        for orphan in ("opis.json", "czas"):
-            files.remove(f"{self.path}/{orphan}")
-        warnings.warn(f"{self.path} had a description without layers; it was removed", stacklevel=2)
-        return False
+        """A description whose layers' folder is gone describes nothing. Nothing is removed here, as a mount or a listing
+        may be late; ``create`` removes it."""
+        return bool(self._entries()) and self.files.exists(f"{self.path}/warstwy")
 
     def create(self, grid: Grid, factors: tuple[int, ...] = (), county: str = "", method: str = "bilinear") -> LayerStore:
-        """Refuses if there is one already, or layers without a description."""
+        """Refuses if there is one already, or layers without a description (L6). U6: an orphaned description goes, so
+        that its years are built anew."""
         if self.exists():
             raise StoreError(f"there is a store at {self.path}")
         if self.files.names(f"{self.path}/warstwy"):
             raise StoreError(f"{self.path} holds layers of an unknown format; remove them and build anew")
         for f in factors:
             _ = Level(grid, f, self.block).grid
+        for orphan in ("dziennik", "czas"):
+            if self.files.remove(f"{self.path}/{orphan}"):
+                warnings.warn(f"{self.path}/{orphan} described layers that are not there; it was removed", stacklevel=2)
         about = {"wersja_formatu": FORMAT_VERSION, "rola": "baza", "siatka": json.loads(grid.to_json()), "faktory_poziomow": list(factors), "utworzono": _now(), "powiat": county, "resampling_poziomow": levels.method_name(method), "atrybuty": ATTRIBUTES | {"title": f"NMT {county}".strip()}}
         self.files.folder(f"{self.path}/warstwy")
-        self._save({"opis": about, "warstwy": {}})
+        if not self.files.create(self._entry(1), json.dumps({"opis": about, "warstwy": {}}, ensure_ascii=False).encode()):
+            raise StoreError(f"there is a store at {self.path}")
         return self
 
     @property
@@ -103,9 +139,7 @@ class LayerStore:
 
     def save_record(self, year: int, record: dict) -> None:
         """K8."""
-        data = self._load()
-        data["warstwy"][str(year)] = record | {"zmieniono": _now()}
-        self._save(data)
+        self._commit(lambda data: data["warstwy"].update({str(year): record | {"zmieniono": _now()}}))
 
     def years(self) -> list[int]:
         """In storage order."""
@@ -127,9 +161,9 @@ class LayerStore:
             found.append(f"resolution {resolution:g} differs from the store's {base:g}")
         return found
 
-    def reserve(self, year: int) -> tuple[int, str | None]:
+    def reserve(self, year: int, known: dict[int, dict] | None = None) -> tuple[int, str | None]:
         """(storage index, warning). A known year keeps its index; an older year is appended at the end."""
-        found = self.manifest
+        found = self.manifest if known is None else known
         if len({r["indeks"] for r in found.values()}) < len(found):
             raise StoreError(f"{self.path}: two years share one place on the time axis")
         if year in found:
@@ -138,24 +172,19 @@ class LayerStore:
         return max((r["indeks"] for r in found.values()), default=-1) + 1, late
 
     # Time axis
-    def rewrite_time(self, position: str = "middle", bounds: bool = True, unit: str = "seconds", chunks: str = "each") -> DataFrame:
+    def rewrite_time(self, position: str = "middle", bounds: bool = True, unit: str = "seconds", fragments: str = "each") -> DataFrame:
         """Write the axis of every level anew: middle or start of the year, with or without bounds, in seconds or days,
         one file per year (``each``) or one for all (``one``). Layers are not touched. (level, indeks, rok, time[, start, end])."""
         order = self.spark.createDataFrame([(y, r["indeks"]) for y, r in self.manifest.items()], "rok int, indeks int")
         at, start, end = stats.time_axis(F.col("rok"), position, unit)
         ends = [start.alias("start"), end.alias("end")] if bounds else []
         axis = order.select("indeks", "rok", at.alias("time"), *ends).crossJoin(F.broadcast(self.spark.createDataFrame([(x.factor,) for x in self.levels()], "level int")))
-        dealt = axis.repartition("level") if chunks == "one" else axis.repartition("level", "indeks")
-        data = self._load()
-        number = data["opis"].get("czas", {}).get("zapis", 0) + 1
-        writer = dealt.write.mode("overwrite").partitionBy("level", *(["indeks"] if chunks == "each" else []))
-        writer.parquet(f"{self.path}/czas/zapis={number}")
-        since = f"{unit} since 1970-01-01"
-        data["opis"]["czas"] = {"zapis": number, "units": since, "calendar": "standard", "pozycja": position, "fragmenty": chunks} | ({"bounds": "time_bnds"} if bounds else {})
-        self._save(data)
-        for old in self.files.names(f"{self.path}/czas"):
-            if old != f"zapis={number}":
-                self.files.remove(f"{self.path}/czas/{old}")
+        dealt = axis.repartition("level") if fragments == "one" else axis.repartition("level", "indeks")
+        name = uuid.uuid4().hex
+        writer = dealt.write.mode("overwrite").partitionBy("level", *(["indeks"] if fragments == "each" else []))
+        writer.parquet(f"{self.path}/czas/zapis={name}")
+        told = {"zapis": name, "units": f"{unit} since 1970-01-01", "calendar": "standard", "pozycja": position, "fragmenty": fragments} | ({"bounds": "time_bnds"} if bounds else {})
+        self._commit(lambda data: data["opis"].update(czas=told))
         return self.time_axis()
 
     def time_axis(self, factor: int | None = None) -> DataFrame:
@@ -167,27 +196,71 @@ class LayerStore:
         return axis if factor is None else axis.where(F.col("level") == factor)
 
     # Layers
-    def _layer_path(self, factor: int, year: int) -> str:
+    def _folder(self, factor: int, year: int) -> str:
         return f"{self.path}/warstwy/level={factor}/rok={year}"
 
-    def read(self, year: int | None = None, factor: int = 1, value: str | None = None) -> DataFrame:
-        """Cells of a level, of one year if given; partitions and columns are pruned."""
-        if year is not None and year not in self.manifest:
+    def layout(self, level: Level) -> chunks.Layout:
+        return chunks.Layout(level.grid.height, level.grid.width, level.block)
+
+    def _live(self, factor: int, versions: dict[int, list]) -> DataFrame:
+        """Chunks of the years' versions, [name, blocks or None for all] each, oldest first: a block's last version holds."""
+        paths, gone = [], []
+        for year, found in versions.items():
+            for k, (name, _) in enumerate(found):
+                paths.append(f"{self._folder(factor, year)}/wersja={name}")
+                gone += [(year, name, by, bx) for _, blocks in found[k + 1 :] for by, bx in blocks]
+        if not paths:
+            return self.spark.createDataFrame([], CHUNKS)
+        read = self.spark.read.schema(CHUNKS).option("basePath", f"{self.path}/warstwy/level={factor}").parquet(*paths)
+        if gone:  # at most every block once per version, and versions are few
+            read = read.join(F.broadcast(self.spark.createDataFrame(gone, "rok int, wersja string, by int, bx int").distinct()), ["rok", "wersja", "by", "bx"], "left_anti").select(*read.columns)
+        return read
+
+    def chunks(self, year: int | None = None, factor: int = 1) -> DataFrame:
+        """Dense chunks of a level, of one year if given: columns of ``chunks.Layout``; masks, ranges and values are pruned."""
+        found = self.manifest
+        if year is not None and year not in found:
             raise KeyError(year)
-        cells = self.spark.read.option("basePath", f"{self.path}/warstwy").parquet(f"{self.path}/warstwy/level={factor}")
-        cells = cells if year is None else cells.where(F.col("rok") == year)
-        return cells if value is None else cells.select("rok", "row", "col", value)
-
-    def _write(self, cells: DataFrame, level: Level, year: int, blocks: list[tuple[int, int]] | None) -> None:
-        """K6: whole layer, or the given blocks only. Their folders go first, as a block may have become empty."""
-        placed = cells.select("row", "col", "nmt", "res_src", *(c.alias(n) for n, c in level.block_columns().items()))
-        where = self._layer_path(level.factor, year)
+        versions = {y: r.get("wersje", {}).get(str(factor), []) for y, r in found.items() if year in (None, y)}
+        return self._live(factor, versions).drop("wersja")
+
+    def _level(self, factor: int) -> Level:
+        return next(x for x in self.levels() if x.factor == factor)
+
+    def read(self, year: int | None = None, factor: int = 1, value: str | None = None) -> DataFrame:
+        """Cells of a level, of one year if given; only chunks of the years and values asked for are read."""
+        cells = chunks.cells(self.chunks(year, factor), self.layout(self._level(factor)), None if value is None else tuple(dict.fromkeys(("nmt", value))))
+        return cells.withColumn("level", F.lit(factor)) if value is None else cells.select("rok", "row", "col", value)
+
+    def _write(self, made: DataFrame, factor: int, year: int, name: str) -> None:
+        """K6: chunks of a layer, or of some blocks of it, beside what is there; nothing reads them before they are committed."""
+        made.drop("rok").write.mode("overwrite").option("compression", "zstd").parquet(f"{self._folder(factor, year)}/wersja={name}")
+
+    def _versions(self, factor: int, year: int, before: list, name: str, blocks: list[tuple[int, int]] | None) -> list:
+        """The versions of a layer with a new one; many are written together as one."""
         if blocks is None:
-            self.files.remove(where)
-        for by, bx in blocks or ():
-            self.files.remove(f"{where}/by={by}/bx={bx}")
-        if blocks is None or blocks:
-            placed.repartition("by", "bx").sortWithinPartitions("row", "col").write.mode("append").partitionBy("by", "bx").parquet(where)
+            return [[name, None]]
+        after = [*before, [name, [list(b) for b in blocks]]] if blocks else before
+        if len(after) <= MOST_VERSIONS:
+            return after
+        self._write(self._live(factor, {year: after}).drop("wersja"), factor, year, f"{name}-razem")
+        return [[f"{name}-razem", None]]
+
+    def clean(self) -> list[str]:
+        """Remove entries of the log but the latest, and what no layer of that refers to. Snapshots and writers that are at
+        work then fail, so there should be none. What was removed."""
+        number, data = self._read()
+        kept = {(int(y), int(f), n) for y, r in data["warstwy"].items() for f, vs in r.get("wersje", {}).items() for n, _ in vs}
+        gone = [self._entry(n) for n in self._entries() if n < number]
+        gone += [f"{self.path}/czas/{n}" for n in self.files.names(f"{self.path}/czas") if n != f"zapis={data['opis'].get('czas', {}).get('zapis')}"]
+        for level in self.files.names(f"{self.path}/warstwy"):
+            for year in self.files.names(f"{self.path}/warstwy/{level}"):
+                for name in self.files.names(f"{self.path}/warstwy/{level}/{year}"):
+                    if (int(year[4:]), int(level[6:]), name[7:]) not in kept:
+                        gone.append(f"{self.path}/warstwy/{level}/{year}/{name}")
+        for path in gone:
+            self.files.remove(path)
+        return gone
 
     def _hit(self, level: Level, dirty: DataFrame | None) -> list[tuple[int, int]] | None:
         """The level's blocks whose cells weigh a pixel of a dirty rectangle, all of them without rectangles (None)."""
@@ -204,19 +277,18 @@ class LayerStore:
         chosen = self.spark.createDataFrame(blocks or [(-1, -1)], "by int, bx int")
         return cells.withColumns(level.block_columns()).join(F.broadcast(chosen), ["by", "bx"], "left_semi").drop("by", "bx")
 
-    def _around(self, level: Level, blocks: list[tuple[int, int]], year: int) -> DataFrame:
-        """Base cells of the base blocks that the level's blocks need, with the margin that the widest kernel reaches."""
-        base, reach = self.levels()[0], 2 * level.factor + 2
+    def _around(self, base: DataFrame, level: Level, blocks: list[tuple[int, int]]) -> DataFrame:
+        """Base chunks of the blocks that the level's blocks need, with the margin that the widest kernel reaches."""
+        finest, reach = self.levels()[0], 2 * level.factor + 2
         need = set()
         for by, bx in blocks:
             sides = []
             for k in (by, bx):
                 first, last = k * level.block * level.factor - reach, (k + 1) * level.block * level.factor + reach - 1
-                sides.append(range(max(0, first) // base.block, last // base.block + 1))
+                sides.append(range(max(0, first) // finest.block, last // finest.block + 1))
             need |= {(y, x) for y in sides[0] for x in sides[1]}
-        cells = self.spark.read.parquet(self._layer_path(1, year))
-        near = cells.where(F.col("by").isin(sorted({y for y, _ in need})) & F.col("bx").isin(sorted({x for _, x in need})))  # prunes folders
-        return self._only(near.drop("by", "bx"), base, sorted(need))
+        near = base.where(F.col("by").between(min(y for y, _ in need), max(y for y, _ in need)) & F.col("bx").between(min(x for _, x in need), max(x for _, x in need)))  # skips row groups
+        return near.join(F.broadcast(self.spark.createDataFrame(sorted(need), "by int, bx int")), ["by", "bx"], "left_semi").select(*base.columns)
 
     def update_year(self, year: int, sheets: DataFrame, meta: DataFrame, cells: DataFrame, rings=None, force: bool = False, archives_without_ascii: DataFrame | None = None) -> dict:
         """L2, L3: bring one year up to date from its sheet list and the converted sheets; what was done.
@@ -232,40 +304,59 @@ class LayerStore:
         todo = plan.action(sheets, old, record and record["status"], skip, force)
         if todo["akcja"] == "aktualna":
             return todo
-        index, warning = self.reserve(year)
         tiles, foreign = plan.used(meta, sheets)
         if tiles.isEmpty():
             return todo | {"akcja": "blad", "powod": "no usable sheet"}
         dated = tiles.drop("akt_data").join(sheets.select("plik", "akt_data"), "plik")
         histogram = {f"{r.res:g}": r.n for r in catalog.resolution_histogram(tiles.select(catalog.stored_resolution(F.col("res")).alias("res"))).orderBy("res").collect()}
-        started = {"indeks": index, "status": IN_PROGRESS, "arkusze": self._rows(sheets.join(tiles.select("plik").distinct(), "plik", "left_semi")), "rozdzielczosci_zrodlowe": histogram}
-        self.save_record(year, started)
+        task, placed = uuid.uuid4().hex, {}
+        started = {"status": IN_PROGRESS, "arkusze": self._rows(sheets.join(tiles.select("plik").distinct(), "plik", "left_semi")), "rozdzielczosci_zrodlowe": histogram, "zadanie": task}
+
+        def start(data: dict) -> None:
+            known = {int(k): v for k, v in data["warstwy"].items()}
+            placed["indeks"], placed["ostrzezenie"] = self.reserve(year, known)
+            data["warstwy"][str(year)] = started | {"indeks": placed["indeks"], "wersje": known.get(year, {}).get("wersje", {}), "zmieniono": _now()}
+
+        name = str(self._commit(start))
+        before = self.manifest[year]["wersje"]
         base, *coarser = self.levels()
         blocks = self._hit(base, todo["brudne"])
         if blocks is not None:
             edge = base.grid.blocks(self.spark, base.block).join(F.broadcast(self.spark.createDataFrame(blocks or [(-1, -1)], "by int, bx int")), ["by", "bx"], "left_semi")
             dated = plan.touched_blocks(dated, edge)  # L3: sheets that meet none of the blocks are not read
-        layer = mosaic.base_layer(dated, cells, base.grid, rings).select("row", "col", F.col("z").alias("nmt"), "res_src")
-        self._write(self._only(layer, base, blocks), base, year, blocks)
+        layer = mosaic.base_layer(dated, cells, base.grid, rings).select(F.lit(year).alias("rok"), "row", "col", F.col("z").alias("nmt"), "res_src")
+        if blocks is None or blocks:
+            self._write(chunks.packed(self._only(layer, base, blocks), self.layout(base)), 1, year, name)
+        versions = {"1": self._versions(1, year, before.get("1", []), name, blocks)}
         method, touched = self.about["resampling_poziomow"], {base.factor: blocks}
+        fresh = self._live(1, {year: versions["1"]}).drop("wersja")
         for level in coarser:
-            hit = self._hit(level, todo["brudne"])
-            touched[level.factor] = hit
-            if hit == []:
-                continue
-            fresh = self.spark.read.parquet(self._layer_path(1, year)) if hit is None else self._around(level, hit, year)
-            z = levels.resample(fresh.select("row", "col", "nmt"), level.factor, method, value="nmt", height=level.grid.height, width=level.grid.width)
-            self._write(self._only(z.join(levels.coarsest(fresh, level.factor), ["row", "col"], "left"), level, hit), level, year, hit)
-        shares = {f"{r.res:g}": r.share for r in stats.resolution_shares(self.spark.read.parquet(self._layer_path(1, year))).orderBy("res").collect()}
+            key = str(level.factor)
+            hit = touched[level.factor] = self._hit(level, todo["brudne"])
+            if hit is None or hit:
+                source = fresh if hit is None else self._around(fresh, level, hit)
+                made = chunks.level(source, self.layout(base), level.factor, method, self.layout(level))
+                if hit is not None:
+                    made = made.join(F.broadcast(self.spark.createDataFrame(hit, "by int, bx int")), ["by", "bx"], "left_semi").select(*made.columns)
+                self._write(made, level.factor, year, name)
+            versions[key] = self._versions(level.factor, year, before.get(key, []), name, hit)
+        shares = {f"{r.res:g}": r.share for r in stats.resolution_shares(chunks.cells(fresh, self.layout(base))).orderBy("res").collect()}
         none = archives_without_ascii if archives_without_ascii is not None else self.spark.createDataFrame([], "archive string")
         rest = plan.unused(sheets, tiles, none).select("plik", "akt_data", "powod").collect()
         done = started | {
-            "status": COMPLETE, "udzial_rozdzielczosci": shares, "pominiete": sorted(r.plik for r in rest if r.powod == "pominiete"),
+            "status": COMPLETE, "wersje": versions, "udzial_rozdzielczosci": shares, "pominiete": sorted(r.plik for r in rest if r.powod == "pominiete"),
             "nieobslugiwane": [{"plik": r.plik, "akt_data": str(r.akt_data or "")} for r in rest if r.powod != "pominiete"],
         }
-        self.save_record(year, done)
+
+        def finish(data: dict) -> None:
+            own = data["warstwy"].get(str(year), {})
+            if own.get("zadanie") != task:
+                raise StoreError(f"{self.path}: another writer took over {year}")
+            data["warstwy"][str(year)] = done | {"indeks": own["indeks"], "zmieniono": _now()}
+
+        self._commit(finish)
         counts = catalog.resolution_counters(tiles, base.grid.cellsize).head().asDict()
-        return todo | {"indeks": index, "bloki": blocks, "poziomy": touched, "ostrzezenie": warning, "obce": foreign.count()} | counts
+        return todo | placed | {"bloki": blocks, "poziomy": touched, "obce": foreign.count()} | counts
 
     @staticmethod
     def _rows(sheets: DataFrame) -> list[dict]:
@@ -284,19 +375,26 @@ class LayerStore:
         cells.write.mode("overwrite").partitionBy("rok").parquet(folder)
 
     def report(self, factor: int | None = None) -> DataFrame:
-        """Per layer in storage order its statistics and the change against the layer before."""
+        """Per layer in storage order its statistics and the change against the layer before, from chunks: nothing is
+        shuffled by pixel."""
+        level = self._level(factor or (self.factors or [1])[0])
         order = self.spark.createDataFrame([(y, r["indeks"]) for y, r in self.manifest.items()], "rok int, indeks int")
-        cells = self.read(factor=factor or (self.factors or [1])[0]).join(F.broadcast(order), "rok").withColumnRenamed("nmt", "z")
-        return stats.layer_stats(cells, "indeks").join(stats.change_shares(cells), "indeks", "left").join(order, "indeks").orderBy("indeks")
+        found = self.chunks(factor=level.factor).join(F.broadcast(order), "rok")
+        changes = chunks.change_shares(found, self.layout(level))
+        return chunks.layer_stats(found, self.layout(level), "indeks").join(changes, "indeks", "left").join(order, "indeks").orderBy("indeks")
+
+    def coverage(self, factor: int | None = None) -> DataFrame:
+        """(rok, coverage) of a level, from masks alone."""
+        return chunks.coverage(self.chunks(factor=factor or (self.factors or [1])[-1]))
 
 
 def find_stores(spark: SparkSession, folder: str) -> list[str]:
     """Folders below ``folder`` whose description says that they are a base store."""
-    files, found = Files(spark), []
-    for name in files.names(folder):
-        about = f"{folder}/{name}/opis.json"
-        if files.exists(about) and json.loads(files.read(about)).get("opis", {}).get("rola") == "baza":
-            found.append(f"{folder}/{name}")
+    found = []
+    for name in Files(spark).names(folder):
+        store = LayerStore(spark, f"{folder}/{name}")
+        if store._entries() and store._load()["opis"].get("rola") == "baza":
+            found.append(store.path)
     return found
 
 

@@ -1,6 +1,7 @@
 """Hand-computed cases of FIXTURES.md and invariants."""
 
 import io
+import json
 import zipfile
 
 import pytest
@@ -10,6 +11,7 @@ from strataspark import cli
 from strataspark.functions import crs, geometry, grid, numeric
 from strataspark.operators import catalog, levels, mosaic, plan, stats
 from strataspark.sources import archive, ascii, index
+from strataspark.sources.files import Files
 from strataspark.operators.convert import Conversions
 from strataspark.store import LayerStore, StoreError, ascii_grid_rows, find_stores, sheets_geojson
 from strataspark.streaming.snapshots import follow_index
@@ -209,7 +211,7 @@ def test_store_is_incremental_and_recovers(spark, tmp_path):
     assert store.report(1).count() == 2
     assert store.differences(1.0, [2]) == [] and len(store.differences(0.5, [4])) == 2
     assert find_stores(spark, str(tmp_path)) == [f"{tmp_path}/s", f"{tmp_path}/t"]
-    axis = store.rewrite_time(bounds=False, unit="days", chunks="one")
+    axis = store.rewrite_time(bounds=False, unit="days", fragments="one")
     assert "start" not in axis.columns and sorted((r.level, r.rok, r.indeks, r.time) for r in axis.collect()) == [(f, y, i, d) for f in (1, 2) for y, i, d in ((2019, 1, 18078), (2020, 0, 18444))]
     axis = store.rewrite_time("start")
     assert {(r.rok, r.time, r.end) for r in store.time_axis(2).collect()} == {(2020, 1577836800, 1609459199), (2019, 1546300800, 1577836799)} and store.about["czas"]["bounds"] == "time_bnds"
@@ -272,8 +274,14 @@ def test_reissued_archives_are_loaded_anew(spark, tmp_path):
     assert (tmp_path / "a.zip").read_bytes() == b"n" * 6000 and (tmp_path / "b.zip").read_bytes() == b"o" * 6000
 
 
-def written_blocks(path):
-    return {(str(f.relative_to(path).parent), f.name) for f in path.rglob("part-*.parquet")}
+def written_blocks(spark, store, year=2020):
+    """(level, by, bx) of the last version of each level."""
+    last = max(int(n[0]) for vs in store.manifest[year]["wersje"].values() for n in vs)
+    found = []
+    for level in store.levels():
+        where = f"{store._folder(level.factor, year)}/wersja={last}"
+        found += [(level.factor, r.by, r.bx) for r in (spark.read.parquet(where).collect() if store.files.exists(where) else [])]
+    return sorted(found)
 
 
 def test_a_change_of_one_sheet_writes_only_touched_blocks_on_every_level(spark, tmp_path):
@@ -284,12 +292,10 @@ def test_a_change_of_one_sheet_writes_only_touched_blocks_on_every_level(spark,
     level = grid.Level(g, 2, 8)
     assert level.block == 128  # so the level has one block; a smaller one shows that the others stay
     store.update_year(2020, meta, meta, cells)
-    before = written_blocks(tmp_path / "s" / "warstwy")
     new_meta, new_cells = sheet(spark, "c", "2021-01-01", 56.0, 9, 8)
     meta2, cells2 = parts[0][0].union(parts[1][0]).union(new_meta), parts[0][1].union(parts[1][1]).union(new_cells)
     done = store.update_year(2020, meta2, meta2, cells2)
-    after = written_blocks(tmp_path / "s" / "warstwy")
-    assert done["bloki"] == [(0, 7)] and {p for p, _ in after - before} == {"level=1/rok=2020/by=0/bx=7", "level=2/rok=2020/by=0/bx=0"}
+    assert done["bloki"] == [(0, 7)] and written_blocks(spark, store) == [(1, 0, 7), (2, 0, 0)]
     fresh = LayerStore(spark, str(tmp_path / "t"), block=8).create(g, (2,), method="cubic")
     fresh.update_year(2020, meta2, meta2, cells2)
     for f in (1, 2):
@@ -305,23 +311,81 @@ def test_level_blocks_far_from_the_change_stay(spark, tmp_path, monkeypatch):
     meta2, cells2 = (parts[0][k].union(parts[2][k]).union(changed[k]) for k in (0, 1))
     store, fresh = (LayerStore(spark, str(tmp_path / n), block=8).create(g, (2,)) for n in "st")
     store.update_year(2020, meta, meta, cells)
-    before = written_blocks(tmp_path / "s" / "warstwy")
     done = store.update_year(2020, meta2, meta2, cells2)
     fresh.update_year(2020, meta2, meta2, cells2)
     beside = [(0, 3), (0, 4), (0, 5)]  # their cells weigh changed pixels
     assert done["poziomy"] == {1: [(0, 4)], 2: beside}
-    assert {p.split("rok=2020/")[1] for p, _ in written_blocks(tmp_path / "s" / "warstwy") - before} == {f"by=0/bx={x}" for x in (3, 4, 5)}
+    assert written_blocks(spark, store) == [(1, 0, 4), *((2, 0, x) for x in (3, 4, 5))]
     for f in (1, 2):
         assert raster(store.read(2020, f), "nmt") == raster(fresh.read(2020, f), "nmt")
 
 
-def test_orphan_description_is_removed(spark, tmp_path):
+def test_an_orphaned_description_goes_only_when_a_store_is_made(spark, tmp_path):
     store = LayerStore(spark, str(tmp_path / "s"), block=2).create(grid.Grid(0.0, 4.0, 1.0, 4, 4))
     assert store.exists() and store.about["atrybuty"]["Conventions"] == "CF-1.8"
     (tmp_path / "s" / "warstwy").rmdir()
+    assert not store.exists() and list((tmp_path / "s" / "dziennik").glob("*.json"))  # reading removes nothing
     with pytest.warns(UserWarning):
-        assert not store.exists()
-    assert not (tmp_path / "s" / "opis.json").exists()
+        store.create(grid.Grid(0.0, 4.0, 1.0, 8, 4))
+    assert store.grid.width == 8 and store.manifest == {}
+
+
+def test_two_writers_lose_no_update_and_readers_keep_their_snapshot(spark, tmp_path, monkeypatch):
+    a, b, c = sheet(spark, "a", "2020-01-01", 0.0, 1), sheet(spark, "b", "2021-01-01", 0.0, 2), sheet(spark, "a", "2022-01-01", 0.0, 9)
+    store = LayerStore(spark, str(tmp_path / "s"), block=2).create(grid.Grid(0.0, 4.0, 1.0, 4, 4), (2,))
+    other = LayerStore(spark, store.path, block=2)
+    source, first = Files.create, []
+
+    def late(self, path, content):  # each time the first writer is about to commit, another year is committed before it
+        if not first:
+            first.append(1)
+            other.update_year(2021, b[0], b[0], b[1])
+        return source(self, path, content)
+
+    monkeypatch.setattr(Files, "create", late)
+    assert store.update_year(2020, a[0], a[0], a[1])["akcja"] == "nowa"
+    assert {y: (r["indeks"], r["status"]) for y, r in store.manifest.items()} == {2021: (0, "kompletna"), 2020: (1, "kompletna")}
+    assert source(store.files, store._entry(1), b"{}") is False and json.loads(store.files.read(store._entry(1)))["warstwy"] == {}
+    kept, seen = store.snapshot(), []
+    read = LayerStore._only
+
+    def during(self, *args):  # a reader in the middle of an update, and a second writer of the same year
+        seen.append(raster(LayerStore(spark, store.path, block=2).read(2020), "nmt"))
+        return read(self, *args)
+
+    monkeypatch.setattr(LayerStore, "_only", during)
+    assert store.update_year(2020, c[0], c[0], c[1])["akcja"] == "zmiana"
+    assert set(seen[0].values()) == {1.0} and len(seen[0]) == 16
+    assert set(raster(store.read(2020), "nmt").values()) == {9.0} and set(raster(kept.read(2020), "nmt").values()) == {1.0}
+    with pytest.raises(StoreError):
+        kept.save_record(2020, {})
+
+    def overtaken(self, *args):
+        monkeypatch.setattr(LayerStore, "_only", read)
+        other.update_year(2020, a[0], a[0], a[1], force=True)
+        return read(self, *args)
+
+    monkeypatch.setattr(LayerStore, "_only", overtaken)
+    with pytest.raises(StoreError, match="took over"):
+        store.update_year(2020, c[0], c[0], c[1], force=True)
+    assert set(raster(store.read(2020), "nmt").values()) == {1.0} and store.manifest[2020]["status"] == "kompletna"
+    assert store.clean() and store.clean() == [] and set(raster(store.read(2020), "nmt").values()) == {1.0} and store.read(2021).count() == 16
+    with pytest.raises(StoreError):
+        kept.read(2020)
+
+
+def test_versions_are_written_together(spark, tmp_path, monkeypatch):
+    from strataspark import store as stores
+
+    monkeypatch.setattr(stores, "MOST_VERSIONS", 2)
+    store = LayerStore(spark, str(tmp_path / "s"), block=2).create(grid.Grid(0.0, 4.0, 1.0, 8, 4))
+    left = sheet(spark, "l", "2020-01-01", 0.0, 1)
+    for k in range(4):
+        right = sheet(spark, "r", f"202{k}-01-01", 4.0, k)
+        store.update_year(2020, left[0].union(right[0]), left[0].union(right[0]), left[1].union(right[1]))
+        assert {v for (_, c), v in raster(store.read(2020), "nmt").items() if c >= 4} == {float(k)} and store.read(2020).count() == 32
+        assert len(store.manifest[2020]["wersje"]["1"]) <= 2
+    assert store.manifest[2020]["wersje"]["1"][0][0].endswith("-razem")
 
 
 def zip_bytes(**members):
