@@ -374,6 +374,23 @@ class LayerStore:
             raise StoreError("nothing to export")
         cells.write.mode("overwrite").partitionBy("rok").parquet(folder)
 
+    def export_geotiff(self, folder: str, factor: int = 1, year: int | None = None, value: str = "nmt") -> list[str]:
+        """K9: one raster file per year, named by store, level, value and year; an error if there is none. Their paths."""
+        from strataspark.sources import geotiff
+
+        level, found = self._level(factor), self.manifest
+        if year is not None and year not in found:
+            raise KeyError(year)
+        parts = [self.path.rstrip("/").rsplit("/", 1)[-1], *([level.name] if factor > 1 else []), *(["rozdzielczosc_zrodla"] if value == "res_src" else [])]
+        made = []
+        for y in [y for y, r in found.items() if year in (None, y) and r.get("wersje")]:
+            made.append(f"{folder}/{'_'.join(parts)}_{y}.tif")
+            self.files.folder(folder)
+            geotiff.write(self.chunks(y, factor), self.layout(level), level.grid, made[-1], value, {"rok": str(y), "zmienna": value})
+        if not made:
+            raise StoreError("nothing to export")
+        return made
+
     def report(self, factor: int | None = None) -> DataFrame:
         """Per layer in storage order its statistics and the change against the layer before, from chunks: nothing is
         shuffled by pixel."""
