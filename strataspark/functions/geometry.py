@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataspark.functions.grid import SIDES
+
 Rings = list[list[tuple[float, float]]]
 
 
@@ -54,6 +56,47 @@ def inside(cells: DataFrame, rings: Rings, x: Column, origin: float, step: float
     return cells.join(places, F.col(row).cast("long") == F.col(first)).where(odd).drop(first, "places_")
 
 
+def edge_table(spark: SparkSession, rings: Rings) -> DataFrame:
+    """(x1, y1, x2, y2, left, bottom, right, top) of every edge."""
+    e = spark.createDataFrame(edges(rings) or [(0.0, 0.0, 0.0, 0.0)], "x1 double, y1 double, x2 double, y2 double")
+    return e.withColumns({"left": F.least("x1", "x2"), "bottom": F.least("y1", "y2"), "right": F.greatest("x1", "x2"), "top": F.greatest("y1", "y2")})
+
+
+def edge_meets(box: str = "", edge: str = "d_") -> Column:
+    """Whether an edge shares a point with a box, given that their boxes touch: corners of the box do not all lie strictly on
+    one side of the edge's line."""
+    c = lambda n: F.col(f"{edge}{n}")
+    sides = [(c("x2") - c("x1")) * (F.col(f"{box}{y}") - c("y1")) - (c("y2") - c("y1")) * (F.col(f"{box}{x}") - c("x1")) for x in ("left", "right") for y in ("bottom", "top")]
+    return (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+
+def classed(boxes: DataFrame, rings: Rings, key: list[str], name: str = "place") -> DataFrame:
+    """``boxes`` with ``name``: ``boundary`` where an edge of the polygon shares a point with the box, else ``inside`` or
+    ``outside``. ``key`` names a box.
+
+    Boxes meet edges on lattices by size (``plan.meeting``), so a box looks at the edges near it only, and a short edge at few
+    boxes. Boxes that no edge meets are all inside or all outside: their centres count the edges that pass to their right,
+    which they meet by the strip of y they lie in.
+    """
+    from strataspark.operators import plan
+
+    spark, x0, y0, x1, y1 = boxes.sparkSession, *bounds(rings)
+    near = boxes.where((F.col("left") <= x1) & (F.col("right") >= x0) & (F.col("bottom") <= y1) & (F.col("top") >= y0))
+    lines = edge_table(spark, rings)
+    met = plan.meeting(near.select(*key, *SIDES), lines, strict=False).where(edge_meets()).select(*key).distinct().withColumn("met_", F.lit(True))
+    strips = max(1.0, (y1 - y0) / max(1, min(len(edges(rings)), 4096)))
+    strip = lambda y: F.floor((y - F.lit(float(y0))) / F.lit(strips))
+    cx, cy = (F.col("left") + F.col("right")) / 2, (F.col("bottom") + F.col("top")) / 2
+    centre = near.join(met, key, "left_anti").select(*key, cx.alias("cx_"), cy.alias("cy_"), strip(cy).alias("strip_"))
+    passed = lines.where("y1 <> y2").withColumn("strip_", F.explode(F.sequence(strip(F.col("bottom")), strip(F.col("top"))))).select("strip_", "x1", "y1", "x2", "y2")
+    y = F.col("cy_")
+    crossing = ((F.col("y1") > y) != (F.col("y2") > y)) & (F.col("cx_") < (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
+    odd = centre.join(passed, "strip_").where(crossing).groupBy(*key).agg((F.count("*") % 2 == 1).alias("odd_"))
+    found = boxes.join(met, key, "left").join(odd, key, "left")
+    place = F.when(F.col("met_"), "boundary").when(F.col("odd_"), "inside").otherwise("outside")
+    return found.select(*boxes.columns, place.alias(name))
+
+
 def box_touches(rings: Rings, left: Column, bottom: Column, right: Column, top: Column) -> Column:
     """Box and polygon share a point; touching passes. An edge meets the box (slab test), or the box lies inside."""
 

@@ -58,8 +58,19 @@ def last_archive(found: DataFrame) -> DataFrame:
     return found.groupBy("member").agg(F.max_by("archive", "seq").alias("archive"))
 
 
+#: Edges of a polygon up to which a box tests them all as literals.
+FEW_EDGES = 64
+
+
 def touching(sheets: DataFrame, rings: geometry.Rings, left="left", bottom="bottom", right="right", top="top") -> DataFrame:
-    """Sheets or blocks whose box shares a point with the polygon; the bounding box is tested first."""
+    """Sheets or blocks whose box shares a point with the polygon; the bounding box is tested first. Polygons of more
+    than ``FEW_EDGES`` edges meet the distinct boxes on lattices (``geometry.classed``)."""
+    if len(geometry.edges(rings)) > FEW_EDGES:
+        sides = [F.col(c).cast("double").alias(n) for c, n in zip((left, bottom, right, top), geometry.SIDES, strict=True)]
+        boxes = sheets.select(*sides).distinct().where("left is not null and bottom is not null and right is not null and top is not null")
+        near = geometry.classed(boxes, rings, list(geometry.SIDES)).where("place <> 'outside'").select(*(F.col(n).alias(f"near_{n}") for n in geometry.SIDES))
+        same = [sheets[c].cast("double") == near[f"near_{n}"] for c, n in zip((left, bottom, right, top), geometry.SIDES, strict=True)]
+        return sheets.join(near, same, "left_semi")
     x0, y0, x1, y1 = geometry.bounds(rings)
     near = (F.col(left) <= x1) & (F.col(right) >= x0) & (F.col(bottom) <= y1) & (F.col(top) >= y0)
     return sheets.where(near & geometry.box_touches(rings, F.col(left), F.col(bottom), F.col(right), F.col(top)))

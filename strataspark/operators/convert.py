@@ -24,7 +24,7 @@ def sheet_texts(found: DataFrame) -> DataFrame:
 def described(members: DataFrame, sheets: DataFrame) -> DataFrame:
     """Members with ``epsg`` and ``akt_data``, by their own name in the sheet list, else by their archive's;
     2180 and no date where neither is listed. ``plik`` is the archive."""
-    known = plan.last_of_each(sheets.select("plik", "epsg", "akt_data"), ("plik",))
+    known = plan.last_of_each(sheets.select("plik", "epsg", "akt_data", *(["lp"] if "lp" in sheets.columns else [])), ("plik",))
     info = known.select("plik", F.struct("epsg", "akt_data").alias("info"))
     own, archive = (info.withColumnRenamed("plik", k) for k in ("member", "archive"))
     unknown = F.struct(F.lit(TARGET).alias("epsg"), F.lit(None).cast("string").alias("akt_data"))
@@ -91,6 +91,8 @@ class Conversions:
             old = plan.stale(have[0].select(F.col("member").alias("plik"), "akt_data"), dates)
             done = have[0].select("member").join(old.select(F.col("plik").alias("member")), "member", "left_anti")
             found = found.join(done, "member", "left_anti")
+            if sheet_texts(found).isEmpty():  # a run without sheets would be one more folder to read
+                return self.read()
         where = f"{self.folder}/run={max(self.runs(), default=0) + 1}"
         self.files.remove(where)
         described(sheet_texts(found), sheets).write.parquet(f"{where}/texts")  # archives are unpacked once

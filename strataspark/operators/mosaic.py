@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataspark.operators import catalog
+
 
 def first_wins(cells: DataFrame, pixel: list[str], precedence: list[Column], value: str = "z", carried: tuple[str, ...] = ()) -> DataFrame:
     """One row per pixel: ``value`` and ``carried`` of the row with the greatest ``precedence`` among non-null values.
@@ -41,10 +43,34 @@ def on_grid(sheet_meta: DataFrame, sheet_cell: DataFrame, grid, rings=None) -> D
     return out if rings is None else geometry.inside(out, rings, grid.x_of(F.col("col")), grid.top, -c)
 
 
-def base_layer(sheet_meta: DataFrame, sheet_cell: DataFrame, grid, rings=None) -> DataFrame:
-    """W1 on a grid: newest sheet first, then the greater path; an unknown date is the oldest."""
-    order = [F.coalesce(F.col("akt_data").cast("string"), F.lit("0001-01-01")), F.col("plik")]
-    return first_wins(on_grid(sheet_meta, sheet_cell, grid, rings), ["row", "col"], order, "z", ("res_src",))
+def ranked(sheets: DataFrame, key: str, path_descending: bool = True) -> DataFrame:
+    """(key, rank_ long): W1's precedence of sheets, the greater the earlier: newest first, an unknown date is the oldest,
+    then by path. Sheets are ranked in ranges, in parallel."""
+    dated = sheets.select(key, F.coalesce(F.col("akt_data").cast("string"), F.lit(catalog.UNKNOWN_DATE)).alias("date_")).groupBy(key).agg(F.max("date_").alias("date_"))
+    if path_descending:
+        return catalog.dense_ordinals(dated, ["date_", key], "rank_").select(key, F.col("rank_").cast("long"))
+    newest = catalog.dense_ordinals(dated, ["date_"], "day_")
+    by_path = catalog.dense_ordinals(newest, [key], "place_", descending=True)
+    return by_path.select(key, (F.shiftleft(F.col("day_").cast("long"), 32) + F.col("place_")).alias("rank_"))
+
+
+def first_ranked(cells: DataFrame, pixel: list[str], rank: str = "rank_", value: str = "z", carried: tuple[str, ...] = ()) -> DataFrame:
+    """``first_wins`` where precedence is one number: every buffer of the aggregate is of fixed width, so it is a hash
+    aggregate and no pixel is sorted. Cells of one sheet and pixel have one value each."""
+    known = cells.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    return known.groupBy(*pixel).agg(*(F.max_by(n, rank).alias(n) for n in (value, *carried)))
+
+
+def base_layer(sheet_meta: DataFrame, sheet_cell: DataFrame, grid, rings=None, path_descending: bool = True) -> DataFrame:
+    """W1 on a grid: newest sheet first, then the greater path (or the lesser one); an unknown date is the oldest. The rank of
+    a sheet and its resolution travel with its pixels as two numbers.
+
+    A sheet coarser than the grid gives a pixel one value, a finer one the nearest cell, so a sheet has one value a pixel.
+    """
+    key = "member" if "member" in sheet_cell.columns else "plik"
+    ranks = ranked(sheet_meta.select(key, "akt_data"), key, path_descending)
+    placed = on_grid(sheet_meta, sheet_cell, grid, rings).join(ranks.withColumnRenamed(key, "plik"), "plik")
+    return first_ranked(placed, ["row", "col"], "rank_", "z", ("res_src",))
 
 
 def reprojected(sheet_meta: DataFrame, sheet_cell: DataFrame, source: int, target: int) -> tuple[DataFrame, DataFrame]:

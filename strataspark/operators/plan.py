@@ -15,7 +15,9 @@ def _keyed(sheets: DataFrame) -> DataFrame:
 
 
 def last_of_each(sheets: DataFrame, key: tuple[str, ...] = ("plik", "akt_data"), seq: str | None = None) -> DataFrame:
-    """One row for each key, the last one by ``seq``; without it the greatest row, so that reruns agree."""
+    """One row for each key, the last one by ``seq``; without it by the column ``lp`` that an index has, or else the
+    greatest row, so that reruns agree."""
+    seq = seq or ("lp" if "lp" in sheets.columns else None)
     rest = [c for c in sheets.columns if c not in key]
     by = F.struct(*([seq] if seq else rest or key))
     best = F.max_by(F.struct(*sheets.columns), by).alias("last_")
@@ -107,23 +109,36 @@ def not_yet(inputs: DataFrame, converted: DataFrame) -> DataFrame:
     return inputs.join(converted.select("plik").distinct(), "plik", "left_anti")
 
 
+#: Sides of boxes that count as one size at least; a point has it.
+LEAST_SIDE = 2.0**-20
+
+
 def meeting(boxes: DataFrame, others: DataFrame, strict: bool = True) -> DataFrame:
     """Rows of ``boxes`` with those of ``others`` (columns ``d_...``) that they overlap, or touch unless ``strict``.
 
-    An equi-join on the cells of a coarse lattice: each box is listed in the cells it meets (a cell is as large as the
-    largest of ``boxes``), so no pair of far boxes meets; a pair counts in the cell of its common corner only.
+    An equi-join on lattices by powers of two. A box's own lattice is the first whose cells are as large as it is. A pair
+    meets on the greater of its two own lattices, in the cell of its common corner: boxes are listed in the cells they meet,
+    at most four, on their own lattice and on those of greater boxes of the other side. Two boxes that are both smaller than
+    the cells never meet there, so a few large boxes do not bring small ones together.
     """
-    size = boxes.agg(F.max(F.greatest(F.col("right") - F.col("left"), F.col("top") - F.col("bottom")))).head()[0] or 1.0
-    cell = lambda x: F.floor(x / F.lit(float(size)))
-
-    def listed(df: DataFrame, prefix: str) -> DataFrame:
-        span = lambda a, b: F.explode(F.sequence(cell(F.col(prefix + a)), cell(F.col(prefix + b))))
-        return df.withColumn("cx_", span("left", "right")).withColumn("cy_", span("bottom", "top"))
-
+    level = lambda p: F.ceil(F.log2(F.greatest(F.col(f"{p}right") - F.col(f"{p}left"), F.col(f"{p}top") - F.col(f"{p}bottom"), F.lit(LEAST_SIDE)))).cast("int")
     renamed = others.select(*(F.col(c).alias(f"d_{c}") for c in others.columns))
-    both = listed(boxes, "").join(listed(renamed, "d_"), ["cx_", "cy_"]).where(overlaps("", "d_", strict))
-    corner = (F.col("cx_") == cell(F.greatest("left", "d_left"))) & (F.col("cy_") == cell(F.greatest("bottom", "d_bottom")))
-    return both.where(corner).drop("cx_", "cy_")
+    sides = {"": boxes.withColumn("level_", level("")), "d_": renamed.withColumn("d_level_", level("d_"))}
+    have = {p: sorted(r[0] for r in df.select(f"{p}level_").distinct().collect() if r[0] is not None) for p, df in sides.items()}  # a few dozen sizes at most
+
+    def listed(p: str, other: str) -> DataFrame:
+        # Roles tell who is as large as the cell: 0 both, 1 the left side only, 2 the right side only.
+        own, mine = F.col(f"{p}level_"), 1 if p == "" else 2
+        greater = F.transform(F.filter(F.array(*map(F.lit, have[other])) if have[other] else F.array().cast("array<int>"), lambda x: x > own), lambda x: F.struct(x.alias("at"), F.lit(3 - mine).alias("role")))
+        places = F.concat(F.array(F.struct(own.alias("at"), F.lit(0).alias("role")), F.struct(own.alias("at"), F.lit(mine).alias("role"))), greater)
+        at = sides[p].withColumn("place_", F.explode(places)).select(*sides[p].columns, F.col("place_.at").alias("at_"), F.col("place_.role").alias("role_"))
+        cell = lambda c: F.floor(F.col(f"{p}{c}") / F.pow(F.lit(2.0), F.col("at_")))
+        return at.withColumn("cx_", F.explode(F.sequence(cell("left"), cell("right")))).withColumn("cy_", F.explode(F.sequence(cell("bottom"), cell("top"))))
+
+    both = listed("", "d_").join(listed("d_", ""), ["at_", "role_", "cx_", "cy_"]).where(overlaps("", "d_", strict))
+    side = F.pow(F.lit(2.0), F.col("at_"))
+    corner = (F.col("cx_") == F.floor(F.greatest("left", "d_left") / side)) & (F.col("cy_") == F.floor(F.greatest("bottom", "d_bottom") / side))
+    return both.where(corner).select(*boxes.columns, *renamed.columns)
 
 
 def touched_blocks(blocks: DataFrame, rectangles: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from strataspark.functions import crs, geometry, grid
 from strataspark.functions.numeric import round_half_even
-from strataspark.operators import catalog, levels, mosaic, plan, stats
+from strataspark.operators import catalog, chunks, convert, levels, mosaic, plan, stats
 from strataspark.plans.mosaic_queries import PIXELS_SQL, mosaic_first_wins, pixels
+from strataspark.sources import archive
 from strataspark.sources import ascii as texts
 from strataspark.sources import index as sheet_index
 
@@ -418,18 +419,18 @@ def sheet_on_grid(spark, sf):
 
 
 @_query("crs_detect", """
-WITH l AS (SELECT l_orderkey AS plik, l_linenumber AS line_no, l_returnflag AS flag, (l_partkey % 10) * 1000000 + l_extendedprice AS a, l_suppkey * 3000.0::DOUBLE AS b FROM lineitem),
-v AS (SELECT plik, line_no, CASE WHEN flag = 'R' THEN a WHEN a < 100000 THEN b ELSE a END AS x, CASE WHEN flag = 'R' THEN b WHEN a < 100000 THEN 7.0::DOUBLE ELSE b END AS y FROM l WHERE flag <> 'A'),
+WITH l AS (SELECT l_orderkey AS plik, l_linenumber AS line_no, struct_pack(a := -l_linenumber, b := l_partkey, c := l_suppkey, d := l_extendedprice) AS place, l_returnflag AS flag, (l_partkey % 10) * 1000000 + l_extendedprice AS a, l_suppkey * 3000.0::DOUBLE AS b FROM lineitem),
+v AS (SELECT plik, place, CASE WHEN flag = 'R' THEN a WHEN a < 100000 THEN b ELSE a END AS x, CASE WHEN flag = 'R' THEN b WHEN a < 100000 THEN 7.0::DOUBLE ELSE b END AS y FROM l WHERE flag <> 'A'),
 z AS (SELECT *, substr(CAST(CAST(floor(CASE WHEN x > 4000000 THEN x WHEN y > 4000000 THEN y END) AS BIGINT) AS VARCHAR), 1, 1) AS zone FROM v WHERE x >= 100000 AND y >= 100000),
-e AS (SELECT plik, line_no, CASE WHEN zone IN ('5', '6', '7', '8') THEN 2171 + zone::INTEGER WHEN x > 100000 AND x < 1000000 AND y > 100000 AND y < 1000000 THEN 2180 END AS epsg FROM z)
-SELECT plik, arg_min(epsg, line_no)::INTEGER AS epsg FROM (SELECT DISTINCT l_orderkey AS plik FROM lineitem) LEFT JOIN (SELECT * FROM e WHERE epsg IS NOT NULL) USING (plik) GROUP BY plik""")
+e AS (SELECT plik, place, CASE WHEN zone IN ('5', '6', '7', '8') THEN 2171 + zone::INTEGER WHEN x > 100000 AND x < 1000000 AND y > 100000 AND y < 1000000 THEN 2180 END AS epsg FROM z)
+SELECT plik, arg_max(epsg, place)::INTEGER AS epsg FROM (SELECT DISTINCT l_orderkey AS plik FROM lineitem) LEFT JOIN (SELECT * FROM e WHERE epsg IS NOT NULL) USING (plik) GROUP BY plik""")
 def crs_detect(spark, sf):
     a, b = (F.col("l_partkey") % 10) * 1_000_000 + F.col("l_extendedprice"), F.col("l_suppkey") * F.lit(3000.0)
     fields = F.concat_ws("; ", a.cast("decimal(18,6)").cast("string"), b.cast("decimal(18,1)").cast("string"), F.lit("7.0"))
     text = F.when(F.col("l_returnflag") == "A", F.concat(F.lit("  # "), fields)).when(F.col("l_returnflag") == "R", F.concat(F.col("l_linenumber").cast("string"), F.lit(" "), fields)).otherwise(fields)
-    # Numbers repeat within an order, and the SQL leaves open which of equal ones tells. DuckDB with one thread takes the last row of a file.
-    lines = _read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("plik"), F.col("l_linenumber").alias("line_no"), text.alias("text"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
-    return crs.detect(lines, places=("file", "at"))
+    # Numbers repeat within an order; part, supplier and price make the order of lines total.
+    lines = _read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("plik"), F.col("l_linenumber").alias("line_no"), text.alias("text"), "l_partkey", "l_suppkey", "l_extendedprice")
+    return crs.detect(lines, places=("l_partkey", "l_suppkey", "l_extendedprice"))
 
 
 def _plane_sql(epsg: int) -> str:
@@ -455,3 +456,88 @@ def crs_round_trip(spark, sf):
     off = F.greatest(F.abs(back[0] - lon), F.abs(back[1] - lat))
     return _read(spark, sf, "customer").select("c_custkey", F.round(east, 3).alias("east"), F.round(north, 3).alias("north"), (off < 1e-10).alias("returns"))
 
+
+LAYOUT = chunks.Layout(64, 64, 16, ("z", "res_src"), "f8")
+
+
+def _dense(spark, sf) -> DataFrame:
+    """The yearly layers as dense chunks of 16 x 16 pixels."""
+    return chunks.packed(_layers(spark, sf), LAYOUT)
+
+
+@_query("chunk_read", f"SELECT rok, (row // 16)::INTEGER AS \"by\", (col // 16)::INTEGER AS bx, row, col, z::DOUBLE AS z, res_src::DOUBLE AS res_src FROM ({LAYERS_SQL})")
+def chunk_read(spark, sf):
+    """Pixels packed into chunks, and read back."""
+    return chunks.cells(_dense(spark, sf), LAYOUT)
+
+
+@_query("chunk_ranges", f"SELECT rok, (row // 16)::INTEGER AS \"by\", (col // 16)::INTEGER AS bx, count(*) AS n, min(z)::DOUBLE AS low, max(z)::DOUBLE AS high FROM ({LAYERS_SQL}) GROUP BY ALL")
+def chunk_ranges(spark, sf):
+    return _dense(spark, sf).select("rok", "by", "bx", "n", "low", "high")
+
+
+@_query("chunk_coverage", f"WITH l AS ({LAYERS_SQL}) SELECT rok, count(*)::DOUBLE / (SELECT count(*) FROM (SELECT DISTINCT col, row FROM l)) AS coverage FROM l GROUP BY 1")
+def chunk_coverage(spark, sf):
+    """A10, A11 from masks."""
+    return chunks.coverage(_dense(spark, sf))
+
+
+@_query("chunk_changes", ORACLE_SQL["year_change_share"])
+def chunk_changes(spark, sf):
+    """A9, J16 from chunks of neighbouring layers."""
+    return chunks.change_shares(_dense(spark, sf), LAYOUT, "rok")
+
+
+@_query("chunk_level", f"""
+WITH l AS ({LAYERS_SQL}), t AS (SELECT DISTINCT rok, tr::INTEGER AS tr, tc::INTEGER AS tc FROM l, range(4) a(i), range(4) b(j), LATERAL (SELECT row // 4 + i - 2 AS tr, col // 4 + j - 2 AS tc) WHERE tr BETWEEN 0 AND 15 AND tc BETWEEN 0 AND 15),
+d AS (SELECT l.rok, tr, tc, z, abs((row + 0.5::DOUBLE) / 4 - 0.5::DOUBLE - tr) AS dr, abs((col + 0.5::DOUBLE) / 4 - 0.5::DOUBLE - tc) AS dc FROM l JOIN t ON l.rok = t.rok AND row BETWEEN tr * 4 - 4 AND tr * 4 + 7 AND col BETWEEN tc * 4 - 4 AND tc * 4 + 7),
+w AS (SELECT rok, tr, tc, sum((1 - dr) * (1 - dc) * z) AS wz, sum((1 - dr) * (1 - dc)) AS w FROM d WHERE dr < 1 AND dc < 1 GROUP BY ALL),
+m AS (SELECT rok, row // 4 AS tr, col // 4 AS tc, max(res_src) AS res_src FROM l GROUP BY ALL)
+SELECT rok, w.tr AS row, w.tc AS col, round_even(wz / w * 1000000.0::DOUBLE, 0) / 1000000.0::DOUBLE AS z, m.res_src FROM w LEFT JOIN m USING (rok, tr, tc)""")
+def chunk_level(spark, sf):
+    """A level of 4 x 4 pixels, blocks of 8 x 8 cells, kernels over the edges of chunks."""
+    to = chunks.Layout(16, 16, 8, ("z", "res_src"), "f8")
+    return chunks.cells(chunks.level(_dense(spark, sf), LAYOUT, 4, "bilinear", to, None), to).select("rok", "row", "col", round_half_even(F.col("z"), 6).alias("z"), "res_src")
+
+
+@_query("mosaic_ranked", f"""
+WITH p AS (SELECT l_partkey % 64 AS col, l_suppkey % 64 AS row, o_orderdate AS d, o_orderkey AS k, min(l_quantity) AS z FROM lineitem JOIN (SELECT o_orderkey, min(o_orderdate) AS o_orderdate FROM orders GROUP BY 1) ON o_orderkey = l_orderkey GROUP BY ALL)
+SELECT row::INTEGER AS row, col::INTEGER AS col, arg_max(z, struct_pack(d := d, k := k)) AS z FROM p GROUP BY ALL""")
+def mosaic_ranked(spark, sf):
+    """W1 as the layer is built: orders are sheets, ranked once by date and key; pixels carry ranks."""
+    sheets = _read(spark, sf, "orders").groupBy("o_orderkey").agg(F.min("o_orderdate").alias("d"))
+    ranks = catalog.dense_ordinals(sheets, ["d", "o_orderkey"], "rank_").select(F.col("o_orderkey").alias("l_orderkey"), F.col("rank_").cast("long"))
+    cell = _read(spark, sf, "lineitem").select("l_orderkey", (F.col("l_partkey") % 64).cast("int").alias("col"), (F.col("l_suppkey") % 64).cast("int").alias("row"), F.col("l_quantity").alias("z"))
+    once = cell.groupBy("l_orderkey", "row", "col").agg(F.min("z").alias("z"))
+    return mosaic.first_ranked(once.join(ranks, "l_orderkey"), ["row", "col"])
+
+
+@_query("box_classes", f"""
+WITH k AS ({BOXES_SQL}), e AS (SELECT *, least(x1, x2) AS el, greatest(x1, x2) AS er, least(y1, y2) AS eb, greatest(y1, y2) AS et FROM {EDGES_SQL}),
+c AS (SELECT s_suppkey, l, b, r, t, (x2 - x1) * (b - y1) - (y2 - y1) * (l - x1) AS p, (x2 - x1) * (t - y1) - (y2 - y1) * (l - x1) AS q, (x2 - x1) * (b - y1) - (y2 - y1) * (r - x1) AS u, (x2 - x1) * (t - y1) - (y2 - y1) * (r - x1) AS v
+  FROM k JOIN e ON el <= r AND er >= l AND eb <= t AND et >= b),
+m AS (SELECT DISTINCT s_suppkey FROM c WHERE least(p, q, u, v) <= 0 AND greatest(p, q, u, v) >= 0)
+SELECT s_suppkey, CASE WHEN s_suppkey IN (FROM m) THEN 'boundary' WHEN (SELECT count(*) FROM {EDGES_SQL} WHERE (y1 > (b + t) / 2) <> (y2 > (b + t) / 2) AND (l + r) / 2 < (x2 - x1) * ((b + t) / 2 - y1) / (y2 - y1) + x1) % 2 = 1 THEN 'inside' ELSE 'outside' END AS place FROM k""")
+def box_classes(spark, sf):
+    """Boxes inside, outside and on the boundary of the polygon."""
+    return geometry.classed(_boxes(spark, sf), RINGS, ["s_suppkey"]).select("s_suppkey", "place")
+
+
+@_query("archives_without", "SELECT l_orderkey AS archive FROM lineitem GROUP BY 1 HAVING bool_and(l_returnflag <> 'N')")
+def archives_without(spark, sf):
+    """Orders are archives, their lines members, whose names end as sheet texts do where nothing came back."""
+    ending = F.when(F.col("l_returnflag") == "N", F.concat("l_linestatus", F.lit(".ASC"))).otherwise(F.lit("scan.pdf"))
+    found = _read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("archive"), ending.alias("member"), F.lit(None).cast("string").alias("error"))
+    return archive.without_ascii(found)
+
+
+@_query("sheet_lookup", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, coalesce(p.p_size, s.n, 2180)::INTEGER AS epsg, coalesce(p.p_brand, s.s_name) AS akt_data FROM lineitem
+LEFT JOIN (SELECT p_partkey, p_size, p_brand FROM part WHERE p_size <= 25) p ON p_partkey = l_partkey LEFT JOIN (SELECT s_suppkey, s_nationkey AS n, s_name FROM supplier WHERE s_acctbal > 0) s ON s_suppkey = l_suppkey""")
+def sheet_lookup(spark, sf):
+    """CRS and date of a line by its part, else by its supplier, else 2180 and none."""
+    part = _read(spark, sf, "part").where("p_size <= 25").select(F.concat(F.lit("p"), F.col("p_partkey")).alias("plik"), F.col("p_size").cast("int").alias("epsg"), F.col("p_brand").alias("akt_data"))
+    supplier = _read(spark, sf, "supplier").where("s_acctbal > 0").select(F.concat(F.lit("s"), F.col("s_suppkey")).alias("plik"), F.col("s_nationkey").cast("int").alias("epsg"), F.col("s_name").alias("akt_data"))
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    rows = _read(spark, sf, "lineitem").select(*keys, F.concat(F.lit("p"), F.col("l_partkey")).alias("member"), F.concat(F.lit("s"), F.col("l_suppkey")).alias("archive"))
+    return convert.described(rows, part.union(supplier)).select(*keys, "epsg", "akt_data")

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import io
-import os
 import time
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyarrow.fs import FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataspark.operators.catalog import first_of
 from strataspark.sources.ascii import is_ascii_name, kept_variant
+from strataspark.sources.files import opened
 
 
 def members(archives: DataFrame, with_text: bool = True) -> DataFrame:
@@ -66,8 +68,8 @@ Fetch = Callable[[str, tuple[float, float]], tuple[int, str, bytes]]
 def download(url: str, folder: str, fetch: Fetch, tries: int = 4, timeout: tuple[float, float] = (15, 180), pause: float = 5, least: int = 5_000, sleep=time.sleep) -> str:
     """``present``, ``done`` or ``failed: ...``. ``fetch`` returns (status, content type, bytes) and may raise
     TimeoutError. Timeouts, 429, 5xx and HTML answers are tried again after pause times the attempt; other states not."""
-    target = os.path.join(folder, url.rsplit("/", 1)[-1])
-    if os.path.exists(target) and os.path.getsize(target) > least:
+    fs, target = opened(f"{folder}/{url.rsplit('/', 1)[-1]}")
+    if (fs.get_file_info(target).size or 0) > least:
         return "present"
     why = ""
     for attempt in range(1, tries + 1):
@@ -77,9 +79,10 @@ def download(url: str, folder: str, fetch: Fetch, tries: int = 4, timeout: tuple
             why = str(e) or type(e).__name__
         else:
             if status == 200 and "html" not in kind.lower():
-                with open(f"{target}.part", "wb") as f:
-                    f.write(body)
-                os.replace(f"{target}.part", target)
+                part = f"{target}.{uuid.uuid4().hex}.part"  # another attempt of the task writes its own
+                with fs.open_output_stream(part) as out:
+                    out.write(body)
+                fs.move(part, target)
                 return "done"
             why = f"status {status}, {kind}"
             if status != 200 and status != 429 and status < 500:
@@ -90,15 +93,15 @@ def download(url: str, folder: str, fetch: Fetch, tries: int = 4, timeout: tuple
 
 
 def download_all(urls: DataFrame, folder: str, fetch: Fetch, workers: int = 2, reissued: DataFrame | None = None, **options) -> DataFrame:
-    """(url, result); ``workers`` tasks at a time load at most. ``folder`` must be shared by the executors.
+    """(url, result); ``workers`` tasks at a time load at most. ``folder`` is a path or URI that all executors reach.
     L11: a present archive that ``reissued`` (plik) names is deleted first, so it is loaded anew."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for url in part.url[part.again]:
-                target = os.path.join(folder, url.rsplit("/", 1)[-1])
-                if os.path.exists(target):
-                    os.remove(target)
+                fs, target = opened(f"{folder}/{url.rsplit('/', 1)[-1]}")
+                if fs.get_file_info(target).type != FileType.NotFound:
+                    fs.delete_file(target)
             yield pd.DataFrame({"url": part.url, "result": [download(u, folder, fetch, **options) for u in part.url]})
 
     once = urls.select("url").distinct()

@@ -5,9 +5,15 @@ from __future__ import annotations
 import uuid
 
 from py4j.protocol import Py4JJavaError
+from pyarrow.fs import FileSystem
 from pyspark.sql import SparkSession
 
 
+def opened(path: str) -> tuple[FileSystem, str]:
+    """For tasks, which have no JVM at hand: Arrow's file system of a path or URI, and the path in it."""
+    return FileSystem.from_uri(path)
+
+
 class Files:
     def __init__(self, spark: SparkSession):
         self.jvm, self.conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

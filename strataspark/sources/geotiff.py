@@ -27,6 +27,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from strataspark.functions.grid import Grid
 from strataspark.operators import chunks
+from strataspark.sources.files import opened
 
 #: Largest side of a tile; sides are multiples of ``TILE_STEP``, as the format has them.
 TILE, TILE_STEP = 256, 16
@@ -46,10 +47,6 @@ def tile_side(width: int, height: int) -> int:
     return max(TILE_STEP, min(TILE, width, height) // TILE_STEP * TILE_STEP)
 
 
-def opened(path: str) -> tuple[arrow_fs.FileSystem, str]:
-    return arrow_fs.FileSystem.from_uri(path)
-
-
 @dataclass(frozen=True)
 class Raster:
     """What a file says of itself, but for where its tiles lie."""
@@ -249,7 +246,7 @@ class TileWriter(DataSourceArrowWriter):
 
 
 @dataclass
-class Files(InputPartition):
+class Paths(InputPartition):
     paths: list[str]
 
 
@@ -263,14 +260,14 @@ class TiffReader(DataSourceReader):
     def __init__(self, path: str, pixels: bool):
         self.path, self.pixels = path, pixels
 
-    def partitions(self) -> list[Files]:
+    def partitions(self) -> list[Paths]:
         fs, where = opened(self.path)
         info = fs.get_file_info(where)
         found = [where] if info.type == arrow_fs.FileType.File else sorted(f.path for f in fs.get_file_info(arrow_fs.FileSelector(where, recursive=True, allow_not_found=True)) if f.extension == "tif")
         step = 1 if self.pixels else 64
-        return [Files(found[k : k + step]) for k in range(0, len(found), step)] or [Files([])]
+        return [Paths(found[k : k + step]) for k in range(0, len(found), step)] or [Paths([])]
 
-    def read(self, partition: Files) -> Iterator[pa.RecordBatch] | Iterator[tuple]:
+    def read(self, partition: Paths) -> Iterator[pa.RecordBatch] | Iterator[tuple]:
         fs, _ = opened(self.path)
         for path in partition.paths:
             with fs.open_input_file(path) as source:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,17 +27,23 @@ def read_config(path: str, required: tuple[str, ...] = ()) -> dict:
     return found
 
 
-def check_options(options: dict) -> None:
-    """P23."""
-    if options.get("zarr") and options.get("geotiff"):
+def checked_options(options: dict) -> dict:
+    """Without conversion there is neither store nor mosaic, so both are switched off with a warning; after that, one
+    excludes the other."""
+    out = dict(options)
+    if options.get("konwersja") is False:
+        for name in ("zarr", "geotiff"):
+            if options.get(name):
+                warnings.warn(f"{name} needs conversion and is left out", stacklevel=2)
+            out[name] = False
+    if out.get("zarr") and out.get("geotiff"):
         raise ValueError("a layer store and a single mosaic exclude each other")
-    if options.get("konwersja") is False and (options.get("zarr") or options.get("geotiff")):
-        raise ValueError("without conversion there is neither store nor mosaic")
+    return out
 
 
 def year_list(value, start: int, this_year: int) -> list[int]:
     """A list, ``auto`` (start to this year) or a comma-separated string."""
-    if value == "auto":
+    if isinstance(value, str) and value.strip().lower() == "auto":
         return list(range(start, this_year + 1))
     return [int(v) for v in (value if isinstance(value, list) else clean_list(value))]
 

@@ -21,6 +21,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataspark.functions import geometry
 from strataspark.functions.grid import SIDES, Grid, Level
 from strataspark.operators import catalog, chunks, levels, mosaic, plan, stats
 from strataspark.sources.files import Files
@@ -321,6 +322,10 @@ class LayerStore:
         before = self.manifest[year]["wersje"]
         base, *coarser = self.levels()
         blocks = self._hit(base, todo["brudne"])
+        if rings is not None:  # J11: blocks outside the polygon are never built
+            away = geometry.classed(base.grid.blocks(self.spark, base.block), rings, ["by", "bx"]).where("place = 'outside'")
+            outside = {(r.by, r.bx) for r in away.select("by", "bx").collect()}  # bounded by the grid's block count
+            dated = plan.touched_blocks(dated, base.grid.blocks(self.spark, base.block).join(F.broadcast(away.select("by", "bx")), ["by", "bx"], "left_anti")) if outside else dated
         if blocks is not None:
             edge = base.grid.blocks(self.spark, base.block).join(F.broadcast(self.spark.createDataFrame(blocks or [(-1, -1)], "by int, bx int")), ["by", "bx"], "left_semi")
             dated = plan.touched_blocks(dated, edge)  # L3: sheets that meet none of the blocks are not read

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from strataspark.functions import geometry
 from strataspark.functions.grid import SIDES, Grid, level_factors
-from strataspark.operators import catalog, levels, mosaic, plan
+from strataspark.operators import catalog, chunks, levels, mosaic, plan
 from strataspark.operators.convert import Conversions
-from strataspark.sources import archive, index
+from strataspark.sources import archive, geotiff, index
 from strataspark.sources.files import Files
 from strataspark.store import LayerStore
 
@@ -31,10 +31,9 @@ class Settings:
     force: bool = False
 
     @classmethod
-    def of(cls, config: dict) -> Settings:
-        """P23, from the section ``geo_nmt``: names and levels are checked before anything runs."""
-        part = config.get("geo_nmt", {})
-        index.check_options(part)
+    def of(cls, section: dict) -> Settings:
+        """P23, from the run's section of a configuration: names and levels are checked before anything runs."""
+        part = index.checked_options(section)
         mosaic_only = bool(part.get("geotiff", False))
         own = cls(
             part.get("rozdzielczosc"), list(part.get("poziomy", [])), levels.method_name(part.get("resampling_poziomow", "bilinear")), part.get("blok_px", 2048),
@@ -48,8 +47,9 @@ class Settings:
 def run_years(spark: SparkSession, sheets: DataFrame, rings: geometry.Rings, settings: Settings, folder: str, fetch: archive.Fetch | None = None, county: str = "") -> dict[int, dict]:
     """What was done for each year. A year that fails is reported and does not stop the others.
 
-    ``sheets``: rok, plik, url, epsg, akt_data, left, bottom, right, top. Folders: ``rok=<year>/archives`` holds the
-    archives, ``rok=<year>/converted`` the conversions, ``store`` the layers, ``mosaics/rok=<year>`` single mosaics.
+    ``sheets``: rok, plik, url, epsg, akt_data, left, bottom, right, top; a column lp, if there is one, numbers the rows of
+    the index, whose last row of a sheet holds. Folders: ``rok=<year>/archives`` holds the
+    archives, ``rok=<year>/converted`` the conversions, ``store`` the layers, ``mosaics/<year>.tif`` single mosaics.
     """
     done: dict[int, dict] = {}
     for year in [r.rok for r in sheets.select("rok").distinct().orderBy("rok").collect()]:
@@ -63,7 +63,7 @@ def run_years(spark: SparkSession, sheets: DataFrame, rings: geometry.Rings, set
 def run_year(spark: SparkSession, year: int, sheets: DataFrame, rings: geometry.Rings, settings: Settings, folder: str, fetch: archive.Fetch | None, county: str = "") -> dict:
     store = LayerStore(spark, f"{folder}/store", settings.block)
     own = f"{folder}/rok={year}"
-    keys = sheets.select("plik", "akt_data", *SIDES)
+    keys = sheets.select("plik", "akt_data", *SIDES, *(["lp"] if "lp" in sheets.columns else []))
     again = []
     if settings.store and store.exists():
         record = store.manifest.get(year)
@@ -92,23 +92,23 @@ def run_year(spark: SparkSession, year: int, sheets: DataFrame, rings: geometry.
         out["roznice"] = store.differences(settings.resolution, settings.levels)
         out |= store.update_year(year, keys, meta, cells, rings, settings.force, archive.without_ascii(found))
     if settings.mosaic:
+        Files(spark).folder(f"{folder}/mosaics")
         try:  # L14: a mosaic that fails does not undo the rest
-            out |= {"akcja": "mozaika", "komorka": single_mosaic(meta, cells, rings, f"{folder}/mosaics/rok={year}", settings.resolution)}
+            out |= {"akcja": "mozaika", "komorka": single_mosaic(meta, cells, rings, f"{folder}/mosaics/{year}.tif", settings.resolution, settings.block)}
         except Exception as e:  # noqa: BLE001
             out |= {"mozaika": f"failed: {str(e).splitlines()[0]}"}
     return out
 
 
-def single_mosaic(meta: DataFrame, cells: DataFrame, rings: geometry.Rings, where: str, cell: float | None = None) -> float:
-    """K3: one mosaic of all sheets, written as (row, col, z, res_src); its cell, the finest sheet's as it is by default.
+def single_mosaic(meta: DataFrame, cells: DataFrame, rings: geometry.Rings, where: str, cell: float | None = None, block: int = 2048) -> float:
+    """K3: one mosaic of all sheets as a GeoTIFF file; its cell, the finest sheet's as it is by default.
 
-    O2: newest first, sheets of one date in the order of their conversion, which is by name.
+    O2: newest first, sheets of one date in the order of their conversion, which is by name. Sheets are ranked once; a
+    pixel's first value is a partial aggregate over ranks.
     """
     size = cell or catalog.finest(meta, rounded=False).head().finest
     grid = Grid.covering(geometry.bounds(rings), size)
-    order = catalog.newest_first(path_descending=False, path="plik", seq="plik")
-    ranked = meta.select("member", *(c.alias(f"o{k}") for k, c in enumerate([F.coalesce(F.col("akt_data").cast("string"), F.lit(catalog.UNKNOWN_DATE)), F.col("member")])))
-    placed = mosaic.on_grid(meta, cells, grid, rings).join(ranked.withColumnRenamed("member", "plik"), "plik")
-    first = catalog.first_of(placed.where("z is not null"), ["row", "col"], order)
-    first.select("row", "col", "z", "res_src").repartition("row").sortWithinPartitions("row", "col").write.mode("overwrite").parquet(where)
+    first = mosaic.base_layer(meta.withColumn("plik", F.col("member")), cells, grid, rings, path_descending=False)
+    layout = chunks.Layout(grid.height, grid.width, block, ("z", "res_src"), keys=())
+    geotiff.write(chunks.packed(first, layout), layout, grid, where, "z")
     return size

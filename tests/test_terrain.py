@@ -1,7 +1,11 @@
 """Hand-computed cases of FIXTURES.md and invariants."""
 
+import functools
 import io
 import json
+import math
+import random
+import re
 import zipfile
 
 import pytest
@@ -10,7 +14,7 @@ from pyspark.sql import functions as F
 from strataspark import cli
 from strataspark.functions import crs, geometry, grid, numeric
 from strataspark.operators import catalog, levels, mosaic, plan, stats
-from strataspark.sources import archive, ascii, index
+from strataspark.sources import archive, ascii, geotiff, index
 from strataspark.sources.files import Files
 from strataspark.operators.convert import Conversions
 from strataspark.store import LayerStore, StoreError, ascii_grid_rows, find_stores, sheets_geojson
@@ -254,7 +258,7 @@ def test_index_and_config(spark, tmp_path):
     (tmp_path / "c.json").write_text('{"cache_dir": ""}')
     with pytest.raises(ValueError):
         index.read_config(str(tmp_path / "c.json"), ("cache_dir",))
-    assert index.year_list("auto", 2018, 2020) == [2018, 2019, 2020] == index.year_list("2018, 2019,2020", 0, 0)
+    assert index.year_list(" AUTO", 2018, 2020) == [2018, 2019, 2020] == index.year_list("2018, 2019,2020", 0, 0)
     (tmp_path / "b.json").write_text('{"features": [{"properties": {"JPT_NAZWA_": "p"}, "geometry": {"type": "MultiPolygon", "coordinates": [[[[0, 0], [1, 0], [1, 1]]]]}}]}')
     assert index.read_boundaries(spark, str(tmp_path / "b.json")).head().rings == [[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0]]]
 
@@ -420,7 +424,7 @@ def test_year_run_from_archives_to_layers(spark, tmp_path):
         return 200, "application/zip", body + b" " * 6000
 
     rings = [[(500000.0, 400000.0), (500008.0, 400000.0), (500008.0, 400008.0), (500000.0, 400008.0)]]
-    settings = Settings.of({"geo_nmt": {"poziomy": [2], "blok_px": 4}})
+    settings = Settings.of({"poziomy": [2], "blok_px": 4})
     dates = {"a": "2020-01-01", "b": "2020-02-01", "c": "2020-01-01", "d": "2020-01-01", "e": "2019-01-01"}
     done = run_years(spark, index_of(dates), rings, settings, str(tmp_path / "w"), fetch, "X")
     assert {y: d["akcja"] for y, d in done.items()} == {2019: "nowa", 2020: "nowa"}
@@ -442,10 +446,13 @@ def test_year_run_from_archives_to_layers(spark, tmp_path):
     assert {d["akcja"] for d in raw.values()} == {"surowe"} and (tmp_path / "raw" / "rok=2020" / "archives" / "a.zip").exists()
     single = run_years(spark, index_of({"a": "2021-01-01"}), rings, Settings(store=False, mosaic=True), str(tmp_path / "m"), fetch)
     assert single[2020]["komorka"] == 1.0
-    assert set(raster(spark.read.parquet(str(tmp_path / "m" / "mosaics" / "rok=2020"))).values()) >= {5.0}
-    for wrong in ({"zarr": True, "geotiff": True}, {"konwersja": False, "geotiff": True}, {"resampling_poziomow": "x"}, {"rozdzielczosc": 2.0, "poziomy": [3]}):
+    assert set(raster(geotiff.read(spark, str(tmp_path / "m" / "mosaics" / "2020.tif"), "pixels")).values()) >= {5.0}
+    for wrong in ({"zarr": True, "geotiff": True}, {"resampling_poziomow": "x"}, {"rozdzielczosc": 2.0, "poziomy": [3]}):
         with pytest.raises(ValueError):
-            Settings.of({"geo_nmt": wrong})
+            Settings.of(wrong)
+    with pytest.warns(UserWarning):
+        raw = Settings.of({"konwersja": False, "geotiff": True, "zarr": True})
+    assert not raw.store and not raw.mosaic and not raw.convert and raw.download
 
 
 def test_cli_geojson_texts_stream_and_cached_boundaries(spark, tmp_path, capsys):
@@ -485,3 +492,112 @@ def test_dense_ordinals_and_dates(spark):
     two = spark.createDataFrame([("s", "2020-01-01", 1), ("r", "2020-01-01", 2), ("q", None, 3)], "plik string, akt_data string, seq int")
     assert [r.plik for r in two.orderBy(*catalog.newest_first()).collect()] == ["s", "r", "q"]
     assert [r.plik for r in two.orderBy(*catalog.newest_first(path_descending=False)).collect()] == ["s", "r", "q"]
+
+
+def test_boxes_meet_on_lattices_by_size(spark):
+    def frame_of(boxes):
+        return spark.createDataFrame([(k, *map(float, b)) for k, b in enumerate(boxes)], ["k", *grid.SIDES])
+
+    rng = random.Random(5)
+    some = lambda n: [(x := rng.randint(-40, 40) / 4, y := rng.randint(-40, 40) / 4, x + rng.choice([0, 0.25, 1, 3, 17]), y + rng.choice([0, 0.25, 1, 9])) for _ in range(n)]
+    a, b = some(120), some(90)
+    for strict in (True, False):
+        le = (lambda p, q: p < q) if strict else (lambda p, q: p <= q)
+        want = sorted((i, j) for i, p in enumerate(a) for j, q in enumerate(b) if le(p[0], q[2]) and le(q[0], p[2]) and le(p[1], q[3]) and le(q[1], p[3]))
+        assert sorted((r.k, r.d_k) for r in plan.meeting(frame_of(a), frame_of(b), strict).collect()) == want
+    assert plan.meeting(frame_of(a), frame_of(b).limit(0)).count() == 0
+    # One large sheet among many small ones brings no small ones together.
+    small = [(x, y, x + 1, y + 1) for x in range(0, 100, 2) for y in range(0, 80, 2)]
+    met = plan.meeting(frame_of([*small, (0, 0, 5000, 5000)]), frame_of([*((x + 0.5, y + 0.5, r, t) for x, y, r, t in small), (0, 0, 4000, 4000)]))
+    assert met.count() == 3 * len(small) + 1
+    joined = max(int(n) for n in re.findall(r"Join.*?number of output rows: ([\d,]+)", ran(met)) or ["0"])
+    assert joined < 40 * len(small)
+
+
+def ran(df):
+    """Rows that each operator of the executed plan gave."""
+    plan_ = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    out, todo = [], [plan_]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(node.plan())
+        metrics = node.metrics()
+        if metrics.contains("numOutputRows"):
+            out.append(f"{name} number of output rows: {metrics.apply('numOutputRows').value()}")
+        kids = node.children()
+        todo += [kids.apply(k) for k in range(kids.size())]
+    return "\n".join(out)
+
+
+def test_the_mosaic_of_sheets_is_a_hash_aggregate(spark):
+    parts = [sheet(spark, n, d, left, z) for n, d, left, z in (("a", "2020-01-01", 0.0, 1), ("b", "2020-01-01", 2.0, 2), ("c", None, 0.0, 3), ("d", None, 4.0, 4))]
+    meta, cells = (functools.reduce(lambda x, y: x.union(y), (p[k] for p in parts)) for k in (0, 1))
+    g = grid.Grid(0.0, 4.0, 1.0, 8, 4)
+    layer = mosaic.base_layer(meta, cells, g)
+    shown = layer._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate(key=[row" not in shown and shown.count("HashAggregate(keys=[row") == 2
+    found, other = raster(layer), raster(mosaic.base_layer(meta, cells, g, path_descending=False))
+    assert [found[0, c] for c in range(8)] == [1, 1, 2, 2, 2, 2, 4, 4] and [other[0, c] for c in range(8)] == [1, 1, 1, 1, 2, 2, 4, 4]
+    order = [F.coalesce(F.col("akt_data"), F.lit(catalog.UNKNOWN_DATE)), F.col("plik")]
+    assert found == raster(mosaic.first_wins(mosaic.on_grid(meta, cells, g), ["row", "col"], order))
+
+
+def clipped(e, b):
+    """Whether a segment shares a point with a box, by clipping."""
+    x1, y1, x2, y2 = e
+    lo, hi = 0.0, 1.0
+    for d, s, a, z in ((x2 - x1, x1, b[0], b[2]), (y2 - y1, y1, b[1], b[3])):
+        if d == 0:
+            if not a <= s <= z:
+                return False
+        else:
+            t = sorted(((a - s) / d, (z - s) / d))
+            lo, hi = max(lo, t[0]), min(hi, t[1])
+    return lo <= hi
+
+
+def test_boxes_are_classed_against_a_polygon(spark):
+    rng = random.Random(2)
+    star = [(50 + (40 if k % 2 else 15 + rng.randint(0, 10)) * math.cos(k * math.pi / 60), 50 + (40 if k % 2 else 20) * math.sin(k * math.pi / 60)) for k in range(120)]
+    rings = [star, [(48.0, 48.0), (52.0, 48.0), (52.0, 52.0), (48.0, 52.0)]]
+    boxes = [(x := rng.randint(0, 400) / 4, y := rng.randint(0, 400) / 4, x + rng.choice([0.25, 1, 8, 30]), y + rng.choice([0.25, 1, 8])) for _ in range(400)]
+    boxes += [(48.0, 48.0, 49.0, 49.0), (49.0, 49.0, 51.0, 51.0), (0.0, 0.0, 100.0, 100.0), (-9.0, -9.0, -8.0, -8.0)]
+    frame_ = spark.createDataFrame([(k, *map(float, b)) for k, b in enumerate(boxes)], ["k", *grid.SIDES])
+    found = {r.k: r.place for r in geometry.classed(frame_, rings, ["k"]).collect()}
+
+    def expected(b):
+        every = geometry.edges(rings)
+        if any(clipped(e, b) for e in every):
+            return "boundary"
+        x, y = (b[0] + b[2]) / 2, (b[1] + b[3]) / 2
+        odd = sum((y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 for x1, y1, x2, y2 in every) % 2
+        return "inside" if odd else "outside"
+
+    assert found == {k: expected(b) for k, b in enumerate(boxes)} and set(found.values()) == {"inside", "outside", "boundary"}
+    twice = frame_.union(frame_)
+    assert sorted(r.k for r in catalog.touching(twice, rings).collect()) == sorted(2 * [k for k, p in found.items() if p != "outside"])
+    # A long boundary: 50,000 edges, most of them met by few boxes.
+    n = 50_000
+    round_ = [[(50_000 + 40_000 * math.cos(2 * math.pi * k / n), 50_000 + 40_000 * math.sin(2 * math.pi * k / n)) for k in range(n)]]
+    blocks = grid.Grid(0.0, 100_000.0, 10.0, 10_000, 10_000).blocks(spark, 500)
+    for r in geometry.classed(blocks, round_, ["by", "bx"]).collect():
+        corners = [math.hypot(x - 50_000, y - 50_000) for x in (r.left, r.right) for y in (r.bottom, r.top)]
+        near = math.hypot(max(r.left - 50_000, 0, 50_000 - r.right), max(r.bottom - 50_000, 0, 50_000 - r.top))
+        want = "inside" if max(corners) < 39_999 else "outside" if near > 40_001 else "boundary" if near < 39_999 and max(corners) > 40_001 else None
+        assert want in (None, r.place)  # a box whose corner is about on the circle may be either
+
+
+def test_blocks_outside_the_county_are_not_built(spark, tmp_path):
+    parts = [sheet(spark, n, "2020-01-01", left, z, 8) for n, left, z in (("a", 0.0, 1), ("b", 8.0, 2), ("c", 16.0, 3))]
+    meta, cells = (functools.reduce(lambda x, y: x.union(y), (p[k] for p in parts)) for k in (0, 1))
+    store = LayerStore(spark, str(tmp_path / "s"), block=8).create(grid.Grid(0.0, 8.0, 1.0, 24, 8))
+    rings = [[(1.0, 1.0), (7.0, 1.0), (7.0, 7.0), (1.0, 7.0)]]
+    store.update_year(2020, meta, meta, cells, rings)
+    assert {(r.by, r.bx, r.n) for r in store.chunks(2020).collect()} == {(0, 0, 36)}
+    assert raster(store.read(2020), "nmt") == {(r, c): 1.0 for r in range(1, 7) for c in range(1, 7)}
