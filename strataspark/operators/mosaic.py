@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strataspark.operators import catalog
 
@@ -45,13 +46,11 @@ def on_grid(sheet_meta: DataFrame, sheet_cell: DataFrame, grid, rings=None) -> D
 
 def ranked(sheets: DataFrame, key: str, path_descending: bool = True) -> DataFrame:
     """(key, rank_ long): W1's precedence of sheets, the greater the earlier: newest first, an unknown date is the oldest,
-    then by path. Sheets are ranked in ranges, in parallel."""
-    dated = sheets.select(key, F.coalesce(F.col("akt_data").cast("string"), F.lit(catalog.UNKNOWN_DATE)).alias("date_")).groupBy(key).agg(F.max("date_").alias("date_"))
-    if path_descending:
-        return catalog.dense_ordinals(dated, ["date_", key], "rank_").select(key, F.col("rank_").cast("long"))
-    newest = catalog.dense_ordinals(dated, ["date_"], "day_")
-    by_path = catalog.dense_ordinals(newest, [key], "place_", descending=True)
-    return by_path.select(key, (F.shiftleft(F.col("day_").cast("long"), 32) + F.col("place_")).alias("rank_"))
+    then by path. One sort of the sheets of one layer, all of which its manifest lists anyway; ``catalog.dense_ordinals``
+    ranks tables that grow."""
+    dated = sheets.groupBy(key).agg(F.max(F.coalesce(F.col("akt_data").cast("string"), F.lit(catalog.UNKNOWN_DATE))).alias("date_"))
+    order = Window.orderBy("date_", F.col(key).asc() if path_descending else F.col(key).desc())
+    return dated.select(key, F.row_number().over(order).cast("long").alias("rank_"))
 
 
 def first_ranked(cells: DataFrame, pixel: list[str], rank: str = "rank_", value: str = "z", carried: tuple[str, ...] = ()) -> DataFrame:

@@ -124,7 +124,8 @@ def meeting(boxes: DataFrame, others: DataFrame, strict: bool = True) -> DataFra
     level = lambda p: F.ceil(F.log2(F.greatest(F.col(f"{p}right") - F.col(f"{p}left"), F.col(f"{p}top") - F.col(f"{p}bottom"), F.lit(LEAST_SIDE)))).cast("int")
     renamed = others.select(*(F.col(c).alias(f"d_{c}") for c in others.columns))
     sides = {"": boxes.withColumn("level_", level("")), "d_": renamed.withColumn("d_level_", level("d_"))}
-    have = {p: sorted(r[0] for r in df.select(f"{p}level_").distinct().collect() if r[0] is not None) for p, df in sides.items()}  # a few dozen sizes at most
+    sizes = sides[""].select(F.lit("").alias("side"), "level_").union(sides["d_"].select(F.lit("d_"), "d_level_")).where("level_ is not null").distinct().collect()  # a few dozen at most
+    have = {p: sorted(r.level_ for r in sizes if r.side == p) for p in sides}
 
     def listed(p: str, other: str) -> DataFrame:
         # Roles tell who is as large as the cell: 0 both, 1 the left side only, 2 the right side only.

@@ -36,13 +36,25 @@ def resolution_shares(cells: DataFrame, res: str = "res_src") -> DataFrame:
     return counts.join(F.broadcast(total)).select("res", round_half_even(F.col("n") / F.col("total"), 4).alias("share"))
 
 
+#: Pixels of one bitmap, as Spark's bitmap aggregates have them: 128 rows of 256.
+BITMAP_ROWS, BITMAP_COLS = 7, 8
+
+
+def bitmaps(cells: DataFrame, keys: tuple[str, ...], pixel: tuple[str, ...] = ("row", "col")) -> DataFrame:
+    """(keys, map_row_, map_col_, bits_): which pixels are there, 4 KB for 32,768 of them. Each task combines its pixels, so
+    bitmaps are shuffled and no pixels."""
+    row, col = (F.col(p).cast("long") for p in pixel)
+    at = F.shiftleft(row.bitwiseAND((1 << BITMAP_ROWS) - 1), BITMAP_COLS).bitwiseOR(col.bitwiseAND((1 << BITMAP_COLS) - 1))
+    placed = cells.select(*keys, F.shiftright(row, BITMAP_ROWS).alias("map_row_"), F.shiftright(col, BITMAP_COLS).alias("map_col_"), at.alias("at_"))
+    return placed.groupBy(*keys, "map_row_", "map_col_").agg(F.bitmap_construct_agg("at_").alias("bits_"))
+
+
 def coverage(cells: DataFrame, layer: str = "rok", pixel: tuple[str, ...] = ("row", "col"), value: str = "z") -> DataFrame:
-    """Pixels of each layer over pixels with data in any of them. Each pixel's set of layers is built once, with
-    map-side combining, and both numbers follow from the number of pixels by set."""
-    known = cells.where(F.col(value).isNotNull())
-    kinds = known.groupBy(*pixel).agg(F.sort_array(F.collect_set(layer)).alias("layers_")).groupBy("layers_").agg(F.count("*").alias("n"))
-    each = kinds.select(F.explode("layers_").alias(layer), "n").groupBy(layer).agg(F.sum("n").alias("n"))
-    total = kinds.agg(F.sum("n").alias("total"))  # one row
+    """Pixels of each layer over pixels with data in any of them, from one bitmap per layer and block."""
+    maps = bitmaps(cells.where(F.col(value).isNotNull()), (layer,), pixel)
+    each = maps.groupBy(layer).agg(F.sum(F.bitmap_count("bits_")).alias("n"))
+    united = maps.groupBy("map_row_", "map_col_").agg(F.bitmap_or_agg("bits_").alias("any_"))
+    total = united.agg(F.sum(F.bitmap_count("any_")).alias("total"))  # one row
     return each.join(F.broadcast(total)).select(layer, F.when(F.col("total") > 0, F.col("n") / F.col("total")).otherwise(0.0).alias("coverage"))
 
 

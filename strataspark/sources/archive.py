@@ -6,6 +6,7 @@ import io
 import time
 import uuid
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -20,23 +21,30 @@ from strataspark.sources.files import opened
 
 def members(archives: DataFrame, with_text: bool = True) -> DataFrame:
     """(archive, member, text, error, place) of ``archives``(path, content); folders are flattened, ``place`` is the
-    member's in its archive, and a corrupt archive gives one row with its error instead of members."""
+    member's in its archive, and a corrupt archive gives one row with its error instead of members.
 
-    def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for path, content in zip(part.path, part.content, strict=True):
-                archive, rows = path.rsplit("/", 1)[-1], []
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        for place, info in enumerate(z.infolist()):
-                            if not info.is_dir():
-                                text = z.read(info).decode("utf-8", "replace") if with_text else None
-                                rows.append((archive, info.filename.rsplit("/", 1)[-1], text, None, place))
-                except (zipfile.BadZipFile, OSError, RuntimeError) as e:
-                    rows = [(archive, None, None, str(e), None)]
-                yield pd.DataFrame(rows, columns=["archive", "member", "text", "error", "place"]).astype({"place": "Int32"})
-
-    return archives.select("path", "content").mapInPandas(read, "archive string, member string, text string, error string, place int")
+    Members come one by one, so a task holds one archive as it is packed and one unpacked member. An archive is tested as a
+    whole first, since a member that cannot be unpacked makes it corrupt."""
+    rows = archives.select("path", "content").lateralJoin(ZipMembers(F.col("path").outer(), F.col("content").outer(), F.lit(with_text)))
+    return rows.select("archive", "member", "text", "error", "place")
+
+
+@F.udtf(returnType="archive string, member string, text string, error string, place int")
+class ZipMembers:
+    """A table function: the members of one archive."""
+
+    def eval(self, path: str, content: bytes, with_text: bool):
+        archive = path.rsplit("/", 1)[-1]
+        try:
+            with zipfile.ZipFile(io.BytesIO(content)) as z:
+                if with_text and (bad := z.testzip()):
+                    raise zipfile.BadZipFile(f"{bad} is damaged")
+                for place, info in enumerate(z.infolist()):
+                    if not info.is_dir():
+                        text = z.read(info).decode("utf-8", "replace") if with_text else None
+                        yield archive, info.filename.rsplit("/", 1)[-1], text, None, place
+        except (zipfile.BadZipFile, zlib.error, OSError, RuntimeError) as e:
+            yield archive, None, None, str(e), None
 
 
 def read_archives(spark: SparkSession, folder: str, with_text: bool = True) -> DataFrame:

@@ -21,7 +21,6 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataspark.functions import geometry
 from strataspark.functions.grid import SIDES, Grid, Level
 from strataspark.operators import catalog, chunks, levels, mosaic, plan, stats
 from strataspark.sources.files import Files
@@ -196,6 +195,43 @@ class LayerStore:
         axis = self.spark.read.parquet(f"{self.path}/czas/zapis={written['zapis']}")
         return axis if factor is None else axis.where(F.col("level") == factor)
 
+    def coordinates(self, factor: int = 1) -> DataFrame:
+        """K5: (axis, n, at) of a level: centres of its columns (x) and, from the north, of its rows (y)."""
+        g = self._level(factor).grid
+        n = F.col("n").cast("int").alias("n")
+        x = self.spark.range(g.width).select(F.lit("x").alias("axis"), F.col("id").alias("n")).select("axis", n, g.x_of(F.col("n")).alias("at"))
+        y = self.spark.range(g.height).select(F.lit("y").alias("axis"), F.col("id").alias("n")).select("axis", n, g.y_of(F.col("n")).alias("at"))
+        return x.union(y)
+
+    def migrate(self) -> LayerStore:
+        """A store of format 1 (``opis.json``, and one folder of pixels per block) to this format. Old pixels are packed into
+        chunks and committed; only then the old description and folders go, so a migration that was cut off is done again."""
+        old = f"{self.path}/opis.json"
+        if not self.files.exists(old):
+            raise StoreError(f"{self.path} has no description of format 1")
+        data = json.loads(self.files.read(old))
+        if data["opis"].get("wersja_formatu") != 1:
+            raise StoreError(f"{self.path} has another format; rebuild it")
+        base, done = Grid(**data["opis"]["siatka"]), []
+        for year, record in data["warstwy"].items():
+            record["wersje"] = {}
+            for factor in (1, *data["opis"]["faktory_poziomow"]):
+                where = self._folder(factor, int(year))
+                blocks = [n for n in self.files.names(where) if n.startswith("by=")]
+                if blocks:
+                    level = Level(base, factor, self.block)
+                    cells = self.spark.read.option("basePath", where).parquet(*(f"{where}/{n}" for n in blocks)).select(F.lit(int(year)).alias("rok"), "row", "col", "nmt", "res_src")
+                    self._write(chunks.packed(cells, self.layout(level)), factor, int(year), "format-1")
+                    record["wersje"][str(factor)] = [["format-1", None]]
+                    done += [f"{where}/{n}" for n in blocks]
+        data["opis"] |= {"wersja_formatu": FORMAT_VERSION}
+        data["opis"].pop("czas", None)  # the axis is written anew on demand
+        if not self.files.create(self._entry(1), json.dumps(data, ensure_ascii=False).encode()):
+            raise StoreError(f"there is a store at {self.path}")
+        for path in (old, f"{self.path}/czas", *done):
+            self.files.remove(path)
+        return self
+
     # Layers
     def _folder(self, factor: int, year: int) -> str:
         return f"{self.path}/warstwy/level={factor}/rok={year}"
@@ -257,7 +293,7 @@ class LayerStore:
         for level in self.files.names(f"{self.path}/warstwy"):
             for year in self.files.names(f"{self.path}/warstwy/{level}"):
                 for name in self.files.names(f"{self.path}/warstwy/{level}/{year}"):
-                    if (int(year[4:]), int(level[6:]), name[7:]) not in kept:
+                    if name.startswith("wersja=") and (int(year[4:]), int(level[6:]), name[7:]) not in kept:
                         gone.append(f"{self.path}/warstwy/{level}/{year}/{name}")
         for path in gone:
             self.files.remove(path)
@@ -323,9 +359,7 @@ class LayerStore:
         base, *coarser = self.levels()
         blocks = self._hit(base, todo["brudne"])
         if rings is not None:  # J11: blocks outside the polygon are never built
-            away = geometry.classed(base.grid.blocks(self.spark, base.block), rings, ["by", "bx"]).where("place = 'outside'")
-            outside = {(r.by, r.bx) for r in away.select("by", "bx").collect()}  # bounded by the grid's block count
-            dated = plan.touched_blocks(dated, base.grid.blocks(self.spark, base.block).join(F.broadcast(away.select("by", "bx")), ["by", "bx"], "left_anti")) if outside else dated
+            dated = plan.touched_blocks(dated, catalog.touching(base.grid.blocks(self.spark, base.block), rings))
         if blocks is not None:
             edge = base.grid.blocks(self.spark, base.block).join(F.broadcast(self.spark.createDataFrame(blocks or [(-1, -1)], "by int, bx int")), ["by", "bx"], "left_semi")
             dated = plan.touched_blocks(dated, edge)  # L3: sheets that meet none of the blocks are not read

@@ -601,3 +601,34 @@ def test_blocks_outside_the_county_are_not_built(spark, tmp_path):
     store.update_year(2020, meta, meta, cells, rings)
     assert {(r.by, r.bx, r.n) for r in store.chunks(2020).collect()} == {(0, 0, 36)}
     assert raster(store.read(2020), "nmt") == {(r, c): 1.0 for r in range(1, 7) for c in range(1, 7)}
+
+
+def test_coordinates_and_migration_of_format_1(spark, tmp_path):
+    a = sheet(spark, "a", "2020-01-01", 0.0, 1)
+    store = LayerStore(spark, str(tmp_path / "s"), block=2).create(grid.Grid(0.0, 4.0, 1.0, 4, 4), (2,))
+    store.update_year(2020, a[0], *a)
+    assert {(r.axis, r.n, r.at) for r in store.coordinates(2).collect()} == {("x", 0, 1.0), ("x", 1, 3.0), ("y", 0, 3.0), ("y", 1, 1.0)}
+    old = LayerStore(spark, str(tmp_path / "old"), block=2)
+    with pytest.raises(StoreError):
+        old.migrate()
+    for f in (1, 2):  # as format 1 had it
+        store.read(2020, f).drop("level", "rok").write.partitionBy("by", "bx").parquet(f"{old.path}/warstwy/level={f}/rok=2020")
+    data = store._load()
+    data["opis"]["wersja_formatu"] = 1
+    data["warstwy"]["2020"].pop("wersje")
+    (tmp_path / "old" / "opis.json").write_text(json.dumps(data))
+    with pytest.raises(StoreError):
+        old.create(grid.Grid(0.0, 4.0, 1.0, 4, 4))
+    old.migrate()
+    assert not (tmp_path / "old" / "opis.json").exists() and old.update_year(2020, a[0], *a)["akcja"] == "aktualna"
+    for f in (1, 2):
+        assert raster(old.read(2020, f), "nmt") == raster(store.read(2020, f), "nmt") and old.clean() == []
+
+
+def test_a_damaged_member_makes_its_archive_corrupt(spark):
+    whole = bytearray(zip_bytes(A__asc="1 2 3 4 5 6 7 8 9", B__asc="x"))
+    broken = bytearray(whole)
+    broken[40] ^= 0xFF
+    found = archive.members(spark.createDataFrame([("d/w.zip", whole), ("d/b.zip", broken), ("d/n.zip", None)], "path string, content binary")).collect()
+    assert [(r.member, r.place) for r in found if r.archive == "w.zip"] == [("A.asc", 0), ("B.asc", 1)]
+    assert [(r.member, r.error is not None) for r in found if r.archive == "b.zip"] == [(None, True)]
