@@ -51,7 +51,8 @@ def _now() -> str:
 
 @dataclass
 class LayerStore:
-    """``at``: the entry of the log that is read, the latest one if None."""
+    """``block``: pixels a side of a base block, of stores that are made or migrated; afterwards the description's holds.
+    ``at``: the entry of the log that is read, the latest one if None."""
 
     spark: SparkSession
     path: str
@@ -112,7 +113,7 @@ class LayerStore:
         for orphan in ("dziennik", "czas"):
             if self.files.remove(f"{self.path}/{orphan}"):
                 warnings.warn(f"{self.path}/{orphan} described layers that are not there; it was removed", stacklevel=2)
-        about = {"wersja_formatu": FORMAT_VERSION, "rola": "baza", "siatka": json.loads(grid.to_json()), "faktory_poziomow": list(factors), "utworzono": _now(), "powiat": county, "resampling_poziomow": levels.method_name(method), "atrybuty": ATTRIBUTES | {"title": f"NMT {county}".strip()}}
+        about = {"wersja_formatu": FORMAT_VERSION, "rola": "baza", "siatka": json.loads(grid.to_json()), "faktory_poziomow": list(factors), "blok_px": self.block, "utworzono": _now(), "powiat": county, "resampling_poziomow": levels.method_name(method), "atrybuty": ATTRIBUTES | {"title": f"NMT {county}".strip()}}
         self.files.folder(f"{self.path}/warstwy")
         if not self.files.create(self._entry(1), json.dumps({"opis": about, "warstwy": {}}, ensure_ascii=False).encode()):
             raise StoreError(f"there is a store at {self.path}")
@@ -148,8 +149,9 @@ class LayerStore:
 
     def levels(self) -> list[Level]:
         """The base first."""
-        base = self.grid
-        return [Level(base, f, self.block) for f in (1, *self.factors)]
+        about = self.about
+        base = Grid(**about["siatka"])
+        return [Level(base, f, about["blok_px"]) for f in (1, *about["faktory_poziomow"])]
 
     def differences(self, resolution: float | None = None, wanted: list[float] | None = None) -> list[str]:
         """How a configuration differs from what the store has frozen; the store's values hold."""
@@ -224,7 +226,7 @@ class LayerStore:
                     self._write(chunks.packed(cells, self.layout(level)), factor, int(year), "format-1")
                     record["wersje"][str(factor)] = [["format-1", None]]
                     done += [f"{where}/{n}" for n in blocks]
-        data["opis"] |= {"wersja_formatu": FORMAT_VERSION}
+        data["opis"] |= {"wersja_formatu": FORMAT_VERSION, "blok_px": self.block}
         data["opis"].pop("czas", None)  # the axis is written anew on demand
         if not self.files.create(self._entry(1), json.dumps(data, ensure_ascii=False).encode()):
             raise StoreError(f"there is a store at {self.path}")
