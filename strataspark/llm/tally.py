@@ -32,16 +32,18 @@ def unpack(raw: bytes, n: int) -> np.ndarray:
     return counts
 
 
-def edges(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket of sorted keys starts, and the end."""
-    return np.searchsorted((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
+def runs(keys: np.ndarray, buckets: int) -> tuple[list[int], list[int]]:
+    """The buckets that sorted keys fall into, and where each of them starts, with the end. Buckets without keys cost nothing."""
+    own = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    start = np.flatnonzero(np.concatenate((np.ones(min(1, len(own)), bool), own[1:] != own[:-1])))
+    return own[start].tolist(), [*start.tolist(), len(keys)]
 
 
 def sent(name: int | None, keys: np.ndarray, counts: np.ndarray | None, buckets: int) -> pa.Table:
     """A slice's sorted distinct keys by bucket; no counts: only asking, no name: only telling."""
-    edge = edges(keys, buckets).tolist()
+    own, edge = runs(keys, buckets)
     raw = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
-    rows = [(name, k, raw[a:b].tobytes(), None if counts is None else pack(counts[a:b])) for k, (a, b) in enumerate(zip(edge, edge[1:], strict=False)) if a < b]
+    rows = [(name, k, raw[a:b].tobytes(), None if counts is None else pack(counts[a:b])) for k, a, b in zip(own, edge, edge[1:], strict=False)]
     return pa.Table.from_arrays([pa.array([r[c] for r in rows], _SENT.types[c]) for c in range(4)], schema=_SENT)
 
 
@@ -60,5 +62,5 @@ def answered(part: pa.Table) -> pa.Table:
 
 def told(answers: pa.Table, keys: np.ndarray, buckets: int) -> np.ndarray:
     """The corpus counts of a slice's sorted distinct keys."""
-    edge, said = edges(keys, buckets), dict(zip(answers.column("bucket").to_pylist(), answers.column("counts").to_pylist(), strict=True))
-    return np.concatenate([np.zeros(0, np.int64), *(unpack(said[k], n) for k, n in enumerate(np.diff(edge).tolist()) if n)])
+    (own, edge), said = runs(keys, buckets), dict(zip(answers.column("bucket").to_pylist(), answers.column("counts").to_pylist(), strict=True))
+    return np.concatenate([np.zeros(0, np.int64), *(unpack(said[k], b - a) for k, a, b in zip(own, edge, edge[1:], strict=False))])
