@@ -14,11 +14,16 @@ What tells the words of a shape apart, and holds what a small network cannot, ar
 stay distributed: n(w) of every word outside the ``FREQUENT`` commonest, and n(v, w) of every pair of neighbours that
 are not both among these. The probability of w between v and x is
 
-    (n(v, w) + n(w, x) + SMOOTH * net(token of w) * share of w in its token) / (n(v) + n(x) + SMOOTH)
+    e * net(token of w) * share of w in its token + (1 - e) * (n(v, w) + n(w, x)) / (n(v) + n(x))
 
-where v and x among the commonest, which the network knows well, add nothing, and the share is n(w) / n(token of w) in
-a shape class, else 1. The masked occurrence itself is left out of each word's and pair's count (none below 0; 1/2 for
-a word seen nowhere else). Counts travel as packed hashes (``tally``).
+where v and x among the commonest, which the network knows well, add nothing (e is 1 where both are), and the share is
+n(w) / n(token of w) in a shape class, else 1. The masked occurrence itself is left out of each word's and pair's count
+(none below 0; 1/2 for a word seen nowhere else). Counts travel as packed hashes (``tally``).
+
+The network's part e is that of ``SMOOTH`` observations beside n(v) + n(x), and goes down to ``part`` where these are
+many: e = part + (1 - part) * SMOOTH / (n(v) + n(x) + SMOOTH). So counts that grow with the corpus never push it out.
+``part`` is one of ``PARTS``, the one at which the words of the corpus, each left out of the counts, are likeliest; all
+documents are scored at each of them at once, so fitting it reads nothing twice.
 A document's score is the sum of the log-probabilities of its words, each given its neighbours.
 """
 
@@ -45,6 +50,8 @@ START_WINDOWS, BATCH, EPOCHS, RATE = 300_000, 1_500, 2, 0.4
 PASS_WORDS, PASS_MIXED, PASS_BATCH, PASS_MEAN = 4_000_000, 200_000, 8_192, 16
 #: Weight of the network beside the counts; words of the corpus for each slice of documents and bucket of hashes.
 SMOOTH, SLICE_WORDS = 4.0, tally.SLICE_KEYS
+#: The network's part of a probability, however many counts there are: what is tried on the corpus.
+PARTS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 #: Windows that are sorted by group at once for scoring; whose logits are held at once, so that they stay in a core's cache.
 CHUNK, BLOCK = 65_536, 1_024
 #: Logits that cannot go beyond this need no shift before they are exponentiated.
@@ -243,7 +250,12 @@ def _blocks(start: int, stop: int) -> list[slice]:
 
 
 class Model:
-    """Known word hashes (sorted) with their tokens, the network, corpus counts of tokens, and the corpus itself."""
+    """Known word hashes (sorted) with their tokens, the network, corpus counts of tokens, and the corpus itself.
+
+    ``part``: the place in ``PARTS`` of the network's part, fitted when the corpus is first scored.
+    """
+
+    part: int | None = None
 
     def __init__(self, known: np.ndarray, rank: np.ndarray, frequent: int, network: Network, n_token: np.ndarray, n_words: int, docs: DataFrame, text: str):
         self.lookup, self.frequent, self.network, self.n_token, self.n_words = (known, rank), frequent, network, n_token, n_words
@@ -432,11 +444,11 @@ def _sent(part: pa.Table, lookup: tuple, frequent: int, buckets: int, counted: b
     return tally.sent(part.column("slice")[0].as_py() if asked else None, keys, counts if counted else None, buckets)
 
 
-_JUDGED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("log_likelihood", pa.float64())])
+_JUDGED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("sums", pa.list_(pa.float64()))])
 
 
 def _judged(part: pa.Table, answers: pa.Table, model: tuple, buckets: int) -> pa.Table:
-    """A slice's documents with their scores."""
+    """A slice's documents with their scores at each of ``PARTS``."""
     lookup, frequent, network, n_token = model
     pieces = _pieces(part, lookup, frequent)
     keys, at = np.unique(_flat(pieces), return_inverse=True)
@@ -452,29 +464,33 @@ def _judged(part: pa.Table, answers: pa.Table, model: tuple, buckets: int) -> pa
         # A context counts where it is rare and of the same text, which ``paired`` tells.
         left, right = paired & is_rare[:-1], paired & is_rare[1:]
         follows[1:], precedes[:-1] = np.where(left, pair, 0), np.where(right, pair, 0)
-        weight = np.full(m, SMOOTH)
-        weight[1:] += np.where(left, word[:-1], 0)
-        weight[:-1] += np.where(right, word[1:], 0)
+        seen = np.zeros(m)
+        seen[1:] += np.where(left, word[:-1], 0)
+        seen[:-1] += np.where(right, word[1:], 0)
         base = network.log_p(_context(token, first, network.reach), token)
         shape = token <= SHAPES
         base[shape] += np.log(np.maximum(word[shape], 0.5) / np.maximum(n_token[token[shape]], 1))
-        mixed = np.where(weight > SMOOTH, np.log((follows + precedes + SMOOTH * np.exp(base)) / weight), base)
-        run = np.concatenate(([0.0], np.cumsum(mixed)))
+        told = np.flatnonzero(seen)
+        net, few = np.exp(base[told]), SMOOTH / (seen[told] + SMOOTH)
+        pairs = (follows + precedes)[told] / seen[told]
+        run, sums = np.zeros(m + 1), np.empty((len(first) - 1, len(PARTS)))
+        for k, least in enumerate(PARTS):
+            base[told] = np.log(pairs + (least + (1 - least) * few) * (net - pairs))
+            np.cumsum(base, out=run[1:])
+            sums[:, k] = run[first[1:]] - run[first[:-1]]
         n.append(np.diff(first))
-        total.append(run[first[1:]] - run[first[:-1]])
-    return pa.Table.from_arrays([part.column("doc_id").combine_chunks(), pa.array(np.concatenate([np.zeros(0, np.int64), *n])), pa.array(np.concatenate([np.zeros(0), *total]))], schema=_JUDGED)
-
+        total.append(sums)
+    flat = np.concatenate([np.zeros(0), *(x.ravel() for x in total)])
+    sums = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, len(PARTS)), pa.int32()), pa.array(flat))
+    return pa.Table.from_arrays([part.column("doc_id").combine_chunks(), pa.array(np.concatenate([np.zeros(0, np.int64), *n])), sums], schema=_JUDGED)
 
-def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_words, log_likelihood, mean_log_likelihood) per row; null and blank texts have 0 words, sum 0, null mean.
 
-    Repeated rows score alike. A text of any length is scored whole and is at most one slice's data; other columns are
-    ignored, an empty table gives no rows. Words of one frequency enter the vocabulary in the order of their hashes.
-    """
+def _at_parts(docs: DataFrame, model: Model, doc_id: str | None, text: str) -> DataFrame:
+    """(doc_id, n_words, sums) of each row: its log-likelihood at each of ``PARTS``; no ids without ``doc_id``."""
     told = docs.sparkSession.sparkContext.broadcast((model.lookup, model.frequent, model.network, model.n_token))
     count = max(1, -(-model.n_words // SLICE_WORDS))
-    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(count))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("slice", part)
+    named = (F.col(doc_id) if doc_id else F.lit(None)).cast("long").alias("doc_id")
+    rows = docs.select(named, F.col(text).cast("string").alias("text")).withColumn("slice", F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)))
 
     def sent(source: DataFrame, counted: bool, asked: bool) -> DataFrame:
         return source.groupBy("slice").applyInArrow(lambda t: _sent(t, *told.value[:2], count, counted, asked), tally.SENT)
@@ -486,8 +502,32 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
         corpus = corpus.withColumn("slice", F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(count)))
         keys = sent(corpus, True, False).union(sent(rows, False, True))
     answers = keys.groupBy("bucket").applyInArrow(tally.answered, tally.ANSWER)
-    judged = rows.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(lambda t, a: _judged(t, a, told.value, count), "doc_id long, n_words long, log_likelihood double")
-    return judged.withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
+    judged = rows.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(lambda t, a: _judged(t, a, told.value, count), "doc_id long, n_words long, sums array<double>")
+    return written(judged)
+
+
+def _likeliest(judged: DataFrame) -> int:
+    """The place in ``PARTS`` that gives all words together the greatest likelihood; of equals, the first."""
+    sums = judged.agg(*(F.sum(F.col("sums")[k]) for k in range(len(PARTS)))).head()
+    return max(range(len(PARTS)), key=lambda k: (sums[k] or 0.0, -k))
+
+
+def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_words, log_likelihood, mean_log_likelihood) per row; null and blank texts have 0 words, sum 0, null mean.
+
+    Repeated rows score alike. A text of any length is scored whole and is at most one slice's data; other columns are
+    ignored, an empty table gives no rows. Words of one frequency enter the vocabulary in the order of their hashes.
+    ``model.part`` is fitted on the model's corpus, which is scored for it first if ``docs`` are others.
+    """
+    judged = _at_parts(docs, model, doc_id, text)
+    if model.part is None and model.docs is docs and model.text == text:
+        model.part = _likeliest(judged)
+    elif model.part is None:
+        corpus = _at_parts(model.docs, model, None, model.text)
+        model.part = _likeliest(corpus)
+        dropped(corpus)
+    total = F.col("sums")[model.part].alias("log_likelihood")
+    return judged.select("doc_id", "n_words", total).withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

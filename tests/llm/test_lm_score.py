@@ -73,7 +73,7 @@ def test_training_beats_frequencies_on_held_out_windows():
     assert after == again
 
 
-def plain_scores(rows, model):
+def plain_scores(rows, model, part):
     """Log-likelihood of each text, word by word, from the model's weights and counts made anew."""
     (known, rank), net = model.lookup, model.network
     n, pairs, of_token, token = Counter(), Counter(), Counter(), {}
@@ -95,11 +95,13 @@ def plain_scores(rows, model):
             p = math.exp(plain_log_p(net, [t[k], t[k + 1], t[k + 3], t[k + 4]], t[k + 2]))
             if t[k + 2] <= lm_score.SHAPES:
                 p *= max(n[x] - 1, 0.5) / of_token[t[k + 2]]
-            top, bottom = lm_score.SMOOTH * p, lm_score.SMOOTH
+            top, bottom = 0.0, 0.0
             for near, pair in ((w[k - 1] if k else None, (w[k - 1], x)), (w[k + 1] if k + 1 < len(w) else None, (x, w[k + 1] if k + 1 < len(w) else None))):
                 if near is not None and rare(token[near]):
                     top, bottom = top + pairs[pair] - 1, bottom + n[near] - 1
-            total += math.log(top / bottom)
+            least = lm_score.PARTS[part]
+            e = least + (1 - least) * lm_score.SMOOTH / (bottom + lm_score.SMOOTH)
+            total += math.log(e * p + (1 - e) * top / bottom if bottom else p)
         out.append((len(w), total))
     return out
 
@@ -124,7 +126,10 @@ def test_scores_equal_a_plain_loop(spark):
     model = lm_score.fit(docs, **NARROW)
     got = {r.doc_id: r for r in lm_score.score(docs, model).collect()}
     assert len(got) == len(rows) + 1
-    want = plain_scores([*rows, rows[0]], model)
+    tried = [plain_scores([*rows, rows[0]], model, part) for part in range(len(lm_score.PARTS))]
+    whole = [sum(total for _, total in scores) for scores in tried]
+    assert whole[model.part] == pytest.approx(max(whole), rel=1e-4)
+    want = tried[model.part]
     for i, (n, total) in enumerate(want[:-1]):
         assert got[i].n_words == n and got[i].log_likelihood == pytest.approx(total, abs=2e-3 * max(1, n))
         assert got[i].mean_log_likelihood == (pytest.approx(total / n, abs=2e-3) if n else None)
@@ -146,6 +151,35 @@ def test_counts_grow_with_the_corpus_and_tell_repeats_apart(spark):
     assert lm_score.score(swapped, lm_score.fit(docs)).head().mean_log_likelihood < got[0] - 1  # same shapes, other words
 
 
+def test_the_networks_part_does_not_shrink_with_the_corpus(spark):
+    """Its least weight in a word's probability, on a corpus and on ten times it, whose words come from one source."""
+    rng = random.Random(12)
+    names = [f"{a}{b}{c}" for a in "abcdefgh" for b in "klmnop" for c in "uvwx"]
+    follows = {x: rng.sample(names, 4) for x in names}
+
+    def chain(n):
+        out = [rng.choice(names)]
+        while len(out) < n:
+            out.append(rng.choice(follows[out[-1]]))
+        return " ".join(out)
+
+    texts = [chain(40) for _ in range(2_000)]
+    found = []
+    for some in (texts[:200], texts):
+        docs = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string")
+        model = lm_score.fit(docs, vocabulary=1 + lm_score.SHAPES + 150, frequent=10)
+        judged = lm_score._at_parts(docs, model, "doc_id", "text")
+        model.part = lm_score._likeliest(judged)
+        # The sums at the other parts differ by far, so what the network says enters every one of them.
+        assert lm_score.PARTS[model.part] >= lm_score.PARTS[0] and judged.where("abs(sums[0] - sums[8]) < 0.01 * abs(sums[0])").count() < len(some) // 10
+        model.network.token_bias -= 1.0 * (np.arange(len(model.network.token_bias)) % 2)  # another network, other scores
+        other = lm_score._at_parts(docs, model, "doc_id", "text")
+        moved = [j - o for j, o in (judged.selectExpr(f"sum(sums[{k}]) / sum(n_words)").head()[0:1] + other.selectExpr(f"sum(sums[{k}]) / sum(n_words)").head()[0:1] for k in (0, model.part))]
+        found.append(moved)
+    small, great = found
+    assert all(abs(g) > 0.3 * abs(s) for s, g in zip(small, great, strict=True))
+
+
 def test_several_slices_long_texts_and_an_empty_table(spark, monkeypatch):
     rows = [(i, "the same few words " * 20 + f"only{i}") for i in range(40)] + [(None, None), (99, " "), (98, "a long text " * 30_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
