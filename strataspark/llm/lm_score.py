@@ -471,13 +471,19 @@ def _judged(part: pa.Table, answers: pa.Table, model: tuple, buckets: int) -> pa
         shape = token <= SHAPES
         base[shape] += np.log(np.maximum(word[shape], 0.5) / np.maximum(n_token[token[shape]], 1))
         told = np.flatnonzero(seen)
-        net, few = np.exp(base[told]), SMOOTH / (seen[told] + SMOOTH)
-        pairs = (follows + precedes)[told] / seen[told]
-        run, sums = np.zeros(m + 1), np.empty((len(first) - 1, len(PARTS)))
+        c = seen[told]
+        few, pairs = SMOOTH / (c + SMOOTH), ((follows + precedes)[told] / c)
+        above = np.exp(base[told]) - pairs  # the network over the counts
+        low, rest, sums = (pairs + few * above).astype(np.float32), ((1 - few) * above).astype(np.float32), np.empty((len(first) - 1, len(PARTS)))
+        base[told] = 0
+        run, where, at = np.zeros(m + 1), np.searchsorted(told, first), np.zeros(len(told) + 1)
+        np.cumsum(base, out=run[1:])
+        alone, mixed = run[first[1:]] - run[first[:-1]], np.empty_like(low)
         for k, least in enumerate(PARTS):
-            base[told] = np.log(pairs + (least + (1 - least) * few) * (net - pairs))
-            np.cumsum(base, out=run[1:])
-            sums[:, k] = run[first[1:]] - run[first[:-1]]
+            np.multiply(rest, np.float32(least), out=mixed)
+            mixed += low
+            np.cumsum(np.log(mixed, out=mixed), dtype=np.float64, out=at[1:])
+            sums[:, k] = alone + at[where[1:]] - at[where[:-1]]
         n.append(np.diff(first))
         total.append(sums)
     flat = np.concatenate([np.zeros(0), *(x.ravel() for x in total)])
