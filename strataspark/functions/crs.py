@@ -28,7 +28,8 @@ _BETA = (_N / 2 - 2 * _N**2 / 3 + 37 * _N**3 / 96 - _N**4 / 360, _N**2 / 48 + _N
 
 
 class _Columns:
-    """The functions of ``math`` that are used here, for columns, and ``let``: name values once, use them often."""
+    """The functions of ``math`` that are used here, for columns; ``let``: name values once, use them often; ``then``: go
+    on with a pair, which is made once."""
 
     sin, cos, tan, sinh, cosh, atan, atan2, sqrt = (staticmethod(f) for f in (F.sin, F.cos, F.tan, F.sinh, F.cosh, F.atan, F.atan2, F.sqrt))
 
@@ -41,13 +42,20 @@ class _Columns:
         return F.when(x < 0, -F.log(-x + F.sqrt(x * x + 1))).otherwise(F.log(x + F.sqrt(x * x + 1)))
 
     @staticmethod
-    def let(body, **values):
+    def _bound(value, body):
         def run(v):
-            out = body(**{k: v.getField(k) for k in values})
+            out = body(v)
             return F.struct(out[0].alias("a"), out[1].alias("b")) if isinstance(out, tuple) else out
 
-        bound = F.transform(F.array(F.struct(*(x.alias(k) for k, x in values.items()))), run)[0]
-        return bound
+        return F.transform(F.array(value), run)[0]
+
+    @staticmethod
+    def let(body, **values):
+        return _Columns._bound(F.struct(*(x.alias(k) for k, x in values.items())), lambda v: body(**{k: v.getField(k) for k in values}))
+
+    @staticmethod
+    def then(body, pair):
+        return _Columns._bound(pair, lambda v: body(*_pair(v)))
 
 
 class _Floats:
@@ -57,6 +65,10 @@ class _Floats:
     def let(body, **values):
         return body(**values)
 
+    @staticmethod
+    def then(body, pair):
+        return body(*pair)
+
 
 COLUMNS, FLOATS = _Columns, _Floats
 
@@ -67,6 +79,10 @@ def _pair(x: Any) -> tuple[Any, Any]:
 
 def to_plane(lon: Any, lat: Any, epsg: int, m: Any = FLOATS) -> tuple[Any, Any]:
     """(easting, northing) of degrees; columns with ``m=COLUMNS``."""
+    return _pair(_plane(lon, lat, epsg, m))
+
+
+def _plane(lon: Any, lat: Any, epsg: int, m: Any) -> Any:
     lon0, k, fe, fn = PROJECTIONS[epsg]
 
     def series(xi, eta):
@@ -82,10 +98,14 @@ def to_plane(lon: Any, lat: Any, epsg: int, m: Any = FLOATS) -> tuple[Any, Any]:
     def conformal(phi, lam):
         return m.let(sphere, t=m.sinh(m.atanh(m.sin(phi)) - m.atanh(m.sin(phi) * _E) * _E), lam=lam)
 
-    return _pair(m.let(conformal, phi=lat * (math.pi / 180), lam=(lon - lon0) * (math.pi / 180)))
+    return m.let(conformal, phi=lat * (math.pi / 180), lam=(lon - lon0) * (math.pi / 180))
 
 
 def to_degrees(east: Any, north: Any, epsg: int, m: Any = FLOATS) -> tuple[Any, Any]:
+    return _pair(_degrees(east, north, epsg, m))
+
+
+def _degrees(east: Any, north: Any, epsg: int, m: Any) -> Any:
     lon0, k, fe, fn = PROJECTIONS[epsg]
 
     def sphere(xi, eta):
@@ -116,7 +136,7 @@ def to_degrees(east: Any, north: Any, epsg: int, m: Any = FLOATS) -> tuple[Any,
 
         return latitude
 
-    return _pair(m.let(sphere, xi=(north - fn) / (k * _R), eta=(east - fe) / (k * _R)))
+    return m.let(sphere, xi=(north - fn) / (k * _R), eta=(east - fe) / (k * _R))
 
 
 def transform(east: Any, north: Any, source: int, target: int, m: Any = FLOATS) -> tuple[Any, Any]:
@@ -124,11 +144,14 @@ def transform(east: Any, north: Any, source: int, target: int, m: Any = FLOATS)
     if source == target:
         return east, north
 
-    def onward(lon, lat):
-        return to_plane(lon, lat, target, m)
+    return _pair(moved(east, north, source, target, m))
+
 
-    lon, lat = to_degrees(east, north, source, m)
-    return _pair(m.let(onward, lon=lon, lat=lat))
+def moved(east: Any, north: Any, source: int, target: int, m: Any = COLUMNS) -> Any:
+    """``transform`` as one value: a struct (a, b) for columns, so that nothing is worked out twice."""
+    if source == target:
+        return F.struct(east.alias("a"), north.alias("b")) if m is COLUMNS else (east, north)
+    return m.then(lambda lon, lat: _plane(lon, lat, target, m), _degrees(east, north, source, m))
 
 
 def detect(lines: DataFrame, limit: int = 200, places: tuple[str, ...] = ()) -> DataFrame:

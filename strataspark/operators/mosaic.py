@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strataspark.operators import catalog
+from strataspark.operators import catalog, warp
 
 
 def first_wins(cells: DataFrame, pixel: list[str], precedence: list[Column], value: str = "z", carried: tuple[str, ...] = ()) -> DataFrame:
@@ -72,30 +72,33 @@ def base_layer(sheet_meta: DataFrame, sheet_cell: DataFrame, grid, rings=None, p
     return first_ranked(placed, ["row", "col"], "rank_", "z", ("res_src",))
 
 
-def reprojected(sheet_meta: DataFrame, sheet_cell: DataFrame, source: int, target: int) -> tuple[DataFrame, DataFrame]:
+def reprojected(sheet_meta: DataFrame, sheet_cell: DataFrame, source: int, target: int, tolerance: float | None = warp.TOLERANCE) -> tuple[DataFrame, DataFrame]:
     """Sheets of one system on grids of another, nearest cell.
 
     A sheet's target cell is its own, rounded to 2 places, and its bounds are those of its transformed edge, snapped
-    outward. Every target centre is transformed back and equi-joined with the source cell that holds it.
+    outward. Every target centre is taken back, at most ``tolerance`` of a pixel off (``warp``; None: by the full
+    series), and equi-joined with the source cell that holds it.
     """
     from strataspark.functions import crs
     from strataspark.functions.numeric import round_half_even
 
-    m = crs.COLUMNS
     share = F.explode(F.transform(F.sequence(F.lit(0), F.lit(8)), lambda k: k / 8.0))
     edge = sheet_meta.withColumn("s_", share).withColumn("side_", F.explode(F.array(*map(F.lit, range(4)))))
     mid = lambda a, b: F.col(a) + (F.col(b) - F.col(a)) * F.col("s_")
     x = F.when(F.col("side_") == 0, F.col("left")).when(F.col("side_") == 1, F.col("right")).otherwise(mid("left", "right"))
     y = F.when(F.col("side_") == 2, F.col("bottom")).when(F.col("side_") == 3, F.col("top")).otherwise(mid("bottom", "top"))
-    tx, ty = crs.transform(x, y, source, target, m)
     cell = round_half_even(F.col("res"))
-    box = edge.select("plik", cell.alias("cell_"), tx.alias("x_"), ty.alias("y_")).groupBy("plik", "cell_").agg(F.min("x_").alias("l"), F.min("y_").alias("b"), F.max("x_").alias("r"), F.max("y_").alias("t"))
+    box = edge.select("plik", cell.alias("cell_"), crs.moved(x, y, source, target).alias("to_")).select("plik", "cell_", F.col("to_.a").alias("x_"), F.col("to_.b").alias("y_")).groupBy("plik", "cell_").agg(F.min("x_").alias("l"), F.min("y_").alias("b"), F.max("x_").alias("r"), F.max("y_").alias("t"))
     down, up = (lambda v: F.floor(F.col(v) / F.col("cell_")) * F.col("cell_")), (lambda v: F.ceil(F.col(v) / F.col("cell_")) * F.col("cell_"))
     new = box.select("plik", F.col("cell_").alias("res"), down("l").alias("left"), down("b").alias("bottom"), up("r").alias("right"), up("t").alias("top"))
     new = new.withColumns({"ncols": F.rint((F.col("right") - F.col("left")) / F.col("res")).cast("int"), "nrows": F.rint((F.col("top") - F.col("bottom")) / F.col("res")).cast("int")})
     old = sheet_meta.select("plik", F.col("left").alias("l"), F.col("top").alias("t"), F.col("res").alias("r"))
-    pixel = new.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("nrows") - 1))).withColumn("col", F.explode(F.sequence(F.lit(0), F.col("ncols") - 1)))
-    sx, sy = crs.transform(F.col("left") + (F.col("col") + 0.5) * F.col("res"), F.col("top") - (F.col("row") + 0.5) * F.col("res"), target, source, m)
-    back = pixel.withColumns({"sx": sx, "sy": sy}).join(old, "plik").select("plik", "row", "col", F.floor((F.col("t") - F.col("sy")) / F.col("r")).cast("int").alias("srow"), F.floor((F.col("sx") - F.col("l")) / F.col("r")).cast("int").alias("scol"))
+    if tolerance is None:
+        pixel = new.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("nrows") - 1))).withColumn("col", F.explode(F.sequence(F.lit(0), F.col("ncols") - 1)))
+        centre = crs.moved(F.col("left") + (F.col("col") + 0.5) * F.col("res"), F.col("top") - (F.col("row") + 0.5) * F.col("res"), target, source)
+        placed = pixel.withColumn("from_", centre).withColumns({"sx": F.col("from_.a"), "sy": F.col("from_.b")})
+    else:
+        placed = warp.centres(warp.mesh(new, source, target, tolerance), source, target)
+    back = placed.join(old, "plik").select("plik", "row", "col", F.floor((F.col("t") - F.col("sy")) / F.col("r")).cast("int").alias("srow"), F.floor((F.col("sx") - F.col("l")) / F.col("r")).cast("int").alias("scol"))
     cells = back.join(sheet_cell.select("plik", F.col("row").alias("srow"), F.col("col").alias("scol"), "z"), ["plik", "srow", "scol"]).select("plik", "row", "col", "z")
     return new, cells

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataspark.functions import crs, geometry, grid
 from strataspark.functions.numeric import round_half_even
-from strataspark.operators import catalog, chunks, convert, levels, mosaic, plan, stats
+from strataspark.operators import catalog, chunks, convert, levels, mosaic, plan, stats, warp
 from strataspark.plans.mosaic_queries import PIXELS_SQL, mosaic_first_wins, pixels
 from strataspark.sources import archive
 from strataspark.sources import ascii as texts
@@ -457,6 +457,58 @@ def crs_round_trip(spark, sf):
     return _read(spark, sf, "customer").select("c_custkey", F.round(east, 3).alias("east"), F.round(north, 3).alias("north"), (off < 1e-10).alias("returns"))
 
 
+def _transform_sql(rows: str, source: int, target: int) -> str:
+    """``rows``, with columns x and y of one system, with tx and ty of another: the inverse series and the forward one."""
+    number = lambda x: f"{x!r}::DOUBLE"
+    lon0, k, fe, fn = crs.PROJECTIONS[source]
+    minus = lambda f, g: "".join(f" - {f}({2 * j} * xi) * {g}({2 * j} * eta) * {number(b)}" for j, b in enumerate(crs._BETA, 1))
+    sql = f"SELECT *, (y - {number(fn)}) / {number(k * crs._R)} AS xi, (x - {number(fe)}) / {number(k * crs._R)} AS eta FROM ({rows})"
+    sql = f"SELECT * REPLACE (xi{minus('sin', 'cosh')} AS xi, eta{minus('cos', 'sinh')} AS eta) FROM ({sql})"
+    sql = f"SELECT * EXCLUDE (xi, eta), atan2(sinh(eta), cos(xi)) AS lam, sin(xi) / sqrt(sinh(eta) * sinh(eta) + cos(xi) * cos(xi)) AS goal FROM ({sql})"
+    sql, e = f"SELECT *, goal AS tau FROM ({sql})", number(crs._E)
+    for _ in range(3):
+        sql = f"SELECT *, sqrt(tau * tau + 1) AS root, sinh(atanh(tau / sqrt(tau * tau + 1) * {e}) * {e}) AS s FROM ({sql})"
+        sql = f"SELECT * EXCLUDE s, tau * sqrt(s * s + 1) - s * root AS t FROM ({sql})"
+        sql = f"SELECT * EXCLUDE (root, t) REPLACE (tau + (goal - t) / sqrt(t * t + 1) * ((tau * tau * {number(1 - crs._E**2)} + 1) / (root * {number(1 - crs._E**2)})) AS tau) FROM ({sql})"
+    far, k, fe, fn = crs.PROJECTIONS[target]
+    sql = f"SELECT * EXCLUDE (goal, tau, lam), atan(tau) AS phi, lam + radians({number(lon0 - far)}) AS lam FROM ({sql})"
+    sql = f"SELECT * EXCLUDE phi, sinh(atanh(sin(phi)) - {e} * atanh({e} * sin(phi))) AS t FROM ({sql})"
+    sql = f"SELECT * EXCLUDE (t, lam), atan2(t, cos(lam)) AS xi, asinh(sin(lam) / sqrt(t * t + cos(lam) * cos(lam))) AS eta FROM ({sql})"
+    plus = lambda f, g: "".join(f" + {f}({2 * j} * xi) * {g}({2 * j} * eta) * {number(a)}" for j, a in enumerate(crs._ALPHA, 1))
+    return f"SELECT * EXCLUDE (xi, eta), (eta{plus('cos', 'sinh')}) * {number(k * crs._R)} + {number(fe)} AS tx, (xi{plus('sin', 'cosh')}) * {number(k * crs._R)} + {number(fn)} AS ty FROM ({sql})"
+
+
+def _zone_sheets(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Suppliers as sheets of EPSG 2178, 8 x 8 cells of 25 m; lines as their cells."""
+    left, bottom = (F.lit(7_400_000.0) + F.col("s_suppkey") % 199 * 1000), (F.lit(5_450_000.0) + F.col("s_suppkey") % 601 * 1000)
+    meta = _read(spark, sf, "supplier").select(F.col("s_suppkey").alias("plik"), F.lit(25.0).alias("res"), left.alias("left"), bottom.alias("bottom"), (left + 200).alias("right"), (bottom + 200).alias("top"))
+    line = _read(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("plik"), (F.col("l_partkey") % 8).cast("int").alias("row"), (F.col("l_orderkey") % 8).cast("int").alias("col"))
+    return meta, line.agg(F.max("l_quantity").alias("z"))
+
+
+ZONE_SQL = f"""zone AS (SELECT s_suppkey AS plik, 7400000.0::DOUBLE + s_suppkey % 199 * 1000 AS l, 5450000.0::DOUBLE + s_suppkey % 601 * 1000 AS b FROM supplier),
+edge AS (SELECT plik, CASE side WHEN 0 THEN l WHEN 1 THEN l + 200 ELSE l + 25.0::DOUBLE * i END AS x, CASE side WHEN 2 THEN b WHEN 3 THEN b + 200 ELSE b + 25.0::DOUBLE * i END AS y FROM zone, range(9) p(i), range(4) q(side)),
+box AS (SELECT plik, floor(min(tx) / 25) * 25 AS nl, floor(min(ty) / 25) * 25 AS nb, ceil(max(tx) / 25) * 25 AS nr, ceil(max(ty) / 25) * 25 AS nt FROM ({_transform_sql("FROM edge", 2178, 2180)}) GROUP BY 1),
+pixel AS (SELECT plik, row::INTEGER AS row, col::INTEGER AS col, nl + (col + 0.5::DOUBLE) * 25 AS x, nt - (row + 0.5::DOUBLE) * 25 AS y FROM box, range(20) p(row), range(20) q(col) WHERE row < (nt - nb) / 25 AND col < (nr - nl) / 25)"""
+
+
+@_query("raster_reproject", f"""
+WITH {ZONE_SQL}, back AS ({_transform_sql("FROM pixel", 2180, 2178)}), cell AS (SELECT l_suppkey AS plik, l_partkey % 8 AS srow, l_orderkey % 8 AS scol, max(l_quantity) AS z FROM lineitem GROUP BY ALL)
+SELECT plik, row, col, z FROM (SELECT plik, row, col, floor((b + 200 - ty) / 25) AS srow, floor((tx - l) / 25) AS scol FROM back JOIN zone USING (plik)) JOIN cell USING (plik, srow, scol)""")
+def raster_reproject(spark, sf):
+    """Sheets of a zone on grids of the country's system, by the full series."""
+    return mosaic.reprojected(*_zone_sheets(spark, sf), 2178, 2180, tolerance=None)[1]
+
+
+@_query("raster_mesh", f"WITH {ZONE_SQL} SELECT plik, row, col, true AS near FROM pixel")
+def raster_mesh(spark, sf):
+    """J14 between the nodes of a mesh: every pixel is within the tolerance (here 1/100,000 of one) of its place by the series."""
+    grids = mosaic.reprojected(*_zone_sheets(spark, sf), 2178, 2180)[0]
+    placed = warp.centres(warp.mesh(grids, 2178, 2180, 1e-5), 2178, 2180).join(grids.select("plik", "res", "left", "top"), "plik")
+    exact = placed.withColumn("e", crs.moved(F.col("left") + (F.col("col") + 0.5) * F.col("res"), F.col("top") - (F.col("row") + 0.5) * F.col("res"), 2180, 2178))
+    return exact.select("plik", "row", "col", (F.greatest(F.abs(F.col("sx") - F.col("e.a")), F.abs(F.col("sy") - F.col("e.b"))) <= F.col("res") * 1e-5).alias("near"))
+
+
 LAYOUT = chunks.Layout(64, 64, 16, ("z", "res_src"), "f8")
 
 

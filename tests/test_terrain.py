@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strataspark import cli
 from strataspark.functions import crs, geometry, grid, numeric
-from strataspark.operators import catalog, levels, mosaic, plan, stats
+from strataspark.operators import catalog, levels, mosaic, plan, stats, warp
 from strataspark.sources import archive, ascii, geotiff, index
 from strataspark.sources.files import Files
 from strataspark.operators.convert import Conversions
@@ -155,6 +155,39 @@ def test_reprojection_returns(spark):
     assert m.left % 10 == 0 and m.right - m.left == m.ncols * 10
 
 
+def test_mesh_keeps_its_bound(spark):
+    """A sheet as large as a county at 1 m, one of a few pixels, one of a single row; each pixel's place against the full series."""
+    x, y = map(round, crs.to_plane(22.4, 53.1, 2180))
+    shapes = {"large": (30_000, 20_000), "small": (7, 5), "thin": (3_000, 1)}
+    grids = spark.createDataFrame([(k, 1.0, float(x), float(y), w, h) for k, (w, h) in shapes.items()], "plik string, res double, left double, top double, ncols int, nrows int")
+    cells = warp.mesh(grids, 2178, 2180)
+    by_sheet = {k: [r for r in cells.collect() if r.plik == k] for k in shapes}
+    assert len(by_sheet["small"]) == 1 and 4 < len(by_sheet["large"]) < 5_000 and not any(r.bent for rows in by_sheet.values() for r in rows)
+    for k, (w, h) in shapes.items():
+        assert sum((r.r1 - r.r0) * (r.c1 - r.c0) for r in by_sheet[k]) == w * h
+    # The middle, where a cell bends most, and a corner.
+    middle = cells.withColumns({"keep": F.expr("array((r0 + r1) div 2, r0)"), "kept": F.expr("array((c0 + c1) div 2, c0)")})
+    u, v = F.expr("(col + 0.5D - c0) / (c1 - c0)"), F.expr("(row + 0.5D - r0) / (r1 - r0)")
+    picked = middle.select("*", F.explode(F.arrays_zip(F.col("keep").alias("row"), F.col("kept").alias("col"))).alias("at")).select("*", "at.row", "at.col")
+    for r in picked.withColumns({"u": u, "v": v}).collect():
+        ex, ey = crs.transform(x + r.col + 0.5, y - r.row - 0.5, 2180, 2178)
+        for axis, e in (("a", ex), ("b", ey)):
+            north, south = r.nw[axis] + (r.ne[axis] - r.nw[axis]) * r.u, r.sw[axis] + (r.se[axis] - r.sw[axis]) * r.u
+            assert abs(north + (south - north) * r.v - e) <= warp.TOLERANCE
+
+
+def test_bent_cells_go_through_the_series(spark):
+    x, y = map(round, crs.to_plane(22.4, 53.1, 2180))
+    grids = spark.createDataFrame([("s", 1.0, float(x), float(y), 6, 4)], "plik string, res double, left double, top double, ncols int, nrows int")
+    cells = warp.mesh(grids, 2178, 2180)
+    for bent in (False, True):
+        off = warp.centres(cells.withColumn("bent", F.lit(bent)), 2178, 2180).collect()
+        assert len(off) == 24
+        for r in off:
+            ex, ey = crs.transform(x + r.col + 0.5, y - r.row - 0.5, 2180, 2178)
+            assert max(abs(r.sx - ex), abs(r.sy - ey)) < (1e-7 if bent else 0.125)
+
+
 def test_polygon(spark):
     points = spark.createDataFrame([(0.5, 0.5), (1.5, 1.5), (5.0, 1.0), (3.9, 3.9)], "x double, y double")
     assert [r[0] for r in points.select(geometry.contains_point(SQUARE, F.col("x"), F.col("y"))).collect()] == [True, False, False, True]
