@@ -6,6 +6,8 @@ import math
 from collections.abc import Callable
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,7 +72,13 @@ class _Floats:
         return body(*pair)
 
 
-COLUMNS, FLOATS = _Columns, _Floats
+class _Arrays(_Floats):
+    """For arrays of double precision."""
+
+    sin, cos, tan, sinh, cosh, atan, atan2, sqrt, atanh, asinh = (staticmethod(getattr(np, n)) for n in ("sin", "cos", "tan", "sinh", "cosh", "arctan", "arctan2", "sqrt", "arctanh", "arcsinh"))
+
+
+COLUMNS, FLOATS, ARRAYS = _Columns, _Floats, _Arrays
 
 
 def _pair(x: Any) -> tuple[Any, Any]:
@@ -154,6 +162,30 @@ def moved(east: Any, north: Any, source: int, target: int, m: Any = COLUMNS) ->
     return m.then(lambda lon, lat: _plane(lon, lat, target, m), _degrees(east, north, source, m))
 
 
+def moved_in_batches(east: Column, north: Column, source: int, target: int) -> Column:
+    """``moved`` for many rows: the same series on Arrow batches, where an expression of nested functions is interpreted row
+    by row. Coordinates that are null are left out of the work; their place is null."""
+    if source == target:
+        return moved(east, north, source, target)
+
+    def places(x: pa.Array, y: pa.Array) -> pa.Array:
+        return _moved_arrays(x, y, source, target)
+
+    return F.arrow_udf(places, "a double, b double")(east.cast("double"), north.cast("double"))
+
+
+def _moved_arrays(x: pa.Array, y: pa.Array, source: int, target: int) -> pa.Array:
+    missing = x.is_null().to_numpy(zero_copy_only=False) | y.is_null().to_numpy(zero_copy_only=False)
+    east, north = (v.to_numpy(zero_copy_only=False)[~missing] for v in (x, y))
+    sides = []
+    with np.errstate(all="ignore"):
+        for found in moved(east, north, source, target, ARRAYS):
+            side = np.full(len(missing), np.nan)
+            side[~missing] = found
+            sides.append(pa.array(side, mask=missing))
+    return pa.StructArray.from_arrays(sides, ["a", "b"])
+
+
 def detect(lines: DataFrame, limit: int = 200, places: tuple[str, ...] = ()) -> DataFrame:
     """(plik, epsg) from ``lines``(plik, line_no from 0, text): the first of ``limit`` lines that tells.
 

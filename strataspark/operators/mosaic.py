@@ -78,21 +78,26 @@ def reprojected(sheet_meta: DataFrame, sheet_cell: DataFrame, source: int, targe
     A sheet's target cell is its own, rounded to 2 places, and its bounds are those of its transformed edge, snapped
     outward. Every target centre is taken back, at most ``tolerance`` of a pixel off (``warp``; None: by the full
     series), and equi-joined with the source cell that holds it.
+
+    Sheets are dealt over tasks by number: they are small rows that become many pixels, so their bytes tell nothing of
+    the work.
     """
     from strataspark.functions import crs
     from strataspark.functions.numeric import round_half_even
 
     share = F.explode(F.transform(F.sequence(F.lit(0), F.lit(8)), lambda k: k / 8.0))
-    edge = sheet_meta.withColumn("s_", share).withColumn("side_", F.explode(F.array(*map(F.lit, range(4)))))
+    deal = lambda sheets: sheets.repartition(int(sheets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "plik")
+    dealt = deal(sheet_meta)
+    edge = dealt.withColumn("s_", share).withColumn("side_", F.explode(F.array(*map(F.lit, range(4)))))
     mid = lambda a, b: F.col(a) + (F.col(b) - F.col(a)) * F.col("s_")
     x = F.when(F.col("side_") == 0, F.col("left")).when(F.col("side_") == 1, F.col("right")).otherwise(mid("left", "right"))
     y = F.when(F.col("side_") == 2, F.col("bottom")).when(F.col("side_") == 3, F.col("top")).otherwise(mid("bottom", "top"))
     cell = round_half_even(F.col("res"))
-    box = edge.select("plik", cell.alias("cell_"), crs.moved(x, y, source, target).alias("to_")).select("plik", "cell_", F.col("to_.a").alias("x_"), F.col("to_.b").alias("y_")).groupBy("plik", "cell_").agg(F.min("x_").alias("l"), F.min("y_").alias("b"), F.max("x_").alias("r"), F.max("y_").alias("t"))
+    box = edge.select("plik", cell.alias("cell_"), crs.moved_in_batches(x, y, source, target).alias("to_")).select("plik", "cell_", F.col("to_.a").alias("x_"), F.col("to_.b").alias("y_")).groupBy("plik", "cell_").agg(F.min("x_").alias("l"), F.min("y_").alias("b"), F.max("x_").alias("r"), F.max("y_").alias("t"))
     down, up = (lambda v: F.floor(F.col(v) / F.col("cell_")) * F.col("cell_")), (lambda v: F.ceil(F.col(v) / F.col("cell_")) * F.col("cell_"))
-    new = box.select("plik", F.col("cell_").alias("res"), down("l").alias("left"), down("b").alias("bottom"), up("r").alias("right"), up("t").alias("top"))
+    new = deal(box).select("plik", F.col("cell_").alias("res"), down("l").alias("left"), down("b").alias("bottom"), up("r").alias("right"), up("t").alias("top"))
     new = new.withColumns({"ncols": F.rint((F.col("right") - F.col("left")) / F.col("res")).cast("int"), "nrows": F.rint((F.col("top") - F.col("bottom")) / F.col("res")).cast("int")})
-    old = sheet_meta.select("plik", F.col("left").alias("l"), F.col("top").alias("t"), F.col("res").alias("r"))
+    old = dealt.select("plik", F.col("left").alias("l"), F.col("top").alias("t"), F.col("res").alias("r"))
     if tolerance is None:
         pixel = new.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("nrows") - 1))).withColumn("col", F.explode(F.sequence(F.lit(0), F.col("ncols") - 1)))
         centre = crs.moved(F.col("left") + (F.col("col") + 0.5) * F.col("res"), F.col("top") - (F.col("row") + 0.5) * F.col("res"), target, source)

@@ -19,8 +19,8 @@ _THIRDS = (0.0, 0.5, 1.0)
 
 def _nodes(top: Column, bottom: Column, left: Column, right: Column, source: int, target: int) -> Column:
     """Corners, middles of edges and the centre of a cell (in rows and columns of a sheet), in the other system: nine (a, b) by rows."""
-    at = [F.struct((left + (right - left) * u).alias("c"), (top + (bottom - top) * v).alias("r")) for v in _THIRDS for u in _THIRDS]
-    return F.transform(F.array(*at), lambda p: crs.moved(F.col("left") + p.c * F.col("res"), F.col("top") - p.r * F.col("res"), target, source))
+    at = [(left + (right - left) * u, top + (bottom - top) * v) for v in _THIRDS for u in _THIRDS]
+    return F.array(*(crs.moved_in_batches(F.col("left") + c * F.col("res"), F.col("top") - r * F.col("res"), target, source) for c, r in at))
 
 
 def _bend(nodes: Column) -> Column:
@@ -33,9 +33,10 @@ def _bend(nodes: Column) -> Column:
     return F.greatest(*off)
 
 
-def mesh(grids: DataFrame, source: int, target: int, tolerance: float = TOLERANCE) -> DataFrame:
+def mesh(grids: DataFrame, source: int, target: int, tolerance: float = TOLERANCE, carried: tuple[str, ...] = ()) -> DataFrame:
     """Cells (r0, r1, c0, c1: rows and columns of a sheet, ends excluded) of the sheets of ``grids``(plik, res, left, top,
-    ncols, nrows), which are in ``target``; with each the four corners' places in ``source`` and whether it is ``bent``.
+    ncols, nrows), which are in ``target``; with each the four corners' places in ``source``, whether it is ``bent`` and
+    the columns ``carried`` of its sheet.
 
     What a smooth surface bends goes with the square of a cell's edge, so the bend of the whole sheet tells how many
     cells it needs each way. One row of a sheet becomes one row for each of its cells; nothing is shuffled.
@@ -50,11 +51,12 @@ def mesh(grids: DataFrame, source: int, target: int, tolerance: float = TOLERANC
     cells = cells.withColumns({"r1": F.least(F.col("r0") + F.col("dr_"), F.col("nrows")), "c1": F.least(F.col("c0") + F.col("dc_"), F.col("ncols"))})
     placed = cells.withColumn("nodes_", _nodes(F.col("r0"), F.col("r1"), F.col("c0"), F.col("c1"), source, target))
     corners = [F.col("nodes_")[k].alias(name) for k, name in ((0, "nw"), (2, "ne"), (6, "sw"), (8, "se"))]
-    return placed.select("plik", "res", "left", "top", "r0", "r1", "c0", "c1", *corners, (_bend(F.col("nodes_")) > allowed).alias("bent"))
+    return placed.select("plik", "res", "left", "top", *carried, "r0", "r1", "c0", "c1", *corners, (_bend(F.col("nodes_")) > allowed).alias("bent"))
 
 
-def centres(cells: DataFrame, source: int, target: int) -> DataFrame:
-    """(plik, row, col, sx, sy): the centre of every pixel of a mesh in ``source``."""
+def centres(cells: DataFrame, source: int, target: int, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(plik, row, col, sx, sy): the centre of every pixel of a mesh in ``source``; columns ``carried`` of its cell travel
+    with it, as Spark takes a table of pixels to be as small as the sheets it comes from, and joins it by broadcast."""
     pixel = cells.withColumn("row", F.explode(F.sequence("r0", F.col("r1") - 1))).withColumn("col", F.explode(F.sequence("c0", F.col("c1") - 1)))
     u = (F.col("col") + 0.5 - F.col("c0")) / (F.col("c1") - F.col("c0"))
     v = (F.col("row") + 0.5 - F.col("r0")) / (F.col("r1") - F.col("r0"))
@@ -64,6 +66,7 @@ def centres(cells: DataFrame, source: int, target: int) -> DataFrame:
         north, south = at("nw") + (at("ne") - at("nw")) * u, at("sw") + (at("se") - at("sw")) * u
         return north + (south - north) * v
 
-    exact = F.when(F.col("bent"), crs.moved(F.col("left") + (F.col("col") + 0.5) * F.col("res"), F.col("top") - (F.col("row") + 0.5) * F.col("res"), target, source))
+    x, y = F.col("left") + (F.col("col") + 0.5) * F.col("res"), F.col("top") - (F.col("row") + 0.5) * F.col("res")
+    exact = F.when(F.col("bent"), crs.moved_in_batches(F.when(F.col("bent"), x), F.when(F.col("bent"), y), target, source))
     place = F.coalesce(exact, F.struct(between("a").alias("a"), between("b").alias("b")))
-    return pixel.withColumn("place_", place).select("plik", "row", "col", F.col("place_.a").alias("sx"), F.col("place_.b").alias("sy"))
+    return pixel.withColumn("place_", place).select("plik", "row", "col", *carried, F.col("place_.a").alias("sx"), F.col("place_.b").alias("sy"))

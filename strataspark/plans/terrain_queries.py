@@ -504,8 +504,8 @@ def raster_reproject(spark, sf):
 def raster_mesh(spark, sf):
     """J14 between the nodes of a mesh: every pixel is within the tolerance (here 1/100,000 of one) of its place by the series."""
     grids = mosaic.reprojected(*_zone_sheets(spark, sf), 2178, 2180)[0]
-    placed = warp.centres(warp.mesh(grids, 2178, 2180, 1e-5), 2178, 2180).join(grids.select("plik", "res", "left", "top"), "plik")
-    exact = placed.withColumn("e", crs.moved(F.col("left") + (F.col("col") + 0.5) * F.col("res"), F.col("top") - (F.col("row") + 0.5) * F.col("res"), 2180, 2178))
+    placed = warp.centres(warp.mesh(grids, 2178, 2180, 1e-5), 2178, 2180, ("res", "left", "top"))
+    exact = placed.withColumn("e", crs.moved_in_batches(F.col("left") + (F.col("col") + 0.5) * F.col("res"), F.col("top") - (F.col("row") + 0.5) * F.col("res"), 2180, 2178))
     return exact.select("plik", "row", "col", (F.greatest(F.abs(F.col("sx") - F.col("e.a")), F.abs(F.col("sy") - F.col("e.b"))) <= F.col("res") * 1e-5).alias("near"))
 
 
