@@ -80,7 +80,7 @@ def reprojected(sheet_meta: DataFrame, sheet_cell: DataFrame, source: int, targe
     series), and equi-joined with the source cell that holds it.
 
     Sheets are dealt over tasks by number: they are small rows that become many pixels, so their bytes tell nothing of
-    the work.
+    the work. Sheets are joined before they become pixels, and pixels by sorting, for the same reason.
     """
     from strataspark.functions import crs
     from strataspark.functions.numeric import round_half_even
@@ -98,12 +98,13 @@ def reprojected(sheet_meta: DataFrame, sheet_cell: DataFrame, source: int, targe
     new = deal(box).select("plik", F.col("cell_").alias("res"), down("l").alias("left"), down("b").alias("bottom"), up("r").alias("right"), up("t").alias("top"))
     new = new.withColumns({"ncols": F.rint((F.col("right") - F.col("left")) / F.col("res")).cast("int"), "nrows": F.rint((F.col("top") - F.col("bottom")) / F.col("res")).cast("int")})
     old = dealt.select("plik", F.col("left").alias("l"), F.col("top").alias("t"), F.col("res").alias("r"))
+    both = new.join(old, "plik")
     if tolerance is None:
-        pixel = new.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("nrows") - 1))).withColumn("col", F.explode(F.sequence(F.lit(0), F.col("ncols") - 1)))
-        centre = crs.moved(F.col("left") + (F.col("col") + 0.5) * F.col("res"), F.col("top") - (F.col("row") + 0.5) * F.col("res"), target, source)
+        pixel = both.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("nrows") - 1))).withColumn("col", F.explode(F.sequence(F.lit(0), F.col("ncols") - 1)))
+        centre = crs.moved_in_batches(F.col("left") + (F.col("col") + 0.5) * F.col("res"), F.col("top") - (F.col("row") + 0.5) * F.col("res"), target, source)
         placed = pixel.withColumn("from_", centre).withColumns({"sx": F.col("from_.a"), "sy": F.col("from_.b")})
     else:
-        placed = warp.centres(warp.mesh(new, source, target, tolerance), source, target)
-    back = placed.join(old, "plik").select("plik", "row", "col", F.floor((F.col("t") - F.col("sy")) / F.col("r")).cast("int").alias("srow"), F.floor((F.col("sx") - F.col("l")) / F.col("r")).cast("int").alias("scol"))
-    cells = back.join(sheet_cell.select("plik", F.col("row").alias("srow"), F.col("col").alias("scol"), "z"), ["plik", "srow", "scol"]).select("plik", "row", "col", "z")
+        placed = warp.centres(warp.mesh(both, source, target, tolerance, ("l", "t", "r")), source, target, ("l", "t", "r"))
+    back = placed.select("plik", "row", "col", F.floor((F.col("t") - F.col("sy")) / F.col("r")).cast("int").alias("srow"), F.floor((F.col("sx") - F.col("l")) / F.col("r")).cast("int").alias("scol"))
+    cells = back.hint("merge").join(sheet_cell.select("plik", F.col("row").alias("srow"), F.col("col").alias("scol"), "z"), ["plik", "srow", "scol"]).select("plik", "row", "col", "z")
     return new, cells

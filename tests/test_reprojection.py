@@ -36,3 +36,25 @@ def test_sheets_are_dealt_by_number(spark):
     """Small rows that become many pixels: merged by bytes, they were one task."""
     grids = mosaic.reprojected(*_sheets(spark), 2178, 2180)[0]
     assert grids.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) and grids.count() == 40
+
+
+@pytest.mark.parametrize("tolerance", [None, 0.125])
+def test_pixels_meet_cells_by_sorting(spark, tolerance):
+    """Neither way of placing pixels has them broadcast, whatever Spark takes their table's size to be."""
+    moved = mosaic.reprojected(*_sheets(spark), 2178, 2180, tolerance)[1]
+    plan = moved._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert "SortMergeJoin" in joins[0] and "srow" in joins[0] and not any("srow" in line or "row#" in line for line in joins[1:])
+    got = {(r.plik, r.row, r.col): r.z for r in moved.collect()}
+    assert len({k[0] for k in got}) == 40
+    for (name, row, col), z in list(got.items())[::97]:
+        x, y = 7_400_000.0 + int(name[1:]) * 1000, 5_450_200.0 + int(name[1:]) * 1000
+        assert tolerance is not None or z == _cell(row, col, x, y)
+
+
+def _cell(row, col, left, top):
+    """The source cell of a pixel, by the series on numbers."""
+    sides = [crs.transform(left + u * 200, top - v * 200, 2178, 2180) for k in range(9) for u, v in ((k / 8, 0), (k / 8, 1), (0, k / 8), (1, k / 8))]
+    west, north = min(x for x, _ in sides) // 25 * 25, -(-max(y for _, y in sides) // 25) * 25
+    sx, sy = crs.transform(west + (col + 0.5) * 25, north - (row + 0.5) * 25, 2180, 2178)
+    return float((top - sy) // 25 * 8 + (sx - left) // 25)
