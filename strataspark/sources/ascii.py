@@ -51,24 +51,30 @@ def read_grid(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def xyz_points(lines: DataFrame) -> DataFrame:
     """(plik, line_no, x, y, z) of the lines of exactly three numbers."""
-    part = F.split(F.regexp_replace("text", r"^\s+|\s+$", ""), r"\s+")
-    number = lambda p, k: F.try_element_at(p, F.lit(k + 1)).try_cast("double")
+    part = F.split(F.btrim("text", F.lit(" \t\n\x0b\f\r")), r"\s+")
+    number = lambda k: F.try_element_at("part_", F.lit(k + 1)).try_cast("double")
     # Through a generator, so that the filters on the values do not split the text again.
-    values = F.transform(F.array(part), lambda p: F.struct(F.size(p).alias("fields_"), *(number(p, k).alias(n) for k, n in enumerate("xyz"))))
-    rows = lines.select("plik", "line_no", F.inline(values))
-    return rows.where("fields_ = 3 and x is not null and y is not null and z is not null").drop("fields_")
+    rows = lines.select("plik", "line_no", F.explode(F.array(part)).alias("part_")).where(F.size("part_") == 3)
+    return rows.select("plik", "line_no", *(number(k).alias(n) for k, n in enumerate("xyz"))).where("x is not null and y is not null and z is not null")
 
 
-def infer_step(points: DataFrame) -> DataFrame:
-    """(plik, step): least difference above 0.05 of distinct x (3 places), else of y; rounded to 2 places."""
+def extent_and_step(points: DataFrame) -> DataFrame:
+    """(plik, x0, x1, y0, y1, step) in one pass over the points: A12's box, and W3's step (null where there is none).
+
+    A task keeps the distinct coordinates of a sheet on either axis, with the least and the greatest value of each.
+    """
+    sides = F.array(*(F.struct(F.lit(n).alias("axis"), F.col(n).cast("double").alias("at")) for n in "xy"))
+    values = points.select("plik", F.inline(sides)).groupBy("plik", "axis", round_half_even(F.col("at"), 3).alias("v")).agg(F.min("at").alias("low"), F.max("at").alias("high"))
+    gap = F.col("v") - F.lag("v").over(Window.partitionBy("plik", "axis").orderBy("v"))
+    of = lambda axis, value: F.when(F.col("axis") == axis, value)
+    ends = [f(of(n, F.col(side))).alias(f"{n}{k}") for n in "xy" for k, (f, side) in enumerate(((F.min, "low"), (F.max, "high")))]
+    steps = [F.min(of(n, F.when(F.col("gap") > 0.05, F.col("gap")))).alias(f"step_{n}") for n in "xy"]
+    return values.withColumn("gap", gap).groupBy("plik").agg(*ends, *steps).withColumn("step", round_half_even(F.coalesce("step_x", "step_y"))).drop("step_x", "step_y")
 
-    def least(axis: str) -> DataFrame:
-        distinct = points.select("plik", round_half_even(F.col(axis), 3).alias("v")).distinct()
-        gap = F.col("v") - F.lag("v").over(Window.partitionBy("plik").orderBy("v"))
-        return distinct.withColumn("gap", gap).where("gap > 0.05").groupBy("plik").agg(F.min("gap").alias(f"step_{axis}"))
 
-    both = points.select("plik").distinct().join(least("x"), "plik", "left").join(least("y"), "plik", "left")
-    return both.select("plik", round_half_even(F.coalesce("step_x", "step_y")).alias("step")).where("step > 0")
+def infer_step(points: DataFrame) -> DataFrame:
+    """(plik, step): least difference above 0.05 of distinct x (3 places), else of y; rounded to 2 places."""
+    return extent_and_step(points).select("plik", "step").where("step > 0")
 
 
 def read_xyz(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -77,8 +83,7 @@ def read_xyz(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     Files of another variant or without a step are absent, as the sheet is then skipped.
     """
     points = xyz_points(lines.where(kept_variant(F.col("plik"))))
-    extent = points.groupBy("plik").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
-    meta = extent.join(infer_step(points), "plik")
+    meta = extent_and_step(points).where("step > 0")
     size = lambda a, b: (F.rint((F.col(b) - F.col(a)) / F.col("step")) + 1).cast("int")
     meta = meta.withColumns({"ncols": size("x0", "x1"), "nrows": size("y0", "y1")})
     place = points.join(meta, "plik").select(
